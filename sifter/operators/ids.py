@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 from sifter.session import checkpoint_dir
 
 
-def running_offsets(df: DataFrame, order_col: str, count_col: str, out_col: str = "offset",
+def running_offsets(df: DataFrame, order_col, count_col: str, out_col: str = "offset",
                     n_buckets: int | None = None, cut_lineage: bool = True) -> DataFrame:
+    """``order_col`` is a column name or a list of names; buckets split on
+    the first (numeric) one, rows are ordered by all of them."""
+    order_cols = [order_col] if isinstance(order_col, str) else list(order_col)
+    order_col = order_cols[0]
     spark = df.sparkSession
     if cut_lineage:
         checkpoint_dir(spark)
@@ -39,7 +43,7 @@ def running_offsets(df: DataFrame, order_col: str, count_col: str, out_col: str
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select("_bucket", F.coalesce(F.sum("_btotal").over(before), F.lit(0)).alias("_boff"))
 
-    local = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    local = Window.partitionBy("_bucket").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_local", F.coalesce(F.sum(count_col).over(local), F.lit(0)))
     return (d.join(F.broadcast(offs), "_bucket")
              .withColumn(out_col, (F.col("_boff") + F.col("_local")).cast("long"))

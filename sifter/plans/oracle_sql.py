@@ -173,3 +173,109 @@ SQL: dict[str, str] = {
     "knn_filtered": _knn_chunks(3, "item_id, rank, chunk_id, doc_id, source AS link, distance", "contains(source, 'src1')"),
     "rag_retrieve_top2": _knn_chunks(2, "item_id, rank, chunk_id, doc_id, distance"),
 }
+
+
+# ---------------------------------------------------------------- pages
+
+def unescape(x: str) -> str:
+    for ent, ch in (("&quot;", "'\"'"), ("&middot;", "'·'"), ("&copy;", "'©'"), ("&lt;", "'<'"),
+                    ("&gt;", "'>'"), ("&#39;", "''''"), ("&nbsp;", "chr(160)"), ("&amp;", "'&'")):
+        x = f"replace({x}, '{ent}', {ch})"
+    return x
+
+
+def html_text(x: str) -> str:
+    return clean_ws(unescape(f"regexp_replace({x}, '<[^>]+>', ' ', 'g')"))
+
+
+def resolve(base: str, href: str) -> str:
+    return f"""CASE WHEN regexp_matches({href}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {href}
+      WHEN starts_with({href}, '//') THEN regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || {href}
+      WHEN starts_with({href}, '/') THEN regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || {href}
+      WHEN starts_with({href}, '?') THEN regexp_extract({base}, '^([^?#]*)', 1) || {href}
+      WHEN starts_with({href}, '#') THEN regexp_extract({base}, '^([^#]*)', 1) || {href}
+      ELSE regexp_extract({base}, '^([^?#]*/)', 1) || {href} END"""
+
+
+NAV = """nv AS (SELECT page_id, url, nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang,
+        regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a href="([^"]*)"', 1) AS hrefs FROM pages),
+nl AS (SELECT page_id, url, lang, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS pos FROM nv)"""
+
+STOP_LIST = None  # filled below from the operator's fixed list
+
+
+def _stop_list() -> str:
+    from sifter.operators.keywords import STOP_WORDS
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS) + "]"
+
+
+def kw_tokens(x: str) -> str:
+    return (f"list_filter(regexp_extract_all(lower({x}), '\\p{{L}}+'), "
+            f"lambda t: length(t) >= 2 AND NOT list_contains({_stop_list()}, t))")
+
+
+KEYWORDS = f"""kt AS (SELECT doc_id, unnest({kw_tokens('text')}) AS keyword FROM documents),
+kc AS (SELECT doc_id, keyword, count(*) AS cnt FROM kt GROUP BY ALL),
+kw AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cnt DESC, keyword) AS rank FROM kc)
+       WHERE rank <= 10)"""
+
+
+def _sentences_cte() -> str:
+    split = f"string_split(regexp_replace(text, '([.!?]){WS}', '\\1' || chr(1), 'g'), chr(1))"
+    return f"""sl AS (SELECT doc_id, list_filter(list_transform({split}, lambda x: {strip('x')}), lambda x: x <> '') AS L
+       FROM documents WHERE text IS NOT NULL),
+se AS (SELECT doc_id, unnest(L) AS sentence, unnest(range(len(L))) AS spos FROM sl)"""
+
+
+SQL.update({
+    "extract_page_text": f"""WITH a AS (SELECT page_id, url, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS inr,
+            regexp_matches(html, '<article[ >]') AS has FROM pages)
+        SELECT page_id, url, {html_text('inr')} AS content FROM a WHERE has""",
+    "extract_links": f"WITH {NAV} SELECT page_id, pos, href, {resolve('url', 'href')} AS link FROM nl",
+    "extract_all_by_class": f"""WITH d AS (SELECT page_id, regexp_extract_all(html, '(?s)<div class="ad">(.*?)</div>', 1) AS ads FROM pages),
+        u AS (SELECT page_id, unnest(ads) AS a, unnest(range(len(ads))) AS pos FROM d)
+        SELECT page_id, pos, {html_text('a')} AS text FROM u""",
+    "filter_links_by_domain": f"""WITH {NAV}, r AS (SELECT page_id, pos, {resolve('url', 'href')} AS link FROM nl)
+        SELECT * FROM r WHERE contains(link, '.example.com')""",
+    "distinct_links_ordered": f"""WITH {NAV}, r AS (SELECT href, page_id AS first_page, pos AS first_pos,
+            row_number() OVER (PARTITION BY href ORDER BY page_id, pos) AS rn, count(*) OVER (PARTITION BY href) AS n FROM nl)
+        SELECT href, first_page, first_pos, n FROM r WHERE rn = 1""",
+    "new_links_anti": f"""WITH {NAV}
+        SELECT DISTINCT href FROM nl WHERE lang IS DISTINCT FROM 'en'
+        AND href NOT IN (SELECT href FROM nl WHERE lang = 'en')""",
+    "link_union_distinct": f"""WITH {NAV}, u AS (SELECT 0 AS list, page_id, pos, href FROM nl WHERE lang = 'fr'
+            UNION ALL SELECT 1, page_id, pos, href FROM nl),
+        r AS (SELECT *, row_number() OVER (PARTITION BY href ORDER BY list, page_id, pos) AS rn FROM u)
+        SELECT href, list::BIGINT AS first_list, page_id AS first_page, pos AS first_pos FROM r WHERE rn = 1""",
+    "page_ids": """SELECT row_number() OVER (ORDER BY page_id) - 1 AS id, page_id, url FROM pages
+        WHERE regexp_matches(html, '<article[ >]')""",
+    "article_records": f"""WITH a AS (SELECT page_id, url, html,
+            regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS inr,
+            regexp_matches(html, '<article[ >]') AS has,
+            regexp_extract_all(html, '<img[^>]*[ ]src="([^"]*)"', 1) AS imgs FROM pages)
+        SELECT page_id,
+               CASE WHEN regexp_matches(html, '<title>') THEN {html_text("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} END AS title,
+               regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS source,
+               CASE WHEN has THEN length({html_text('inr')})::BIGINT END AS text_len,
+               len(imgs)::BIGINT AS n_images, imgs[1] AS top_image FROM a""",
+    "article_per_author": """SELECT doc_id, unnest(CASE WHEN lang = 'fr' THEN [source, lang]
+        WHEN lang = 'en' THEN [source] ELSE []::VARCHAR[] END) AS author FROM documents""",
+    "keywords_topn": f"WITH {KEYWORDS} SELECT doc_id, rank, keyword, cnt FROM kw",
+    "summary_topn": f"""WITH {KEYWORDS}, {_sentences_cte()},
+        tk AS (SELECT doc_id, spos, unnest(CASE WHEN len(tl) = 0 THEN [NULL] ELSE tl END) AS keyword
+               FROM (SELECT doc_id, spos, {kw_tokens('sentence')} AS tl FROM se)),
+        sc AS (SELECT tk.doc_id, tk.spos, coalesce(sum(kw.cnt), 0) / greatest(count(tk.keyword), 1) AS score
+               FROM tk LEFT JOIN kw ON tk.doc_id = kw.doc_id AND tk.keyword = kw.keyword GROUP BY ALL),
+        best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, spos) AS r FROM sc)
+                 WHERE r <= 5)
+        SELECT b.doc_id, string_agg(se.sentence, ' ' ORDER BY se.spos) AS summary
+        FROM best b JOIN se USING (doc_id, spos) GROUP BY b.doc_id""",
+    "page_counter": f"""WITH d AS (SELECT doc_id, list_filter(CASE WHEN {clean_ws('text')} = '' THEN []::VARCHAR[]
+            ELSE string_split({clean_ws('text')}, ' ') END, lambda x: regexp_matches(x, '^[0-9]+$')) AS d FROM documents)
+        SELECT doc_id, TRY_CAST(d[1] AS BIGINT) AS current_page, TRY_CAST(d[2] AS BIGINT) AS max_page FROM d WHERE len(d) > 0""",
+    "search_urls": f"""WITH t AS (SELECT item_id, CASE WHEN {clean_ws('text')} = '' THEN []::VARCHAR[]
+            ELSE string_split({clean_ws('text')}, ' ') END AS w FROM benchmark),
+        p AS (SELECT item_id, array_to_string(w[1:3], '+') AS token,
+                     unnest(range(1, least(floor(len(w) / 5)::BIGINT, 10))) AS page FROM t)
+        SELECT item_id, page, 'https://search.example.org/search?q=' || token || '&limit=10&page=' || page AS url FROM p""",
+})

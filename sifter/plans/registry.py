@@ -10,9 +10,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
-    from sifter.plans import retrieval
+    from sifter.plans import pages, retrieval
     out: dict[str, Query] = {}
-    for mod in (retrieval,):
+    for mod in (retrieval, pages):
         out.update(mod.QUERIES)
     return out
 
