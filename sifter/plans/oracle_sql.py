@@ -279,3 +279,136 @@ SQL.update({
                      unnest(range(1, least(floor(len(w) / 5)::BIGINT, 10))) AS page FROM t)
         SELECT item_id, page, 'https://search.example.org/search?q=' || token || '&limit=10&page=' || page AS url FROM p""",
 })
+
+
+# ---------------------------------------------------------------- RAG and evaluation
+
+def sql_lit(s: str) -> str:
+    parts = ["'" + p.replace("'", "''") + "'" for p in s.split("\n")]
+    return " || chr(10) || ".join(parts)
+
+
+def prompt_sql(context: str, question: str) -> str:
+    from sifter.operators.rag import DEFAULT_TEMPLATE, template_parts
+    cols = {"context": context, "question": question}
+    out = [sql_lit(v) if kind == "lit" else f"coalesce({cols[v]}, '')" for kind, v in template_parts(DEFAULT_TEMPLATE)]
+    return "(" + " || ".join(out) + ")"
+
+
+def first_words(x: str, n: int = 256) -> str:
+    return f"array_to_string(CASE WHEN {clean_ws(x)} = '' THEN []::VARCHAR[] ELSE string_split({clean_ws(x)}, ' ') END[1:{n}], ' ')"
+
+
+def n_words(x: str) -> str:
+    return f"(CASE WHEN {clean_ws(x)} = '' THEN 0 ELSE len(string_split({clean_ws(x)}, ' ')) END)::BIGINT"
+
+
+def knn_ctes(p: str, qsrc: str, qid: str, qtext: str, dim: int, k: int) -> str:
+    """``{p}top(qid, chunk_id, doc_id, chunk_text, distance, rank)`` over ``dchunks``."""
+    return f"""{p}qv AS ({hashed_vectors(qsrc, qid, qtext, dim)}),
+{p}cv AS ({hashed_vectors('dchunks', 'chunk_id, doc_id, chunk_text', 'chunk_text', dim)}),
+{p}top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, chunk_id) AS rank FROM (
+    SELECT q.{qid} AS qid, c.chunk_id, c.doc_id, c.chunk_text,
+           round(1 - list_dot_product(q.v, c.v) / (q.nrm * c.nrm), 6) + 0.0 AS distance
+    FROM {p}qv q, {p}cv c WHERE q.nrm > 0 AND c.nrm > 0)) WHERE rank <= {k})"""
+
+
+def ctx_cte(name: str, top: str, keys: str = "qid") -> str:
+    return f"""{name} AS (SELECT {keys}, string_agg(chunk_text, chr(10) || chr(10) ORDER BY rank) AS context,
+    count(*) AS n_sources, arg_min(chunk_text, rank) AS top1 FROM {top} GROUP BY {keys})"""
+
+
+def score_ctes(src: str, a: str, b: str, dim: int, out: str) -> str:
+    """CTE ``{out}`` = ``src`` plus ``score``: cosine distance of the hashed
+    vectors of the cleaned texts ``a`` and ``b`` (null when either has no
+    token), rounded like the Spark side. Vectors are built in stages so no
+    lambda re-expands another."""
+    def toks(x):
+        return f"CASE WHEN {x} = '' THEN []::VARCHAR[] ELSE string_split({x}, ' ') END"
+    return f"""{out}_1 AS (SELECT *, {clean(a)} AS _ca, {clean(b)} AS _cb FROM {src}),
+{out}_2 AS (SELECT *, list_transform({toks('_ca')}, lambda w: {bucket('w', dim)}) AS _ba,
+                      list_transform({toks('_cb')}, lambda w: {bucket('w', dim)}) AS _bb FROM {out}_1),
+{out}_3 AS (SELECT *, list_transform(range({dim}), lambda bb: len(list_filter(_ba, lambda y: y = bb))) AS _na,
+                      list_transform(range({dim}), lambda bb: len(list_filter(_bb, lambda y: y = bb))) AS _nb FROM {out}_2),
+{out}_4 AS (SELECT *, sqrt(list_sum(list_transform(_na, lambda z: z * z))) AS _sa,
+                      sqrt(list_sum(list_transform(_nb, lambda z: z * z))) AS _sb FROM {out}_3),
+{out}_5 AS (SELECT *, list_transform(_na, lambda c: (c / _sa)::FLOAT)::DOUBLE[] AS _va,
+                      list_transform(_nb, lambda c: (c / _sb)::FLOAT)::DOUBLE[] AS _vb FROM {out}_4),
+{out} AS (SELECT * EXCLUDE (_ca, _cb, _ba, _bb, _na, _nb, _sa, _sb, _va, _vb),
+    round(1 - list_dot_product(_va, _vb) / (sqrt(list_dot_product(_va, _va)) * sqrt(list_dot_product(_vb, _vb))), 6) + 0.0 AS score
+    FROM {out}_5)"""
+
+
+QA = """qa AS (SELECT conv_id, turn, question, reference, conv_id || ':' || turn AS qid FROM (
+    SELECT conv_id, turn, role, text AS question, lead(role) OVER w AS nrole, lead(text) OVER w AS reference
+    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user' AND nrole = 'assistant'),
+qaq AS (SELECT qid, """ + clean("question") + """ AS question FROM qa)"""
+
+
+def _grid_sql(dims=(64, 128, 256), ks=(2, 3, 4)) -> str:
+    parts, ctes = [], []
+    kmax = max(ks)
+    kvals = ", ".join(f"({k})" for k in ks)
+    for d in dims:
+        ctes.append(knn_ctes(f"g{d}", "qaq", "qid", "question", d, kmax))
+        ctes.append(f"""g{d}k AS (SELECT t.*, kk.k FROM g{d}top t, (VALUES {kvals}) kk(k) WHERE t.rank <= kk.k)""")
+        ctes.append(ctx_cte(f"g{d}c", f"g{d}k", "qid, k"))
+        sel = []
+        for llm, ans in (("extractive/top1", first_words("top1")), ("extractive/lead", first_words("context"))):
+            sel.append(f"""SELECT qa.conv_id, qa.turn, qa.qid, qa.question, '{llm}' AS llm, 'hash{d}' AS transformer,
+                c.k::BIGINT AS k, {ans} AS response, qa.reference FROM g{d}c c JOIN qa USING (qid)""")
+        ctes.append(f"g{d}r AS (" + " UNION ALL ".join(sel) + ")")
+        ctes.append(score_ctes(f"g{d}r", "response", "reference", d, f"g{d}s"))
+        parts.append(f"SELECT * FROM g{d}s")
+    return (f"WITH RECURSIVE {dense_chunks_cte()}, {QA}, " + ",\n".join(ctes) +
+            ",\ngr AS (" + "\nUNION ALL\n".join(parts) + ")")
+
+
+def grid_with_scores() -> str:
+    return _grid_sql()
+
+
+def relabel(x: str) -> str:
+    from sifter.plans.rag import RELABEL_RULES
+    for pat, rep in RELABEL_RULES:
+        x = f"regexp_replace({x}, '{pat}', '{rep}', 'g')"
+    return x
+
+
+_BQ = f"WITH RECURSIVE {dense_chunks_cte()}, {QUESTIONS}, {knn_ctes('b', 'qs', 'item_id', 'question', 64, 2)}, {ctx_cte('bc', 'btop')}"
+_BQ3 = f"WITH RECURSIVE {dense_chunks_cte()}, {QUESTIONS}, {knn_ctes('b', 'qs', 'item_id', 'question', 64, 3)}, {ctx_cte('bc', 'btop')}"
+_GRID_MEANS = grid_with_scores() + """, gm AS (SELECT llm, transformer, k, round(avg(score), 6) AS mean_score FROM gr GROUP BY ALL)"""
+
+SQL.update({
+    "context_assembly": _BQ + " SELECT qid AS item_id, context, n_sources FROM bc",
+    "prompt_fill": _BQ + f" SELECT qs.item_id, {prompt_sql('bc.context', 'qs.question')} AS prompt FROM qs JOIN bc ON bc.qid = qs.item_id",
+    "generate_answers": _BQ + f" SELECT qid AS item_id, {first_words('top1')} AS answer FROM bc",
+    "rag_batch": _BQ + f""" SELECT qs.item_id, {n_words(prompt_sql('bc.context', 'qs.question'))} AS prompt_tokens,
+        {first_words('bc.context')} AS answer FROM qs JOIN bc ON bc.qid = qs.item_id""",
+    "rag_with_sources": _BQ3 + f""" SELECT t.qid AS item_id, t.rank AS source_rank, t.chunk_id, t.doc_id,
+        {n_words(first_words('bc.top1'))} AS answer_words FROM btop t JOIN bc USING (qid)""",
+    "split_failures": _BQ + f""", pr AS (SELECT qs.item_id, {n_words(prompt_sql('bc.context', 'qs.question'))} AS pt,
+        {n_words(first_words('bc.context'))} AS aw FROM qs JOIN bc ON bc.qid = qs.item_id)
+        SELECT item_id, CASE WHEN pt <= 220 THEN 'ok' ELSE 'failed' END AS status, CASE WHEN pt <= 220 THEN aw ELSE pt END AS n FROM pr""",
+    "chat_history_window": """SELECT conv_id, turn, count(*) OVER w AS n_prev, coalesce(sum(length(text)) OVER w, 0)::BIGINT AS prev_chars,
+        lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role FROM conversations
+        WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+    "score_answers": f"WITH {QA}, {score_ctes('qa', 'question', 'reference', 64, 'sq')} SELECT conv_id, turn, score FROM sq",
+    "evaluate_qa": f"""WITH RECURSIVE {dense_chunks_cte()}, {QA}, {knn_ctes('e', 'qaq', 'qid', 'question', 64, 2)}, {ctx_cte('ec', 'etop')},
+        ea AS (SELECT qa.conv_id, qa.turn, qa.reference, {first_words('ec.context')} AS answer FROM qa JOIN ec USING (qid)),
+        {score_ctes('ea', 'answer', 'reference', 64, 'es')}
+        SELECT conv_id, turn, answer, score FROM es""",
+    "benchmark_grid": grid_with_scores() + " SELECT conv_id, turn, llm, transformer, k, response, score FROM gr",
+    "benchmark_counts": grid_with_scores() + """ SELECT llm, transformer, k, count(*) AS attempts, count(*) AS ok,
+        0::BIGINT AS failed FROM gr GROUP BY ALL""",
+    "mean_score_by_config": _GRID_MEANS + " SELECT * FROM gm",
+    "sorted_means": _GRID_MEANS + " SELECT * FROM gm ORDER BY mean_score, llm, transformer, k",
+    "relabel_all_strings": grid_with_scores() + f""" SELECT {relabel('qid')} AS qid, {relabel('llm')} AS llm,
+        {relabel('transformer')} AS transformer, k, score FROM gr""",
+    "exclude_label": grid_with_scores() + f""", rl AS (SELECT {relabel('qid')} AS qid, {relabel('llm')} AS llm,
+        {relabel('transformer')} AS transformer, k, score FROM gr) SELECT * FROM rl WHERE llm IS DISTINCT FROM 'lead'""",
+    "config_report": grid_with_scores() + f""", rl AS (SELECT {relabel('llm')} AS llm, {relabel('transformer')} AS transformer, k, score FROM gr),
+        gm AS (SELECT llm, transformer, k, round(avg(score), 6) AS mean_score FROM rl GROUP BY ALL)
+        SELECT llm, transformer, k, printf('model %s and embedding %s and (k=%d) average score : %.6f', llm, transformer, k, mean_score) AS report FROM gm""",
+    "limit_questions": f"SELECT item_id, {clean('text')} AS question FROM benchmark ORDER BY item_id LIMIT 100",
+})

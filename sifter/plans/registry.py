@@ -10,9 +10,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
-    from sifter.plans import pages, retrieval
+    from sifter.plans import pages, rag, retrieval
     out: dict[str, Query] = {}
-    for mod in (retrieval, pages):
+    for mod in (retrieval, pages, rag):
         out.update(mod.QUERIES)
     return out
 
