@@ -114,7 +114,7 @@ def hashed_vectors(src: str, id_cols: str, text_col: str, dim: int = 64) -> str:
 QUESTIONS = f"qs AS (SELECT item_id, {clean('text')} AS question FROM benchmark)"
 
 
-def _knn_chunks(k: int, select: str, where: str = "TRUE", extra_cols: str = "") -> str:
+def _knn_chunks(k: int, select: str, where: str = "TRUE", extra_cols: str = "", tie: str = "chunk_id") -> str:
     return f"""WITH RECURSIVE {dense_chunks_cte()}, {QUESTIONS},
 qv AS ({hashed_vectors('qs', 'item_id', 'question')}),
 cv AS ({hashed_vectors(f'(SELECT * FROM dchunks WHERE {where})', 'chunk_id, doc_id, chunk_pos, source', 'chunk_text')}),
@@ -122,7 +122,7 @@ pairs AS (
   SELECT q.item_id, c.chunk_id, c.doc_id, c.chunk_pos, c.source{extra_cols},
          round(1 - list_dot_product(q.v, c.v) / (q.nrm * c.nrm), 6) + 0.0 AS distance
   FROM qv q, cv c WHERE q.nrm > 0 AND c.nrm > 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY distance, chunk_id) AS rank FROM pairs)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY distance, {tie}) AS rank FROM pairs)
 SELECT {select} FROM ranked WHERE rank <= {k}"""
 
 
@@ -412,3 +412,57 @@ SQL.update({
         SELECT llm, transformer, k, printf('model %s and embedding %s and (k=%d) average score : %.6f', llm, transformer, k, mean_score) AS report FROM gm""",
     "limit_questions": f"SELECT item_id, {clean('text')} AS question FROM benchmark ORDER BY item_id LIMIT 100",
 })
+
+
+# ---------------------------------------------------------------- sources and collections
+
+def page_text(x: str) -> str:
+    """Whole-page text: script/style blocks and tags dropped, entities
+    unescaped, whitespace collapsed."""
+    y = f"regexp_replace({x}, '(?s)<script[^>]*>.*?</script>', ' ', 'g')"
+    y = f"regexp_replace({y}, '(?s)<style[^>]*>.*?</style>', ' ', 'g')"
+    y = f"regexp_replace({y}, '(?s)<!--.*?-->', ' ', 'g')"
+    return html_text(y)
+
+
+def _lines_of(src: str) -> str:
+    return (f"SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS L "
+            f"FROM ({src}) WHERE text IS NOT NULL")
+
+
+_CORPUS = f"""SELECT 'txt:' || doc_id AS doc_id, text FROM documents
+  UNION ALL SELECT 'html:' || page_id, {html_text("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")} FROM pages
+    WHERE regexp_matches(html, '<article[ >]')
+  UNION ALL SELECT 'csv:' || conv_id, string_agg(concat_ws(' ', role, text), chr(10) ORDER BY turn) FROM conversations GROUP BY conv_id"""
+
+_GRID_CELLS = grid_with_scores() + """, gm AS (SELECT llm, transformer, k, count(*) AS rows, round(avg(score), 6) AS mean_score
+    FROM gr GROUP BY ALL)"""
+
+SQL.update({
+    "scan_csv": "SELECT doc_id AS id, source AS link, text AS content FROM documents",
+    "scan_csv_with_index": "SELECT row_number() OVER (ORDER BY item_id) - 1 AS _index, item_id, text FROM benchmark",
+    "scan_csv_skip_bad": """WITH l AS (SELECT doc_id, lang, regexp_replace(regexp_replace(split_part(text, chr(10), 1),
+            '["\r]', '', 'g'), ',+$', '') AS line FROM documents)
+        SELECT doc_id, lang, nullif(line, '') AS line FROM l WHERE NOT contains(line, ',')""",
+    "link_lines_roundtrip": f"WITH {NAV} SELECT {resolve('url', 'href')} AS link, count(*) AS n FROM nl GROUP BY ALL",
+    "benchmark_sink": _GRID_CELLS + " SELECT * FROM gm",
+    "union_result_files": grid_with_scores() + " SELECT k, count(*) AS rows, round(avg(score), 6) AS mean_score FROM gr GROUP BY k",
+    "scan_by_kind": f"SELECT page_id, 'html' AS kind, length({page_text('html')})::BIGINT AS n_chars, NULL::VARCHAR AS error FROM pages",
+    "binary_pages": """SELECT page_id, (len(string_split(html, '<p>')) - 1)::BIGINT AS n_pages FROM pages
+        WHERE len(string_split(html, '<p>')) > 1""",
+    "rows_to_documents": """SELECT conv_id, length(string_agg(concat_ws(' ', turn::VARCHAR, role, text), chr(10) ORDER BY turn))::BIGINT AS n_chars,
+        count(*) AS n_rows FROM conversations GROUP BY conv_id""",
+    "text_to_documents": f"""WITH RECURSIVE {pack_cte(_lines_pieces(), 1000, 200, 'chr(10)', 1)}
+        SELECT doc_id, chunk_pos, 'local' AS source, length(chunk_text)::BIGINT AS n_chars FROM packed""",
+    "corpus_union": f"""WITH RECURSIVE {pack_cte(_lines_of(_CORPUS), 1000, 200, 'chr(10)', 1)}
+        SELECT split_part(doc_id, ':', 1) AS kind, split_part(doc_id, ':', 2)::BIGINT AS key, chunk_pos,
+               length(chunk_text)::BIGINT AS n_chars FROM packed""",
+    "collection_add": f"""WITH RECURSIVE {dense_chunks_cte()}
+        SELECT chunk_id, source AS link, length(chunk_text)::BIGINT AS n_chars FROM dchunks""",
+    "collection_roundtrip": _knn_chunks(3, "item_id, rank, chunk_id, distance", "contains(source, 'src1')",
+                                        tie="chunk_id::VARCHAR"),
+    "chunk_link_join": f"WITH RECURSIVE {dense_chunks_cte()} SELECT chunk_id, doc_id, source AS link FROM dchunks",
+    "metadata_scalars": """SELECT doc_id, 'source' AS key, source AS value FROM documents
+        UNION ALL SELECT doc_id, 'lang', lang FROM documents
+        UNION ALL SELECT doc_id, 'n_chars', n_chars::VARCHAR FROM documents""",
+})

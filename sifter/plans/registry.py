@@ -10,9 +10,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
-    from sifter.plans import pages, rag, retrieval
+    from sifter.plans import pages, rag, retrieval, sources
     out: dict[str, Query] = {}
-    for mod in (retrieval, pages, rag):
+    for mod in (retrieval, pages, rag, sources):
         out.update(mod.QUERIES)
     return out
 
