@@ -36,7 +36,8 @@ def _counts_udf(dim: int):
     def counts(ids: pd.Series) -> pd.Series:
         return ids.map(lambda a: None if a is None else
                        np.bincount(np.asarray(a, dtype=np.int64), minlength=dim).astype(np.int32))
-    return counts
+    # flagged so the optimizer never duplicates the call into a pushed-down filter
+    return counts.asNondeterministic()
 
 
 @lru_cache(maxsize=None)
@@ -49,7 +50,7 @@ def _tf_udf(dim: int):
             c = np.bincount(np.asarray(a, dtype=np.int64), minlength=dim).astype(np.float64)
             return (c / np.sqrt(np.dot(c, c))).astype(np.float32)
         return ids.map(one)
-    return tf
+    return tf.asNondeterministic()
 
 
 def bucket_counts(text, dim: int) -> Column:

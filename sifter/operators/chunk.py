@@ -112,7 +112,8 @@ def _as_pandas_udf(fn: Callable[[str], list[str]]):
     @F.pandas_udf(ArrayType(StringType()))
     def _udf(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else fn(t))
-    return _udf
+    # flagged so the optimizer never duplicates the call into a pushed-down filter
+    return _udf.asNondeterministic()
 
 
 def recursive_chunker(size: int = 500, overlap: int = 80,

@@ -36,19 +36,34 @@ DEFAULT_MAX_BROADCAST = 64 << 20
 _SCORE_CELLS = 4_000_000  # doubles per scoring block inside a task
 
 
-def _matrix(values) -> np.ndarray:
-    return np.asarray([np.asarray(v, dtype=np.float64) for v in values], dtype=np.float64)
-
-
-def _prepare(M: np.ndarray, metric: str):
-    """Returns (matrix to multiply, squared norms, valid-row mask)."""
+def _matrix(values, dim: int | None = None) -> np.ndarray:
+    """Rows of a vector column as a float64 matrix; null rows become zero
+    vectors, which every metric treats as invalid (see ``_prepare``)."""
+    vals = list(values)
+    if dim is None:
+        dim = next((len(v) for v in vals if v is not None), 0)
+    out = np.zeros((len(vals), dim), dtype=np.float64)
+    for i, v in enumerate(vals):
+        if v is not None:
+            out[i] = np.asarray(v, dtype=np.float64)
+    return out
+
+
+def _non_null(values) -> np.ndarray:
+    return np.fromiter((v is not None for v in values), dtype=bool, count=len(values))
+
+
+def _prepare(M: np.ndarray, metric: str, present: np.ndarray | None = None):
+    """Returns (matrix to multiply, squared norms, valid-row mask). Null
+    rows are invalid; for cosine, zero vectors are invalid too."""
     sq = np.einsum("ij,ij->i", M, M) if len(M) else np.zeros(0)
+    valid = np.ones(len(M), dtype=bool) if present is None else present.copy()
     if metric == "cosine":
-        valid = sq > 0
+        valid &= sq > 0
         out = np.zeros_like(M)
         out[valid] = M[valid] / np.sqrt(sq[valid])[:, None]
         return out, sq, valid
-    return M, sq, np.ones(len(M), dtype=bool)
+    return M, sq, valid
 
 
 def _local_topk(C: np.ndarray, c_sq: np.ndarray, Q: np.ndarray, q_sq: np.ndarray, k: int,
@@ -105,11 +120,13 @@ def knn(questions: DataFrame, corpus: DataFrame, k: int, *, q_id: str = "qid", c
     if metric not in ("cosine", "l2"):
         raise ValueError(f"unknown metric {metric!r}")
     carry = [c for c in carry if c != c_id]
-    qs = questions.select(q_id, q_vec).where(F.col(q_vec).isNotNull())
-    cs = corpus.select(c_id, c_vec, *carry).where(F.col(c_vec).isNotNull())
+    # null vectors are skipped inside the scorer: a filter here would be pushed
+    # below an exchange and re-run the encoder that produced the vectors
+    qs = questions.select(q_id, q_vec)
+    cs = corpus.select(c_id, c_vec, *carry)
 
     if plan == "auto":
-        st = qs.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(q_vec)).alias("dim")).first()
+        st = qs.agg(F.count(q_vec).alias("n"), F.max(F.size(q_vec)).alias("dim")).first()
         n, dim = int(st["n"]), int(st["dim"] or 0)
         plan = "broadcast" if n * dim * 8 <= max_broadcast_bytes else "tiled"
     if plan == "broadcast":
@@ -129,7 +146,8 @@ def knn(questions: DataFrame, corpus: DataFrame, k: int, *, q_id: str = "qid", c
 def _broadcast_candidates(qs, cs, k, q_id, c_id, q_vec, c_vec, metric, carry, round_digits):
     spark = qs.sparkSession
     qpdf = qs.toPandas()  # size checked by the caller
-    Q, q_sq, valid = _prepare(_matrix(qpdf[q_vec]), metric) if len(qpdf) else (np.zeros((0, 0)), np.zeros(0), np.zeros(0, bool))
+    Q, q_sq, valid = (_prepare(_matrix(qpdf[q_vec]), metric, _non_null(qpdf[q_vec])) if len(qpdf)
+                      else (np.zeros((0, 0)), np.zeros(0), np.zeros(0, bool)))
     payload = {"ids": qpdf[q_id].to_numpy()[valid], "Q": Q[valid], "q_sq": q_sq[valid]}
     bc = spark.sparkContext.broadcast(payload)
     schema = _candidate_schema(qs.schema[q_id], cs, c_id, carry)
@@ -139,7 +157,7 @@ def _broadcast_candidates(qs, cs, k, q_id, c_id, q_vec, c_vec, metric, carry, ro
         for pdf in batches:
             if pdf.empty or len(p["ids"]) == 0:
                 continue
-            C, c_sq, ok = _prepare(_matrix(pdf[c_vec]), metric)
+            C, c_sq, ok = _prepare(_matrix(pdf[c_vec], p["Q"].shape[1]), metric, _non_null(pdf[c_vec]))
             if not ok.all():
                 pdf, C, c_sq = pdf[ok], C[ok], c_sq[ok]
             r, c, d = _local_topk(C, c_sq, p["Q"], p["q_sq"], k, metric, round_digits)
@@ -168,8 +186,8 @@ def _tiled_candidates(qs, cs, k, q_id, c_id, q_vec, c_vec, metric, carry, round_
     def tile(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
         if qpdf.empty or cpdf.empty:
             return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        Q, q_sq, qok = _prepare(_matrix(qpdf[q_vec]), metric)
-        C, c_sq, cok = _prepare(_matrix(cpdf[c_vec]), metric)
+        Q, q_sq, qok = _prepare(_matrix(qpdf[q_vec]), metric, _non_null(qpdf[q_vec]))
+        C, c_sq, cok = _prepare(_matrix(cpdf[c_vec], Q.shape[1]), metric, _non_null(cpdf[c_vec]))
         qpdf, Q, q_sq = qpdf[qok], Q[qok], q_sq[qok]
         cpdf, C, c_sq = cpdf[cok], C[cok], c_sq[cok]
         r, c, d = _local_topk(C, c_sq, Q, q_sq, k, metric, round_digits)

@@ -10,10 +10,17 @@ from sifter.functions.text import clean_text
 from sifter.operators.chunk import recursive_chunker, split_documents
 from sifter.operators.embed import embed
 from sifter.operators.ids import dense_chunk_ids
+from sifter.session import ensure_parallelism
+
+
+# Tables whose rows carry long texts: their per-row work (parsing, chunking,
+# hashing) dominates, so they must be spread over all task slots.
+TEXT_TABLES = ("documents", "pages", "conversations")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if name in TEXT_TABLES else df
 
 
 def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

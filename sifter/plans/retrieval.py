@@ -84,8 +84,9 @@ def q_embed_hashed_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = cleaned_documents(spark, sf_dir).withColumn("_c", bucket_counts(F.col("content"), 64))
     sq = F.aggregate("_c", F.lit(0).cast("bigint"), lambda a, c: a + c.cast("bigint") * c)
     docs = docs.select("doc_id", "_c", F.sqrt(sq.cast("double")).alias("_n"))
-    return (docs.where(F.col("_n") > 0)
-                .select("doc_id", "_n", F.posexplode("_c").alias("bucket", "cnt"))
+    # no filter on _n: a text without tokens has no positive count anyway, and
+    # a predicate on a Python result would be pushed below the exchange
+    return (docs.select("doc_id", "_n", F.posexplode("_c").alias("bucket", "cnt"))
                 .where(F.col("cnt") > 0)
                 .select("doc_id", F.col("bucket").cast("long").alias("bucket"),
                         F.col("cnt").cast("long").alias("cnt"),
