@@ -33,14 +33,14 @@ CLEAN_DOCS = f"""docs AS (
   SELECT doc_id, source, lang, {clean('text')} AS content FROM documents WHERE text IS NOT NULL)"""
 
 
-def recursive_chunks_cte(size: int = 500, overlap: int = 80) -> str:
+def recursive_chunks_cte(size: int = 500, overlap: int = 80, docs: str = CLEAN_DOCS) -> str:
     """CTEs ``docs`` .. ``rchunks(doc_id, source, lang, chunk_pos, chunk_text)``
     for the recursive chunker over cleaned text (valid while the longest word
     plus the overlap fits in ``size``). Offsets ``p_j`` are the cumulative
     piece lengths; for a start ``s`` the chunk ends at the last offset within
     ``size`` and the next start is the first offset at most ``overlap``
     behind that end (two ASOF joins); the recursion only follows pointers."""
-    return f"""{CLEAN_DOCS},
+    return f"""{docs},
 wl AS (SELECT doc_id, string_split(content, ' ') AS ws FROM docs WHERE content <> ''),
 wu AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM wl),
 offs AS (
@@ -466,3 +466,17 @@ SQL.update({
         UNION ALL SELECT doc_id, 'lang', lang FROM documents
         UNION ALL SELECT doc_id, 'n_chars', n_chars::VARCHAR FROM documents""",
 })
+
+
+# ---------------------------------------------------------------- streams
+
+_PAGE_DOCS = f"""docs AS (SELECT page_id AS doc_id, url AS source, NULL AS lang,
+    {clean(html_text("regexp_extract(html, '(?s)<article>(.*)</article>', 1)"))} AS content
+    FROM pages WHERE regexp_matches(html, '<article[ >]'))"""
+
+SQL.update({
+    "chat_stream": SQL["chat_history_window"],
+    "link_dedup_stream": f"WITH {NAV} SELECT DISTINCT href FROM nl",
+    "ingest_stream": f"""WITH RECURSIVE {recursive_chunks_cte(500, 80, _PAGE_DOCS)}
+        SELECT doc_id AS page_id, chunk_pos, length(chunk_text)::BIGINT AS n_chars FROM rchunks""",
+})

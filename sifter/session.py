@@ -33,6 +33,7 @@ def get_spark(master: str | None = None, app: str = "sifter", **conf) -> SparkSe
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -69,8 +70,34 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     (a single-row-group parquet file), where one task would do all the work.
     Planning the partition count runs no job.
     """
+    if df.isStreaming:  # micro-batches are planned per trigger
+        return df
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sifter`` importable on every executor's Python workers (once
+    per SparkContext): the package is zipped on the driver and added with
+    ``addPyFile``, which distributes it through Spark itself."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="sifter-pyfiles-"), "sifter.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
