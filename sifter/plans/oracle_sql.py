@@ -480,3 +480,25 @@ SQL.update({
     "ingest_stream": f"""WITH RECURSIVE {recursive_chunks_cte(500, 80, _PAGE_DOCS)}
         SELECT doc_id AS page_id, chunk_pos, length(chunk_text)::BIGINT AS n_chars FROM rchunks""",
 })
+
+
+# ---------------------------------------------------------------- scalar functions
+
+def _words_sql(x: str) -> str:
+    return f"(CASE WHEN {clean_ws(x)} = '' THEN []::VARCHAR[] ELSE string_split({clean_ws(x)}, ' ') END)"
+
+
+SQL.update({
+    "scalar_strings": f"""SELECT doc_id, lower(substring(text, 1, 30)) AS lower_head,
+        len({_words_sql('text')})::BIGINT AS n_words, {_words_sql('text')}[1] AS first_word,
+        length(trim(text))::BIGINT AS trimmed_len, length(replace(text, chr(10), ''))::BIGINT AS no_newline_len,
+        length(regexp_replace(text, '[0-9]', '', 'g'))::BIGINT AS no_digit_len,
+        contains(lower(text), 'the') AS has_the, instr(text, 'e')::BIGINT AS first_e,
+        coalesce(regexp_matches({_words_sql('text')}[1], '^[0-9]+$'), false) AS starts_with_number,
+        doc_id::VARCHAR AS id_str, lang || '-' || doc_id AS label, length(text)::BIGINT AS n_chars FROM documents""",
+    "scalar_misc": """SELECT vec_id, (label + 1)::BIGINT AS seq_len, least(label, 3)::BIGINT AS least3,
+        label::BIGINT AS nested_label, label::BIGINT AS map_label, CASE WHEN label > 5 THEN 'hi' ELSE 'lo' END AS band,
+        round(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]), 6) AS sq_norm FROM embeddings""",
+    "url_hosts": """SELECT page_id, nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)', 1), '') AS host,
+        ends_with(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)', 1), '.example.com') AS in_site FROM pages""",
+})

@@ -21,9 +21,9 @@ def _shipped(fn: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    from sifter.plans import pages, rag, retrieval, sources, streams
+    from sifter.plans import misc, pages, rag, retrieval, sources, streams
     out: dict[str, Query] = {}
-    for mod in (retrieval, pages, rag, sources, streams):
+    for mod in (retrieval, pages, rag, sources, streams, misc):
         out.update({k: _shipped(v) for k, v in mod.QUERIES.items()})
     return out
 
