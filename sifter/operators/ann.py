@@ -51,7 +51,8 @@ def ann_knn(questions: DataFrame, corpus: DataFrame, k: int, *, q_id: str = "qid
 
     from sifter.functions.vectors import l2_normalize
     unit = l2_normalize(c_vec) if metric == "cosine" else F.col(c_vec)
-    train = cs.select(array_to_vector(unit).alias("features")).where(F.col("features").isNotNull())
+    train = (cs.select(unit.alias("_u")).where(F.col("_u").isNotNull())
+               .select(array_to_vector("_u").alias("features")))
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter, featuresCol="features").fit(train)
     centers = np.asarray(model.clusterCenters(), dtype=np.float64)  # nlist x dim
     if metric == "cosine":
