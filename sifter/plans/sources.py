@@ -46,9 +46,10 @@ def q_scan_csv_skip_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     first = F.regexp_replace(F.substring_index("text", "\n", 1), "[\"\r]", "")
     first = F.regexp_replace(first, ",+$", "")
-    lines = docs.select(F.concat_ws(",", F.col("doc_id").cast("string"), "lang", first).alias("v"))
-    header = spark.range(1).select(F.lit("doc_id,lang,line").alias("v"))
-    header.unionByName(lines).coalesce(1).write.text(path)
+    lines = docs.select(F.lit(1).alias("_o"), F.concat_ws(",", F.col("doc_id").cast("string"), "lang", first).alias("v"))
+    header = spark.range(1).select(F.lit(0).alias("_o"), F.lit("doc_id,lang,line").alias("v"))
+    # one file, header line first
+    header.unionByName(lines).repartition(1).sortWithinPartitions("_o").select("v").write.text(path)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()),
                            T.StructField("line", T.StringType())])
     return read_csv_skip_bad(spark, path, schema)
