@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from sifter.functions.metadata import scalar_metadata
 from sifter.sources import collection as coll
 from sifter.sources.files import (parse_files, read_csv, read_csv_skip_bad, read_lines, rows_to_documents,
-                                  scan_by_kind, write_lines)
+                                  scan_by_kind, scan_tree, write_lines)
 
 QA = 'question,reponse\n"q1","r1"\n"q2, long","r2","extra"\nq3\n"q4\nsecond line","r4"\n'
 
@@ -49,6 +49,8 @@ def test_parser_failure_is_a_row(spark):
 
     out = parse_files(scan_by_kind(spark, root, "txt"), {"txt": fragile}).collect()
     assert sorted(((r.text or ""), r.error is None) for r in out) == [("", False), ("hello", True)]
+    tree = parse_files(scan_tree(spark, root)).collect()  # whole tree, kind from the extension
+    assert sorted(r.text for r in tree) == ["hello", "world"]
 
 
 def test_rows_to_documents_order(spark):
