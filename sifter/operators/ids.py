@@ -65,3 +65,15 @@ def dense_chunk_ids(docs: DataFrame, chunks_col: str, order_col: str, id_col: st
     if as_string:
         out = out.withColumn(id_col, F.col(id_col).cast("string"))
     return out
+
+
+def chunk_offsets(docs: DataFrame, chunks_col: str, order_col: str) -> tuple[DataFrame, DataFrame]:
+    """For documents holding chunk arrays: (the documents, cut from their
+    lineage once; a slim ``(order_col, offset)`` frame). The dense id of
+    chunk ``p`` of a document is ``offset + p`` — attach it only to the rows
+    that need it (e.g. a top-k result) instead of windowing every chunk."""
+    checkpoint_dir(docs.sparkSession)
+    cut = docs.checkpoint(eager=True)
+    slim = cut.select(order_col, F.size(chunks_col).alias("_n"))
+    offs = running_offsets(slim, order_col, "_n", cut_lineage=False).select(order_col, "offset")
+    return cut, offs

@@ -37,11 +37,14 @@ _SLOT = re.compile(r"\{([A-Za-z_][A-Za-z0-9_]*)\}")
 
 def assemble_context(hits: DataFrame, q_id: str, text_col: str = "chunk_text", rank_col: str = "rank",
                      sep: str = "\n\n", out_col: str = "context", extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    """(q_id, *extra_keys, context, n_sources)."""
+    """(q_id, *extra_keys, context, sources, n_sources) in one aggregation:
+    ``sources`` is the array of source texts in rank order."""
     ordered = F.array_sort(F.collect_list(F.struct(F.col(rank_col).alias("r"), F.col(text_col).alias("t"))))
     return (hits.groupBy(q_id, *extra_keys)
-                .agg(F.array_join(F.transform(ordered, lambda x: x["t"]), sep).alias(out_col),
-                     F.count(F.lit(1)).alias("n_sources")))
+                .agg(ordered.alias("_o"), F.count(F.lit(1)).alias("n_sources"))
+                .select(q_id, *extra_keys, "n_sources",
+                        F.transform("_o", lambda x: x["t"]).alias("sources"))
+                .withColumn(out_col, F.array_join("sources", sep)))
 
 
 def template_parts(template: str) -> list[tuple[str, str]]:

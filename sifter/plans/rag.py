@@ -14,7 +14,8 @@ from sifter.operators.evaluate import (config_report, exclude_label, mean_by_con
 from sifter.operators.knn import knn
 from sifter.operators.rag import (DEFAULT_TEMPLATE, assemble_context, fill_prompt, generate,
                                   qa_pairs, split_failures, with_history)
-from sifter.plans.common import dense_recursive_chunks, questions, table
+from sifter.plans.common import dense_recursive_chunks, keyed_recursive_chunks, questions, table
+from sifter.session import checkpoint_dir
 
 # Grid of the benchmark: retrieval depth x generator x encoder.
 GRID_K = (2, 3, 4)
@@ -43,12 +44,9 @@ def answered(spark: SparkSession, sf_dir: str, k: int = 2, generator: str = "ext
              options: dict | None = None) -> DataFrame:
     """Benchmark questions -> top-k -> context -> prompt -> answer."""
     qs = questions(spark, sf_dir).select("item_id", "question")
-    hits = retrieve(dense_recursive_chunks(spark, sf_dir), qs, k)
+    hits = retrieve(keyed_recursive_chunks(spark, sf_dir), qs, k)
     ctx = assemble_context(hits, "item_id")
-    srcs = hits.groupBy("item_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "chunk_text"))), lambda x: x["chunk_text"])
-        .alias("sources"))
-    rows = (qs.join(ctx, "item_id").join(srcs, "item_id")
+    rows = (qs.join(ctx, "item_id")
               .withColumn("prompt", fill_prompt(DEFAULT_TEMPLATE, context=F.col("context"),
                                                 question=F.col("question"))))
     return generate(rows, generator, options=options)
@@ -57,14 +55,14 @@ def answered(spark: SparkSession, sf_dir: str, k: int = 2, generator: str = "ext
 def q_context_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-2 chunk texts per question joined in rank order."""
     qs = questions(spark, sf_dir).select("item_id", "question")
-    hits = retrieve(dense_recursive_chunks(spark, sf_dir), qs, 2)
+    hits = retrieve(keyed_recursive_chunks(spark, sf_dir), qs, 2)
     return assemble_context(hits, "item_id").select("item_id", "context", "n_sources")
 
 
 def q_prompt_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: the prompt template filled with context and question."""
     qs = questions(spark, sf_dir).select("item_id", "question")
-    hits = retrieve(dense_recursive_chunks(spark, sf_dir), qs, 2)
+    hits = retrieve(keyed_recursive_chunks(spark, sf_dir), qs, 2)
     ctx = assemble_context(hits, "item_id")
     return qs.join(ctx, "item_id").select(
         "item_id", fill_prompt(DEFAULT_TEMPLATE, context=F.col("context"), question=F.col("question")).alias("prompt"))
@@ -139,11 +137,8 @@ def evaluated(spark: SparkSession, sf_dir: str, chunks: DataFrame, encoder: str,
     kk = F.explode(F.array(*[F.lit(k).cast("long") for k in ks])).alias("k")
     hk = hits.select("*", kk).where(F.col("rank") <= F.col("k"))
     ctx = assemble_context(hk, "qid", extra_keys=("k",))
-    srcs = hk.groupBy("qid", "k").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "chunk_text"))), lambda x: x["chunk_text"])
-        .alias("sources"))
     ll = F.explode(F.array(*[F.lit(x) for x in llms])).alias("llm")
-    rows = (qa.join(ctx, "qid").join(srcs, ["qid", "k"]).select("*", ll)
+    rows = (qa.join(ctx, "qid").select("*", ll)
               .withColumn("prompt", fill_prompt(DEFAULT_TEMPLATE, context=F.col("context"),
                                                 question=F.col("question"))))
     gen = generate(rows, "", llm_col="llm")
@@ -152,14 +147,16 @@ def evaluated(spark: SparkSession, sf_dir: str, chunks: DataFrame, encoder: str,
 
 def q_evaluate_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 + J2: answer the QA set (k = 2) and score against the reference."""
-    ev = evaluated(spark, sf_dir, dense_recursive_chunks(spark, sf_dir), "hash64")
+    ev = evaluated(spark, sf_dir, keyed_recursive_chunks(spark, sf_dir), "hash64")
     return ev.select("conv_id", "turn", "answer", "score")
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E2 + E3 + J3: every (k, llm, encoder) cell over the whole QA set.
     Chunks are cut once; each encoder embeds and ranks once to the largest k."""
-    chunks = dense_recursive_chunks(spark, sf_dir)
+    # chunked once, cut from lineage in the shared folder, read by every encoder branch
+    checkpoint_dir(spark)
+    chunks = keyed_recursive_chunks(spark, sf_dir).checkpoint(eager=True)
     parts = [evaluated(spark, sf_dir, chunks, enc, GRID_K, GRID_LLM) for enc in GRID_ENCODERS]
     g = reduce(DataFrame.unionByName, parts)
     return g.select("qid", "conv_id", "turn", "question", F.col("reference").alias("ref"),
