@@ -168,6 +168,7 @@ def split_documents(df: DataFrame, chunker: Callable[[Column], Column], text_col
     inherited by every chunk of the document. Null text yields no chunk."""
     keep = [c for c in (keep if keep is not None else df.columns) if c != text_col]
     arr = chunker(F.col(text_col))
-    return (df.where(F.col(text_col).isNotNull())
-              .select(*keep, F.posexplode(arr).alias(pos_col, out_col))
+    # no isNotNull filter: posexplode(null) yields no row, and a predicate on
+    # a derived text would be pushed below the exchange and computed twice
+    return (df.select(*keep, F.posexplode(arr).alias(pos_col, out_col))
               .withColumn(pos_col, F.col(pos_col).cast("long")))
