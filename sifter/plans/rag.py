@@ -130,9 +130,9 @@ def q_score_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluated(spark: SparkSession, sf_dir: str, chunks: DataFrame, encoder: str, ks=(2,),
-              llms=("extractive/lead",)) -> DataFrame:
+              llms=("extractive/lead",), qa: DataFrame | None = None) -> DataFrame:
     """QA questions answered for every (k, llm) with one ranking to max(k)."""
-    qa = qa_questions(spark, sf_dir)
+    qa = qa if qa is not None else qa_questions(spark, sf_dir)
     hits = retrieve(chunks, qa.select("qid", "question"), max(ks), q_id="qid", encoder=encoder)
     kk = F.explode(F.array(*[F.lit(k).cast("long") for k in ks])).alias("k")
     hk = hits.select("*", kk).where(F.col("rank") <= F.col("k"))
@@ -157,7 +157,8 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     # chunked once, cut from lineage in the shared folder, read by every encoder branch
     checkpoint_dir(spark)
     chunks = keyed_recursive_chunks(spark, sf_dir).checkpoint(eager=True)
-    parts = [evaluated(spark, sf_dir, chunks, enc, GRID_K, GRID_LLM) for enc in GRID_ENCODERS]
+    qa = qa_questions(spark, sf_dir).checkpoint(eager=True)
+    parts = [evaluated(spark, sf_dir, chunks, enc, GRID_K, GRID_LLM, qa) for enc in GRID_ENCODERS]
     g = reduce(DataFrame.unionByName, parts)
     return g.select("qid", "conv_id", "turn", "question", F.col("reference").alias("ref"),
                     F.col("answer").alias("response"), "score", "time", "error", "llm", "transformer", "k")
