@@ -435,8 +435,8 @@ _CORPUS = f"""SELECT 'txt:' || doc_id AS doc_id, text FROM documents
     WHERE regexp_matches(html, '<article[ >]')
   UNION ALL SELECT 'csv:' || conv_id, string_agg(concat_ws(' ', role, text), chr(10) ORDER BY turn) FROM conversations GROUP BY conv_id"""
 
-_GRID_CELLS = grid_with_scores() + """, gm AS (SELECT llm, transformer, k, count(*) AS rows, round(avg(score), 6) AS mean_score
-    FROM gr GROUP BY ALL)"""
+_GRID_CELLS = grid_with_scores() + """, gm AS (SELECT llm, transformer, k, count(*) AS rows, round(avg(score), 6) AS mean_score,
+    1::BIGINT AS files_ids FROM gr GROUP BY ALL)"""
 
 SQL.update({
     "scan_csv": "SELECT doc_id AS id, source AS link, text AS content FROM documents",

@@ -65,9 +65,14 @@ def q_link_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _result_files(spark: SparkSession, sf_dir: str) -> str:
     """Benchmark results written as one CSV set per grid cell."""
+    import uuid
+
     from sifter.plans.rag import grid
     path = scratch_path(spark, "bench")
-    g = grid(spark, sf_dir).select("question", "ref", "response", "score", "llm", "transformer", "k")
+    run_id = str(uuid.uuid4())  # one random id per run; cells get a derived id
+    cell_id = F.sha2(F.concat_ws("|", F.lit(run_id), "llm", "transformer", F.col("k").cast("string")), 256)
+    g = grid(spark, sf_dir).select("question", "ref", "response", "score", F.lit(run_id).alias("run_id"),
+                                   cell_id.alias("cell_id"), "llm", "transformer", "k")
     (g.write.partitionBy("llm", "transformer", "k").option("header", True).option("escape", '"')
       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
@@ -77,10 +82,11 @@ def q_benchmark_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per written cell, read back with partition discovery."""
     path = _result_files(spark, sf_dir)
     back = spark.read.option("header", True).option("multiLine", True).option("escape", '"') \
-                .schema("question string, ref string, response string, score double, "
-                        "llm string, transformer string, k long").csv(path)
+                .schema("question string, ref string, response string, score double, run_id string, "
+                        "cell_id string, llm string, transformer string, k long").csv(path)
     return back.groupBy("llm", "transformer", "k").agg(F.count(F.lit(1)).alias("rows"),
-                                                       F.round(F.avg("score"), 6).alias("mean_score"))
+                                                       F.round(F.avg("score"), 6).alias("mean_score"),
+                                                       F.count_distinct("run_id", "cell_id").alias("files_ids"))
 
 
 def q_union_result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
