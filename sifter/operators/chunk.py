@@ -35,19 +35,22 @@ SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 # Python core (runs inside Arrow batches on executors)
 # --------------------------------------------------------------------------
 
-def pack(pieces: Sequence[str], size: int, overlap: int, sep: str = "") -> list[str]:
-    seplen = len(sep)
+def pack(pieces: Sequence[str], size: int, overlap: int, sep: str = "",
+         length: Callable[[str], int] = len) -> list[str]:
+    """``length`` measures pieces and the separator (X3: characters by
+    default; a token counter makes ``size`` a token budget)."""
+    seplen = length(sep)
     out: list[str] = []
     cur: deque[str] = deque()
     total = 0
     for d in pieces:
-        ld = len(d)
+        ld = length(d)
         if cur and total + ld + seplen > size:
             text = sep.join(cur).strip()
             if text:
                 out.append(text)
             while cur and (total > overlap or total + ld + seplen > size):
-                total -= len(cur[0]) + (seplen if len(cur) > 1 else 0)
+                total -= length(cur[0]) + (seplen if len(cur) > 1 else 0)
                 cur.popleft()
         total += ld + (seplen if cur else 0)
         cur.append(d)
@@ -67,7 +70,8 @@ def _split_keep_head(text: str, sep: str) -> list[str]:
 
 
 def split_recursive(text: str, size: int = 500, overlap: int = 80,
-                    separators: Sequence[str] = RECURSIVE_SEPARATORS) -> list[str]:
+                    separators: Sequence[str] = RECURSIVE_SEPARATORS,
+                    length: Callable[[str], int] = len) -> list[str]:
     sep, rest = separators[-1], ()
     for i, s in enumerate(separators):
         if s == "":
@@ -79,24 +83,25 @@ def split_recursive(text: str, size: int = 500, overlap: int = 80,
     out: list[str] = []
     good: list[str] = []
     for p in _split_keep_head(text, sep):
-        if len(p) < size:
+        if length(p) < size:
             good.append(p)
             continue
         if good:
-            out.extend(pack(good, size, overlap, ""))
+            out.extend(pack(good, size, overlap, "", length))
             good = []
         if rest:
-            out.extend(split_recursive(p, size, overlap, rest))
+            out.extend(split_recursive(p, size, overlap, rest, length))
         else:
             out.append(p)
     if good:
-        out.extend(pack(good, size, overlap, ""))
+        out.extend(pack(good, size, overlap, "", length))
     return out
 
 
-def split_separator(text: str, size: int = 1000, overlap: int = 200, separator: str = "\n\n") -> list[str]:
+def split_separator(text: str, size: int = 1000, overlap: int = 200, separator: str = "\n\n",
+                    length: Callable[[str], int] = len) -> list[str]:
     pieces = [p for p in text.split(separator) if p] if separator else list(text)
-    return pack(pieces, size, overlap, separator)
+    return pack(pieces, size, overlap, separator, length)
 
 
 def split_sentences(text: str, size: int = 4000, overlap: int = 200, separator: str = "\n\n") -> list[str]:
@@ -116,14 +121,15 @@ def _as_pandas_udf(fn: Callable[[str], list[str]]):
     return _udf.asNondeterministic()
 
 
-def recursive_chunker(size: int = 500, overlap: int = 80,
-                      separators: Sequence[str] = RECURSIVE_SEPARATORS) -> Callable[[Column], Column]:
+def recursive_chunker(size: int = 500, overlap: int = 80, separators: Sequence[str] = RECURSIVE_SEPARATORS,
+                      length: Callable[[str], int] = len) -> Callable[[Column], Column]:
     seps = tuple(separators)
-    return _as_pandas_udf(lambda t: split_recursive(t, size, overlap, seps))
+    return _as_pandas_udf(lambda t: split_recursive(t, size, overlap, seps, length))
 
 
-def separator_chunker(size: int = 1000, overlap: int = 200, separator: str = "\n\n") -> Callable[[Column], Column]:
-    return _as_pandas_udf(lambda t: split_separator(t, size, overlap, separator))
+def separator_chunker(size: int = 1000, overlap: int = 200, separator: str = "\n\n",
+                      length: Callable[[str], int] = len) -> Callable[[Column], Column]:
+    return _as_pandas_udf(lambda t: split_separator(t, size, overlap, separator, length))
 
 
 def sentence_chunker(size: int = 4000, overlap: int = 200, separator: str = "\n\n") -> Callable[[Column], Column]:

@@ -105,13 +105,17 @@ def parse_html(html: str) -> Node:
 
 @dataclass(frozen=True)
 class Selector:
-    """``tag``, ``tag#id`` or ``tag.class`` (tag may be ``*``)."""
+    """``tag``, ``tag#id``, ``tag.class`` or ``tag[attr=value]`` (tag may be ``*``)."""
     tag: str = "*"
     id: str | None = None
     cls: str | None = None
+    attr: tuple[str, str] | None = None
 
     @staticmethod
     def parse(s: str) -> "Selector":
+        m = re.fullmatch(r"([\w*-]*)\[([\w:-]+)=\"?([^\]\"]*)\"?\]", s)
+        if m:
+            return Selector(m.group(1) or "*", attr=(m.group(2), m.group(3)))
         if "#" in s:
             t, i = s.split("#", 1)
             return Selector(t or "*", id=i)
@@ -127,6 +131,8 @@ class Selector:
             return False
         if self.cls is not None and self.cls not in n.classes():
             return False
+        if self.attr is not None and n.attrs.get(self.attr[0]) != self.attr[1]:
+            return False
         return True
 
 

@@ -26,6 +26,7 @@ def parsed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         links_of("nav_links", within="nav"),
         texts_of("div.ad", "ads"),
         attr_of("img", "src", "images", all_=True),
+        attr_of("meta[property=article:published_time]", "content", "published_raw"),
     ])
 
 
@@ -103,7 +104,8 @@ def q_article_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", "title", source.alias("source"),
                     F.length("content").cast("long").alias("text_len"),
                     F.size("images").cast("long").alias("n_images"),
-                    F.try_element_at("images", F.lit(1)).alias("top_image"))
+                    F.try_element_at("images", F.lit(1)).alias("top_image"),
+                    F.try_to_timestamp("published_raw").cast("timestamp_ntz").alias("published_date"))
 
 
 def q_article_per_author(spark: SparkSession, sf_dir: str) -> DataFrame:

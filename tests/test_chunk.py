@@ -78,3 +78,9 @@ def test_token_chunker_windows(spark):
     assert r == ["0 1 2 3", "3 4 5 6", "6 7 8 9"]
     r0 = df.select(token_chunker(5, 0)(F.col("t")).alias("c")).first().c
     assert r0 == ["0 1 2 3 4", "5 6 7 8 9"]
+
+
+def test_token_length_function():
+    n_words = lambda s: len(s.split())  # noqa: E731  (X3: size counted in words)
+    assert split_recursive("a b c d e f g h", 3, 1, length=n_words) == ["a b c", "c d e", "e f g", "g h"]
+    assert split_separator("p q\nr s t\nu", 3, 0, "\n", length=n_words) == ["p q", "r s t", "u"]

@@ -52,3 +52,12 @@ def test_resolve_link(spark):
     got = [r.l for r in df.select(resolve_link(F.col("b"), F.col("h")).alias("l")).collect()]
     assert got == ["https://h.org/r", "https://h.org/a/rel", "https://cdn.net/x", "https://h.org/a/b?q=2",
                    "https://h.org/a/b?x=1#top", "http://o.com/"]
+
+
+def test_attribute_selector_and_publish_date(spark):
+    from pyspark.sql import functions as F
+    html = '<head><meta property="article:published_time" content="2024-03-05 10:00:00"></head><p>x'
+    df = spark.createDataFrame([(1, html), (2, "<p>none")], "id long, html string")
+    out = extract(df, "html", [attr_of("meta[property=article:published_time]", "content", "raw")])
+    got = {r.id: r.d for r in out.select("id", F.try_to_timestamp("raw").cast("timestamp_ntz").alias("d")).collect()}
+    assert str(got[1]) == "2024-03-05 10:00:00" and got[2] is None
