@@ -96,3 +96,28 @@ def hashed_tf(text, dim: int = 64) -> Column:
     no tokens (a zero vector has no direction)."""
     c = F.col(text) if isinstance(text, str) else text
     return _tf_udf(dim)(c)
+
+
+@lru_cache(maxsize=None)
+def _distance_udf(dim: int, digits: int):
+    from pyspark.sql.types import DoubleType
+
+    @F.pandas_udf(DoubleType())
+    def dist(a: pd.Series, b: pd.Series) -> pd.Series:
+        def one(x, y):
+            va, vb = py_hashed_tf(x, dim), py_hashed_tf(y, dim)
+            if va is None or vb is None:
+                return None
+            va, vb = va.astype(np.float64), vb.astype(np.float64)
+            d = 1.0 - float(np.dot(va, vb)) / (np.sqrt(np.dot(va, va)) * np.sqrt(np.dot(vb, vb)))
+            return round(d, digits) + 0.0
+        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+    return dist.asNondeterministic()
+
+
+def hashed_cosine_distance(a, b, dim: int = 64, digits: int = 6) -> Column:
+    """Cosine distance of the hashed vectors of two texts in one pass (no
+    vector columns materialised); null when either text has no token."""
+    ca = F.col(a) if isinstance(a, str) else a
+    cb = F.col(b) if isinstance(b, str) else b
+    return _distance_udf(dim, digits)(ca, cb)

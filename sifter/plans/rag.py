@@ -122,7 +122,12 @@ def qa_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score(answer: DataFrame, encoder: str, a_col: str = "answer", r_col: str = "reference") -> DataFrame:
-    """V9: cosine distance between the encoded answer and reference."""
+    """V9: cosine distance between the encoded answer and reference. Hashed
+    encoders score in one pass; other encoders embed both columns."""
+    if encoder.startswith("hash"):
+        from sifter.functions.embedding import hashed_cosine_distance
+        return answer.withColumn("score", hashed_cosine_distance(clean_text(a_col), clean_text(r_col),
+                                                                 int(encoder[4:])))
     e = embed(embed(answer.withColumn("_a", clean_text(a_col)).withColumn("_r", clean_text(r_col)),
                     "_a", encoder, "_av"), "_r", encoder, "_rv")
     return e.withColumn("score", round_distance(cosine_distance("_av", "_rv"))).drop("_a", "_r", "_av", "_rv")
