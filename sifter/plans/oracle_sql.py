@@ -201,7 +201,6 @@ NAV = """nv AS (SELECT page_id, url, nullif(regexp_extract(html, '<html lang="([
         regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a href="([^"]*)"', 1) AS hrefs FROM pages),
 nl AS (SELECT page_id, url, lang, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS pos FROM nv)"""
 
-STOP_LIST = None  # filled below from the operator's fixed list
 
 
 def _stop_list() -> str:

@@ -13,7 +13,7 @@ from sifter.operators.embed import embed
 from sifter.operators.evaluate import (config_report, exclude_label, mean_by_config, relabel_all_strings)
 from sifter.operators.knn import knn
 from sifter.operators.rag import (DEFAULT_TEMPLATE, assemble_context, fill_prompt, generate,
-                                  qa_pairs, split_failures, with_history)
+                                  qa_pairs, split_failures)
 from sifter.plans.common import dense_recursive_chunks, keyed_recursive_chunks, questions, table
 from sifter.session import checkpoint_dir
 

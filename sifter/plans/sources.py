@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sifter.functions.text import clean_text
 from sifter.operators.chunk import separator_chunker, split_documents
 from sifter.operators.embed import embed
 from sifter.plans.common import dense_recursive_chunks, questions, table

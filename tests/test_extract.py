@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from sifter.operators.extract import (Field, attr_of, extract, links_of, parse_fields, resolve_link, text_of,
+from sifter.operators.extract import (attr_of, extract, links_of, parse_fields, resolve_link, text_of,
                                       texts_of)
 
 PAGE = """<html lang="fr"><head><title>T &amp; co</title><script>var x="</p><div id='contenu'>no</div>";</script>

@@ -1,5 +1,4 @@
 import numpy as np
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sifter.operators.ann import ann_knn, recall
