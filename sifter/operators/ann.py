@@ -1,7 +1,9 @@
 """Approximate nearest neighbours: an inverted file over k-means cells.
 
 1. ``pyspark.ml`` KMeans (distributed, iterative) learns ``nlist`` centroids
-   on the corpus vectors (unit-normalised for cosine).
+   on a bounded sample of the corpus vectors (``train_rows_per_cell`` rows
+   per cell, unit-normalised for cosine): one count and one sampled scan
+   instead of ``max_iter`` passes over the corpus.
 2. Every corpus row is assigned to its nearest centroid; every question to
    its ``nprobe`` nearest centroids (centroids are ``nlist`` rows: a bounded
    broadcast).
@@ -40,7 +42,8 @@ def _nearest_cells(M: np.ndarray, centers: np.ndarray, n: int) -> np.ndarray:
 def ann_knn(questions: DataFrame, corpus: DataFrame, k: int, *, q_id: str = "qid", c_id: str = "id",
             q_vec: str = "embedding", c_vec: str = "embedding", metric: str = "cosine",
             carry: Sequence[str] = (), nlist: int = 16, nprobe: int = 4, block_rows: int = 50_000,
-            seed: int = 7, round_digits: int | None = 6, max_iter: int = 20) -> DataFrame:
+            seed: int = 7, round_digits: int | None = 6, max_iter: int = 20,
+            train_rows_per_cell: int = 256) -> DataFrame:
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
@@ -51,9 +54,16 @@ def ann_knn(questions: DataFrame, corpus: DataFrame, k: int, *, q_id: str = "qid
 
     from sifter.functions.vectors import l2_normalize
     unit = l2_normalize(c_vec) if metric == "cosine" else F.col(c_vec)
-    train = (cs.select(unit.alias("_u")).where(F.col("_u").isNotNull())
-               .select(array_to_vector("_u").alias("features")))
-    model = KMeans(k=nlist, seed=seed, maxIter=max_iter, featuresCol="features").fit(train)
+    # k-means iterates over its input: train on a bounded sample (about
+    # train_rows_per_cell rows per cell), not on the whole corpus
+    n_rows = cs.count()
+    frac = min(1.0, nlist * train_rows_per_cell / max(n_rows, 1))
+    train = (cs.sample(False, frac, seed).select(unit.alias("_u")).where(F.col("_u").isNotNull())
+               .select(array_to_vector("_u").alias("features"))).persist()
+    try:
+        model = KMeans(k=nlist, seed=seed, maxIter=max_iter, featuresCol="features").fit(train)
+    finally:
+        train.unpersist()
     centers = np.asarray(model.clusterCenters(), dtype=np.float64)  # nlist x dim
     if metric == "cosine":
         centers = centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
