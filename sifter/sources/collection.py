@@ -1,10 +1,13 @@
 """Vector collections as Parquet tables in a shared folder.
 
-Layout: ``{root}/{name}/data`` holds rows (id, document, metadata, embedding);
+Layout: ``{root}/{name}/data`` holds rows (id, document, metadata, embedding)
+partitioned by ``_bucket = pmod(xxhash64(id), N_BUCKETS)``;
 ``{root}/{name}/meta`` holds one row (name, metric, encoder). ``add`` is
-insert-if-absent on ``id`` (a left-anti join against the ids already
-stored, then an append), so re-adding the same chunks is a no-op and a
-retried job cannot duplicate rows.
+insert-if-absent on ``id`` (a left-anti join on (bucket, id) against the
+stored ids, then an append), so re-adding the same chunks is a no-op and a
+retried job cannot duplicate rows. Joining on the bucket lets dynamic
+partition pruning read only the buckets a batch touches, instead of every
+stored id for every streaming micro-batch.
 """
 
 from __future__ import annotations
@@ -21,6 +24,11 @@ ROW_SCHEMA = T.StructType([
     T.StructField("embedding", T.ArrayType(T.FloatType()), True),
 ])
 META_SCHEMA = "name string, metric string, encoder string"
+N_BUCKETS = 64
+
+
+def _bucket(c: str = "id"):
+    return F.pmod(F.xxhash64(F.col(c)), F.lit(N_BUCKETS)).cast("int")
 
 
 def _paths(root: str, name: str) -> tuple[str, str]:
@@ -48,12 +56,17 @@ def get_or_create(spark: SparkSession, root: str, name: str, metric: str = "cosi
     return open_collection(spark, root, name)
 
 
-def rows(spark: SparkSession, root: str, name: str) -> DataFrame:
+def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
     data, _ = _paths(root, name)
+    schema = T.StructType(list(ROW_SCHEMA.fields) + [T.StructField("_bucket", T.IntegerType())])
     try:
-        return spark.read.schema(ROW_SCHEMA).parquet(data)
+        return spark.read.schema(schema).parquet(data)
     except AnalysisException:
-        return spark.createDataFrame([], ROW_SCHEMA)
+        return spark.createDataFrame([], schema)
+
+
+def rows(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return _stored(spark, root, name).drop("_bucket")
 
 
 def add(spark: SparkSession, root: str, name: str, new_rows: DataFrame) -> None:
@@ -61,9 +74,9 @@ def add(spark: SparkSession, root: str, name: str, new_rows: DataFrame) -> None:
     data, _ = _paths(root, name)
     incoming = new_rows.select(*[F.col(f.name).cast(f.dataType) for f in ROW_SCHEMA.fields])
     first = F.min_by(F.struct(*[c for c in incoming.columns if c != "id"]), F.col("document"))
-    incoming = incoming.groupBy("id").agg(first.alias("_r")).select("id", "_r.*")
-    fresh = incoming.join(rows(spark, root, name).select("id"), "id", "left_anti")
-    fresh.write.mode("append").parquet(data)
+    incoming = incoming.groupBy("id").agg(first.alias("_r")).select("id", "_r.*").withColumn("_bucket", _bucket())
+    fresh = incoming.join(_stored(spark, root, name).select("_bucket", "id"), ["_bucket", "id"], "left_anti")
+    fresh.write.mode("append").partitionBy("_bucket").parquet(data)
 
 
 def query(spark: SparkSession, root: str, name: str, questions: DataFrame, k: int,
