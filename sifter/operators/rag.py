@@ -190,3 +190,34 @@ def qa_pairs(conversations: DataFrame, key: str = "conv_id", order_col: str = "t
                                F.lead("role").over(w).alias("_nrole"), F.lead("text").over(w).alias("_ntext"))
     return (nxt.where((F.col("role") == "user") & (F.col("_nrole") == "assistant"))
                .select(key, order_col, F.col("text").alias("question"), F.col("_ntext").alias("reference")))
+
+
+def history_sizes(df: DataFrame, key: str = "conv_id", order_col: str = "turn", text_col: str = "text",
+                  role_col: str = "role", block: int = 4096) -> DataFrame:
+    """(key, order, n_prev, prev_chars, prev_role): size of what each turn
+    sees of the turns before it, without placing a whole conversation in
+    one task. Turns are cut into blocks of ``block`` consecutive turn
+    numbers; block totals (one row per block) are prefix-summed per
+    conversation, and each block adds its own running sums. A conversation
+    holding a third of all turns is spread over many blocks."""
+    rows = df.select(key, order_col, role_col, F.length(text_col).cast("long").alias("_len"),
+                     F.floor(F.col(order_col) / F.lit(block)).cast("long").alias("_blk"))
+    blocks = rows.groupBy(key, "_blk").agg(
+        F.count(F.lit(1)).alias("_bn"), F.sum("_len").alias("_bl"),
+        F.max_by(role_col, order_col).alias("_brole"))
+    wb = Window.partitionBy(key).orderBy("_blk")
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(key, "_blk",
+                           F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_pn"),
+                           F.coalesce(F.sum("_bl").over(before), F.lit(0)).alias("_pl"),
+                           F.lag("_brole").over(wb).alias("_prole"))
+    wl = Window.partitionBy(key, "_blk").orderBy(order_col)
+    local = rows.select(key, order_col, "_blk",
+                        F.count(F.lit(1)).over(wl.rowsBetween(Window.unboundedPreceding, -1)).alias("_ln"),
+                        F.coalesce(F.sum("_len").over(wl.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ll"),
+                        F.lag(role_col).over(wl).alias("_lrole"))
+    return (local.join(blocks, [key, "_blk"])
+                 .select(key, order_col,
+                         (F.col("_pn") + F.col("_ln")).cast("long").alias("n_prev"),
+                         (F.col("_pl") + F.col("_ll")).cast("long").alias("prev_chars"),
+                         F.coalesce("_lrole", "_prole").alias("prev_role")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sifter.functions.text import clean_text, words
@@ -100,18 +100,12 @@ def q_split_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_chat_history_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R6 + W4: what every turn sees of the turns before it. The sizes are
-    running aggregates over the preceding-rows frame (constant work per row);
+    """R6 + W4: what every turn sees of the turns before it (count, chars,
+    last role), computed in turn blocks so no conversation is one task;
     ``with_history`` materialises the history arrays themselves when a
     generator needs them (optionally bounded by ``max_turns``)."""
-    from sifter.operators.rag import history_window
-    conv = table(spark, sf_dir, "conversations")
-    w = history_window()
-    return conv.select(
-        "conv_id", "turn",
-        F.count(F.lit(1)).over(w).alias("n_prev"),
-        F.coalesce(F.sum(F.length("text")).over(w), F.lit(0)).cast("long").alias("prev_chars"),
-        F.lag("role").over(Window.partitionBy("conv_id").orderBy("turn")).alias("prev_role"))
+    from sifter.operators.rag import history_sizes
+    return history_sizes(table(spark, sf_dir, "conversations"))
 
 
 def qa_questions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,3 +47,18 @@ def test_analytics(spark):
     assert means == {"m1": 2.0, "org/m2": None}  # null key dropped, null score skipped
     line = config_report(mean_by_config(r, "score", "mean_score").where(F.col("llm") == "m1"), "mean_score", "average score").first().report
     assert line == "model m1 and embedding x and (k=2) average score : 2.000000"
+
+
+def test_history_sizes_blocks_equal_single_window(spark):
+    from sifter.operators.rag import history_sizes
+    rows = [(c, t, "user" if t % 3 else "assistant", "x" * (t % 7)) for c in (1, 2) for t in range(0, 40, 1 + c)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = {}
+    for c in (1, 2):
+        seen = [r for r in rows if r[0] == c]
+        for i, r in enumerate(seen):
+            want[(c, r[1])] = (i, sum(len(x[3]) for x in seen[:i]), seen[i - 1][2] if i else None)
+    for block in (1, 3, 4096):  # one turn per block, a few, everything in one block
+        got = {(r.conv_id, r.turn): (r.n_prev, r.prev_chars, r.prev_role)
+               for r in history_sizes(conv, block=block).collect()}
+        assert got == want, block
