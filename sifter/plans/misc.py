@@ -22,6 +22,16 @@ def q_knn_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return res.select("qid", "rank", "vec_id", "label", "distance")
 
 
+def q_knn_ann_exhaustive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7 machinery checked by value: every cell probed (4 of 4) and cells
+    split into salted blocks of at most 100 rows, so the inverted-file plan
+    must return exactly the exact search's top-5."""
+    emb = table(spark, sf_dir, "embeddings")
+    res = ann_knn(emb.select(F.col("vec_id").alias("qid"), "embedding"), emb, 5, q_id="qid", c_id="vec_id",
+                  carry=["label"], nlist=4, nprobe=4, block_rows=100)
+    return res.select("qid", "rank", "vec_id", "label", "distance")
+
+
 def q_weighted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per source, drawn with probability proportional to
     its length (rows-only: random)."""
@@ -71,6 +81,7 @@ def q_url_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "knn_ann": q_knn_ann,
+    "knn_ann_exhaustive": q_knn_ann_exhaustive,
     "weighted_sample": q_weighted_sample,
     "scalar_strings": q_scalar_strings,
     "scalar_misc": q_scalar_misc,

@@ -503,3 +503,6 @@ SQL.update({
     "url_hosts": """SELECT page_id, nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)', 1), '') AS host,
         ends_with(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)', 1), '.example.com') AS in_site FROM pages""",
 })
+
+
+SQL["knn_ann_exhaustive"] = _knn_vectors("cosine")
