@@ -20,6 +20,7 @@ _LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
