@@ -257,8 +257,8 @@ SQL.update({
                regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS source,
                CASE WHEN has THEN length({html_text('inr')})::BIGINT END AS text_len,
                len(imgs)::BIGINT AS n_images, imgs[1] AS top_image,
-               TRY_CAST(nullif(regexp_extract(html, '<meta property="article:published_time" content="([^"]*)"', 1), '') AS TIMESTAMP)
-                 AS published_date FROM a""",
+               strftime(TRY_CAST(nullif(regexp_extract(html, '<meta property="article:published_time" content="([^"]*)"', 1), '')
+                 AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS published_date FROM a""",
     "article_per_author": """SELECT doc_id, unnest(CASE WHEN lang = 'fr' THEN [source, lang]
         WHEN lang = 'en' THEN [source] ELSE []::VARCHAR[] END) AS author FROM documents""",
     "keywords_topn": f"WITH {KEYWORDS} SELECT doc_id, rank, keyword, cnt FROM kw",

@@ -105,7 +105,8 @@ def q_article_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.length("content").cast("long").alias("text_len"),
                     F.size("images").cast("long").alias("n_images"),
                     F.try_element_at("images", F.lit(1)).alias("top_image"),
-                    F.try_to_timestamp("published_raw").cast("timestamp_ntz").alias("published_date"))
+                    F.date_format(F.try_to_timestamp("published_raw").cast("timestamp_ntz"),
+                                  "yyyy-MM-dd HH:mm:ss").alias("published_date"))
 
 
 def q_article_per_author(spark: SparkSession, sf_dir: str) -> DataFrame:
