@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sifter.functions.text import digit_tokens, words
 from sifter.operators.extract import attr_of, extract, links_of, resolve_link, text_of, texts_of
-from sifter.operators.ids import running_offsets
+from sifter.operators.ids import dense_index
 from sifter.operators.keywords import keywords_topn, summary_topn
 from sifter.plans.common import table
 
@@ -93,8 +93,8 @@ def q_link_union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_page_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running id over successfully extracted pages, in page order."""
-    ok = q_extract_page_text(spark, sf_dir).select("page_id", "url").withColumn("_one", F.lit(1))
-    return running_offsets(ok, "page_id", "_one", out_col="id").select("id", "page_id", "url")
+    ok = q_extract_page_text(spark, sf_dir).select("page_id", "url")
+    return dense_index(ok, ["page_id"], "id").select("id", "page_id", "url")
 
 
 def q_article_records(spark: SparkSession, sf_dir: str) -> DataFrame:
