@@ -69,3 +69,15 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sum(12 + length(role) + 1 + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 11)::BIGINT AS formatted_chars
 FROM c GROUP BY conv_id
 """
+
+SQL["op8_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+lo AS (SELECT h, min(doc_id) AS first FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM win JOIN lo USING (h) WHERE doc_id > first),
+g AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+k AS (SELECT d.doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN g USING (doc_id))
+SELECT doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(w, lambda x, i: NOT list_contains(gone, i)), ' '), '')) AS kept_sha256 FROM k
+"""

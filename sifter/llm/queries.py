@@ -19,12 +19,28 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sifter.llm.secrets import KINDS, scan_secrets
+    d = scan_secrets(read(prepared(spark), sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
+    found, base = F.col("secrets.found"), F.filter("secrets.found", lambda f: f["base"])
+    joined = lambda a: F.array_join(F.transform(a, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter(base, lambda f: f["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    counts = [count(k) for k in KINDS]
+    return d.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(found).alias("spans"),
+                    F.col("secrets.layers").alias("n_layers"), F.col("secrets.cut").alias("n_cut"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sifter.llm.mixing import plan_mix
     m = plan_mix(read(prepared(spark), sf_dir, "documents"))
     return m.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sifter.llm.fingerprint import compare_with_next
+    return compare_with_next(read(prepared(spark), sf_dir, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page is bad if the document it shows (the number that ends its path)
     is labelled toxic or of low quality."""
@@ -37,6 +53,27 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sifter.llm.language_id import held_out, identify, train
+    docs = read(prepared(spark), sf_dir, "documents").select("doc_id", "text", "lang")
+    names, matrix = train(docs.where(~held_out()))
+    return identify(docs.select("doc_id", held_out().alias("held_out"), "text"), names, matrix).drop("text")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from sifter.llm.packing import pack
+    docs = read(prepared(spark), sf_dir, "documents").select("doc_id", "text")
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sifter.llm.substring_dedup import remove_repeats
+    d = remove_repeats(read(prepared(spark), sf_dir, "documents"))
+    return d.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sifter.llm.exact_dedup import exact_dedup
     d = exact_dedup(read(prepared(spark), sf_dir, "documents"))
@@ -54,8 +91,13 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op3_mix": op3_mix,
+    "op4_fingerprint": op4_fingerprint,
     "op5_url_filter": op5_url_filter,
+    "op6_language": op6_language,
+    "op7_packing": op7_packing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_chat_format": op10_chat_format,
 }
