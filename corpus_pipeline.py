@@ -8,10 +8,59 @@ stage's documents. All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sifter.session import checkpoint_dir, scratch_path, ship_package
 
-STAGES: list = []
+#: The vocabulary that documents are packed with, and the id that ends a document.
+TOKENIZER, END_ID = "word_bpe_49k.json", 2
+#: Documents whose language has a lower posterior than this are rejected.
+LEAST_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that was learned from the labelled rows; those
+    without a letter, or as likely in another language, go."""
+    from sifter.llm.language_id import identify, train
+    ship_package(spark)
+    names, matrix = train(docs)
+    return (identify(docs, names, matrix).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One of each group of equal texts; the texts are shuffled once, by id and digest."""
+    from sifter.llm.exact_dedup import exact_dedup, normalised
+    stay = exact_dedup(docs).where("kept").select(F.coalesce("id", F.lit(0)).alias("_row"), F.col("text_sha256").alias("_sha"))
+    d = docs.withColumns({"_row": F.coalesce("doc_id", F.lit(0)), "_sha": F.sha2(normalised(F.col("text")), 256)})
+    return d.join(stay, ["_row", "_sha"], "left_semi").dropDuplicates(["_row", "_sha"]).select(docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One of each group of near copies (five words, similarity 0.8)."""
+    from sifter.llm.minhash_dedup import near_duplicates
+    ship_package(spark)
+    stay = near_duplicates(docs, shingle=5, percent=80).where("first").select(F.coalesce("doc_id", F.lit(0)).alias("_row"), F.col("key").alias("_key"))
+    d = docs.withColumns({"_row": F.coalesce("doc_id", F.lit(0)), "_key": F.xxhash64("text")})
+    return d.join(stay, ["_row", "_key"], "left_semi").dropDuplicates(["_row", "_key"]).select(docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources repeated or thinned to their target weights."""
+    from sifter.llm.mixing import mix
+    return mix(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of packed sequences."""
+    import public_tokenizers
+
+    from sifter.llm.packing import pack
+    ship_package(spark)
+    return pack(docs, public_tokenizers.path(TOKENIZER), END_ID)
+
+
+STAGES = [("language", language), ("exact", exact), ("near", near), ("mixing", mixing), ("packing", packing)]
+#: Language ID and tokenizers are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

@@ -26,6 +26,8 @@ from sifter.session import checkpoint_dir
 CAP = 3
 WEIGHTS = (1, 2, 3)
 SEED = "mix-1"
+#: So many sources at most are broadcast to the documents; more are joined.
+FEW = 10_000
 
 
 def size_of(text: Column) -> Column:
@@ -92,6 +94,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sizes = docs.select(source_key(source_col).alias("source_key"), size_of(F.col(text_col)).alias("size"))
     plan = targets(sizes).checkpoint()
     keyed = docs.select(F.struct("*").alias("row"), source_key(source_col).alias("source_key"), F.col(id_col).alias("id"))
-    out = salted_join(keyed, plan.drop("n"), "source_key", plan.select("source_key", "n"))
+    if plan.count() <= FEW:
+        out = keyed.join(F.broadcast(plan.drop("n")), "source_key", "left")
+    else:
+        out = salted_join(keyed, plan.drop("n"), "source_key", plan.select("source_key", "n"))
     n = copies(F.col("target"), F.col("source_size"), "id", seed).cast("int")
     return out.select("row", F.explode(F.array_repeat(F.lit(0), n)).alias("_copy")).select("row.*")

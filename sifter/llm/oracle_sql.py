@@ -81,3 +81,23 @@ k AS (SELECT d.doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN g USING (d
 SELECT doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed,
        sha256(coalesce(array_to_string(list_filter(w, lambda x, i: NOT list_contains(gone, i)), ' '), '')) AS kept_sha256 FROM k
 """
+
+SQL["op2_near_dedup"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, hash(s) AS s FROM (
+         SELECT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)
+         UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 2)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+-- linked sets share one of their first n - ceil(0.85 n) + 1 shingles in a common order, the rarest first
+r AS (SELECT doc_id, s, row_number() OVER (PARTITION BY doc_id ORDER BY c, s) AS k FROM sh JOIN (SELECT s, count(*) AS c FROM sh GROUP BY s) USING (s)),
+p AS (SELECT doc_id, s, n FROM r JOIN n USING (doc_id) WHERE k <= n - ceil(n * 85 / 100.0) + 1),
+cand AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb FROM p x JOIN p y ON x.s = y.s AND x.doc_id < y.doc_id
+         WHERE least(x.n, y.n) * 100 >= greatest(x.n, y.n) * 85),
+hit AS (SELECT a, b, na, nb, count(*) AS inter FROM cand JOIN sh x ON x.doc_id = a JOIN sh y ON y.doc_id = b AND y.s = x.s GROUP BY ALL),
+link AS (SELECT a, b FROM hit WHERE 100 * inter >= 85 * (na + nb - inter)),
+e AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM n UNION SELECT reach.doc_id, e.b FROM reach JOIN e ON e.a = reach.other),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, coalesce(component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
+"""

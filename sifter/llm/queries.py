@@ -30,6 +30,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("secrets.layers").alias("n_layers"), F.col("secrets.cut").alias("n_cut"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sifter.llm.minhash_dedup import near_duplicates
+    return near_duplicates(read(prepared(spark), sf_dir, "documents"), shingle=3, percent=85).drop("key", "first")
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sifter.llm.mixing import plan_mix
     m = plan_mix(read(prepared(spark), sf_dir, "documents"))
@@ -92,6 +97,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_near_dedup": op2_near_dedup,
     "op3_mix": op3_mix,
     "op4_fingerprint": op4_fingerprint,
     "op5_url_filter": op5_url_filter,
