@@ -1,20 +1,23 @@
-"""Approximate nearest neighbours: an inverted file over k-means cells.
-
-1. ``pyspark.ml`` KMeans (distributed, iterative) learns ``nlist`` centroids
-   on a bounded sample of the corpus vectors (``train_rows_per_cell`` rows
-   per cell, unit-normalised for cosine): one count and one sampled scan
-   instead of ``max_iter`` passes over the corpus.
-2. Every corpus row is assigned to its nearest centroid; every question to
-   its ``nprobe`` nearest centroids (centroids are ``nlist`` rows: a bounded
-   broadcast).
-3. Cells are counted; a cell larger than ``block_rows`` is split into
-   ``ceil(count / block_rows)`` salted blocks, and a question probing that
-   cell is sent to each block. A cell that holds a third of the corpus is
-   therefore still scored in bounded pieces.
-4. Each (cell, block) is co-grouped with its questions and scored exactly
-   (numpy); local top-k per question, then a global ``row_number() <= k``.
-
-Only candidates in probed cells are scored, so recall < 1 is possible; the
+"""Approximate nearest neighbours: a stored inverted file over k-means cells.
+
+``build_index`` writes two tables below a path:
+
+- ``cells``: every corpus row with a vector, partitioned by its nearest
+  centroid. k-means (``pyspark.ml``, distributed) is fitted on a sample of at
+  most ``SAMPLE_PER_CELL`` rows a cell, chosen by a hash of the id; every row is
+  indexed, whatever the sample.
+- ``centroids``: per cell its centre and number of rows. ``nlist`` is by
+  default the square root of the rows over eight, so that both the centres and
+  a cell stay small against the corpus.
+
+``search`` reads the centres (a bounded broadcast: ``nlist`` rows), sends each
+question to its ``nprobe`` nearest cells and reads those partitions only. A cell
+of more than ``block_rows`` is scored in blocks dealt by a hash of the id, so a
+cell that holds a third of the corpus is still scored in bounded pieces. Each
+(cell, block) is co-grouped with its questions and scored exactly; then a global
+``row_number() <= k``.
+
+Only candidates in probed cells are scored, so recall below 1 is possible; the
 result rows are exact distances of the candidates found.
 """
 
@@ -24,98 +27,110 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sifter.operators.knn import _candidate_schema, _local_topk, _matrix, _non_null, _prepare, _trim
+from sifter.operators.knn import _candidate_schema, _ids, _matrix, _ranked, tile_scorer
+from sifter.session import scratch_path
 
+#: The k-means sample: rows for each cell, at most.
+SAMPLE_PER_CELL = 256
 
-def _nearest_cells(M: np.ndarray, centers: np.ndarray, n: int) -> np.ndarray:
-    sims = M @ centers.T
-    if n == 1:
-        return np.argmax(sims, axis=1)[:, None]
-    return np.argsort(-sims, axis=1, kind="stable")[:, :n]
 
+def _unit(M: np.ndarray) -> np.ndarray:
+    return M / np.maximum(np.linalg.norm(M, axis=1, keepdims=True), 1e-12)
 
-def ann_knn(questions: DataFrame, corpus: DataFrame, k: int, *, q_id: str = "qid", c_id: str = "id",
-            q_vec: str = "embedding", c_vec: str = "embedding", metric: str = "cosine",
-            carry: Sequence[str] = (), nlist: int = 16, nprobe: int = 4, block_rows: int = 50_000,
-            seed: int = 7, round_digits: int | None = 6, max_iter: int = 20,
-            train_rows_per_cell: int = 256) -> DataFrame:
+
+def _assigned(vec: str, centers, metric: str, n: int, out_col: str):
+    """Adds the ``n`` nearest cells of each row (an array for n > 1)."""
+    def assign(batches):
+        C = centers.value
+        half = 0.0 if metric == "cosine" else 0.5 * (C ** 2).sum(1)
+        for pdf in batches:
+            M = _matrix(pdf[vec], C.shape[1])
+            near = (_unit(M) if metric == "cosine" else M) @ C.T - half
+            cells = np.argsort(-near, axis=1, kind="stable")[:, :n].astype(np.int64)
+            yield pdf.assign(**{out_col: list(cells) if n > 1 else cells[:, 0] if len(cells) else cells.ravel()})
+    return assign
+
+
+def build_index(corpus: DataFrame, path: str, c_id: str | Sequence[str] = "id", c_vec: str = "embedding", metric: str = "cosine",
+                carry: Sequence[str] = (), nlist: int | None = None, seed: int = 7, max_iter: int = 20) -> None:
+    """Writes the index of ``corpus`` to ``path``; rows without a vector are not in it."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    spark = corpus.sparkSession
-    carry = [c for c in carry if c != c_id]
-    cs = corpus.select(c_id, c_vec, *carry)
-    qs = questions.select(q_id, q_vec)
-
     from sifter.functions.vectors import l2_normalize
+    spark, ids = corpus.sparkSession, _ids(c_id)
+    rows = corpus.select(*ids, c_vec, *[c for c in carry if c not in ids])
+    n = rows.where(F.col(c_vec).isNotNull()).count()
+    nlist = nlist or max(1, math.isqrt(n) // 8)
+    u = F.pmod(F.xxhash64(*ids, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     unit = l2_normalize(c_vec) if metric == "cosine" else F.col(c_vec)
-    # k-means iterates over its input: train on a bounded sample (about
-    # train_rows_per_cell rows per cell), not on the whole corpus
-    n_rows = cs.count()
-    frac = min(1.0, nlist * train_rows_per_cell / max(n_rows, 1))
-    train = (cs.sample(False, frac, seed).select(unit.alias("_u")).where(F.col("_u").isNotNull())
-               .select(array_to_vector("_u").alias("features"))).persist()
+    train = (rows.where(u < min(1.0, nlist * SAMPLE_PER_CELL / max(n, 1))).select(unit.alias("_u"))
+                 .where(F.col("_u").isNotNull()).select(array_to_vector("_u").alias("features"))).persist()
     try:
-        model = KMeans(k=nlist, seed=seed, maxIter=max_iter, featuresCol="features").fit(train)
+        if train.isEmpty():
+            centers = np.zeros((1, 1))
+        else:
+            centers = np.asarray(KMeans(k=max(nlist, 2), seed=seed, maxIter=max_iter, featuresCol="features").fit(train).clusterCenters())
     finally:
         train.unpersist()
-    centers = np.asarray(model.clusterCenters(), dtype=np.float64)  # nlist x dim
     if metric == "cosine":
-        centers = centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
+        centers = _unit(centers)
     bc = spark.sparkContext.broadcast(centers)
-
-    def assign(batches, vec, n, out_col, as_array):
-        C = bc.value
-        for pdf in batches:
-            M = _matrix(pdf[vec], C.shape[1])
-            if metric == "cosine":
-                M = M / np.maximum(np.linalg.norm(M, axis=1, keepdims=True), 1e-12)
-            cells = _nearest_cells(M, C, n) if len(M) else np.zeros((0, n), dtype=np.int64)
-            out = pdf.copy()
-            out[out_col] = list(cells.astype(np.int64)) if as_array else cells[:, 0].astype(np.int64)
-            yield out
-
-    # one pass per side carries every column: no row ids, no join back
-    c_schema = T.StructType(list(cs.schema.fields) + [T.StructField("_cell", T.LongType())])
-    cs_c = cs.mapInPandas(lambda it: assign(it, c_vec, 1, "_cell", False), c_schema)
-
-    # bounded blocks per cell: the per-cell counts are nlist rows
-    counts = cs_c.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
-    salts = counts.select("_cell", F.greatest(F.ceil(F.col("_n") / F.lit(block_rows)), F.lit(1)).cast("long").alias("_s"))
-    salts = F.broadcast(salts)
-    cs_b = (cs_c.join(salts, "_cell").withColumn("_blk", F.pmod(F.xxhash64(c_id), F.col("_s"))).drop("_s"))
-
-    q_schema = T.StructType(list(qs.schema.fields) + [T.StructField("_cells", T.ArrayType(T.LongType()))])
-    q_cells = qs.mapInPandas(lambda it: assign(it, q_vec, min(nprobe, nlist), "_cells", True), q_schema)
-    qs_c = (q_cells.select(q_id, q_vec, F.explode("_cells").alias("_cell"))
-                .join(salts, "_cell")
-                .withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_s") - 1))).drop("_s"))
-
-    schema = _candidate_schema(qs.schema[q_id], cs, c_id, carry)
-
-    def tile(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or cpdf.empty:
-            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        Q, q_sq, qok = _prepare(_matrix(qpdf[q_vec]), metric, _non_null(qpdf[q_vec]))
-        C, c_sq, cok = _prepare(_matrix(cpdf[c_vec], Q.shape[1]), metric, _non_null(cpdf[c_vec]))
-        qpdf, Q, q_sq = qpdf[qok], Q[qok], q_sq[qok]
-        cpdf, C, c_sq = cpdf[cok], C[cok], c_sq[cok]
-        r, c, d = _local_topk(C, c_sq, Q, q_sq, k, metric, round_digits)
-        out = pd.DataFrame({q_id: qpdf[q_id].to_numpy()[c], c_id: cpdf[c_id].to_numpy()[r], "distance": d})
-        for col in carry:
-            out[col] = cpdf[col].to_numpy()[r]
-        return _trim(out, q_id, c_id, k)
-
-    cand = (cs_b.groupBy("_cell", "_blk").cogroup(qs_c.groupBy("_cell", "_blk"))
-                .applyInPandas(tile, schema))
-    w = Window.partitionBy(q_id).orderBy(F.col("distance"), F.col(c_id))
-    return (cand.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
-                .select(q_id, "rank", c_id, "distance", *carry))
+    schema = T.StructType([*rows.schema.fields, T.StructField("_cell", T.LongType())])
+    cells = rows.mapInPandas(_assigned(c_vec, bc, metric, 1, "_cell"), schema) if n else rows.withColumn("_cell", F.lit(0).cast("bigint"))
+    cells = cells.where(F.col(c_vec).isNotNull())
+    cells.repartition("_cell", F.pmod(F.xxhash64(*ids), F.lit(8))).write.partitionBy("_cell").parquet(f"{path}/cells")
+    stored = spark.read.schema(schema).parquet(f"{path}/cells") if n else cells
+    counts = {r["_cell"]: r["n"] for r in stored.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # nlist rows
+    table = [(i, [float(x) for x in c], counts.get(i, 0)) for i, c in enumerate(centers)]
+    spark.createDataFrame(table, "cell bigint, center array<double>, n bigint").coalesce(1).write.parquet(f"{path}/centroids")
+    spark.createDataFrame([], rows.schema).write.parquet(f"{path}/schema")
+
+
+def search(spark: SparkSession, path: str, questions: DataFrame, k: int, *, q_id: str = "qid", c_id: str | Sequence[str] = "id",
+           q_vec: str = "embedding", c_vec: str = "embedding", metric: str = "cosine", carry: Sequence[str] = (),
+           nprobe: int = 4, block_rows: int = 50_000, round_digits: int | None = 6) -> DataFrame:
+    """(q_id, rank, *c_id, distance, *carry) from the index at ``path``."""
+    ids = _ids(c_id)
+    carry = [c for c in carry if c not in ids]
+    table = spark.read.parquet(f"{path}/centroids").orderBy("cell").collect()  # nlist rows
+    centers = np.array([r["center"] for r in table])
+    rows = spark.read.parquet(f"{path}/schema")
+    schema = _candidate_schema(questions.schema[q_id], rows, ids, carry)
+    if not sum(r["n"] for r in table):
+        return _ranked(spark.createDataFrame([], schema), k, q_id, ids, carry, "rank", round_digits)
+    bc = spark.sparkContext.broadcast(centers)
+    n = min(nprobe, len(table))
+    qs = questions.select(q_id, q_vec)
+    kind = T.ArrayType(T.LongType()) if n > 1 else T.LongType()
+    near = qs.mapInPandas(_assigned(q_vec, bc, metric, n, "_near"), T.StructType([*qs.schema.fields, T.StructField("_near", kind)]))
+    near = near.where(F.col(q_vec).isNotNull())
+    near = near.select(q_id, q_vec, (F.explode("_near") if n > 1 else F.col("_near")).alias("_cell")).checkpoint()
+    blocks = F.broadcast(spark.createDataFrame([(r["cell"], -(-r["n"] // block_rows)) for r in table], "_cell bigint, _s bigint").where("_s > 0"))
+    probed = [r["_cell"] for r in near.select("_cell").distinct().collect()]  # at most nlist
+    cells = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_cell", T.LongType())])).parquet(f"{path}/cells")
+    cells = (cells.where(F.col("_cell").isin(probed)).select(*ids, c_vec, *carry, "_cell").join(blocks, "_cell")
+                  .withColumn("_blk", F.pmod(F.xxhash64(*ids), F.col("_s"))).drop("_s"))
+    near = near.join(blocks, "_cell").withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_s") - 1))).drop("_s")
+    tile = tile_scorer(q_id, ids, q_vec, c_vec, metric, carry, centers.shape[1], k, schema)
+    cand = cells.groupBy("_cell", "_blk").cogroup(near.groupBy("_cell", "_blk")).applyInPandas(tile, schema)
+    return _ranked(cand, k, q_id, ids, carry, "rank", round_digits)
+
+
+def ann_knn(questions: DataFrame, corpus: DataFrame, k: int, *, q_id: str = "qid", c_id: str | Sequence[str] = "id",
+            q_vec: str = "embedding", c_vec: str = "embedding", metric: str = "cosine", carry: Sequence[str] = (),
+            nlist: int | None = None, nprobe: int = 4, block_rows: int = 50_000, seed: int = 7,
+            round_digits: int | None = 6, max_iter: int = 20) -> DataFrame:
+    """An index in the shared folder for one search."""
+    spark = corpus.sparkSession
+    path = scratch_path(spark, "ann")
+    build_index(corpus, path, c_id, c_vec, metric, carry, nlist, seed, max_iter)
+    return search(spark, path, questions, k, q_id=q_id, c_id=c_id, q_vec=q_vec, c_vec=c_vec, metric=metric, carry=carry,
+                  nprobe=nprobe, block_rows=block_rows, round_digits=round_digits)
 
 
 def recall(approx: DataFrame, exact: DataFrame, q_id: str, c_id: str) -> float:
@@ -123,8 +138,3 @@ def recall(approx: DataFrame, exact: DataFrame, q_id: str, c_id: str) -> float:
     hit = exact.join(approx.select(q_id, c_id), [q_id, c_id], "left_semi").count()
     total = exact.count()
     return hit / total if total else 1.0
-
-
-def cells_for(n_rows: int, target_cell_rows: int = 2_000) -> int:
-    """A default ``nlist`` growing with the corpus (about sqrt-scale)."""
-    return max(1, min(4096, int(math.sqrt(max(n_rows, 1) / max(target_cell_rows, 1)) * 8)))

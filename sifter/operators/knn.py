@@ -1,28 +1,32 @@
 """Exact k-nearest-neighbour search between a question frame and a corpus.
 
-Two-phase top-k: every corpus partition scores its rows against the questions
-with a blocked matrix product (numpy, Arrow batches via ``mapInPandas``) and
-keeps only its local top-k per question; a final ``row_number() <= k`` over
-the candidates (at most partitions x k rows per question) picks the global
-top-k. Pairs are never materialised as rows.
+Two-phase top-k: every corpus task scores its rows against the questions with
+a blocked matrix product (numpy, Arrow batches via ``mapInPandas``), keeps a
+running top-k per question over all of its batches and emits it once, at the
+end; a final ``row_number() <= k`` over the candidates (at most tasks x k rows
+per question) picks the global top-k. Pairs are never materialised as rows.
 
-Order is (distance rounded to ``round_digits``, corpus id): ties are broken by
-id so the result is deterministic and engine-independent.
+Order is (distance, corpus id). Distances are compared to ``_DIGITS`` digits,
+which is what separates a distance from the rounding noise of its sum, so rows
+whose distances are equal in exact arithmetic rank by id on any engine; the
+``distance`` column is rounded to ``round_digits`` on output only.
 
 Plans:
-* broadcast — the question matrix is sent to every task. Used only when
-  ``n_questions * dim * 8`` bytes is within ``max_broadcast_bytes`` (checked
-  with one count job before anything is collected).
+* broadcast — the question matrix is sent to every task. Used only when it is
+  within ``max_broadcast_bytes``: the questions are counted before anything is
+  collected, from a written copy, so their vectors are made once.
 * tiled — beyond that bound: questions and corpus are hashed into blocks,
   each corpus block is co-grouped with each question block, and every
   (question block, corpus block) tile is scored in one task. Tile sizes are
   bounded by construction, nothing passes through the driver.
+
+Rows and questions with a null vector (cosine: also a zero one) match nothing.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,10 +34,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sifter.session import ensure_parallelism
+from sifter.session import checkpoint_dir
 
 DEFAULT_MAX_BROADCAST = 64 << 20
 _SCORE_CELLS = 4_000_000  # doubles per scoring block inside a task
+_ID_BYTES = 64  # allowed for a question id
+_DIGITS = 12
 
 
 def _matrix(values, dim: int | None = None) -> np.ndarray:
@@ -66,10 +72,19 @@ def _prepare(M: np.ndarray, metric: str, present: np.ndarray | None = None):
     return M, sq, valid
 
 
-def _local_topk(C: np.ndarray, c_sq: np.ndarray, Q: np.ndarray, q_sq: np.ndarray, k: int,
-                metric: str, round_digits: int | None):
-    """Local top-k of every question over rows of C.
-    Returns (row index, question index, distance) arrays."""
+def _distinct(d: np.ndarray, metric: str) -> np.ndarray:
+    """Distances without rounding noise: cosine distances are differences
+    from 1 (absolute digits), squared lengths are sums (significant digits)."""
+    if metric == "cosine":
+        return np.round(d, _DIGITS) + 0.0
+    scale = 10.0 ** (_DIGITS - 1 - np.floor(np.log10(np.where(d > 0, d, 1.0))))
+    return np.where(d > 0, np.round(d * scale) / scale, 0.0)
+
+
+def _local_topk(C: np.ndarray, c_sq: np.ndarray, Q: np.ndarray, q_sq: np.ndarray, k: int, metric: str):
+    """Candidates of the top-k of every question over rows of C: (row index,
+    question index, distance) arrays. The blocked product finds them, with a
+    margin for its noise; their distances are then taken pair by pair."""
     rows_all, cols_all, d_all = [], [], []
     nc, nq = len(C), len(Q)
     if nc == 0 or nq == 0:
@@ -77,126 +92,140 @@ def _local_topk(C: np.ndarray, c_sq: np.ndarray, Q: np.ndarray, q_sq: np.ndarray
     kk = min(k, nc)
     qstep = max(1, _SCORE_CELLS // max(nc, 1))
     for q0 in range(0, nq, qstep):
-        Qb = Q[q0:q0 + qstep]
+        Qb, qb = Q[q0:q0 + qstep], q_sq[q0:q0 + qstep]
         S = C @ Qb.T
+        D = 1.0 - S if metric == "cosine" else c_sq[:, None] + qb[None, :] - 2.0 * S
+        noise = 1e-11 if metric == "cosine" else 1e-12 * (c_sq[:, None] + qb[None, :])
+        low, high = D - noise, D + noise
+        reach = np.partition(high, kk - 1, axis=0)[kk - 1]
+        r, c = np.nonzero(low <= reach[None, :])
         if metric == "cosine":
-            D = 1.0 - S
+            d = 1.0 - np.einsum("ij,ij->i", C[r], Qb[c])
         else:
-            D = np.maximum(c_sq[:, None] + q_sq[None, q0:q0 + qstep] - 2.0 * S, 0.0)
-        if round_digits is not None:
-            D = np.round(D, round_digits) + 0.0
-        thr = np.partition(D, kk - 1, axis=0)[kk - 1]
-        r, c = np.nonzero(D <= thr[None, :])
+            d = ((C[r] - Qb[c]) ** 2).sum(1)
         rows_all.append(r)
         cols_all.append(c + q0)
-        d_all.append(D[r, c])
+        d_all.append(_distinct(d, metric))
     return np.concatenate(rows_all), np.concatenate(cols_all), np.concatenate(d_all)
 
 
-def _trim(out: pd.DataFrame, q_id: str, c_id: str, k: int) -> pd.DataFrame:
+def _trim(out: pd.DataFrame, q_id: str, ids: list[str], k: int) -> pd.DataFrame:
     """Keep k per question (ties at the k-th distance resolved by id)."""
-    out = out.sort_values([q_id, "distance", c_id], kind="stable")
+    out = out.sort_values([q_id, "distance", *ids], kind="stable")
     return out.groupby(q_id, sort=False).head(k)
 
 
-def _candidate_schema(q_field: T.StructField, corpus: DataFrame, c_id: str,
-                      carry: Sequence[str]) -> T.StructType:
-    fields = [T.StructField(q_field.name, q_field.dataType, True),
-              T.StructField(c_id, corpus.schema[c_id].dataType, True),
-              T.StructField("distance", T.DoubleType(), True)]
-    fields += [T.StructField(c, corpus.schema[c].dataType, True) for c in carry if c != c_id]
+def _candidate_schema(q_field: T.StructField, corpus: DataFrame, ids: list[str], carry: Sequence[str]) -> T.StructType:
+    fields = [T.StructField(q_field.name, q_field.dataType, True)]
+    fields += [T.StructField(c, corpus.schema[c].dataType, True) for c in ids]
+    fields.append(T.StructField("distance", T.DoubleType(), True))
+    fields += [T.StructField(c, corpus.schema[c].dataType, True) for c in carry]
     return T.StructType(fields)
 
 
-def knn(questions: DataFrame, corpus: DataFrame, k: int, *, q_id: str = "qid", c_id: str = "id",
+def _ids(c_id: str | Sequence[str]) -> list[str]:
+    return [c_id] if isinstance(c_id, str) else list(c_id)
+
+
+def _scored(pdf: pd.DataFrame, c_vec: str, ids: list[str], carry: Sequence[str], q_id: str, q_ids: np.ndarray,
+            Q: np.ndarray, q_sq: np.ndarray, k: int, metric: str) -> pd.DataFrame:
+    """Top-k rows of one batch for prepared, valid questions."""
+    C, c_sq, ok = _prepare(_matrix(pdf[c_vec], Q.shape[1]), metric, _non_null(pdf[c_vec]))
+    if not ok.all():
+        pdf, C, c_sq = pdf[ok], C[ok], c_sq[ok]
+    r, c, d = _local_topk(C, c_sq, Q, q_sq, k, metric)
+    out = pd.DataFrame({q_id: q_ids[c]} | {i: pdf[i].to_numpy()[r] for i in ids} | {"distance": d})
+    for col in carry:
+        out[col] = pdf[col].to_numpy()[r]
+    return _trim(out, q_id, ids, k)
+
+
+def _running_topk(scored: Iterable[pd.DataFrame], q_id: str, ids: list[str], k: int) -> Iterator[pd.DataFrame]:
+    """One frame at the end: the top-k of all batches."""
+    best = None
+    for s in scored:
+        if not s.empty:
+            best = s if best is None else _trim(pd.concat([best, s], ignore_index=True), q_id, ids, k)
+    if best is not None:
+        yield best
+
+
+def _ranked(cand: DataFrame, k: int, q_id: str, ids: list[str], carry: Sequence[str], rank_col: str, digits: int | None) -> DataFrame:
+    w = Window.partitionBy(q_id).orderBy("distance", *ids)
+    d = F.col("distance") if digits is None else F.round("distance", digits) + F.lit(0.0)
+    return (cand.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+                .select(q_id, F.col(rank_col).cast("long").alias(rank_col), *ids, d.alias("distance"), *carry))
+
+
+def knn(questions: DataFrame, corpus: DataFrame, k: int, *, q_id: str = "qid", c_id: str | Sequence[str] = "id",
         q_vec: str = "embedding", c_vec: str = "embedding", metric: str = "cosine",
         carry: Sequence[str] = (), round_digits: int | None = 6,
         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST, plan: str = "auto",
         rank_col: str = "rank") -> DataFrame:
-    """Top-``k`` corpus rows per question: ``(q_id, rank, c_id, distance, *carry)``.
+    """Top-``k`` corpus rows per question: ``(q_id, rank, *c_id, distance, *carry)``.
 
-    ``corpus`` may be pre-filtered (metadata filters are pushed to its scan).
+    ``c_id`` is a column or several that identify a corpus row together, e.g.
+    ``("doc_id", "chunk_pos")``. ``corpus`` may be filtered beforehand.
     """
     if metric not in ("cosine", "l2"):
         raise ValueError(f"unknown metric {metric!r}")
-    carry = [c for c in carry if c != c_id]
+    if plan not in ("auto", "broadcast", "tiled"):
+        raise ValueError(f"unknown plan {plan!r}")
+    ids = _ids(c_id)
+    carry = [c for c in carry if c not in ids]
     # null vectors are skipped inside the scorer: a filter here would be pushed
     # below an exchange and re-run the encoder that produced the vectors
-    qs = questions.select(q_id, q_vec)
-    cs = corpus.select(c_id, c_vec, *carry)
-
+    qs, cs = questions.select(q_id, q_vec), corpus.select(*ids, c_vec, *carry)
+    checkpoint_dir(qs.sparkSession)
+    qs = qs.checkpoint()
+    st = qs.agg(F.count(q_vec).alias("n"), F.max(F.size(q_vec)).alias("dim")).first()
+    n, dim = int(st["n"]), int(st["dim"] or 0)
     if plan == "auto":
-        st = qs.agg(F.count(q_vec).alias("n"), F.max(F.size(q_vec)).alias("dim")).first()
-        n, dim = int(st["n"]), int(st["dim"] or 0)
-        plan = "broadcast" if n * dim * 8 <= max_broadcast_bytes else "tiled"
+        plan = "broadcast" if n * (dim * 8 + _ID_BYTES) <= max_broadcast_bytes else "tiled"
+    schema = _candidate_schema(qs.schema[q_id], cs, ids, carry)
     if plan == "broadcast":
-        cand = _broadcast_candidates(qs, cs, k, q_id, c_id, q_vec, c_vec, metric, carry, round_digits)
-    elif plan == "tiled":
-        cand = _tiled_candidates(qs, cs, k, q_id, c_id, q_vec, c_vec, metric, carry, round_digits)
+        cand = _broadcast_candidates(qs, cs, k, q_id, ids, q_vec, c_vec, metric, carry, dim, schema)
     else:
-        raise ValueError(f"unknown plan {plan!r}")
+        cand = _tiled_candidates(qs, cs, k, q_id, ids, q_vec, c_vec, metric, carry, dim, schema, n)
+    return _ranked(cand, k, q_id, ids, carry, rank_col, round_digits)
 
-    w = Window.partitionBy(q_id).orderBy(F.col("distance"), F.col(c_id))
-    return (cand.withColumn(rank_col, F.row_number().over(w))
-                .where(F.col(rank_col) <= k)
-                .withColumn(rank_col, F.col(rank_col).cast("long"))
-                .select(q_id, rank_col, c_id, "distance", *carry))
 
+def _questions(qpdf: pd.DataFrame, q_id: str, q_vec: str, metric: str, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, matrix, squared norms) of the valid questions."""
+    Q, q_sq, ok = _prepare(_matrix(qpdf[q_vec], dim), metric, _non_null(qpdf[q_vec]))
+    return qpdf[q_id].to_numpy()[ok], Q[ok], q_sq[ok]
 
-def _broadcast_candidates(qs, cs, k, q_id, c_id, q_vec, c_vec, metric, carry, round_digits):
-    spark = qs.sparkSession
-    qpdf = qs.toPandas()  # size checked by the caller
-    Q, q_sq, valid = (_prepare(_matrix(qpdf[q_vec]), metric, _non_null(qpdf[q_vec])) if len(qpdf)
-                      else (np.zeros((0, 0)), np.zeros(0), np.zeros(0, bool)))
-    payload = {"ids": qpdf[q_id].to_numpy()[valid], "Q": Q[valid], "q_sq": q_sq[valid]}
-    bc = spark.sparkContext.broadcast(payload)
-    schema = _candidate_schema(qs.schema[q_id], cs, c_id, carry)
+
+def _broadcast_candidates(qs, cs, k, q_id, ids, q_vec, c_vec, metric, carry, dim, schema):
+    prepared = _questions(qs.toPandas(), q_id, q_vec, metric, dim)  # size checked by the caller
+    bc = qs.sparkSession.sparkContext.broadcast(prepared)
 
     def score(batches):
-        p = bc.value
-        for pdf in batches:
-            if pdf.empty or len(p["ids"]) == 0:
-                continue
-            C, c_sq, ok = _prepare(_matrix(pdf[c_vec], p["Q"].shape[1]), metric, _non_null(pdf[c_vec]))
-            if not ok.all():
-                pdf, C, c_sq = pdf[ok], C[ok], c_sq[ok]
-            r, c, d = _local_topk(C, c_sq, p["Q"], p["q_sq"], k, metric, round_digits)
-            out = pd.DataFrame({q_id: p["ids"][c], c_id: pdf[c_id].to_numpy()[r], "distance": d})
-            for col in carry:
-                out[col] = pdf[col].to_numpy()[r]
-            yield _trim(out, q_id, c_id, k)
-
-    return ensure_parallelism(cs).mapInPandas(score, schema)
-
-
-def _tiled_candidates(qs, cs, k, q_id, c_id, q_vec, c_vec, metric, carry, round_digits,
+        q_ids, Q, q_sq = bc.value
+        yield from _running_topk((_scored(b, c_vec, ids, carry, q_id, q_ids, Q, q_sq, k, metric) for b in batches if len(b) and len(q_ids)), q_id, ids, k)
+
+    return cs.mapInPandas(score, schema)
+
+
+def tile_scorer(q_id, ids, q_vec, c_vec, metric, carry, dim, k, schema):
+    """(corpus block, question block) -> candidates; for ``cogroup().applyInPandas``."""
+    def tile(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
+        q_ids, Q, q_sq = _questions(qpdf, q_id, q_vec, metric, dim)
+        if not len(q_ids) or cpdf.empty:
+            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
+        return _scored(cpdf, c_vec, ids, carry, q_id, q_ids, Q, q_sq, k, metric)
+    return tile
+
+
+def _tiled_candidates(qs, cs, k, q_id, ids, q_vec, c_vec, metric, carry, dim, schema, n_q,
                       q_block_rows: int = 20_000, c_blocks: int | None = None):
     spark = qs.sparkSession
-    n_q = qs.count()
     nqb = max(1, math.ceil(n_q / q_block_rows))
     ncb = c_blocks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     qb = F.pmod(F.xxhash64(q_id), F.lit(nqb))
-    cb = F.pmod(F.xxhash64(c_id), F.lit(ncb))
-    q_rep = qs.withColumn("_qb", qb).withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(ncb - 1)))) \
-              .withColumn("_cb", F.col("_cb").cast("long"))
-    c_rep = cs.withColumn("_cb", cb).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1)))) \
-              .withColumn("_qb", F.col("_qb").cast("long"))
-    schema = _candidate_schema(qs.schema[q_id], cs, c_id, carry)
-
-    def tile(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or cpdf.empty:
-            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        Q, q_sq, qok = _prepare(_matrix(qpdf[q_vec]), metric, _non_null(qpdf[q_vec]))
-        C, c_sq, cok = _prepare(_matrix(cpdf[c_vec], Q.shape[1]), metric, _non_null(cpdf[c_vec]))
-        qpdf, Q, q_sq = qpdf[qok], Q[qok], q_sq[qok]
-        cpdf, C, c_sq = cpdf[cok], C[cok], c_sq[cok]
-        r, c, d = _local_topk(C, c_sq, Q, q_sq, k, metric, round_digits)
-        out = pd.DataFrame({q_id: qpdf[q_id].to_numpy()[c], c_id: cpdf[c_id].to_numpy()[r], "distance": d})
-        for col in carry:
-            out[col] = cpdf[col].to_numpy()[r]
-        return _trim(out, q_id, c_id, k)
-
-    return (c_rep.groupBy("_qb", "_cb")
-                 .cogroup(q_rep.groupBy("_qb", "_cb"))
-                 .applyInPandas(lambda c, q: tile(q, c), schema))
-
+    cb = F.pmod(F.xxhash64(*ids), F.lit(ncb))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    q_rep = qs.withColumn("_qb", qb).withColumn("_cb", all_of(ncb))
+    c_rep = cs.withColumn("_cb", cb).withColumn("_qb", all_of(nqb))
+    tile = tile_scorer(q_id, ids, q_vec, c_vec, metric, carry, dim, k, schema)
+    return c_rep.groupBy("_qb", "_cb").cogroup(q_rep.groupBy("_qb", "_cb")).applyInPandas(tile, schema)

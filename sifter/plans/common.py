@@ -36,15 +36,8 @@ def recursive_chunks(spark: SparkSession, sf_dir: str, size: int = 500, overlap:
                            text_col="content")
 
 
-CHUNK_POS_BITS = 20  # up to 1,048,576 chunks per document
-
-
-def keyed_recursive_chunks(spark: SparkSession, sf_dir: str, size: int = 500, overlap: int = 80) -> DataFrame:
-    """Chunks keyed by the stable id ``doc_id << 20 | chunk_pos`` — computed
-    row by row, no shuffle. It orders exactly like the dense id (document,
-    then position), so rankings that break ties by it agree with dense ids."""
-    ch = recursive_chunks(spark, sf_dir, size, overlap)
-    return ch.withColumn("chunk_id", F.shiftleft(F.col("doc_id"), CHUNK_POS_BITS) + F.col("chunk_pos"))
+#: What identifies a chunk: computed row by row, orders like the dense id, and holds for any document id.
+CHUNK_KEY = ("doc_id", "chunk_pos")
 
 
 def dense_recursive_chunks(spark: SparkSession, sf_dir: str, size: int = 500, overlap: int = 80) -> DataFrame:

@@ -120,9 +120,9 @@ qv AS ({hashed_vectors('qs', 'item_id', 'question')}),
 cv AS ({hashed_vectors(f'(SELECT * FROM dchunks WHERE {where})', 'chunk_id, doc_id, chunk_pos, source', 'chunk_text')}),
 pairs AS (
   SELECT q.item_id, c.chunk_id, c.doc_id, c.chunk_pos, c.source{extra_cols},
-         round(1 - list_dot_product(q.v, c.v) / (q.nrm * c.nrm), 6) + 0.0 AS distance
+         round(1 - list_dot_product(q.v, c.v) / (q.nrm * c.nrm), 12) AS apart, round(apart, 6) + 0.0 AS distance
   FROM qv q, cv c WHERE q.nrm > 0 AND c.nrm > 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY distance, {tie}) AS rank FROM pairs)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY apart, {tie}) AS rank FROM pairs)
 SELECT {select} FROM ranked WHERE rank <= {k}"""
 
 
@@ -132,8 +132,8 @@ def _knn_vectors(metric: str) -> str:
     else:
         d = "list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])))"
     return f"""WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL),
-pairs AS (SELECT a.vec_id AS qid, b.vec_id, b.label, round({d}, 6) + 0.0 AS distance FROM e a, e b),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, vec_id) AS rank FROM pairs)
+pairs AS (SELECT a.vec_id AS qid, b.vec_id, b.label, round({d}, 12) AS apart, round(apart, 6) + 0.0 AS distance FROM e a, e b),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY apart, vec_id) AS rank FROM pairs)
 SELECT qid, rank, vec_id, label, distance FROM ranked WHERE rank <= 5"""
 
 
@@ -308,9 +308,9 @@ def knn_ctes(p: str, qsrc: str, qid: str, qtext: str, dim: int, k: int) -> str:
     """``{p}top(qid, chunk_id, doc_id, chunk_text, distance, rank)`` over ``dchunks``."""
     return f"""{p}qv AS ({hashed_vectors(qsrc, qid, qtext, dim)}),
 {p}cv AS ({hashed_vectors('dchunks', 'chunk_id, doc_id, chunk_text', 'chunk_text', dim)}),
-{p}top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, chunk_id) AS rank FROM (
+{p}top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY apart, chunk_id) AS rank FROM (
     SELECT q.{qid} AS qid, c.chunk_id, c.doc_id, c.chunk_text,
-           round(1 - list_dot_product(q.v, c.v) / (q.nrm * c.nrm), 6) + 0.0 AS distance
+           round(1 - list_dot_product(q.v, c.v) / (q.nrm * c.nrm), 12) AS apart, round(apart, 6) + 0.0 AS distance
     FROM {p}qv q, {p}cv c WHERE q.nrm > 0 AND c.nrm > 0)) WHERE rank <= {k})"""
 
 
@@ -383,11 +383,11 @@ _GRID_MEANS = grid_with_scores() + """, gm AS (SELECT llm, transformer, k, round
 SQL.update({
     "context_assembly": _BQ + " SELECT qid AS item_id, context, n_sources FROM bc",
     "prompt_fill": _BQ + f" SELECT qs.item_id, {prompt_sql('bc.context', 'qs.question')} AS prompt FROM qs JOIN bc ON bc.qid = qs.item_id",
-    "generate_answers": _BQ + f" SELECT qid AS item_id, {first_words('top1')} AS answer FROM bc",
-    "rag_batch": _BQ + f""" SELECT qs.item_id, {n_words(prompt_sql('bc.context', 'qs.question'))} AS prompt_tokens,
-        {first_words('bc.context')} AS answer FROM qs JOIN bc ON bc.qid = qs.item_id""",
+    "generate_answers": _BQ + f" SELECT item_id, coalesce({first_words('top1')}, '') AS answer FROM qs LEFT JOIN bc ON bc.qid = qs.item_id",
+    "rag_batch": _BQ + f""" SELECT qs.item_id, {n_words(prompt_sql("coalesce(bc.context, '')", 'qs.question'))} AS prompt_tokens,
+        coalesce({first_words('bc.context')}, '') AS answer FROM qs LEFT JOIN bc ON bc.qid = qs.item_id""",
     "rag_with_sources": _BQ3 + f""" SELECT t.qid AS item_id, t.rank AS source_rank, t.chunk_id, t.doc_id,
-        {n_words(first_words('bc.top1'))} AS answer_words FROM btop t JOIN bc USING (qid)""",
+        {first_words('bc.top1')} AS answer FROM btop t JOIN bc USING (qid)""",
     "split_failures": _BQ + f""", pr AS (SELECT qs.item_id, {n_words(prompt_sql('bc.context', 'qs.question'))} AS pt,
         {n_words(first_words('bc.context'))} AS aw FROM qs JOIN bc ON bc.qid = qs.item_id)
         SELECT item_id, CASE WHEN pt <= 220 THEN 'ok' ELSE 'failed' END AS status, CASE WHEN pt <= 220 THEN aw ELSE pt END AS n FROM pr""",

@@ -14,7 +14,7 @@ from sifter.operators.evaluate import (config_report, exclude_label, mean_by_con
 from sifter.operators.knn import knn
 from sifter.operators.rag import (DEFAULT_TEMPLATE, assemble_context, fill_prompt, generate,
                                   qa_pairs, split_failures)
-from sifter.plans.common import dense_recursive_chunks, keyed_recursive_chunks, questions, table
+from sifter.plans.common import CHUNK_KEY, dense_recursive_chunks, questions, recursive_chunks, table
 from sifter.session import checkpoint_dir
 
 # Grid of the benchmark: retrieval depth x generator x encoder.
@@ -32,21 +32,30 @@ RELABEL_RULES = (
 
 
 def retrieve(chunks: DataFrame, qs: DataFrame, k: int, q_id: str = "item_id",
-             encoder: str = "hash64") -> DataFrame:
+             encoder: str = "hash64", c_id=CHUNK_KEY) -> DataFrame:
     """Top-k chunks with their text for each question of ``qs``
     (q_id, question) — both sides embedded with ``encoder``."""
     ch = embed(chunks, "chunk_text", encoder)
     qv = embed(qs, "question", encoder)
-    return knn(qv, ch, k, q_id=q_id, c_id="chunk_id", carry=["doc_id", "chunk_text"])
+    return knn(qv, ch, k, q_id=q_id, c_id=c_id, carry=["doc_id", "chunk_text"])
 
 
 def answered(spark: SparkSession, sf_dir: str, k: int = 2, generator: str = "extractive/lead",
              options: dict | None = None) -> DataFrame:
     """Benchmark questions -> top-k -> context -> prompt -> answer."""
     qs = questions(spark, sf_dir).select("item_id", "question")
-    hits = retrieve(keyed_recursive_chunks(spark, sf_dir), qs, k)
-    ctx = assemble_context(hits, "item_id")
-    rows = (qs.join(ctx, "item_id")
+    return answered_from(retrieve(recursive_chunks(spark, sf_dir), qs, k), qs, generator, options)
+
+
+def without_context(rows: DataFrame) -> DataFrame:
+    """Questions that found nothing stay, with an empty context."""
+    return rows.withColumns({"context": F.coalesce("context", F.lit("")), "n_sources": F.coalesce("n_sources", F.lit(0)),
+                             "sources": F.coalesce("sources", F.array().cast("array<string>"))})
+
+
+def answered_from(hits: DataFrame, qs: DataFrame, generator: str, options: dict | None = None) -> DataFrame:
+    """Questions answered from their hits; one without hits has no context."""
+    rows = (without_context(qs.join(assemble_context(hits, "item_id"), "item_id", "left"))
               .withColumn("prompt", fill_prompt(DEFAULT_TEMPLATE, context=F.col("context"),
                                                 question=F.col("question"))))
     return generate(rows, generator, options=options)
@@ -55,14 +64,14 @@ def answered(spark: SparkSession, sf_dir: str, k: int = 2, generator: str = "ext
 def q_context_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-2 chunk texts per question joined in rank order."""
     qs = questions(spark, sf_dir).select("item_id", "question")
-    hits = retrieve(keyed_recursive_chunks(spark, sf_dir), qs, 2)
+    hits = retrieve(recursive_chunks(spark, sf_dir), qs, 2)
     return assemble_context(hits, "item_id").select("item_id", "context", "n_sources")
 
 
 def q_prompt_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: the prompt template filled with context and question."""
     qs = questions(spark, sf_dir).select("item_id", "question")
-    hits = retrieve(keyed_recursive_chunks(spark, sf_dir), qs, 2)
+    hits = retrieve(recursive_chunks(spark, sf_dir), qs, 2)
     ctx = assemble_context(hits, "item_id")
     return qs.join(ctx, "item_id").select(
         "item_id", fill_prompt(DEFAULT_TEMPLATE, context=F.col("context"), question=F.col("question")).alias("prompt"))
@@ -82,11 +91,10 @@ def q_rag_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_rag_with_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answer plus the source chunks it was given (k = 3)."""
     qs = questions(spark, sf_dir).select("item_id", "question")
-    hits = retrieve(dense_recursive_chunks(spark, sf_dir), qs, 3)
-    ans = answered(spark, sf_dir, 3, "extractive/top1").select("item_id", "answer")
-    return (hits.join(ans, "item_id")
-                .select("item_id", F.col("rank").alias("source_rank"), "chunk_id", "doc_id",
-                        F.size(words(F.col("answer"))).cast("long").alias("answer_words")))
+    checkpoint_dir(spark)
+    hits = retrieve(dense_recursive_chunks(spark, sf_dir), qs, 3, c_id="chunk_id").checkpoint()  # the answers' sources, found once
+    ans = answered_from(hits, qs, "extractive/top1").select("item_id", "answer")
+    return hits.join(ans, "item_id").select("item_id", F.col("rank").alias("source_rank"), "chunk_id", "doc_id", "answer")
 
 
 def q_split_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +150,8 @@ def evaluated(spark: SparkSession, sf_dir: str, chunks: DataFrame, encoder: str,
     hk = hits.select("*", kk).where(F.col("rank") <= F.col("k"))
     ctx = assemble_context(hk, "qid", extra_keys=("k",))
     ll = F.explode(F.array(*[F.lit(x) for x in llms])).alias("llm")
-    rows = (qa.join(ctx, "qid").select("*", ll)
+    cells = qa.select("*", F.explode(F.array(*[F.lit(k).cast("long") for k in ks])).alias("k"))
+    rows = (without_context(cells.join(ctx, ["qid", "k"], "left")).select("*", ll)
               .withColumn("prompt", fill_prompt(DEFAULT_TEMPLATE, context=F.col("context"),
                                                 question=F.col("question"))))
     gen = generate(rows, "", llm_col="llm")
@@ -151,7 +160,7 @@ def evaluated(spark: SparkSession, sf_dir: str, chunks: DataFrame, encoder: str,
 
 def q_evaluate_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 + J2: answer the QA set (k = 2) and score against the reference."""
-    ev = evaluated(spark, sf_dir, keyed_recursive_chunks(spark, sf_dir), "hash64")
+    ev = evaluated(spark, sf_dir, recursive_chunks(spark, sf_dir), "hash64")
     return ev.select("conv_id", "turn", "answer", "score")
 
 
@@ -160,7 +169,7 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     Chunks are cut once; each encoder embeds and ranks once to the largest k."""
     # chunked once, cut from lineage in the shared folder, read by every encoder branch
     checkpoint_dir(spark)
-    chunks = keyed_recursive_chunks(spark, sf_dir).checkpoint(eager=True)
+    chunks = recursive_chunks(spark, sf_dir).checkpoint(eager=True)
     qa = qa_questions(spark, sf_dir).checkpoint(eager=True)
     parts = [evaluated(spark, sf_dir, chunks, enc, GRID_K, GRID_LLM, qa) for enc in GRID_ENCODERS]
     g = reduce(DataFrame.unionByName, parts)

@@ -13,7 +13,7 @@ from sifter.operators.chunk import (recursive_chunker, sentence_chunker, separat
 from sifter.operators.embed import embed
 from sifter.operators.ids import chunk_offsets
 from sifter.operators.knn import knn
-from sifter.plans.common import (CHUNK_POS_BITS, cleaned_documents, dense_recursive_chunks, embedded_chunks,
+from sifter.plans.common import (CHUNK_KEY, cleaned_documents, dense_recursive_chunks, embedded_chunks,
                                  questions, recursive_chunks, table)
 
 
@@ -153,16 +153,15 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> clean -> recursive chunks -> hashed TF -> cosine top-2
     per benchmark question, with dense chunk ids 0..N-1.
 
-    The search ranks on the stable key ``doc_id << 20 | chunk_pos`` (same
-    order as the dense id); dense offsets are computed on a slim
+    The search ranks on the key (doc_id, chunk_pos), which orders like the
+    dense id; dense offsets are computed on a slim
     (doc_id, n_chunks) frame and joined to the top-k rows only."""
     docs = cleaned_documents(spark, sf_dir)
     arr = docs.select("doc_id", recursive_chunker(500, 80)(F.col("content")).alias("chunks"))
     arr, offs = chunk_offsets(arr, "chunks", "doc_id")
     ch = arr.select("doc_id", F.posexplode("chunks").alias("chunk_pos", "chunk_text"))
-    ch = ch.withColumn("chunk_key", F.shiftleft(F.col("doc_id"), CHUNK_POS_BITS) + F.col("chunk_pos"))
     res = knn(questions(spark, sf_dir), embed(ch, "chunk_text", "hash64"), 2, q_id="item_id",
-              c_id="chunk_key", carry=["doc_id", "chunk_pos"])
+              c_id=CHUNK_KEY)
     return (res.join(offs, "doc_id")
                .select("item_id", "rank", (F.col("offset") + F.col("chunk_pos")).alias("chunk_id"),
                        "doc_id", "distance"))

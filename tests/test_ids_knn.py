@@ -1,8 +1,10 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from sifter.operators.ann import ann_knn, recall
-from sifter.operators.ids import dense_chunk_ids, running_offsets
+from sifter.operators import knn as K
+from sifter.operators.ann import ann_knn, build_index, recall, search
+from sifter.operators.ids import dense_chunk_ids, dense_index, running_offsets
 from sifter.operators.knn import knn
 
 
@@ -62,3 +64,56 @@ def test_ann_recall(spark):
     assert recall(full, exact, "qid", "id") == 1.0  # every cell probed, cells split in blocks
     part = ann_knn(qdf, corpus, 5, q_id="qid", c_id="id", nlist=8, nprobe=3)
     assert recall(part, exact, "qid", "id") >= 0.4
+
+
+def test_dense_index_with_many_partitions_and_a_constant_first_key(spark):
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    df = spark.createDataFrame([("same", f"k{i:04d}", i) for i in range(1000)][::-1], "a string, b string, n long")
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    try:
+        got = {r.b: r.at for r in dense_index(df, ["a", "b"], "at").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", keep)
+    assert got == {f"k{i:04d}": i for i in range(1000)}
+
+
+@pytest.mark.parametrize("plan", ["broadcast", "tiled"])
+def test_knn_ranks_small_distances_and_wide_ids(spark, plan):
+    corpus = spark.createDataFrame([(2**44 + 5, 0, [0.0006, 0.0]), (5, 0, [0.0001, 0.0]), (5, 1, None)], "doc long, pos long, embedding array<double>")
+    q = spark.createDataFrame([(1, [0.0, 0.0]), (2, None)], "qid long, embedding array<double>")
+    got = knn(q, corpus, 2, c_id=("doc", "pos"), metric="l2", plan=plan).collect()
+    assert [(r.qid, r["rank"], r.doc, r.pos, r.distance) for r in sorted(got)] == [(1, 1, 5, 0, 0.0), (1, 2, 2**44 + 5, 0, 0.0)]
+
+
+@pytest.mark.parametrize("plan", ["broadcast", "tiled", "ann"])
+def test_questions_without_vectors_match_nothing(spark, plan):
+    corpus, _ = _vectors(spark, 40, 6, 2)
+    q = spark.createDataFrame([(1, None), (2, None)], "qid long, embedding array<float>")
+    got = ann_knn(q, corpus, 3, nlist=2) if plan == "ann" else knn(q, corpus, 3, plan=plan)
+    assert got.collect() == []
+
+
+def test_running_topk_keeps_k_for_each_question():
+    import pandas as pd
+    rng = np.random.default_rng(1)
+    Q = rng.normal(size=(10, 4))
+    batches = [pd.DataFrame({"id": range(i * 500, i * 500 + 500), "v": list(rng.normal(size=(500, 4)))}) for i in range(8)]
+    prepared, q_sq, _ = K._prepare(Q, "cosine")
+    out = list(K._running_topk((K._scored(b, "v", ["id"], [], "qid", np.arange(10), prepared, q_sq, 2, "cosine") for b in batches), "qid", ["id"], 2))
+    assert len(out) == 1 and len(out[0]) == 20  # one frame a task: k for each question
+    allv = np.vstack([np.stack(b["v"]) for b in batches])
+    d = 1 - (allv / np.linalg.norm(allv, axis=1, keepdims=True)) @ prepared.T
+    assert {(r.qid, r.id) for r in out[0].itertuples()} == {(j, int(i)) for j in range(10) for i in np.argsort(d[:, j])[:2]}
+
+
+def test_stored_index_is_reopened_and_pruned(spark, tmp_path):
+    corpus, m = _vectors(spark, 400, 8, 9)
+    build_index(corpus, f"{tmp_path}/ix", nlist=8)
+    one = spark.createDataFrame([(7, [float(x) for x in m[7]])], "qid long, embedding array<float>")
+    hit = search(spark, f"{tmp_path}/ix", one, 3, nprobe=2)
+    assert hit.first()["id"] == 7
+    plan = hit._jdf.queryExecution().toString()
+    assert "PartitionFilters: [_cell" in plan.replace("isnotnull(_cell", "[_cell") or "_cell#" in plan and "PartitionFilters: []" not in plan
+    everything = corpus.select(F.col("id").alias("qid"), "embedding")
+    exact = knn(everything, corpus, 5)
+    assert recall(search(spark, f"{tmp_path}/ix", everything, 5, nprobe=6), exact, "qid", "id") >= 0.9
