@@ -2,15 +2,16 @@
 
 The documents of a task, in their order, form one stream of tokens, each ended
 by ``end_id``. Windows of at most ``length`` tokens cover it in order, cut at
-document ends (free), sentence ends (SENTENCE) or, where no such boundary is
-within reach, between words or tokens (HARD). The cost of a window is its
+document ends (free), sentence ends (SENTENCE) or within long sentences and the
+stream's last window (HARD). The cost of a window is its
 padding, ``length`` less its tokens, or nothing if that number is a power of
 two, plus the penalty of the cut that ends it. The least total is found by
 
     f[j] = penalty[j] + length - at[j] + min(f[i] + at[i]),  at[j] - at[i] <= length
 
 whose minimum over the sliding range of i is kept by a monotone queue, and by a
-look at the boundaries that lie a power of two before j.
+look at the boundaries that lie a power of two before j (below SHORT only where
+the stream ends).
 
 Tokens are never shuffled: each task tokenises, packs and cuts its own rows in
 their order (a file's rows in file order), so the order within a task is kept
@@ -39,18 +40,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.words import spans
-
 LENGTH = 4096
 BLOCK = 1 << 20
 SENTENCE, HARD = 4.0, 64.0
+#: A sentence of more than GAP tokens may be cut at every STEP-th.
+GAP, STEP = 64, 16
+#: Windows of a power of two below this are tried for the end of a stream alone; elsewhere they would only add windows.
+SHORT = 256
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
 #: Words and parts of words whose ids a worker keeps, and new ones tokenised at once.
 KEPT, KEPT_PARTS, AT_ONCE = 600_000, 1_000_000, 20_000
 _TOKENIZERS: dict[str, tuple] = {}
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_ENDS = np.zeros(256, bool)
-_ENDS[[0x21, 0x2E, 0x3F]] = True
+_CONTROL = re.compile("[\x1c-\x1f]")
 
 
 class Words(dict):
@@ -64,8 +66,12 @@ class Words(dict):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.parts: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a sentence if they end a word
+        self.ends[[i for t, i in vocabulary.items() if t.removesuffix("</w>")[-1:] in (".", "!", "?")]] = True
         ids = lambda s: self.tokenizer.encode(s, add_special_tokens=False).ids
-        self.splits = all(ids(w + m) == ids(w.lower()) + ids(m) for w in ("Straße", "ÉTÉ", "a", "Internationale") for m in (".", "...", "?!", ",;:"))
+        self.splits = all(ids(a + w + b) == ids(a) + ids(w.lower()) + ids(b) for w in ("Straße", "ÉTÉ", "s", "Internationale")
+                          for a in ("", "(", "$$$", "_") for b in ("", ".", "...", "?!", "'", "###", "_", ",;:"))
 
     def _encoded(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         for at in range(0, len(words), AT_ONCE):
@@ -90,17 +96,18 @@ class Words(dict):
             self.parts.clear()
         whole, made = [], []
         for w in new:
-            m = _SIMPLE.fullmatch(w) if self.splits else None
+            m = _SIMPLE.fullmatch(w) if self.splits and "<|" not in w else None
             if m:
-                made.append((w, m[1].lower(), m[2]))
+                made.append((w, m[1], m[2].lower(), m[3]))
             else:
                 whole.append(w)
         self.update(self._encoded(whole))
         self.parts.update(self._encoded([p for p in {p for x in made for p in x[1:]} if p not in self.parts]))
-        self.update((w, self.parts[a] + self.parts[b]) for w, a, b in made)
+        self.update((w, self.parts[a] + self.parts[b] + self.parts[c]) for w, a, b, c in made)
 
 
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: Marks, letters, marks; an apostrophe before letters can belong to them, and "<|" can open a special token.
+_SIMPLE = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
 def _words(path: str) -> Words:
@@ -114,14 +121,13 @@ def _words(path: str) -> Words:
 
 def tokenized(text: str, words: Words) -> tuple[bytes, np.ndarray]:
     """(packed ids, token positions after the words that end a sentence)."""
-    raw = np.frombuffer(text.encode(errors="replace"), np.uint8)
-    starts, ends, _ = spans(raw, np.array([0, len(raw)]))
-    if not len(starts):
-        return b"", np.zeros(0, np.int64)
-    found = _WORD.findall(text)
+    # split() also parts at other white space, as the vocabularies do, and at four control characters, as they don't
+    found = _WORD.findall(text) if _CONTROL.search(text) else text.split()
     ids = words.of(found)
+    packed = b"".join(ids)
     after = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // 4
-    return b"".join(ids), after[_ENDS[raw[ends - 1]]]
+    after = after[after > 0]
+    return packed, after[words.ends[np.frombuffer(packed, np.uint32)[after - 1]]]
 
 
 def cuts(at: np.ndarray, penalty: np.ndarray, length: int = LENGTH) -> list[int]:
@@ -133,9 +139,11 @@ def cuts(at: np.ndarray, penalty: np.ndarray, length: int = LENGTH) -> list[int]
     exact: dict[int, list[int]] = {}
     k = 1
     while k <= length:  # boundaries that lie a power of two before another
-        i = np.searchsorted(at, at - k)
-        for j in np.flatnonzero((at >= k) & (at[np.minimum(i, n - 1)] == at - k)).tolist():
-            exact.setdefault(j, []).append(int(i[j]))
+        some = np.flatnonzero(at >= (k if k >= min(SHORT, length // 16) else max(k, at[-1] - length)))  # short windows: only near the end
+        i = np.searchsorted(at, at[some] - k)
+        hit = at[i] == at[some] - k
+        for j, e in zip(some[hit].tolist(), i[hit].tolist(), strict=True):
+            exact.setdefault(j, []).append(e)
         k *= 2
     f, back = [0.0] * n, [0] * n
     queue: deque[int] = deque([0])  # f[i] + pos[i] rises from left to right
@@ -185,8 +193,8 @@ class _Stream:
             may[at] = True
             kind[at] = 0.0
         pos = np.flatnonzero(may)
-        for a, b in zip(pos[:-1][gap := np.diff(pos) > self.length], pos[1:][gap], strict=True):
-            may[a + 1:b] = True
+        for a, b in zip(pos[:-1][gap := np.diff(pos) > GAP], pos[1:][gap], strict=True):
+            may[a + STEP:b:STEP] = True
         if last:  # a short end may be parted into powers of two
             may[max(0, self.size - self.length):] = True
         pos = np.flatnonzero(may)
