@@ -56,11 +56,6 @@ def digit_tokens(c) -> Column:
     return F.filter(words(c), lambda x: x.rlike("^[0-9]+$"))
 
 
-def contains_domain(c, root: str) -> Column:
-    """Substring test used to keep links inside a site (``str.find != -1``)."""
-    return _c(c).contains(root)
-
-
 def url_host(c) -> Column:
     """Host of an absolute URL, null when it does not parse."""
     return F.try_parse_url(_c(c), F.lit("HOST"))

@@ -1,14 +1,15 @@
 """Chunkers: text column -> ``array<string>`` column, and the frame-level
 split that explodes chunks while carrying the document's other columns.
 
-Packing contract (shared by every separator-based chunker): pieces are
-appended greedily while the running length stays within ``size``; when the
-next piece does not fit, the current pieces are emitted (joined by the
-separator, stripped), then pieces are dropped from the front until what is
-left is at most ``overlap`` long and leaves room for the next piece. A single
-piece longer than ``size`` is emitted whole.
-
-The fold is sequential inside one document, parallel across documents, so it
+Packing contract (shared by every separator-based chunker), on the running
+positions ``at`` of the pieces with their separators: a chunk that starts at
+piece ``s`` ends at the last piece within ``size`` of it, or after one piece
+that is longer; the next chunk starts at the first piece that is within
+``overlap`` of that end and leaves room for the piece after it. Chunks are
+joined by the separator and stripped; empty ones are left out. Both limits are
+found by bisection.
+
+Cutting is sequential inside one document, parallel across documents, so it
 runs as an Arrow-batched ``pandas_udf`` (one Python call per batch of rows).
 The token chunker is a pure SQL expression.
 """
@@ -16,8 +17,9 @@ The token chunker is a pure SQL expression.
 from __future__ import annotations
 
 import re
-from collections import deque
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Sequence
+from itertools import accumulate, groupby, pairwise
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -39,63 +41,41 @@ def pack(pieces: Sequence[str], size: int, overlap: int, sep: str = "",
          length: Callable[[str], int] = len) -> list[str]:
     """``length`` measures pieces and the separator (X3: characters by
     default; a token counter makes ``size`` a token budget)."""
-    seplen = length(sep)
-    out: list[str] = []
-    cur: deque[str] = deque()
-    total = 0
-    for d in pieces:
-        ld = length(d)
-        if cur and total + ld + seplen > size:
-            text = sep.join(cur).strip()
-            if text:
-                out.append(text)
-            while cur and (total > overlap or total + ld + seplen > size):
-                total -= length(cur[0]) + (seplen if len(cur) > 1 else 0)
-                cur.popleft()
-        total += ld + (seplen if cur else 0)
-        cur.append(d)
-    text = sep.join(cur).strip()
-    if text:
-        out.append(text)
-    return out
-
-
-def _split_keep_head(text: str, sep: str) -> list[str]:
-    """Split on a literal separator, which stays at the head of the next piece."""
-    if sep == "":
+    gap = length(sep)
+    at = [0, *accumulate(length(p) + gap for p in pieces)]
+    chunks, start, end = [], 0, 0
+    while end < len(pieces):
+        end = max(start + 1, bisect_right(at, at[start] + gap + size) - 1)
+        chunks.append(sep.join(pieces[start:end]).strip())
+        if end < len(pieces):
+            near, room = bisect_left(at, at[end] - gap - overlap), bisect_left(at, at[end + 1] - gap - size)
+            start = max(start, min(end, max(near, room)))
+    return [c for c in chunks if c]
+
+
+def _headed(text: str, sep: str) -> list[str]:
+    """The pieces between separators, each after the first with its separator in front."""
+    if not sep:
         return list(text)
-    parts = text.split(sep)
-    pieces = [parts[0]] + [sep + p for p in parts[1:]]
-    return [p for p in pieces if p]
+    cuts = [0, *(m.start() for m in re.finditer(re.escape(sep), text)), len(text)]
+    return [text[a:b] for a, b in pairwise(cuts) if a < b]
 
 
 def split_recursive(text: str, size: int = 500, overlap: int = 80,
                     separators: Sequence[str] = RECURSIVE_SEPARATORS,
                     length: Callable[[str], int] = len) -> list[str]:
-    sep, rest = separators[-1], ()
-    for i, s in enumerate(separators):
-        if s == "":
-            sep = ""
-            break
-        if s in text:
-            sep, rest = s, tuple(separators[i + 1:])
-            break
-    out: list[str] = []
-    good: list[str] = []
-    for p in _split_keep_head(text, sep):
-        if length(p) < size:
-            good.append(p)
-            continue
-        if good:
-            out.extend(pack(good, size, overlap, "", length))
-            good = []
-        if rest:
-            out.extend(split_recursive(p, size, overlap, rest, length))
+    """Pieces at the first separator that occurs; runs of short pieces are
+    packed, each long one is split at the separators that follow."""
+    found = next((i for i, s in enumerate(separators) if s in text), len(separators) - 1)
+    finer = separators[found + 1:] if separators[found] else ()
+    chunks: list[str] = []
+    for short, run in groupby(_headed(text, separators[found]), key=lambda p: length(p) < size):
+        if short:
+            chunks += pack(list(run), size, overlap, "", length)
         else:
-            out.append(p)
-    if good:
-        out.extend(pack(good, size, overlap, "", length))
-    return out
+            for piece in run:
+                chunks += split_recursive(piece, size, overlap, finer, length) if finer else [piece]
+    return chunks
 
 
 def split_separator(text: str, size: int = 1000, overlap: int = 200, separator: str = "\n\n",
@@ -155,14 +135,6 @@ def token_chunker(size: int = 1024, overlap: int = 0) -> Callable[[Column], Colu
     return chunker
 
 
-CHUNKERS: dict[str, Callable[..., Callable[[Column], Column]]] = {
-    "recursive": recursive_chunker,
-    "separator": separator_chunker,
-    "sentence": sentence_chunker,
-    "tokens": token_chunker,
-}
-
-
 # --------------------------------------------------------------------------
 # Frame-level split (documents -> chunks)
 # --------------------------------------------------------------------------

@@ -19,13 +19,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sifter.session import ensure_parallelism
-
 # Elements that never have content, and raw-text elements
 # whose content is not document text.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
         "source", "track", "wbr"}
 SKIP_TEXT = {"script", "style", "template", "noscript"}
+# An open element of the first kind ends where one of the others
+# begins, unless an element of its boundary is open in between.
+IMPLIED_END = {
+    "p": {"address", "article", "aside", "blockquote", "div", "dl", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
+          "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"},
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"}, "optgroup": {"optgroup"},
+    "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}, "tr": {"tr", "tbody", "tfoot"},
+    "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"},
+}
+BOUNDARY = {"ul", "ol", "dl", "table", "select", "button", "div", "article", "section", "nav", "body", "#root"}
 _WS = re.compile(r"\s+")
 
 
@@ -46,24 +54,30 @@ class Node:
             p = p.parent
 
     def iter(self):
-        for c in self.children:
-            if isinstance(c, Node):
+        """The elements below, in document order, however deep they nest."""
+        stack = [iter(self.children)]
+        while stack:
+            c = next(stack[-1], None)
+            if c is None:
+                stack.pop()
+            elif isinstance(c, Node):
                 yield c
-                yield from c.iter()
+                stack.append(iter(c.children))
 
     def raw_text(self) -> str:
         out: list[str] = []
-        self._collect(out)
-        return "".join(out)
-
-    def _collect(self, out: list[str]) -> None:
-        for c in self.children:
-            if isinstance(c, str):
+        stack = [iter(self.children)]
+        while stack:
+            c = next(stack[-1], None)
+            if c is None:
+                stack.pop()
+                out.append(" ")
+            elif isinstance(c, str):
                 out.append(c)
             elif c.tag not in SKIP_TEXT:
                 out.append(" ")
-                c._collect(out)
-                out.append(" ")
+                stack.append(iter(c.children))
+        return "".join(out)
 
     def text(self) -> str:
         return _WS.sub(" ", self.raw_text()).strip()
@@ -75,7 +89,17 @@ class _TreeBuilder(HTMLParser):
         self.root = Node("#root", {})
         self.cur = self.root
 
+    def _imply_ends(self, tag):
+        n = self.cur
+        while n.tag not in BOUNDARY:
+            if tag in IMPLIED_END.get(n.tag, ()):
+                self.cur = n.parent
+                n = self.cur
+            else:
+                n = n.parent
+
     def handle_starttag(self, tag, attrs):
+        self._imply_ends(tag)
         node = Node(tag, dict(attrs), self.cur)
         self.cur.children.append(node)
         if tag not in VOID:
@@ -240,9 +264,10 @@ def parse_fields(html: str | None, fields: list[Field]) -> dict:
 
 
 def extract(df: DataFrame, html_col: str, fields: list[Field], keep: list[str] | None = None,
-            error_col: str | None = None) -> DataFrame:
-    """Add one column per field (parsed once per page). With ``error_col``
-    a page whose parse raises keeps null fields and the error message."""
+            error_col: str | None = "parse_error") -> DataFrame:
+    """Add one column per field (parsed once per page). A page whose parse
+    raises keeps null fields and the error message in ``error_col``
+    (``dead_pages`` lists those); with ``error_col=None`` it fails the task."""
     keep = [c for c in (keep if keep is not None else df.columns) if c != html_col]
     schema = T.StructType([df.schema[c] for c in keep] +
                           [T.StructField(f.name, f.spark_type(), True) for f in fields] +
@@ -267,8 +292,12 @@ def extract(df: DataFrame, html_col: str, fields: list[Field], keep: list[str] |
             extra = pd.DataFrame.from_records(recs, columns=names + ([error_col] if error_col else []))
             yield pd.concat([out, extra], axis=1)
 
-    src = ensure_parallelism(df.select(*keep, html_col))
-    return src.mapInPandas(run, schema)
+    return df.select(*keep, html_col).mapInPandas(run, schema)
+
+
+def dead_pages(extracted: DataFrame, error_col: str = "parse_error") -> DataFrame:
+    """The rows whose page could not be parsed."""
+    return extracted.where(F.col(error_col).isNotNull())
 
 
 # ------------------------------------------------------------------ SQL helpers

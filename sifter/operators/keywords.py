@@ -1,4 +1,4 @@
-"""Keywords and extractive summaries as grouped Spark jobs.
+"""Keywords and extractive summaries, row by row (no shuffle).
 
 keywords: letter-run tokens (lower case, 2+ letters, stop words removed)
 counted per document; top ``n`` by (count desc, token).
@@ -9,7 +9,10 @@ re-joined in text order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections import Counter
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifter.functions.text import WS_RUN
@@ -42,33 +45,43 @@ def sentences(text) -> Column:
     return F.filter(parts, lambda s: s != "")
 
 
-def keyword_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    toks = df.select(id_col, F.explode(keyword_tokens(text_col)).alias("keyword"))
-    return toks.groupBy(id_col, "keyword").agg(F.count(F.lit(1)).alias("cnt"))
+def _most_frequent(tokens, n: int) -> list[tuple[str, int]]:
+    return sorted(Counter(tokens).items(), key=lambda x: (-x[1], x[0]))[:n]
+
+
+def top_keywords(text, n: int = 10) -> Column:
+    """array<struct<keyword, cnt>>: the ``n`` most frequent (ties by keyword).
+    Tokens are cut on the JVM side and counted per row in an Arrow batch."""
+    @F.pandas_udf("array<struct<keyword:string,cnt:bigint>>")
+    def top(tokens: pd.Series) -> pd.Series:
+        return tokens.map(lambda t: None if t is None else [{"keyword": k, "cnt": c} for k, c in _most_frequent(t, n)])
+    return top(keyword_tokens(text))
 
 
 def keywords_topn(df: DataFrame, id_col: str, text_col: str, n: int = 10) -> DataFrame:
-    """(id, rank, keyword, cnt) for the ``n`` most frequent keywords."""
-    w = Window.partitionBy(id_col).orderBy(F.col("cnt").desc(), F.col("keyword"))
-    return (keyword_counts(df, id_col, text_col)
-            .withColumn("rank", F.row_number().over(w).cast("long"))
-            .where(F.col("rank") <= n)
-            .select(id_col, "rank", "keyword", "cnt"))
+    """(id, rank, keyword, cnt) for the ``n`` most frequent keywords, row by row."""
+    return (df.select(id_col, F.posexplode(top_keywords(text_col, n)).alias("_p", "_k"))
+              .select(id_col, (F.col("_p") + 1).cast("long").alias("rank"), "_k.keyword", "_k.cnt"))
+
+
+def summary(text, n_keywords: int = 10, n_sentences: int = 5) -> Column:
+    """The best sentences joined by a space in text order; null without any."""
+    @F.pandas_udf("string")
+    def best(parts: pd.Series, tokens: pd.Series, every: pd.Series) -> pd.Series:
+        def one(sents, toks, all_):
+            if sents is None or not len(sents):
+                return None
+            weight = dict(_most_frequent(all_, n_keywords))
+            score = [sum(weight.get(t, 0) for t in ts) / max(len(ts), 1) for ts in toks]
+            chosen = sorted(sorted(range(len(score)), key=lambda i: (-score[i], i))[:n_sentences])
+            return " ".join(sents[i] for i in chosen)
+        return pd.Series([one(*x) for x in zip(parts, tokens, every, strict=True)], dtype=object)
+    s = sentences(text)
+    return best(s, F.transform(s, keyword_tokens), keyword_tokens(text))
 
 
 def summary_topn(df: DataFrame, id_col: str, text_col: str, n_keywords: int = 10,
                  n_sentences: int = 5) -> DataFrame:
-    """(id, summary): best sentences joined by a space in text order."""
-    kw = keywords_topn(df, id_col, text_col, n_keywords).select(id_col, "keyword", "cnt")
-    sents = df.select(id_col, F.posexplode(sentences(text_col)).alias("spos", "sentence"))
-    toks = sents.select(id_col, "spos", F.explode_outer(keyword_tokens("sentence")).alias("keyword"))
-    scored = (toks.join(kw, [id_col, "keyword"], "left")
-                  .groupBy(id_col, "spos")
-                  .agg((F.coalesce(F.sum("cnt"), F.lit(0)) /
-                        F.greatest(F.count("keyword"), F.lit(1))).alias("score")))
-    w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("spos"))
-    best = scored.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n_sentences)
-    picked = best.join(sents, [id_col, "spos"])
-    ordered = F.array_sort(F.collect_list(F.struct("spos", "sentence")))
-    return picked.groupBy(id_col).agg(F.array_join(F.transform(ordered, lambda x: x["sentence"]), " ")
-                                      .alias("summary"))
+    """(id, summary) of the rows with a sentence, row by row."""
+    out = df.select(id_col, summary(text_col, n_keywords, n_sentences).alias("summary"))
+    return out.where(F.col("summary").isNotNull())

@@ -23,14 +23,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sifter.functions.text import strip_ws
+from sifter.functions.text import strip_ws, truncate_words
 
 DEFAULT_TEMPLATE = (
-    "Context information is below.\n"
-    "---------------------\n"
-    "{context}\n"
-    "---------------------\n"
-    "Using only this information, answer the question: {question}\n"
+    "Sources, best first:\n\n"
+    "{context}\n\n"
+    "Reply to the question from these sources alone.\n"
+    "Question: {question}\n"
 )
 _SLOT = re.compile(r"\{([A-Za-z_][A-Za-z0-9_]*)\}")
 
@@ -104,11 +103,20 @@ def extractive_lead(max_new_tokens: int = 256, max_prompt_tokens: int | None = N
     return gen
 
 
+def extractive_prompt(max_new_tokens: int = 256, max_prompt_tokens: int | None = None):
+    """Deterministic stand-in model that sees the prompt alone: its first
+    words, as far as the context window goes."""
+    def gen(row: dict) -> str:
+        return " ".join(_words(row.get("prompt"))[:max_prompt_tokens][:max_new_tokens])
+    return gen
+
+
 # name -> factory(**options) -> row -> answer. Model-backed generators are
 # registered the same way; the factory runs once per task.
 GENERATORS: dict[str, Callable[..., Callable[[dict], str]]] = {
     "extractive/top1": extractive_top1,
     "extractive/lead": extractive_lead,
+    "extractive/prompt": extractive_prompt,
 }
 
 
@@ -116,6 +124,11 @@ def register_generator(name: str, factory: Callable[..., Callable[[dict], str]])
     GENERATORS[name] = factory
 
 
+def truncated(prompt: Column, max_tokens: int) -> Column:
+    """A prompt cut to a model's context window (X5), for generators that should answer rather than fail."""
+    return truncate_words(prompt, max_tokens)
+
+
 def generate(df: DataFrame, generator: str | Callable[[dict], str], out_col: str = "answer",
              options: dict | None = None, llm_col: str | None = None) -> DataFrame:
     """Adds ``out_col`` (stripped answer, null on failure), ``time`` (seconds
@@ -166,6 +179,20 @@ def split_failures(df: DataFrame, error_col: str = "error") -> tuple[DataFrame,
     return df.where(F.col(error_col).isNull()), df.where(F.col(error_col).isNotNull())
 
 
+def answer_questions(questions: DataFrame, hits: DataFrame, q_id: str, generator: str, template: str = DEFAULT_TEMPLATE,
+                     options: dict | None = None) -> DataFrame:
+    """Questions (q_id, question, ...) answered from their ranked hits; one
+    without hits is asked with an empty context."""
+    rows = without_context(questions.join(assemble_context(hits, q_id), q_id, "left"))
+    return generate(rows.withColumn("prompt", fill_prompt(template, context=F.col("context"), question=F.col("question"))), generator, options=options)
+
+
+def without_context(rows: DataFrame) -> DataFrame:
+    """Questions that found nothing stay, with an empty context."""
+    return rows.withColumns({"context": F.coalesce("context", F.lit("")), "n_sources": F.coalesce("n_sources", F.lit(0)),
+                             "sources": F.coalesce("sources", F.array().cast("array<string>"))})
+
+
 # ------------------------------------------------------------------ chat history
 
 def history_window(order_col: str = "turn", key: str = "conv_id", max_turns: int | None = None):

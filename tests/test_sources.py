@@ -9,7 +9,7 @@ from sifter.sources import collection as coll
 from sifter.sources.files import (parse_files, read_csv, read_csv_skip_bad, read_lines, rows_to_documents,
                                   scan_by_kind, scan_tree, write_lines)
 
-QA = 'question,reponse\n"q1","r1"\n"q2, long","r2","extra"\nq3\n"q4\nsecond line","r4"\n'
+QA = 'question,reponse\n"q1","r1"\n"q2, long","r2","extra"\nq3\n"q4\nsecond line","r4"\nq5,r5,\nq6,r6,,,\n"q7,,",r7\n'
 
 
 def _file(content: str, name: str) -> str:
@@ -23,7 +23,7 @@ def _file(content: str, name: str) -> str:
 def test_csv_skip_bad_lines(spark):
     schema = T.StructType([T.StructField("question", T.StringType()), T.StructField("reponse", T.StringType())])
     got = [tuple(r) for r in read_csv_skip_bad(spark, _file(QA, "qa.csv"), schema).collect()]
-    assert got == [("q1", "r1"), ("q3", None), ("q4\nsecond line", "r4")]  # too-long line skipped, short padded
+    assert got == [("q1", "r1"), ("q3", None), ("q4\nsecond line", "r4"), ("q7,,", "r7")]  # too-long lines skipped, surplus empty fields too; short padded
 
 
 def test_csv_multiline_and_lines_roundtrip(spark):
@@ -75,3 +75,27 @@ def test_collection_insert_if_absent(spark):
 def test_metadata_scalars(spark):
     df = spark.createDataFrame([('{"a": "x", "n": 3, "b": true, "l": [1], "o": {"k": 1}, "z": null}',)], "j string")
     assert df.select(scalar_metadata("j").alias("m")).first().m == {"a": "x", "n": "3", "b": "true"}
+    odd = spark.createDataFrame([('{"t": "[draft] title", "u": "{x}", "o": [1]}',), (None,)], "j string")
+    assert [r.m for r in odd.select(scalar_metadata("j").alias("m")).collect()] == [{"t": "[draft] title", "u": "{x}"}, None]
+
+
+def test_collection_keeps_whole_rows_and_few_files(spark, tmp_path):
+    schema = "id string, document string, metadata map<string,string>, embedding array<float>"
+    coll.get_or_create(spark, str(tmp_path), "c")
+    rows = [(str(i), None if i % 10 == 0 else f"d{i}", {"link": f"l{i % 3}"}, [float(i), 1.0]) for i in range(2000)]
+    coll.add(spark, str(tmp_path), "c", spark.createDataFrame(rows, schema).repartition(8))
+    got = {r.id: (r.document, r.metadata, list(r.embedding), r.link) for r in coll.rows(spark, str(tmp_path), "c").collect()}
+    assert got == {i: (d, m, e, m["link"]) for i, d, m, e in rows}
+    files = [f for _, _, names in os.walk(f"{tmp_path}/c/data") for f in names if f.endswith(".parquet")]
+    assert len(files) <= coll.N_BUCKETS
+    plan = coll.rows(spark, str(tmp_path), "c").where("link = 'l1'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(link,l1)" in plan
+
+
+def test_broken_collection_is_an_error(spark, tmp_path):
+    import pytest
+    os.makedirs(f"{tmp_path}/c/meta")
+    with open(f"{tmp_path}/c/meta/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|read"):
+        coll.get_or_create(spark, str(tmp_path), "c")
