@@ -8,11 +8,14 @@ with its value, and two classes collide once for each token they share.
 
 Linked classes collide at least ``matches`` times, but for a chance below MISS
 each, so they share a token among the COORDS - matches + 1 first tokens of
-either in any common order (prefix). The order is rarest first, by a count
-sketch of fixed size, so that passages that many texts share end up beyond the
-prefix; only prefix tokens are posted. The lists skipped are counted from the
-signatures (one byte a coordinate) carried along: pairs with fewer than
-``matches`` equal bytes, or of too different sizes, go at once. What is left is
+either in any common order (prefix). The order is rarest first, so that tokens
+of one class alone fill the prefix of a text without near copies, which then
+posts nothing, and passages that many texts share end up beyond it. Tokens are
+counted in one exchange and only shared ones go back to their classes, so what
+is posted is small. The lists skipped
+are counted from signatures carried along, SIGNATURE bytes for each class that
+posts: pairs with fewer equal bytes than a link has but for a chance of MISS, or
+of too different sizes, go at once. What is left is
 confirmed on the full shingle sets (100 * intersection >= percent * union).
 
 Lists are never turned into all their pairs. First every class is tried with
@@ -41,14 +44,13 @@ from pyspark.sql import functions as F
 from sifter.llm.words import LOWER, blocks, mixed, span_hashes, spans, text_bytes, window_hashes
 from sifter.session import checkpoint_dir
 
-COORDS, MISS = 64, 1e-6
-SKETCH_BITS = 17
+COORDS, SIGNATURE, MISS = 64, 64, 1e-6
 #: Members of a list compared with the others in the first full round; the next ones take GROWTH times as many.
 HEADS, GROWTH = 16, 8
 _RNG = np.random.default_rng(7)
 _XOR = _RNG.integers(0, 2**64, 1024, dtype=np.uint64)
 _MUL = _RNG.integers(0, 2**64, 1024, dtype=np.uint64) | np.uint64(1)
-_BYTES = [f"s{i}" for i in range(COORDS // 8)]
+_BYTES = [f"s{i}" for i in range(SIGNATURE // 8)]
 
 
 def least_matches(percent: int, coords: int = COORDS, miss: float = MISS) -> int:
@@ -101,62 +103,30 @@ def _signed(size: int):
     return found
 
 
-def _signatures(batch: pa.RecordBatch) -> np.ndarray:
-    """rows x COORDS tokens."""
-    return batch["sig"].flatten().to_numpy().view(np.uint64).reshape(-1, COORDS)
-
-
-def _sketch(reps: DataFrame) -> np.ndarray:
-    """Tokens per bucket: 2^SKETCH_BITS numbers, however many documents there are."""
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for b in batches:
-            total += np.bincount((_signatures(b) >> np.uint64(64 - SKETCH_BITS)).ravel().astype(np.int64), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
-
-    t = reps.select("sig").mapInArrow(counted, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
-    out[t["at"].to_numpy()] = t["n"].to_numpy()
-    return out
-
-
 def _postings(reps: DataFrame, prefix: int) -> DataFrame:
-    """(token, id): each class under its ``prefix`` rarest tokens."""
-    rare = reps.sparkSession.sparkContext.broadcast(_sketch(reps))
-
-    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            tokens = _signatures(b)
-            often = rare.value[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-            order = np.lexsort((tokens, often), axis=1)[:, :prefix]
-            yield pa.RecordBatch.from_arrays([pa.array(np.take_along_axis(tokens, order, 1).ravel().view(np.int64)),
-                                              pa.array(np.repeat(b["id"].to_numpy(), prefix))], names=["token", "id"])
-
-    return reps.select("id", "sig").mapInArrow(posted, "token bigint, id bigint")
-
-
-def _small(reps: DataFrame) -> DataFrame:
-    """(id, n, s0..): one byte of each coordinate, eight to a number."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            words = (_signatures(b) & np.uint64(255)).astype(np.uint8).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b["id"], b["n"]] + [pa.array(np.ascontiguousarray(words[:, i])) for i in range(len(_BYTES))],
-                                             names=["id", "n", *_BYTES])
-
-    return reps.select("id", "n", "sig").mapInArrow(cut, "id bigint, n bigint, " + ", ".join(f"{s} bigint" for s in _BYTES))
-
-
-def _may_link(a: str, b: str, percent: int, matches: int) -> Column:
+    """(token, id, p): each class under those of its ``prefix`` rarest tokens
+    that others have too; ``p``, the classes that its tokens lead to, is large for
+    one that has what many share and little else."""
+    tokens = reps.select("id", F.explode("sig").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    held = tokens.join(shared, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("m", "token"))).alias("t"))
+    within = F.size("t") - (COORDS - prefix)  # the others come first
+    popular = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a + x["m"])
+    return held.where(within > 0).select("id", popular.alias("p"), F.explode(F.slice("t", F.lit(1), within)).alias("t")).select("t.token", "id", "p")
+
+
+def _may_link(a: str, b: str, percent: int) -> Column:
     """Enough equal signature bytes, and sizes near enough for a link."""
-    differ = F.lit(0)
-    for s in _BYTES:
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    may, differ = F.least(n, m) * 100 >= F.greatest(n, m) * percent, F.lit(0)
+    for k, s in enumerate(_BYTES, 1):
         z = F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))
-        for k in (4, 2, 1):  # the lowest bit of each byte becomes the OR of its eight
-            z = z.bitwiseOR(F.shiftrightunsigned(z, k))
+        for bits in (4, 2, 1):  # the lowest bit of each byte becomes the OR of its eight
+            z = z.bitwiseOR(F.shiftrightunsigned(z, bits))
         differ = differ + F.bit_count(z.bitwiseAND(F.lit(0x0101010101010101)))
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (differ <= COORDS - matches)
+        if k in (8, len(_BYTES)):  # most pairs fail on the first 64
+            may = may & (differ <= 8 * k - least_matches(percent, 8 * k))
+    return may
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -208,37 +178,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .withColumn("id", F.monotonically_increasing_id()).checkpoint())
 
     posted = _postings(reps, COORDS - matches + 1)
-    lists = posted.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("head")).where("m > 1")
-    posted = posted.join(lists, "token").select("token", "id", "head").checkpoint()
+    lists = posted.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.max(F.struct("p", "id")).alias("top")).where("m > 1")
+    posted = posted.join(lists, "token").select("token", "id", "p", F.col("top.id").alias("head")).checkpoint()
     some = posted.select("id").distinct().checkpoint()
-    small = _small(reps.join(some, "id", "left_semi")).checkpoint()
     labels = some.select("id", F.col("id").alias("label"))
     wanted = reps.join(some, "id", "left_semi").select("id", F.coalesce("doc_id", F.lit(0)).alias("row"), "key")
     texts = d.withColumn("row", F.coalesce("doc_id", F.lit(0))).join(wanted, ["row", "key"]).select("id", "text")
-    sets = texts.mapInArrow(_sets(shingle), "id bigint, shingles array<bigint>").dropDuplicates(["id"]).checkpoint()
+    sets = texts.mapInArrow(_sets(shingle), "id bigint, n bigint, " + ", ".join(f"{b} bigint" for b in _BYTES) + ", shingles array<bigint>").checkpoint()
+    small = sets.drop("shingles").dropDuplicates(["id"]).checkpoint()
 
     tried = posted.where("id <> head").groupBy("id", "head").agg(F.count(F.lit(1)).alias("c")).groupBy("id").agg(F.max(F.struct("c", "head")).alias("h"))
     pairs = (tried.select("id", F.col("h.head").alias("head")).join(small.alias("x"), "id").alias("x")
                   .join(small.withColumnRenamed("id", "head").alias("y"), "head")
-                  .where(_may_link("x", "y", percent, matches)).select(F.col("head").alias("a"), F.col("id").alias("b")))
+                  .where(_may_link("x", "y", percent)).select(F.col("head").alias("a"), F.col("id").alias("b")))
     labels = contract(labels, _confirmed(pairs, sets, percent).checkpoint())
 
-    heads, left = HEADS, posted.select("token", "id")
+    heads, left = HEADS, posted.select("token", "id", "p")
     while True:
         x = left.join(labels, "id")
         g = (x.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"),
-                                    F.min(F.struct(F.xxhash64("id").alias("u"), "id")).alias("f")).where("lo < hi"))
+                                    F.max(F.struct("p", "id")).alias("f")).where("lo < hi"))
         picked = (F.pmod(F.xxhash64("id", F.lit(heads)), F.lit(1 << 30)) * F.col("m") < F.lit(heads << 30)) | (F.col("m") <= heads) | (F.col("id") == F.col("f.id"))
-        alive = x.join(g, "token").select("token", "id", "label", picked.alias("head")).checkpoint()
+        alive = x.join(g, "token").select("token", "id", "p", "label", picked.alias("head")).checkpoint()
         if alive.isEmpty():
             break
         y = alive.join(small, "id")
         a, b = y.where("head").alias("a"), y.alias("b")
         pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.label") != F.col("b.label"))
-                       & (~F.col("b.head") | (F.col("a.id") < F.col("b.id"))) & _may_link("a", "b", percent, matches))
+                       & (~F.col("b.head") | (F.col("a.id") < F.col("b.id"))) & _may_link("a", "b", percent))
         pairs = pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
         labels = contract(labels, _confirmed(pairs, sets, percent).checkpoint())
-        left, heads = alive.where(~F.col("head")).select("token", "id"), heads * GROWTH
+        left, heads = alive.where(~F.col("head")).select("token", "id", "p"), heads * GROWTH
 
     named = reps.join(labels, "id", "left").select("node", "doc_id", "key", F.coalesce("label", "id").alias("label"))
     named = named.join(named.groupBy("label").agg(member.alias("least")), "label").select("node", F.col("least.doc_id").alias("component_id"), F.col("least.key").alias("first_key"))
@@ -249,11 +219,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _sets(size: int):
+    """(id, n, signature, shingles); rows of one text meet in a task, where its set is made once (or once a split)."""
+    names = ["id", "n", *_BYTES, "shingles"]
+
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            at, sets = [], []
+            at, sets, signed, ids = [], [], [], batch["id"].to_pylist()
             for i, h in _shingles(batch, size):
-                at.append(i)
-                sets.append(np.unique(h).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(at, pa.int64())), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
+                if ids[i] not in seen:
+                    seen.add(ids[i])
+                    u = np.unique(h)
+                    v = np.array([((u ^ _XOR[k]) * _MUL[k]).min() for k in range(2 * COORDS, 2 * COORDS + SIGNATURE)])
+                    at.append(i)
+                    sets.append(u.view(np.int64))
+                    signed.append((mixed(v) & np.uint64(255)).astype(np.uint8).view(np.int64))
+            m = np.array(signed, np.int64).reshape(len(signed), len(_BYTES))
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"].take(pa.array(at, pa.int64())), pa.array([len(x) for x in sets], pa.int64())]
+                + [pa.array(np.ascontiguousarray(m[:, i])) for i in range(len(_BYTES))] + [pa.array(sets, pa.list_(pa.int64()))], names=names)
     return found
