@@ -18,9 +18,11 @@ cover position of either document. Only anchors (len(COVER) / PERIOD of all posi
 
 Hot groups: anchors that are frequent in a sample of the documents (a hint for
 dealing alone; at most HEAVY of them are broadcast) are taken as shared and
-dealt by document. Windows around them are dealt by hash and document, into
-SALTS runs a hash, and only the smallest document of each of these runs goes on
-to a second round. Runs are streamed, never held. No pair of documents is formed.
+dealt by document. Windows that hold one of them at any of their PERIOD offsets
+(so whether a window does depends on its own words alone, not on where its
+document's cover positions fall) are dealt by hash and document, into SALTS runs
+a hash, and only the smallest document of each of these runs goes on to a second
+round. Runs are streamed, never held. No pair of documents is formed.
 
 Windows are judged on the input. Nulls and ties: null text has no words; a row
 with a null id is left whole and takes nothing from others; rows that share an
@@ -96,7 +98,7 @@ def _runs(keys: list[np.ndarray]) -> np.ndarray:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sorted (heavy, anchor, doc_id, pos), the rows of heavy anchors and of anchors in two documents."""
+    """Of sorted (heavy, anchor, doc_id, pos), where heavy anchors and anchors in two documents are."""
     held = None  # rows of the run the last batch broke off in, as far as they are undecided (one document's)
     for batch in batches:
         heavy = batch["heavy"].to_numpy(zero_copy_only=False)
@@ -119,33 +121,40 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if more:
             ok[0] = False  # the row that was kept to know the run by
         if ok.any():
-            yield pa.RecordBatch.from_arrays([pa.array(d[ok]), pa.array(p[ok]), pa.array(heavy[ok])], names=["doc_id", "pos", "heavy"])
+            yield pa.RecordBatch.from_arrays([pa.array(d[ok]), pa.array(p[ok])], names=["doc_id", "pos"])
 
 
-def _windows(width: int):
-    """(h1, h2, doc_id, pos, salt) of the windows that hold a shared anchor; salt -1 unless it is a heavy one."""
+def _is_in(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Whether each value is in a sorted array."""
+    return of[np.minimum(np.searchsorted(of, values), len(of) - 1)] == values if len(of) else np.zeros(len(values), bool)
+
+
+def _windows(width: int, heavy: np.ndarray):
+    """(h1, h2, doc_id, pos, salt) of the windows that hold a shared anchor; salt
+    -1 unless one of ``heavy`` (sorted anchors) is in the window, at whatever offset."""
+    size = width - PERIOD + 1
+
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shared = batch["at"]
             for a, b, words, first in _texts(batch):
-                any_, hot = np.zeros(len(words) + 1, np.int64), np.zeros(len(words) + 1, np.int64)
+                any_ = np.zeros(len(words) + 1, np.int64)
                 for row in range(a, b):  # they begin up to PERIOD - 1 words before it
                     lo, hi = first[row - a], first[row - a + 1]
                     at = shared[row].values.to_numpy()
-                    at, heavy = at >> 1, (at & 1) == 1
-                    at = at[ok := at <= hi - lo - (width - PERIOD + 1)]  # another row's, where an id repeats
-                    heavy = heavy[ok]
+                    at = at[at <= hi - lo - size]  # another row's, where an id repeats
                     if hi - lo < width:
                         continue
-                    begin, end = np.maximum(at + lo - PERIOD + 1, lo), np.minimum(at + lo + 1, hi - width + 1)
-                    for marks, use in ((any_, slice(None)), (hot, heavy)):
-                        np.add.at(marks, begin[use], 1)
-                        np.add.at(marks, end[use], -1)
+                    np.add.at(any_, np.maximum(at + lo - PERIOD + 1, lo), 1)
+                    np.add.at(any_, np.minimum(at + lo + 1, hi - width + 1), -1)
                 at = np.flatnonzero(np.cumsum(any_) > 0)
                 if len(at):
                     row = np.searchsorted(first, at, "right") - 1
                     doc = batch["doc_id"].take(pa.array(row + a))
-                    salt = np.where(np.cumsum(hot)[at] > 0, doc.to_numpy() % SALTS, -1)
+                    hot = np.zeros(len(words) - size + 2, np.int64)  # how many heavy anchors begin before each word
+                    inner = window_hashes(words, np.arange(len(words) - size + 1), size) >> np.uint64(16)
+                    np.cumsum(_is_in(inner.view(np.int64), heavy), out=hot[1:])
+                    salt = np.where(hot[at + PERIOD] > hot[at], doc.to_numpy() % SALTS, -1)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(window_hashes(words, at, width).view(np.int64)), pa.array(_check(words, at, width)), doc,
                         pa.array((at - first[row]).astype(np.int32)), pa.array(salt.astype(np.int32))], names=["h1", "h2", "doc_id", "pos", "salt"])
@@ -213,6 +222,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     some = d.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).mapInArrow(_anchors(width), anchors)
     heavy = (some.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
                  .orderBy(F.desc("n"), "anchor").limit(HEAVY).select("anchor", F.lit(True).alias("is_heavy")).checkpoint())
+    hot = np.array(sorted(r["anchor"] for r in heavy.collect()), np.int64)  # at most HEAVY
     # of the text the digest's first 60 bits: tells rows that share an id apart
     key = lambda sha: F.conv(F.substr(sha, F.lit(1), F.lit(15)), 16, 10).cast("bigint")
     copies = (exact_dedup(d).where("keep_id < id").groupBy(F.coalesce("id", F.lit(0)).alias("row"))
@@ -225,10 +235,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     a = a.withColumn("heavy", F.coalesce("is_heavy", F.lit(False))).drop("is_heavy")
     a = a.withColumn("deal", F.when(F.col("heavy"), F.xxhash64("doc_id")).otherwise(F.col("anchor")))
     a = a.repartition(parts, "deal").sortWithinPartitions("heavy", "anchor", "doc_id").select("heavy", "anchor", "doc_id", "pos")
-    at = (a.mapInArrow(_shared, "doc_id bigint, pos int, heavy boolean").groupBy(F.coalesce("doc_id", F.lit(0)).alias("row"))
-           .agg(F.collect_set(F.col("pos").cast("bigint") * 2 + F.col("heavy").cast("bigint")).alias("at")))
+    at = (a.mapInArrow(_shared, "doc_id bigint, pos int").groupBy(F.coalesce("doc_id", F.lit(0)).alias("row"))
+           .agg(F.collect_set("pos").alias("at")))
 
-    w = e.join(at, "row").select("doc_id", "text", "copy", "at").mapInArrow(_windows(width), "h1 bigint, h2 int, doc_id bigint, pos int, salt int")
+    w = e.join(at, "row").select("doc_id", "text", "copy", "at").mapInArrow(_windows(width, hot), "h1 bigint, h2 int, doc_id bigint, pos int, salt int")
     found = "h1 bigint, h2 int, doc_id bigint, pos int, after boolean"
     dealt = lambda x: x.repartition(parts, "h1", "salt").sortWithinPartitions("h1", "h2", "salt", "doc_id").mapInArrow(_repeats, found)
     one = dealt(w)

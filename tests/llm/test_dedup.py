@@ -135,3 +135,13 @@ def test_remove_repeats_with_frequent_anchors(spark):
     rows = [(i, prose(rng, 5) + f" {p} " + prose(rng, 5) + (f" {p}" if i % 3 == 0 else "")) for i in range(400)]
     got = {r.doc_id: r.n_removed for r in remove_repeats(frame(spark, rows)).collect()}
     assert got[0] == 0 and all(got[i] >= (128 if i % 3 == 0 else 64) for i in range(1, 400))
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_remove_repeats_at_any_alignment(spark, seed):
+    """A passage at random offsets: its anchors are frequent at some alignments only."""
+    rng = random.Random(seed)
+    p = prose(rng, 64)
+    rows = [(i, f"{prose(rng, rng.randrange(1, 60))} {p} {prose(rng, 5)}") for i in range(400)]
+    got = {r.doc_id: r.n_removed for r in remove_repeats(frame(spark, rows)).collect()}
+    assert got[0] == 0 and all(got[i] >= 64 for i in range(1, 400))
