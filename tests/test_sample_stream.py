@@ -1,3 +1,4 @@
+import hashlib
 import tempfile
 
 from pyspark.sql import functions as F
@@ -69,3 +70,16 @@ def test_chat_stream_gaps_nulls_and_stops(spark):
     run_available(chat_history_stream(file_stream(spark, root + "/in/*", schema), max_pending=1), root + "/ck", root + "/out")
     got = {(r.conv_id, r.turn): (r.history, r.late) for r in spark.read.parquet(root + "/out").collect()}
     assert got == {(1, 1): ("", False), (1, 2): ("user:  Exit", False), (1, 3): ("user:  Exit\nassistant: exit", False), (2, 5): ("", True)}
+
+
+def test_chat_stream_long_conversation_waits(spark):
+    """3,000 turns scattered over four micro-batches: far more wait than come in order."""
+    root, n = tempfile.mkdtemp(prefix="sifter-stream-"), 3000
+    schema = "conv_id long, turn long, role string, text string"
+    rows = spark.createDataFrame([(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(n)], schema)
+    rows.repartition(4, F.xxhash64("conv_id", "turn")).write.parquet(root + "/in")
+    run_available(chat_history_stream(file_stream(spark, root + "/in", schema)), root + "/ck", root + "/out")
+    got = spark.read.parquet(root + "/out").select("turn", "n_prev", F.md5("history").alias("h"), "late").collect()
+    line = [f"{'user' if t % 2 == 0 else 'assistant'}: t{t}" for t in range(n)]
+    assert {(r.turn, r.n_prev, r.h, r.late) for r in got} == {
+        (t, t, hashlib.md5("\n".join(line[:t]).encode()).hexdigest(), False) for t in range(n)} and len(got) == n
