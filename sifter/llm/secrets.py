@@ -2,7 +2,8 @@
 
 Each text is scanned for the three kinds of RULES. Then its encoded layers are
 unwrapped: URL escapes and Unicode escapes of the whole layer, each run of
-base64, and gzip, zlib, bzip2 or xz data inside decoded bytes. Every new layer
+base64, and gzip, zlib, bzip2 or xz data anywhere inside decoded or decompressed
+bytes, all its members. Every new layer
 is scanned again and put on the worklist, until nothing is left to unwrap. A
 layer that was seen before at the same place in the source (so also one that
 decodes to itself) is not taken up again. Each layer carries, for every code
@@ -10,8 +11,10 @@ point, the span of the source text it came from; a finding maps back to the
 smallest source span that holds all of its code points.
 
 A text is worked on alone, so rows need no shuffle, and a lost task is redone
-from its input. A decompressed layer is read up to ``max_layer`` bytes, as a
-guard against bombs; ``cut`` counts layers that were longer.
+from its input. Of a decompressed layer ``max_layer`` bytes are held in memory: a
+longer one goes to a temporary file of the task and is scanned whole, piece by
+piece (a piece goes on to the next place that no finding or encoded run goes
+across); ``cut`` counts such layers.
 
 Nulls: a null text counts as empty and has no findings. Extra columns are kept.
 """
@@ -23,6 +26,7 @@ import bz2
 import hashlib
 import lzma
 import re
+import tempfile
 import zlib
 from collections.abc import Iterator
 
@@ -38,12 +42,17 @@ ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 MAX_LAYER = 16 << 20
+#: Compressed bytes read at once.
+STEP = 1 << 16
 
+_BYTES = re.compile(r"(?:\\x[0-9A-Fa-f]{2})+")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|\\u\{[0-9A-Fa-f]{1,6}\}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 #: One run, or lines of a wrapped one.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:(?<=[A-Za-z0-9+/_-]{60})\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
 _PRINTABLE = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xf4][\x80-\xbf]+){8,}")
+#: The end of a line or a control byte, where no finding, escape or base64 run goes on.
+_BREAK = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]|\n\n|[^A-Za-z0-9+/_\r\n-]\r?\n")
 _PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY|\xfd7zXZ\x00|\x78[\x01\x5e\x9c\xda]")
 
 
@@ -150,16 +159,83 @@ def _unicode(m: re.Match) -> tuple[str, np.ndarray, np.ndarray]:
     return chr(c) if good else "�", np.array([start], np.int64), np.array([m.end()], np.int64)
 
 
-def _unpacked(raw: bytes, at: int, most: int) -> tuple[bytes, bool]:
-    """What the compressed data at ``at`` holds, as far as it can be read, and whether it was longer than ``most``."""
-    head = raw[at:at + 3]
-    d = (zlib.decompressobj(31) if head[:2] == b"\x1f\x8b" else bz2.BZ2Decompressor() if head == b"BZh"
-         else lzma.LZMADecompressor() if head[:1] == b"\xfd" else zlib.decompressobj())
-    try:
-        out = d.decompress(raw[at:], most + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return b"", False
-    return out[:most], len(out) > most
+class _Zlib:
+    """zlib's decompressor with the interface of bz2's and lzma's."""
+
+    def __init__(self, bits: int):
+        self.d, self.full = zlib.decompressobj(bits), False
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        out = self.d.decompress(self.d.unconsumed_tail + data, most)
+        self.full = len(out) == most  # it may hold back more
+        return out
+
+    eof = property(lambda self: self.d.eof)
+    unused_data = property(lambda self: self.d.unused_data)
+    needs_input = property(lambda self: not self.full and not self.d.unconsumed_tail)
+
+
+def _members(raw, at: int, most: int):
+    """(output, end, whole) of the compressed data at ``at``, its members one
+    after another, as far as it can be read. ``whole``: the first member was
+    read to its end. Output of more than ``most`` bytes is in a mapped file."""
+    end, whole, size = len(raw), False, 0
+    with tempfile.SpooledTemporaryFile(max_size=most) as out:
+        while _PACKED.match(raw, at):
+            head, read = raw[at:at + 3], at
+            d = (_Zlib(31) if head[:2] == b"\x1f\x8b" else bz2.BZ2Decompressor() if head == b"BZh"
+                 else lzma.LZMADecompressor() if head[:1] == b"\xfd" else _Zlib(15))
+            try:
+                while not d.eof:
+                    data = raw[read:read + STEP] if d.needs_input else b""
+                    if d.needs_input and not data:
+                        break
+                    read += len(data)
+                    size += out.write(d.decompress(data, 16 * STEP))
+            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                if head[:1] == b"x" and not whole:  # two bytes that looked like a header
+                    return b"", end, False
+            if not d.eof:
+                break
+            end, whole = read - len(d.unused_data), True
+            at = end
+            while raw[at:at + 1] == b"\0":  # padding between members
+                at += 1
+        out.seek(0)
+        return out.read(most), end, whole
+
+
+def _texts(raw, span: tuple[int, int], path: str, most: int) -> Iterator[_Layer]:
+    """Bytes as text, in pieces of ``most`` bytes and on to the next place that nothing to be found goes across."""
+    at = 0
+    while at < len(raw):
+        m = _BREAK.search(raw, at + most) if len(raw) - at > most else None
+        text = raw[at:m.end() if m else len(raw)].decode(errors="replace")
+        at = m.end() if m else len(raw)
+        yield _Layer(text, *(np.broadcast_to(np.int64(x), len(text)) for x in span), path)
+
+
+def _unwrapped(raw: bytes, source, path: str, most: int) -> Iterator[tuple[_Layer, bool, bool]]:
+    """The layers of compressed data anywhere in bytes, and in what that holds,
+    and so on; whether each is a further piece of the one before it; and whether
+    it is surely compressed data. ``source``: the source span of bytes from, to."""
+    work, seen = [(raw, source, path)], set()
+    while work:
+        raw, source, path = work.pop()
+        path, at = path + "/unpacked", 0
+        while m := _PACKED.search(raw, at):
+            out, end, whole = _members(raw, m.start(), most)
+            at = end if whole else m.start() + 1
+            if not len(out):
+                continue
+            span = source(m.start(), end)
+            key = (hashlib.blake2b(out, digest_size=16).digest(), span)
+            if key in seen:
+                continue
+            seen.add(key)
+            for i, x in enumerate(_texts(out, span, path, most)):
+                yield x, i > 0, whole or not m.start() or m[0][0] != 0x78
+            work.append((out, lambda a, b, span=span: span, path))
 
 
 def _base64(layer: _Layer, m: re.Match, most: int) -> Iterator[tuple[_Layer, bool]]:
@@ -180,52 +256,80 @@ def _base64(layer: _Layer, m: re.Match, most: int) -> Iterator[tuple[_Layer, boo
             known += len(p[0])
             text, a, b = _points(p[0], lo[p.start():], hi[p.start():])
             yield layer.spread([(text, a, b)], "base64"), False
-        for p in _PACKED.finditer(raw):
-            if p[0][0] == 0x78 and p.start():
-                continue
-            out, cut = _unpacked(raw, p.start(), most)
-            if out:
-                known = len(raw)
-                text = out.decode(errors="replace")
-                whole = layer.spread([("", lo[p.start():p.start()], hi[p.start():p.start()])], "base64")
-                a, b = layer.source(int(lo[p.start()]), int(hi[-1]))
-                yield _Layer(text, np.full(len(text), a, np.int64), np.full(len(text), b, np.int64), whole.path + "/unpacked"), cut
+        for x, more, sure in _unwrapped(raw, lambda a, b: layer.source(int(lo[a]), int(hi[b - 1])), layer.path + "/base64", most):  # noqa: B023
+            known = len(raw) if sure else known
+            yield x, more
         if 2 * known >= len(raw):
             return
 
 
+def _escaped(layer: _Layer, raw: bytes, pattern: re.Pattern, path: str, most: int) -> Iterator[tuple[_Layer, bool]]:
+    """Compressed data in the layer's bytes, of which ``pattern`` escapes some."""
+    hexed = lambda m: bytes.fromhex(re.sub(r"%|\\x", "", m))
+    if not _PACKED.search(re.sub(pattern.pattern.encode(), lambda m: hexed(m[0].decode()), raw)):
+        return
+    out, lo, hi, at = [], [], [], 0
+
+    def plain(a: int, b: int) -> None:
+        chars = [c.encode(errors="replace") for c in layer.text[a:b]]
+        out.extend(chars)
+        lo.append(np.repeat(np.arange(a, b), [len(c) for c in chars]))
+        hi.append(lo[-1] + 1)
+
+    for m in pattern.finditer(layer.text):
+        plain(at, m.start())
+        out.append(hexed(m[0]))
+        width = len(m[0]) // len(out[-1])
+        lo.append(np.arange(m.start(), m.end(), width))
+        hi.append(lo[-1] + width)
+        at = m.end()
+    plain(at, len(layer.text))
+    lo, hi = np.concatenate(lo).astype(np.int64), np.concatenate(hi).astype(np.int64)
+    for x, more, _ in _unwrapped(b"".join(out), lambda a, b: layer.source(int(lo[a]), int(hi[b - 1])), f"{layer.path}/{path}", most):
+        yield x, more
+
+
 def _layers(layer: _Layer, most: int) -> Iterator[tuple[_Layer, bool]]:
+    """The layers in a layer, and whether each is a further piece of the one before it."""
     s = layer.text
     raw = s.encode(errors="replace")
     if "%" in s and (x := _replaced(layer, _URL, _url, "url")):
         yield x, False
+        yield from _escaped(layer, raw, _URL, "url", most)
     if ("\\" in s or "&#" in s) and (x := _replaced(layer, _UNICODE, _unicode, "unicode")):
         yield x, False
+        if "\\x" in s:
+            yield from _escaped(layer, raw, _BYTES, "unicode", most)
     if _RUN in raw.translate(_IS_BASE64):
         for m in _BASE64.finditer(s):
             yield from _base64(layer, m, most)
 
 
 def scan_text(text: str | None, max_layer: int = MAX_LAYER) -> tuple[int, int, list[tuple]]:
-    """(layers cut, layers unwrapped, findings) of one text."""
+    """(layers cut to pieces, layers unwrapped, findings) of one text."""
     base = _Layer(text or "", None, None, "")
     found = {(a, b, k, True): (v, "") for a, b, k, v in scan(base.text, base.text.encode(errors="replace"))}
-    work, seen, cut, n = [base], set(), 0, 0
+    work, seen, cut, n, pieces = [_layers(base, max_layer)], set(), 0, 0, False
     while work:
-        for x, was_cut in _layers(work.pop(), max_layer):
-            if not x.text:
-                continue
-            raw = x.text.encode(errors="replace")
-            key = (hashlib.blake2b(raw, digest_size=16).digest(), int(x.lo.min()), int(x.hi.max()))
-            if key in seen:
-                continue
-            seen.add(key)
-            work.append(x)
-            cut, n = cut + was_cut, n + 1
-            for a, b, k, v in scan(x.text, raw):
-                lo, hi = x.source(a, b)
-                if (lo, hi, k, True) not in found:
-                    found.setdefault((lo, hi, k, False), (v, x.path))
+        x, more = next(work[-1], (None, False))
+        cut += more and not pieces  # a layer's second piece
+        pieces = more
+        if x is None:
+            work.pop()
+            continue
+        raw = x.text.encode(errors="replace")
+        if not raw:
+            continue
+        key = (hashlib.blake2b(raw, digest_size=16).digest(), int(x.lo.min()), int(x.hi.max()))
+        if key in seen:
+            continue
+        seen.add(key)
+        n += not more
+        for a, b, k, v in scan(x.text, raw):
+            lo, hi = x.source(a, b)
+            if (lo, hi, k, True) not in found:
+                found.setdefault((lo, hi, k, False), (v, x.path))
+        work.append(_layers(x, max_layer))
     return cut, n, [(a, b, k, KINDS[k], base_, v, p) for (a, b, k, base_), (v, p) in sorted(found.items(), key=lambda x: (x[0][0], x[0][2], x[0][1]))]
 
 

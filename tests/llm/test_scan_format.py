@@ -5,6 +5,7 @@ import bz2
 import gzip
 import hashlib
 import json
+import lzma
 import random
 import re
 import struct
@@ -243,3 +244,21 @@ def test_chat_parts(spark):
     assert a.chunk == "<|im_start|>assistant\nlook <\\|image:1|><|image:1|> and <|audio:2|>!<|document:3|><|im_end|>\n"
     assert [(x.ordinal, x.kind, x.uri, x.tokens) for x in a.attachments] == [(1, "image", "s3://a.png", 4), (2, "audio", "b.wav", 2), (3, "document", None, 1)]
     assert b.chunk == "<|im_start|>user\n<|im_end|>\n" and json.dumps(b.attachments) == "[]" and b.loss_start == b.loss_end
+
+
+def _b64(raw):
+    return base64.b64encode(raw).decode()
+
+
+@pytest.mark.parametrize("wrap", [
+    lambda s: _b64(gzip.compress(gzip.compress(s.encode()))),
+    lambda s: _b64(lzma.compress(zlib.compress(s.encode()))),
+    lambda s: _b64(bz2.compress(b"x" * 99 + lzma.compress(gzip.compress(s.encode())))),
+    lambda s: _b64(gzip.compress(b"first ") + gzip.compress(s.encode())),
+    lambda s: _b64(bz2.compress(s[:9].encode()) + bz2.compress(s[9:].encode())),
+    lambda s: "path/" + _b64(zlib.compress(s.encode())),
+    lambda s: urllib.parse.quote(gzip.compress(s.encode()), safe=""),
+    lambda s: "".join(f"\\x{b:02x}" for b in zlib.compress(s.encode())),
+])
+def test_packed_layers_anywhere_are_unwrapped(wrap):
+    test_layers_are_unwrapped_and_mapped(wrap)
