@@ -25,6 +25,7 @@ import base64
 import bz2
 import hashlib
 import lzma
+import mmap
 import re
 import tempfile
 import zlib
@@ -201,8 +202,11 @@ def _members(raw, at: int, most: int):
             at = end
             while raw[at:at + 1] == b"\0":  # padding between members
                 at += 1
+        if size > most:
+            out.flush()
+            return mmap.mmap(out.fileno(), 0, access=mmap.ACCESS_READ), end, whole
         out.seek(0)
-        return out.read(most), end, whole
+        return out.read(), end, whole
 
 
 def _texts(raw, span: tuple[int, int], path: str, most: int) -> Iterator[_Layer]:

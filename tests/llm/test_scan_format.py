@@ -262,3 +262,16 @@ def _b64(raw):
 ])
 def test_packed_layers_anywhere_are_unwrapped(wrap):
     test_layers_are_unwrapped_and_mapped(wrap)
+
+
+@pytest.mark.parametrize("inner", [
+    lambda s: s.encode(),
+    lambda s: gzip.compress(s.encode()),
+    lambda s: _b64(s.encode()).encode(),
+])
+def test_long_layers_are_scanned_whole(inner):
+    long = _b64(gzip.compress(b"-" * 999 + b".\n" * (9 << 20) + inner(SECRET)))
+    cut, _, found = scan_text("see " + long)
+    assert cut == 1 and any(f[3] == "assign" and f[5].startswith("hunter2") for f in found)
+    parts = scan_text("see " + _b64(gzip.compress(b"word\n" * 999 + inner(SECRET) + b"\nword!\n" * 999)), max_layer=500)[2]
+    assert any(f[5].startswith("hunter2") for f in parts)
