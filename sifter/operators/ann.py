@@ -55,6 +55,13 @@ def _assigned(vec: str, centers, metric: str, n: int, out_col: str):
     return assign
 
 
+def settings(n: int) -> tuple[int, int]:
+    """(cells, cells probed) for ``n`` rows when nine in ten neighbours are to be
+    found in vectors that hardly cluster: three cells in four."""
+    nlist = max(8, math.isqrt(n) // 8)
+    return nlist, -(-3 * nlist // 4)
+
+
 def build_index(corpus: DataFrame, path: str, c_id: str | Sequence[str] = "id", c_vec: str = "embedding", metric: str = "cosine",
                 carry: Sequence[str] = (), nlist: int | None = None, seed: int = 7, max_iter: int = 20) -> None:
     """Writes the index of ``corpus`` to ``path``; rows without a vector are not in it."""

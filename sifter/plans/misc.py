@@ -7,32 +7,30 @@ from pyspark.sql import functions as F
 
 from sifter.functions.text import url_host, words
 from sifter.functions.vectors import dot
-from sifter.operators.ann import ann_knn, build_index, search
+from sifter.operators.ann import ann_knn, settings
 from sifter.operators.knn import knn
 from sifter.operators.sample import weighted_choice
 from sifter.plans.common import table
-from sifter.session import scratch_path
 
 
 def q_knn_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V7: approximate top-5 cosine neighbours of every stored vector
-    (8 k-means cells, 3 probed). Rows-only: recall against the exact search
-    is measured in the tests."""
+    """V7: approximate top-5 cosine neighbours of every stored vector, from a
+    stored index (``settings``: 8 k-means cells or more, three in four probed).
+    Rows-only: ``knn_ann_recall`` holds these rows against the exact search."""
     emb = table(spark, sf_dir, "embeddings")
+    nlist, nprobe = settings(emb.count())
     res = ann_knn(emb.select(F.col("vec_id").alias("qid"), "embedding"), emb, 5, q_id="qid", c_id="vec_id",
-                  carry=["label"], nlist=8, nprobe=3)
+                  carry=["label"], nlist=nlist, nprobe=nprobe)
     return res.select("qid", "rank", "vec_id", "label", "distance")
 
 
 def q_knn_ann_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V7: an index stored, reopened and probed (6 of 8 cells): the number of
-    exact neighbours, whether nine in ten of them were found, and whether all
-    that was found carries its exact distance."""
+    """V7: the rows of ``knn_ann``: the number of exact neighbours, whether nine
+    in ten of them were found, and whether all that was found carries its exact
+    distance."""
     emb = table(spark, sf_dir, "embeddings")
     qs = emb.select(F.col("vec_id").alias("qid"), "embedding")
-    path = scratch_path(spark, "index")
-    build_index(emb, path, "vec_id", nlist=8)
-    found = search(spark, path, qs, 5, c_id="vec_id", nprobe=6).select("qid", "vec_id", F.col("distance").alias("found"))
+    found = q_knn_ann(spark, sf_dir).select("qid", "vec_id", F.col("distance").alias("found"))
     exact = knn(qs, emb, 5, c_id="vec_id").select("qid", "vec_id", "distance")
     both = exact.join(found, ["qid", "vec_id"], "left")
     return both.agg(F.count(F.lit(1)).alias("neighbours"), (F.count("found") >= 0.9 * F.count(F.lit(1))).alias("nine_in_ten"),

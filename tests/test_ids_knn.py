@@ -117,3 +117,14 @@ def test_stored_index_is_reopened_and_pruned(spark, tmp_path):
     everything = corpus.select(F.col("id").alias("qid"), "embedding")
     exact = knn(everything, corpus, 5)
     assert recall(search(spark, f"{tmp_path}/ix", everything, 5, nprobe=6), exact, "qid", "id") >= 0.9
+
+
+def test_knn_ann_rows_hold_nine_in_ten_neighbours(spark):
+    from conftest import SF01
+
+    from sifter.plans.misc import q_knn_ann, q_knn_ann_recall
+    emb = spark.read.parquet(f"{SF01}/embeddings.parquet")
+    exact = knn(emb.select(F.col("vec_id").alias("qid"), "embedding"), emb, 5, q_id="qid", c_id="vec_id")
+    assert recall(q_knn_ann(spark, SF01), exact, "qid", "vec_id") >= 0.9
+    r = q_knn_ann_recall(spark, SF01).first()
+    assert r.neighbours == exact.count() and r.nine_in_ten and r.exact_distances
