@@ -7,13 +7,13 @@ vectors. Two sections add side by side:
 - EQUAL lanes modulo 2^64: uniform words drawn from the paragraph's BLAKE2b
   digest. Equal multisets of paragraphs agree whatever their order; different
   ones agree with negligible probability.
-- LIKE lanes modulo 2^16: a count sketch of the paragraph's three-word
+- LIKE lanes modulo 2^32: a count sketch of the paragraph's three-word
   shingles (every shingle adds +1 or -1 to one lane). Sums of sketches estimate
   the squared distance of shingle counts, from which ``likeness`` follows.
 
 ``add`` and ``subtract`` insert and delete a paragraph in a fingerprint without
-the document. Likeness lanes count to 2^15 before they wrap; that bounds the
-estimate for texts of many millions of words, never equality.
+the document. Likeness lanes count to 2^31 before they wrap, which is more than
+one text has shingles, however often it repeats one.
 
 Each text is fingerprinted alone, in its own row: no shuffle (only the
 comparison with the next document needs an order). Null text counts as empty; the empty text has the all-zero fingerprint; the likeness of two
@@ -86,12 +86,12 @@ def _like(column: pa.Array) -> np.ndarray:
 
 def fingerprints(column: pa.Array) -> list[bytes]:
     """The fingerprint of each text of a string column."""
-    like = (_like(column) & 0xFFFF).astype("<u2")
+    like = (_like(column) & 0xFFFFFFFF).astype("<u4")
     return [_equal(t or "").astype("<u8").tobytes() + like[i].tobytes() for i, t in enumerate(column.to_pylist())]
 
 
 def _lanes(fp: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(fp[:8 * EQUAL], "<u8"), np.frombuffer(fp[8 * EQUAL:], "<u2")
+    return np.frombuffer(fp[:8 * EQUAL], "<u8"), np.frombuffer(fp[8 * EQUAL:], "<u4")
 
 
 def add(a: bytes, b: bytes) -> bytes:
@@ -109,8 +109,8 @@ def subtract(a: bytes, b: bytes) -> bytes:
 def likeness(a: list[bytes], b: list[bytes]) -> np.ndarray:
     """0 to 1, from fingerprints alone: 1 where they are equal, else what the
     texts' shingle counts share of both (estimated, below 1)."""
-    x = np.frombuffer(b"".join(f[8 * EQUAL:] for f in a), "<i2").reshape(-1, LIKE).astype(np.float64)
-    y = np.frombuffer(b"".join(f[8 * EQUAL:] for f in b), "<i2").reshape(-1, LIKE).astype(np.float64)
+    x = np.frombuffer(b"".join(f[8 * EQUAL:] for f in a), "<i4").reshape(-1, LIKE).astype(np.float64)
+    y = np.frombuffer(b"".join(f[8 * EQUAL:] for f in b), "<i4").reshape(-1, LIKE).astype(np.float64)
     apart, whole = ((x - y) ** 2).sum(1), (x ** 2).sum(1) + (y ** 2).sum(1)
     out = np.clip(1 - apart / np.maximum(whole, 1), 0, 1)
     same = np.array([f == g for f, g in zip(a, b, strict=True)], bool)

@@ -275,3 +275,15 @@ def test_long_layers_are_scanned_whole(inner):
     assert cut == 1 and any(f[3] == "assign" and f[5].startswith("hunter2") for f in found)
     parts = scan_text("see " + _b64(gzip.compress(b"word\n" * 999 + inner(SECRET) + b"\nword!\n" * 999)), max_layer=500)[2]
     assert any(f[5].startswith("hunter2") for f in parts)
+
+
+def test_likeness_of_a_line_repeated_often():
+    import pyarrow as pa
+    text = "the same three\n" * 50_000
+    f = fp.fingerprints(pa.array([text, fp.edited(text, "x")]))
+    assert 0.9 < fp.likeness(f[:1], f[1:])[0] < 1
+    one = fp.fingerprints(pa.array(["the same three"]))[0]
+    assert fp.subtract(fp.add(f[0], one), one) == f[0]
+    words = "word " * 40_000
+    f = fp.fingerprints(pa.array([words, fp.edited(words, "")]))
+    assert fp.likeness(f[:1], f[1:])[0] > 0.9
