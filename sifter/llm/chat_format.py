@@ -15,8 +15,9 @@ and ``|`` (``<`` + n backslashes + ``|`` is written with n + 1), which loses
 nothing and leaves no ``<|`` in the body. Roles are URL-encoded.
 
 Chunks are made row by row, before anything is shuffled. One conversation's
-rows meet only where its digest is asked for (a digest of a whole string needs
-the string), so a single conversation is bounded by what one string can hold.
+rows meet only where its digest is asked for: in one string, or, if a conversation
+is longer than MOST bytes, in a stream of sorted turns that feeds the digest
+(Python: Spark SQL has no digest that is fed piece by piece).
 
 Nulls and ties: a null text is the empty text, a null role the empty role, a
 null ``parts`` no parts; a null conversation id is a conversation of its own;
@@ -26,6 +27,10 @@ rows that repeat are formatted twice. Extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +39,9 @@ WS_PARTS = "array<struct<kind:string,text:string,uri:string,units:bigint>>"
 #: Units of one expanded token: pixels of an image patch, milliseconds of audio, characters of a document.
 UNITS_PER_TOKEN = {"image": 28 * 28, "audio": 40, "document": 4}
 
+#: Bytes of one conversation whose digest is taken from one string.
+MOST = 256 << 20
+
 
 def escape(text: Column) -> Column:
     return F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")
@@ -95,8 +103,42 @@ def read_turns(chunks: DataFrame, keys: list[str] | None = None) -> DataFrame:
                          F.length("chunk").alias("chunk_chars"))
 
 
-def conversation_digests(read: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+def _fed(key: str):
+    """The digests of sorted (key, role, text, loss_text, chunk_chars), a conversation's turns fed one by one."""
+    names = [key, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun, of, kind = False, None, None
+
+        def closed() -> pa.RecordBatch:
+            row = (of, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars)
+            return pa.RecordBatch.from_arrays([pa.array([x], kind if i == 0 else None) for i, x in enumerate(row)], names=names)
+
+        for batch in batches:
+            kind = batch.schema.field(key).type
+            for k, role, text, under, size in zip(*(batch[c].to_pylist() for c in (key, "role", "text", "loss_text", "chunk_chars")), strict=True):
+                if not begun or k != of:
+                    if begun:
+                        yield closed()
+                    begun, of, n, loss_chars, chars, turns, loss = True, k, 0, 0, 0, hashlib.sha256(), hashlib.sha256()
+                n, loss_chars, chars = n + 1, loss_chars + len(under), chars + size
+                turns.update(f"{role}\n{text}\n".encode())
+                loss.update(under.encode())
+        if begun:
+            yield closed()
+
+    return found
+
+
+def conversation_digests(read: DataFrame, key: str = "conv_id", order: str = "turn", most: int = MOST) -> DataFrame:
     """Per conversation: turn count and digests of what ``read_turns`` gave."""
+    size = F.sum(F.octet_length("role") + F.octet_length("text") + F.octet_length("loss_text") + 2)
+    longest = read.groupBy(key).agg(size.alias("n")).agg(F.max("n")).first()[0] or 0
+    if longest > most:
+        kind = read.schema[key].dataType.simpleString()
+        r = read.select(key, order, "role", "text", "loss_text", "chunk_chars").repartition(key)
+        r = r.sortWithinPartitions(key, order, "role", "text", "loss_text").drop(order)
+        return r.mapInArrow(_fed(key), f"`{key}` {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
     per = read.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_turns"),
         F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), "role", "text", F.col("loss_text").alias("l")))).alias("t"),

@@ -287,3 +287,12 @@ def test_likeness_of_a_line_repeated_often():
     words = "word " * 40_000
     f = fp.fingerprints(pa.array([words, fp.edited(words, "")]))
     assert fp.likeness(f[:1], f[1:])[0] > 0.9
+
+
+def test_chat_digests_of_long_conversations_are_fed(spark):
+    rng = random.Random(9)
+    rows = [(c, t, rng.choice(["user", "assistant", None]), rng.choice(["é", "<|", "", None, "w" * 5000])) for c in (1, 2, None) for t in [None, *range(30), 3, 3]]
+    read = chat.read_turns(chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), chat.text_part(F.col("text"))))
+    whole, fed = chat.conversation_digests(read), chat.conversation_digests(read, most=100)
+    assert whole.columns == fed.columns and sorted(whole.collect(), key=str) == sorted(fed.collect(), key=str) and fed.count() == 3
+    assert "collect_list" not in fed._jdf.queryExecution().toString()
