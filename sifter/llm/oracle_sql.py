@@ -101,3 +101,66 @@ comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, coalesce(component_id, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
 """
+
+
+def _network(p: str, n: str) -> str:
+    """The sharding network once, on column ``p`` of 0..n-1 numbers, as a nested SELECT's text."""
+    from sifter.llm.sharding import FACTORS, PRIME, SEED, round_keys
+
+    def mixed(x: str, key: int) -> str:
+        t = f"((({x} + {key}) % {PRIME} * {FACTORS[0]}) % {PRIME})"
+        t = f"(xor({t}, {t} >> 15) * {FACTORS[1]} % {PRIME})"
+        return f"xor({t}, {t} >> 13)"
+
+    inner = f"SELECT *, {p} // b AS l0, {p} % b AS r0 FROM {n}"
+    keys = round_keys(SEED)
+    for j in range(0, len(keys), 2):
+        k = j // 2
+        inner = f"SELECT *, (l{k} + {mixed(f'r{k}', keys[j])}) % a AS l{k + 1} FROM ({inner})"
+        inner = f"SELECT *, (r{k} + {mixed(f'l{k + 1}', keys[j + 1])}) % b AS r{k + 1} FROM ({inner})"
+    return f"SELECT doc_id, size, crc, n, a, b, l{len(keys) // 2} * b + r{len(keys) // 2} AS p FROM ({inner})"
+
+
+SQL["op13_merkle"] = r"""
+WITH RECURSIVE enc AS (
+  SELECT doc_id, source, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS h, text FROM documents),
+leaf AS (SELECT doc_id, source, sha256(h || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(h || coalesce(strlen(low) || ':' || low, '-')) AS lowered
+         FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM enc)),
+-- CRC-32 of the decimal doc_id, eight bit steps a digit
+crc(s, i, c) AS (SELECT doc_id::VARCHAR, 1, 4294967295::BIGINT FROM documents WHERE doc_id IS NOT NULL
+  UNION SELECT s, i + 1, list_reduce(list_prepend(xor(c, ascii(s[i])::BIGINT), range(8)), lambda x, y: xor(x >> 1, (x & 1) * 3988292384)) FROM crc WHERE i <= length(s)),
+hit AS (SELECT s FROM crc WHERE i > length(s) AND xor(c, 4294967295) % 5 = 0),
+no AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+              count(*) OVER (PARTITION BY source) AS n, doc_id::VARCHAR IN (SELECT s FROM hit) AS touched FROM leaf),
+node(tree, lv, idx, n, d) AS (SELECT tree, 0, idx, n, leaf FROM no
+  UNION ALL SELECT tree, lv + 1, idx // 16, (any_value(n) + 15) // 16, sha256(string_agg(d, '' ORDER BY idx)) FROM node WHERE n > 1 GROUP BY tree, lv, idx // 16),
+sub AS (SELECT tree, lv AS depth, d FROM node WHERE n = 1),
+top(lv, idx, n, d) AS (SELECT 0, tree, count(*) OVER (), d FROM sub
+  UNION ALL SELECT lv + 1, idx // 16, (any_value(n) + 15) // 16, sha256(string_agg(d, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY lv, idx // 16),
+run AS (SELECT tree, lv, idx // 16 AS run, list(d ORDER BY idx) AS ds FROM node WHERE n > 1 GROUP BY tree, lv, idx // 16),
+toprun AS (SELECT lv, idx // 16 AS run, list(d ORDER BY idx) AS ds FROM top WHERE n > 1 GROUP BY lv, idx // 16),
+steps AS (
+  SELECT no.tree, no.idx, lv, (no.idx >> (4 * lv)) % 16 AS slot, ds FROM no JOIN run ON run.tree = no.tree AND run.run = no.idx >> (4 * lv + 4)
+  UNION ALL SELECT no.tree, no.idx, depth + lv, (no.tree >> (4 * lv)) % 16, ds FROM no JOIN sub USING (tree) JOIN toprun ON toprun.run = no.tree >> (4 * lv + 4)),
+path AS (SELECT tree, idx, list({'before': array_to_string(ds[:slot], ''), 'after': array_to_string(ds[slot + 2:], '')} ORDER BY lv) AS st FROM steps GROUP BY tree, idx),
+fold(tree, idx, st, i, d) AS (SELECT no.tree, no.idx, coalesce(st, []), 1, CASE WHEN touched THEN lowered ELSE leaf END FROM no LEFT JOIN path USING (tree, idx)
+  UNION ALL SELECT tree, idx, st, i + 1, sha256(st[i].before || d || st[i].after) FROM fold WHERE i <= len(st)),
+root AS (SELECT d AS root FROM top WHERE n = 1)
+SELECT doc_id, leaf, sub.d AS subroot, root, sha256(coalesce(array_to_string(list_transform(st, lambda x: x.before || x.after), ''), '')) AS proof_sha256,
+       fold.d AS folded_root, fold.d = root AS verified
+FROM no JOIN sub USING (tree) JOIN fold ON fold.tree = no.tree AND fold.idx = no.idx AND fold.i = len(fold.st) + 1, root
+"""
+
+# CRC-32, which DuckDB lacks, is folded over the bytes of a text's hex form
+SQL["op11_shards"] = rf"""
+WITH RECURSIVE tab AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda x, y: xor(x >> 1, (x & 1) * 3988292384)) AS c FROM range(256) r(i))),
+num AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, hex(encode(coalesce(text, ''))) AS h, row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS number FROM documents),
+crcs AS (SELECT doc_id, size, number, CASE WHEN size = 1 THEN 0 ELSE xor(list_reduce(list_prepend(4294967295,
+           list_transform(range(size - 1), lambda k: ('0x' || h[2 * k + 1:2 * k + 2])::BIGINT)), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) END AS crc FROM num, tab),
+cnt AS (SELECT count(*) AS n, ceil(sqrt(count(*)))::BIGINT AS a FROM documents),
+start AS (SELECT doc_id, size, crc, n, a, (n + a - 1) // a AS b, number AS p FROM crcs, cnt),
+walk AS (SELECT * FROM ({_network('p', 'start')})
+  UNION ALL SELECT * FROM ({_network('p', '(SELECT doc_id, size, crc, n, a, b, p FROM walk WHERE p >= n)')}))
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, (p % 8)::INT AS shard, (p // 8)::BIGINT AS slot, NULL::INT AS grown_shard FROM walk WHERE p < n
+"""

@@ -95,6 +95,35 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(read_turns(chunks))
 
 
+def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sifter.llm.sharding import shard_rows
+    d = shard_rows(read(prepared(spark), sf_dir, "documents"))
+    return d.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from sifter.llm.alignment import score_alignment
+    docs = read(prepared(spark), sf_dir, "documents")
+    return score_alignment(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering lower-cases the A-Z of every fifth document's text."""
+    from sifter.llm.merkle import COLUMNS, build, folded, leaf, proof, text_of, with_paths
+    docs = read(prepared(spark), sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    touched = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    own = leaf([F.col(c) for c in COLUMNS])
+    claimed = F.when(touched, leaf([lowered if c == "text" else F.col(c) for c in COLUMNS]))
+    m = build(docs.select(F.col("doc_id").alias("id"), F.col("source").alias("group"), own.alias("leaf"), claimed.alias("claimed")))
+    d = with_paths(m).withColumns({"leaf": text_of(F.col("leaf")), "claimed": text_of(F.coalesce("claimed", "leaf")), "root": F.lit(m.root).cast("string")})
+    d = d.select(F.col("id").alias("doc_id"), "leaf", text_of(F.col("subroot")).alias("subroot"), "root",
+                 F.sha2(proof(F.col("steps")), 256).alias("proof_sha256"), folded(F.col("claimed"), F.col("steps")).alias("folded_root"))
+    return d.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_near_dedup": op2_near_dedup,
@@ -106,4 +135,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_shards": op11_shards,
+    "op12_alignment": op12_alignment,
+    "op13_merkle": op13_merkle,
 }
