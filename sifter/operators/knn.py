@@ -37,7 +37,8 @@ from pyspark.sql import types as T
 from sifter.session import checkpoint_dir
 
 DEFAULT_MAX_BROADCAST = 64 << 20
-_SCORE_CELLS = 4_000_000  # doubles per scoring block inside a task
+_SCORE_CELLS = 1 << 20  # doubles per scoring block inside a task
+_PAIR_BYTES = 32 << 20  # of vectors whose distances are taken pair by pair at once
 _ID_BYTES = 64  # allowed for a question id
 _DIGITS = 12
 
@@ -48,6 +49,8 @@ def _matrix(values, dim: int | None = None) -> np.ndarray:
     vals = list(values)
     if dim is None:
         dim = next((len(v) for v in vals if v is not None), 0)
+    if vals and dim and all(v is not None and len(v) == dim for v in vals):
+        return np.concatenate(vals).astype(np.float64).reshape(len(vals), dim)
     out = np.zeros((len(vals), dim), dtype=np.float64)
     for i, v in enumerate(vals):
         if v is not None:
@@ -81,32 +84,58 @@ def _distinct(d: np.ndarray, metric: str) -> np.ndarray:
     return np.where(d > 0, np.round(d * scale) / scale, 0.0)
 
 
+def _in_doubt(d: np.ndarray, size: np.ndarray | float, dim: int, metric: str) -> np.ndarray:
+    """Distances taken from a matrix product that another order of summation
+    could round to another value; ``size``: the sum of both squared lengths."""
+    noise = 8 * dim * np.finfo(float).eps
+    if metric == "cosine":
+        scale, noise = 10.0 ** _DIGITS, np.full(len(d), noise)
+    else:
+        scale, noise = 10.0 ** (_DIGITS - 1 - np.floor(np.log10(np.where(d > 0, d, 1.0)))), noise * size
+    x = d * scale
+    return (np.abs(x - np.floor(x) - 0.5) < noise * scale) | ((d <= noise) if metric == "l2" else False)
+
+
 def _local_topk(C: np.ndarray, c_sq: np.ndarray, Q: np.ndarray, q_sq: np.ndarray, k: int, metric: str):
-    """Candidates of the top-k of every question over rows of C: (row index,
-    question index, distance) arrays. The blocked product finds them, with a
-    margin for its noise; their distances are then taken pair by pair."""
-    rows_all, cols_all, d_all = [], [], []
+    """The top-k rows of C for every question, ties to the first rows: (row
+    index, question index, distance) arrays. The blocked product's value is
+    the distance but where its noise could change a digit; there it is taken
+    pair by pair, in slices. However many rows tie, a block has at most
+    _SCORE_CELLS pairs and a slice _PAIR_BYTES of vectors."""
     nc, nq = len(C), len(Q)
     if nc == 0 or nq == 0:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    kk = min(k, nc)
-    qstep = max(1, _SCORE_CELLS // max(nc, 1))
-    for q0 in range(0, nq, qstep):
-        Qb, qb = Q[q0:q0 + qstep], q_sq[q0:q0 + qstep]
-        S = C @ Qb.T
-        D = 1.0 - S if metric == "cosine" else c_sq[:, None] + qb[None, :] - 2.0 * S
-        noise = 1e-11 if metric == "cosine" else 1e-12 * (c_sq[:, None] + qb[None, :])
-        low, high = D - noise, D + noise
-        reach = np.partition(high, kk - 1, axis=0)[kk - 1]
-        r, c = np.nonzero(low <= reach[None, :])
+    rows, cols, ds = [], [], []
+    kk, dim = min(k, nc), C.shape[1]
+    step, piece = max(1, _SCORE_CELLS // nc), max(1, _PAIR_BYTES // (16 * max(dim, 1)))
+    margin = 16 * dim * np.finfo(float).eps + 2 * 10.0 ** -_DIGITS
+    for q0 in range(0, nq, step):
+        Qb, qb = Q[q0:q0 + step], q_sq[q0:q0 + step]
+        D = Qb @ C.T
         if metric == "cosine":
-            d = 1.0 - np.einsum("ij,ij->i", C[r], Qb[c])
+            np.subtract(1.0, D, out=D)
+            reach = np.partition(D, kk - 1, axis=1)[:, kk - 1] + margin
         else:
-            d = ((C[r] - Qb[c]) ** 2).sum(1)
-        rows_all.append(r)
-        cols_all.append(c + q0)
-        d_all.append(_distinct(d, metric))
-    return np.concatenate(rows_all), np.concatenate(cols_all), np.concatenate(d_all)
+            D *= -2.0
+            D += c_sq
+            D += qb[:, None]
+            reach = np.partition(D, kk - 1, axis=1)[:, kk - 1]
+            reach += margin * (qb + c_sq.max() + np.abs(reach))
+        c, r = np.nonzero(D <= reach[:, None])
+        d = D[c, r]
+        doubt = np.flatnonzero(_in_doubt(d, c_sq[r] + qb[c], dim, metric))
+        for at in range(0, len(doubt), piece):
+            i = doubt[at:at + piece]
+            d[i] = 1.0 - np.einsum("ij,ij->i", C[r[i]], Qb[c[i]]) if metric == "cosine" else ((C[r[i]] - Qb[c[i]]) ** 2).sum(1)
+        d = _distinct(d, metric)
+        order = np.lexsort((r, d, c))
+        c, r, d = c[order], r[order], d[order]
+        first = np.searchsorted(c, np.arange(len(Qb)))
+        keep = np.arange(len(c)) - first[c] < k
+        rows.append(r[keep])
+        cols.append(c[keep] + q0)
+        ds.append(d[keep])
+    return np.concatenate(rows), np.concatenate(cols), np.concatenate(ds)
 
 
 def _trim(out: pd.DataFrame, q_id: str, ids: list[str], k: int) -> pd.DataFrame:
@@ -130,6 +159,7 @@ def _ids(c_id: str | Sequence[str]) -> list[str]:
 def _scored(pdf: pd.DataFrame, c_vec: str, ids: list[str], carry: Sequence[str], q_id: str, q_ids: np.ndarray,
             Q: np.ndarray, q_sq: np.ndarray, k: int, metric: str) -> pd.DataFrame:
     """Top-k rows of one batch for prepared, valid questions."""
+    pdf = pdf.sort_values(ids)  # ties go to the first row
     C, c_sq, ok = _prepare(_matrix(pdf[c_vec], Q.shape[1]), metric, _non_null(pdf[c_vec]))
     if not ok.all():
         pdf, C, c_sq = pdf[ok], C[ok], c_sq[ok]
@@ -137,7 +167,7 @@ def _scored(pdf: pd.DataFrame, c_vec: str, ids: list[str], carry: Sequence[str],
     out = pd.DataFrame({q_id: q_ids[c]} | {i: pdf[i].to_numpy()[r] for i in ids} | {"distance": d})
     for col in carry:
         out[col] = pdf[col].to_numpy()[r]
-    return _trim(out, q_id, ids, k)
+    return out
 
 
 def _running_topk(scored: Iterable[pd.DataFrame], q_id: str, ids: list[str], k: int) -> Iterator[pd.DataFrame]:

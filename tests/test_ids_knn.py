@@ -128,3 +128,38 @@ def test_knn_ann_rows_hold_nine_in_ten_neighbours(spark):
     assert recall(q_knn_ann(spark, SF01), exact, "qid", "vec_id") >= 0.9
     r = q_knn_ann_recall(spark, SF01).first()
     assert r.neighbours == exact.count() and r.nine_in_ten and r.exact_distances
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_ties_take_bounded_memory_and_go_to_the_smallest_ids(metric):
+    import tracemalloc
+
+    import pandas as pd
+    rng = np.random.default_rng(4)
+    one, n, nq, dim = rng.normal(size=256), 10_000, 400, 256
+    pdf = pd.DataFrame({"id": rng.permutation(n), "v": [one] * n})
+    Q, q_sq, _ = K._prepare(rng.normal(size=(nq, dim)), metric)
+    tracemalloc.start()
+    out = K._scored(pdf, "v", ["id"], [], "qid", np.arange(nq), Q, q_sq, 3, metric)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6
+    assert out.groupby("qid")["id"].apply(sorted).tolist() == [[0, 1, 2]] * nq
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_product_distances_equal_those_taken_pair_by_pair(metric):
+    """Hashed-like vectors: many exact ties, near ties and orthogonal pairs."""
+    rng = np.random.default_rng(6)
+    C = rng.poisson(0.15, size=(3000, 64)).astype(float)
+    C[100:200] = C[0:100] * 3  # the same direction
+    Q = np.vstack([C[:60], rng.poisson(0.15, size=(40, 64)).astype(float)])
+    C, c_sq, ok = K._prepare(C, metric)
+    Q, q_sq, okq = K._prepare(Q, metric)
+    C, c_sq, Q, q_sq = C[ok], c_sq[ok], Q[okq], q_sq[okq]
+    r, c, d = K._local_topk(C, c_sq, Q, q_sq, 7, metric)
+    for j in range(len(Q)):
+        exact = K._distinct(1.0 - np.einsum("ij,j->i", C, Q[j]) if metric == "cosine" else ((C - Q[j]) ** 2).sum(1), metric)
+        best = np.lexsort((np.arange(len(C)), exact))[:7]
+        got = sorted(zip(d[c == j], r[c == j]))
+        assert [x[1] for x in got] == best.tolist() and np.array_equal([x[0] for x in got], exact[best])
