@@ -39,13 +39,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifter.llm.skew import salted_join
-from sifter.llm.words import blocks, text_bytes
+from sifter.llm.words import text_bytes
 from sifter.session import checkpoint_dir, ensure_parallelism, scratch_path
 
 #: Pairs of ids broadcast at most (about 60 bytes each).
 MOST = 2_000_000
-CACHE = 200_000
+#: Segments a worker remembers.
+CACHE = 150_000
+#: Bytes of text worked on at once (one text is never cut).
+PIECE = 1 << 19
 _KEPT: dict[tuple[str, str], "Tokenizers"] = {}
+_WIDE_BYTES = frozenset((0xC2, 0xE1, 0xE2, 0xE3))  # first bytes of white space beyond ASCII
+_WIDE = np.array(sorted(_WIDE_BYTES), np.uint8)
 
 
 class Tokenizers:
@@ -65,6 +70,7 @@ class Tokenizers:
         self.bytes_a = [b""] * self.n_a
         for token, i in vocabulary.items():
             self.bytes_a[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
+        self.ranked = _ranked(path_a, vocabulary, self.bytes_a)
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i in range(self.n_b) for p in [self.b.id_to_piece(i)]]
         if any(" " in p.decode().lstrip(" ") for i, p in enumerate(self.bytes_b) if not self.b.is_byte(i)):
@@ -74,20 +80,78 @@ class Tokenizers:
         a, b = [str(i) for i in range(self.n_a)], [str(i) for i in range(self.n_b)]
         #: Ids as they stand in the text of the groups: A inside, A last, B inside, B last.
         self.shown = pa.array([x + "," for x in a] + [x + "|" for x in a] + [x + "," for x in b] + [x + ";" for x in b], pa.large_binary())
-        self.seen: dict[bytes, tuple[list[int], list[int], bool]] = {}
-
-    def tokens(self, segments: list[bytes]) -> list[tuple[list[int], list[int], bool]]:
-        """(ids of A, ids of B, both give the segment back) of segments that start with a space."""
-        if len(self.seen) > CACHE:
-            self.seen.clear()
-        new = [s for s in segments if s not in self.seen]
+        self.table_a, self.table_b = pa.array(self.bytes_a, pa.large_binary()), pa.array(self.bytes_b, pa.large_binary())
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.flat_a, self.flat_b = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.count_a, self.count_b, self.same = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def numbers(self, segments: list[bytes]) -> np.ndarray:
+        """Places of segments in ``count_a``, ``count_b``, ``same`` (both
+        tokenizers give the segment back); flat_a, flat_b: their ids, end to end."""
+        if len(self.number) > CACHE:
+            self._forget()
+        new = [s for s in segments if s not in self.number]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self.number.__getitem__, segments), np.int64, len(segments))
+
+    def _learn(self, new: list[bytes]) -> None:
+        # what starts with a space and something else may stand behind anything: one call for all of these
+        joins = [len(s) > 1 and s[1] > 0x20 and s[1] not in _WIDE_BYTES for s in new]
+        new = [s for s, j in zip(new, joins) if j] + [s for s, j in zip(new, joins) if not j]
+        n, size = sum(joins), np.fromiter(map(len, new), np.int64, len(new))
         texts = [s.decode("utf-8", "replace") for s in new]
-        got_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        got_b = self.b.encode([t[1:] for t in texts], num_threads=1) if texts else []
-        for s, a, b in zip(new, got_a, got_b):
-            same = b"".join([self.bytes_a[i] for i in a]) == s and b"".join([self.bytes_b[i] for i in b]) == s
-            self.seen[s] = a, b, same
-        return [self.seen[s] for s in segments]
+        joined = "".join(texts[:n])
+        a = np.array(self.ranked.encode_ordinary(joined) if self.ranked else self.a.encode_batch_fast([joined], add_special_tokens=False)[0].ids if n else [], np.int64)
+        ends, bounds = np.cumsum(self.len_a[a]), np.cumsum(size[:n])
+        if not np.isin(bounds, ends, assume_unique=True).all():
+            n, a, ends, bounds = 0, a[:0], ends[:0], bounds[:0]
+        count = np.diff(np.searchsorted(ends, bounds) + 1, prepend=0) if n else np.zeros(0, np.int64)
+        odd = [e.ids for e in self.a.encode_batch_fast(texts[n:], add_special_tokens=False)]
+        a = np.concatenate([a, np.fromiter(chain.from_iterable(odd), np.int64)])
+        count_a = np.concatenate([count, np.fromiter(map(len, odd), np.int64, len(odd))])
+        got = self.b.encode([t[1:] for t in texts], num_threads=1)
+        b, count_b = np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got))
+        same = _gives_back(self.table_a, self.len_a, a, count_a, new, size) & _gives_back(self.table_b, self.len_b, b, count_b, new, size)
+        self.number.update(zip(new, range(len(self.same), len(self.same) + len(new))))
+        self.flat_a, self.flat_b = np.concatenate([self.flat_a, a.astype(np.int32)]), np.concatenate([self.flat_b, b.astype(np.int32)])
+        self.count_a, self.count_b, self.same = np.concatenate([self.count_a, count_a]), np.concatenate([self.count_b, count_b]), np.concatenate([self.same, same])
+
+
+def _gives_back(table: pa.Array, length: np.ndarray, ids: np.ndarray, count: np.ndarray, segments: list[bytes], size: np.ndarray) -> np.ndarray:
+    """Whether the tokens' bytes are the segment's, for each segment."""
+    of = np.repeat(np.arange(len(count)), count)
+    same = np.bincount(of, length[ids], len(count)).astype(np.int64) == size
+    got = table.take(pa.array(ids[same[of]]))
+    raw = np.frombuffer(got.buffers()[2], np.uint8) if len(got) else np.zeros(0, np.uint8)
+    want = np.frombuffer(b"".join([s for s, ok in zip(segments, same.tolist()) if ok]), np.uint8)
+    wrong = np.flatnonzero(raw[:len(want)] != want)
+    at = np.flatnonzero(same)
+    same[at[np.unique(np.searchsorted(np.cumsum(size[at]), wrong, "right"))]] = False
+    return same
+
+
+def _ranked(path: str, vocabulary: dict[str, int], token: list[bytes]):
+    """The same byte-level BPE by ranks, several times as fast on words not met
+    before, if the file is one whose merges stand in the order of their ids and
+    whose pre-tokenizer is the byte-level one; else None."""
+    import json
+
+    import tiktoken
+    with open(path, encoding="utf-8") as f:
+        d = json.load(f)
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in d["model"].get("merges", [])]
+    made = [vocabulary.get(a + b, -1) for a, b in merges]
+    if d["model"]["type"] != "BPE" or d.get("normalizer") or not plain.items() <= (d.get("pre_tokenizer") or {}).items() or sorted(set(made)) != made or made[:1] != [256]:
+        return None
+    special = {x["id"] for x in d.get("added_tokens", [])}
+    # fixed value: the byte-level pre-tokenizer's pattern
+    pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    return tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks={x: i for i, x in enumerate(token) if i not in special}, special_tokens={})
 
 
 def _byte_of() -> dict[str, int]:
@@ -115,7 +179,6 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return at[ok]
 
 
-_WIDE = np.array([0xC2, 0xE1, 0xE2, 0xE3], np.uint8)  # first bytes of white space beyond ASCII
 
 
 class Block:
@@ -126,19 +189,21 @@ class Block:
 
     def __init__(self, t: Tokenizers, data: np.ndarray, offsets: np.ndarray):
         self.n = len(offsets) - 1
-        starts = np.union1d(offsets[:-1][np.diff(offsets) > 0], cuts(data))
+        begins = np.zeros(len(data) + 1, bool)
+        begins[offsets[:-1]], begins[-1] = True, False
+        begins[cuts(data)] = True
+        starts = np.flatnonzero(begins)
         doc = np.searchsorted(offsets, starts, "right") - 1
         ends = np.append(starts, len(data)).astype(np.int64)
         column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
         coded = column.dictionary_encode()
-        got = t.tokens(coded.dictionary.to_pylist())
-        code = coded.indices.to_numpy()
-        lost = ~np.array([x[2] for x in got], bool)
-        self.good = (np.diff(offsets) > 0) & (np.bincount(doc, lost[code], self.n) == 0)
+        number = t.numbers(coded.dictionary.to_pylist())
+        code = number[coded.indices.to_numpy()]
+        self.good = (np.diff(offsets) > 0) & (np.bincount(doc, ~t.same[code], self.n) == 0)
         at = self.good[doc]
         code, doc = code[at], doc[at]
-        self.a, self.doc_a = _spread([x[0] for x in got], code, doc)
-        self.b, self.doc_b = _spread([x[1] for x in got], code, doc)
+        self.a, self.doc_a = _spread(t.flat_a, t.count_a, code, doc)
+        self.b, self.doc_b = _spread(t.flat_b, t.count_b, code, doc)
         self.ends_a, self.ends_b = np.cumsum(t.len_a[self.a]), np.cumsum(t.len_b[self.b])
         self.last_a = np.isin(self.ends_a, self.ends_b, assume_unique=True)
         self.last_b = np.isin(self.ends_b, self.ends_a, assume_unique=True)
@@ -163,8 +228,8 @@ class Block:
         place_a = np.arange(len(self.a)) + np.concatenate([[0], end_b + 1])[group_a]  # behind B's tokens of earlier groups
         place_b = np.arange(len(self.b)) + (end_a + 1)[group_b]  # behind A's tokens up to its own
         order = np.empty(len(self.a) + len(self.b), np.int64)
-        order[place_a] = self.a + t.n_a * self.last_a
-        order[place_b] = 2 * t.n_a + self.b + t.n_b * self.last_b
+        order[place_a] = self.a + np.where(self.last_a, t.n_a, 0)
+        order[place_b] = 2 * t.n_a + self.b + np.where(self.last_b, t.n_b, 0)
         text = t.shown.take(pa.array(order))
         offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
         raw = memoryview(text.buffers()[2]) if len(text) else memoryview(b"")
@@ -178,27 +243,29 @@ class Block:
     def distinct_links(self, t: Tokenizers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(documents, pairs as a * n_b + b, how often) by document and pair."""
         pair = self.a[self.link_a].astype(np.int64) * t.n_b + self.b[self.link_b]
-        key, n = np.unique(self.doc_a[self.link_a] * (t.n_a * t.n_b) + pair, return_counts=True)
+        key = np.sort(self.doc_a[self.link_a] * (t.n_a * t.n_b) + pair)
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        key, n = key[first], np.diff(first, append=len(key))
         return key // (t.n_a * t.n_b), key % (t.n_a * t.n_b), n
 
 
-def _spread(lists: list[list[int]], code: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _spread(flat: np.ndarray, n: np.ndarray, code: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The tokens of the segments in order, and their documents."""
-    n = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum()))
-    first = np.cumsum(n) - n
     m = n[code]
-    at = np.repeat(first[code] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+    at = np.repeat((np.cumsum(n) - n)[code] - (np.cumsum(m) - m), m)
+    at += np.arange(len(at))
     return flat[at], np.repeat(doc, m)
 
 
 def _blocks(batch: pa.RecordBatch, t: Tokenizers):
-    """(ids, Block) of the texts of a batch (id, text), about a MiB each."""
+    """(ids, Block) of the texts of a batch (id, text), about PIECE bytes each."""
     text = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
     spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), text, pa.scalar("", pa.large_string()))
     column = pc.if_else(pc.equal(pc.binary_length(text), 0), text, spaced)
     data, offsets = text_bytes(column)
-    for first, last in blocks(offsets):
+    last = 0
+    while last < len(column):
+        first, last = last, max(last + 1, int(np.searchsorted(offsets, offsets[last] + PIECE, "right")) - 1)
         yield batch.column(0).slice(first, last - first), Block(t, data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
 
 
