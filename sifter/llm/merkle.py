@@ -9,9 +9,9 @@ same kind, whose root is the dataset's.
 A level is joined with itself at shifts 1, 2, 4, .. fanout / 2: a node whose
 slot is a multiple of 2 * shift takes in what its sibling at index XOR shift
 has gathered, so that after the last shift the slot-zero rows hold their run's
-digests in order, and emit the parents. Every key occurs once a side, so a
-source with a third of all rows is no hot key. A level's runs are written (to
-the checkpoint folder) and are a sixteenth of the level in rows. From the last
+digests in order, and emit the parents. Each join is written, or the plan would
+double with every shift. Every key occurs once a side, so a
+source with a third of all rows is no hot key. A level's runs are a sixteenth of the level in rows. From the last
 level back down, each run gets the runs above it; a leaf finds its whole path
 by one join with the runs of the lowest level, and proofs are taken from there
 without any further shuffle.
@@ -38,6 +38,8 @@ from sifter.session import checkpoint_dir
 FANOUT = 16
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 HEX = 64  # hexadecimal digits of a digest
+#: A level of at most so many nodes (2 MB of digests) is one task, without a shuffle.
+SMALL = 1 << 16
 
 
 def encoded(c: Column) -> Column:
@@ -92,35 +94,39 @@ def build(leaves: DataFrame, fanout: int = FANOUT) -> Manifest:
         none = rows.select("tree", F.col("idx").alias("run"), F.array(F.col("leaf")).alias("path"), F.col("leaf").alias("subroot"))
         return Manifest(rows.drop("n"), none, None, 0, bits)
 
-    runs, subroots = _climb(rows.select("tree", "idx", "n", F.col("leaf").alias("digest")), most, bits)
+    runs, subroots = _climb(rows.select("tree", "idx", "n", F.col("leaf").alias("digest")), rows.count(), most, bits)
     top = subroots.select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("idx"), F.lit(trees).cast("bigint").alias("n"), F.col("subroot").alias("digest"))
-    top_runs, roots = _climb(top, trees, bits)
+    top_runs, roots = _climb(top, trees, trees, bits)
     root = bytes(roots.first()["subroot"]).hex()  # one row
 
     up = roots.select("tree", F.lit(0).cast("bigint").alias("run"), F.array().cast("array<binary>").alias("path"))
     for level in reversed(top_runs):
-        up = _below(level, up, bits)
+        up = _below(level, up, bits).checkpoint()
     of_tree = subroots.select(F.col("tree").alias("_tree"), "subroot", "depth").join(
         up.select(F.col("run").alias("_run"), "path"), F.shiftright("_tree", bits if top_runs else 62) == F.col("_run"))
     of_tree = of_tree.select(F.col("_tree").alias("tree"), F.lit(0).cast("bigint").alias("run"), "path", "subroot", "depth").checkpoint()
     paths = of_tree.where(F.col("depth") == len(runs)).drop("depth")
     for k in range(len(runs) - 1, -1, -1):
-        paths = _below(runs[k], paths, bits).unionByName(of_tree.where(F.col("depth") == k).drop("depth"))
+        # written level by level, as each is an eighth of the one below it or less and a plan of all would be long
+        paths = _below(runs[k], paths, bits).unionByName(of_tree.where(F.col("depth") == k).drop("depth")).checkpoint()
     return Manifest(rows.drop("n"), paths, root, len(top_runs), bits)
 
 
-def _climb(nodes: DataFrame, most: int, bits: int) -> tuple[list[DataFrame], DataFrame]:
-    """(the runs of each level, lowest first: tree, idx, run; each tree's root
-    and depth) of (tree, idx, n, digest) nodes, n being the tree's."""
+def _climb(nodes: DataFrame, count: int, most: int, bits: int) -> tuple[list[tuple[DataFrame, int]], DataFrame]:
+    """(the runs of each level, lowest first, and their number: tree, idx, run;
+    each tree's root and depth) of ``count`` (tree, idx, n, digest) nodes, n being
+    the tree's and ``most`` the largest of these."""
     done, runs = [nodes.where("n = 1").select("tree", F.col("digest").alias("subroot"), F.lit(0).alias("depth"))], []
     while most > 1:
         cur = nodes.where("n > 1").withColumnRenamed("digest", "run")
+        cur = cur.coalesce(1) if count <= SMALL else cur
         for j in range(bits):
             odd = F.shiftright("idx", j).bitwiseAND(1) == 1
             sibling = cur.where(odd).select("tree", F.col("idx").bitwiseXOR(F.lit(1 << j).cast("bigint")).alias("idx"), F.col("run").alias("_more"))
-            cur = cur.where(~odd).join(sibling, ["tree", "idx"], "left").withColumn("run", F.concat("run", F.coalesce("_more", F.lit(b"")))).drop("_more")
-        level = cur.select("tree", F.shiftright("idx", bits).alias("idx"), "n", "run").checkpoint()
-        runs.append(level.select("tree", "idx", "run"))
+            cur = cur.where(~odd).join(sibling, ["tree", "idx"], "left").withColumn("run", F.concat("run", F.coalesce("_more", F.lit(b"")))).drop("_more").checkpoint()
+        level = cur.select("tree", F.shiftright("idx", bits).alias("idx"), "n", "run")
+        count = level.count()
+        runs.append((level.select("tree", "idx", "run"), count))
         nodes = level.select("tree", "idx", F.shiftright(F.col("n") + ((1 << bits) - 1), bits).alias("n"), parent_of(F.col("run")).alias("digest"))
         done.append(nodes.where("n = 1").select("tree", F.col("digest").alias("subroot"), F.lit(len(runs)).alias("depth")))
         most = -(-most >> bits)
@@ -130,8 +136,10 @@ def _climb(nodes: DataFrame, most: int, bits: int) -> tuple[list[DataFrame], Dat
     return runs, out.checkpoint()
 
 
-def _below(level: DataFrame, up: DataFrame, bits: int) -> DataFrame:
+def _below(level: tuple[DataFrame, int], up: DataFrame, bits: int) -> DataFrame:
     """The paths of a level's runs, from those of the runs above it."""
+    small = level[1] << bits <= SMALL
+    level, up = (level[0].coalesce(1), up.coalesce(1)) if small else (level[0], up)
     here = level.select("tree", F.col("idx").alias("_idx"), F.shiftright("idx", bits).alias("run"), F.col("run").alias("_digests"))
     return here.join(up, ["tree", "run"]).withColumn("path", F.concat(F.array("_digests"), "path")).withColumn("run", F.col("_idx")).drop("_idx", "_digests")
 
