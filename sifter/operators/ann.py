@@ -55,37 +55,36 @@ def _assigned(vec: str, centers, metric: str, n: int, out_col: str):
     return assign
 
 
-def settings(n: int) -> tuple[int, int]:
-    """(cells, cells probed) for ``n`` rows when nine in ten neighbours are to be
-    found in vectors that hardly cluster: three cells in four."""
-    nlist = max(8, math.isqrt(n) // 8)
-    return nlist, -(-3 * nlist // 4)
-
-
-def build_index(corpus: DataFrame, path: str, c_id: str | Sequence[str] = "id", c_vec: str = "embedding", metric: str = "cosine",
-                carry: Sequence[str] = (), nlist: int | None = None, seed: int = 7, max_iter: int = 20) -> None:
-    """Writes the index of ``corpus`` to ``path``; rows without a vector are not in it."""
+def cell_centers(rows: DataFrame, ids: Sequence[str], c_vec: str, metric: str, nlist: int, n: int, seed: int = 7, max_iter: int = 20) -> np.ndarray:
+    """Centres of ``nlist`` cells (two at least), learned from at most about
+    SAMPLE_PER_CELL rows a cell of the ``n`` rows; a zero one without vectors."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     from sifter.functions.vectors import l2_normalize
-    spark, ids = corpus.sparkSession, _ids(c_id)
-    rows = corpus.select(*ids, c_vec, *[c for c in carry if c not in ids])
-    n = rows.where(F.col(c_vec).isNotNull()).count()
-    nlist = nlist or max(1, math.isqrt(n) // 8)
     u = F.pmod(F.xxhash64(*ids, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     unit = l2_normalize(c_vec) if metric == "cosine" else F.col(c_vec)
     train = (rows.where(u < min(1.0, nlist * SAMPLE_PER_CELL / max(n, 1))).select(unit.alias("_u"))
                  .where(F.col("_u").isNotNull()).select(array_to_vector("_u").alias("features"))).persist()
     try:
         if train.isEmpty():
-            centers = np.zeros((1, 1))
+            dim = rows.agg(F.max(F.size(c_vec))).first()[0] or 1
+            centers = np.zeros((1, max(dim, 1)))
         else:
             centers = np.asarray(KMeans(k=max(nlist, 2), seed=seed, maxIter=max_iter, featuresCol="features").fit(train).clusterCenters())
     finally:
         train.unpersist()
-    if metric == "cosine":
-        centers = _unit(centers)
+    return _unit(centers) if metric == "cosine" else centers
+
+
+def build_index(corpus: DataFrame, path: str, c_id: str | Sequence[str] = "id", c_vec: str = "embedding", metric: str = "cosine",
+                carry: Sequence[str] = (), nlist: int | None = None, seed: int = 7, max_iter: int = 20) -> None:
+    """Writes the index of ``corpus`` to ``path``; rows without a vector are not in it."""
+    spark, ids = corpus.sparkSession, _ids(c_id)
+    rows = corpus.select(*ids, c_vec, *[c for c in carry if c not in ids])
+    n = rows.where(F.col(c_vec).isNotNull()).count()
+    nlist = nlist or max(1, math.isqrt(n) // 8)
+    centers = cell_centers(rows, ids, c_vec, metric, nlist, n, seed, max_iter)
     bc = spark.sparkContext.broadcast(centers)
     schema = T.StructType([*rows.schema.fields, T.StructField("_cell", T.LongType())])
     cells = rows.mapInPandas(_assigned(c_vec, bc, metric, 1, "_cell"), schema) if n else rows.withColumn("_cell", F.lit(0).cast("bigint"))

@@ -3,9 +3,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from sifter.operators import knn as K
+from sifter.operators import quantized
 from sifter.operators.ann import ann_knn, build_index, recall, search
 from sifter.operators.ids import dense_chunk_ids, dense_index, running_offsets
 from sifter.operators.knn import knn
+from sifter.session import checkpoint_dir
 
 
 def test_running_offsets_equal_global_row_order(spark):
@@ -119,15 +121,51 @@ def test_stored_index_is_reopened_and_pruned(spark, tmp_path):
     assert recall(search(spark, f"{tmp_path}/ix", everything, 5, nprobe=6), exact, "qid", "id") >= 0.9
 
 
-def test_knn_ann_rows_hold_nine_in_ten_neighbours(spark):
+def test_quantized_search_at_two_sizes(spark):
+    """Nine in ten neighbours on the queries' own rows; rows scored in full grow slower than the corpus."""
     from conftest import SF01
 
-    from sifter.plans.misc import q_knn_ann, q_knn_ann_recall
-    emb = spark.read.parquet(f"{SF01}/embeddings.parquet")
-    exact = knn(emb.select(F.col("vec_id").alias("qid"), "embedding"), emb, 5, q_id="qid", c_id="vec_id")
-    assert recall(q_knn_ann(spark, SF01), exact, "qid", "vec_id") >= 0.9
-    r = q_knn_ann_recall(spark, SF01).first()
-    assert r.neighbours == exact.count() and r.nine_in_ten and r.exact_distances
+    from sifter.plans.misc import q_knn_ann
+    need = {}
+    for sf in (SF01, SF01.replace("0.01", "0.1")):
+        emb = spark.read.parquet(f"{sf}/embeddings.parquet")
+        exact = knn(emb.select(F.col("vec_id").alias("qid"), "embedding"), emb, 5, q_id="qid", c_id="vec_id")
+        assert recall(q_knn_ann(spark, sf), exact, "qid", "vec_id") >= 0.9
+        path = f"{checkpoint_dir(spark)}/quantized-{emb.count()}"
+        quantized.build(emb, path, "vec_id")
+        s = quantized.settings(spark, path)
+        need[s["n"]] = s["rerank"]
+    (small, few), (large, more) = sorted(need.items())
+    assert few * 4 <= small and more * 4 <= large and more / few < large / small
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_quantized_search_in_clusters_probes_few_cells(spark, tmp_path, metric):
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(40, 12)) * 3
+    m = centers[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 12)) * 0.2
+    rows = [("a", f"k{i}", [float(x) for x in v], i) for i, v in enumerate(m)] + [("a", "none", None, -1), ("a", "zero", [0.0] * 12, -2), ("b", "k4", [float(x) for x in m[4]], 4)]
+    corpus = spark.createDataFrame(rows, "part string, key string, embedding array<float>, label long")
+    quantized.build(corpus, f"{tmp_path}/q", ["part", "key"], metric=metric, carry=["label"], nlist=20)
+    s = quantized.settings(spark, f"{tmp_path}/q")
+    assert s["nprobe"] <= 5 and s["rerank"] < 1000
+    qs = corpus.where("label < 100").select(F.concat("part", "key").alias("qid"), "embedding")
+    exact = knn(qs, corpus, 6, c_id=["part", "key"], metric=metric, carry=["label"])
+    got = quantized.search(spark, f"{tmp_path}/q", qs, 6, c_id=["part", "key"], carry=["label"]).collect()
+    want = {(r.qid, r.part, r.key): (r.distance, r.label) for r in exact.collect()}
+    found = [r for r in got if (r.qid, r.part, r.key) in want]
+    assert len(found) >= 0.9 * len(want) and all(want[r.qid, r.part, r.key] == (r.distance, r.label) for r in found)
+    whole = quantized.search(spark, f"{tmp_path}/q", qs, 6, c_id=["part", "key"], carry=["label"], nprobe=20, rerank=5000).collect()
+    assert {(r.qid, r["rank"], r.part, r.key) for r in whole} == {(r.qid, r["rank"], r.part, r.key) for r in exact.collect()}
+
+
+def test_quantized_index_of_few_and_no_rows(spark, tmp_path):
+    schema = "id long, embedding array<double>"
+    q = spark.createDataFrame([(1, [1.0, 0.5, 0.0]), (2, None)], "qid long, embedding array<double>")
+    for i, (rows, want) in enumerate([([], []), ([(5, None)], []), ([(5, [0.0, 0.0, 0.0])], []), ([(5, [1.0, 0.5, 0.1]), (3, [1.0, 0.5, 0.1]), (4, None)], [(1, 1, 3), (1, 2, 5)])]):
+        quantized.build(spark.createDataFrame(rows, schema), f"{tmp_path}/{i}")
+        got = quantized.search(spark, f"{tmp_path}/{i}", q, 3).collect()
+        assert [(r.qid, r["rank"], r.id) for r in sorted(got)] == want
 
 
 @pytest.mark.parametrize("metric", ["cosine", "l2"])
