@@ -6,15 +6,14 @@ every ``fanout`` consecutive ones become the digest of their digests. The
 groups' roots, in the order of the groups, are the leaves of a last tree of the
 same kind, whose root is the dataset's.
 
-A level is joined with itself at shifts 1, 2, 4, .. fanout / 2: a node whose
-slot is a multiple of 2 * shift takes in what its sibling at index XOR shift
-has gathered, so that after the last shift the slot-zero rows hold their run's
-digests in order, and emit the parents. Each join is written, or the plan would
-double with every shift. Every key occurs once a side, so a
-source with a third of all rows is no hot key. A level's runs are a sixteenth of the level in rows. From the last
-level back down, each run gets the runs above it; a leaf finds its whole path
-by one join with the runs of the lowest level, and proofs are taken from there
-without any further shuffle.
+A level is joined with itself: each slot-zero row computes the indices of its
+siblings, its own shifted by the slot offsets, and an equijoin finds them. Every
+key occurs once a side, so a source with a third of all rows is no hot key. The
+``fanout`` digests at most that a slot-zero row has found then make its parent.
+A level's runs are written, a sixteenth of the level in rows; levels of at most
+SMALL nodes are one task each. From the last level back down, each run gets the
+runs above it; a leaf finds its whole path by one join with the runs of the
+lowest level, and proofs are taken from there without any further shuffle.
 
 Nulls and ties: a null column is ``-``, another one its UTF-8 byte count, ``:``
 and its value, so null and empty differ. Null groups come first, null ids
@@ -101,14 +100,14 @@ def build(leaves: DataFrame, fanout: int = FANOUT) -> Manifest:
 
     up = roots.select("tree", F.lit(0).cast("bigint").alias("run"), F.array().cast("array<binary>").alias("path"))
     for level in reversed(top_runs):
-        up = _below(level, up, bits).checkpoint()
+        up = _below(level, up, bits)
     of_tree = subroots.select(F.col("tree").alias("_tree"), "subroot", "depth").join(
         up.select(F.col("run").alias("_run"), "path"), F.shiftright("_tree", bits if top_runs else 62) == F.col("_run"))
     of_tree = of_tree.select(F.col("_tree").alias("tree"), F.lit(0).cast("bigint").alias("run"), "path", "subroot", "depth").checkpoint()
     paths = of_tree.where(F.col("depth") == len(runs)).drop("depth")
     for k in range(len(runs) - 1, -1, -1):
-        # written level by level, as each is an eighth of the one below it or less and a plan of all would be long
-        paths = _below(runs[k], paths, bits).unionByName(of_tree.where(F.col("depth") == k).drop("depth")).checkpoint()
+        paths = _below(runs[k], paths, bits).unionByName(of_tree.where(F.col("depth") == k).drop("depth"))
+        paths = paths.checkpoint() if not k or runs[k - 1][1] << bits > SMALL else paths
     return Manifest(rows.drop("n"), paths, root, len(top_runs), bits)
 
 
@@ -118,13 +117,14 @@ def _climb(nodes: DataFrame, count: int, most: int, bits: int) -> tuple[list[tup
     the tree's and ``most`` the largest of these."""
     done, runs = [nodes.where("n = 1").select("tree", F.col("digest").alias("subroot"), F.lit(0).alias("depth"))], []
     while most > 1:
-        cur = nodes.where("n > 1").withColumnRenamed("digest", "run")
+        cur = nodes.where("n > 1")
         cur = cur.coalesce(1) if count <= SMALL else cur
-        for j in range(bits):
-            odd = F.shiftright("idx", j).bitwiseAND(1) == 1
-            sibling = cur.where(odd).select("tree", F.col("idx").bitwiseXOR(F.lit(1 << j).cast("bigint")).alias("idx"), F.col("run").alias("_more"))
-            cur = cur.where(~odd).join(sibling, ["tree", "idx"], "left").withColumn("run", F.concat("run", F.coalesce("_more", F.lit(b"")))).drop("_more").checkpoint()
-        level = cur.select("tree", F.shiftright("idx", bits).alias("idx"), "n", "run")
+        zeros = cur.where(F.col("idx").bitwiseAND((1 << bits) - 1) == 0)
+        offsets = F.explode(F.sequence(F.lit(0), F.least(F.lit((1 << bits) - 1).cast("bigint"), F.col("n") - F.col("idx") - 1).cast("int"))).alias("_slot")
+        wanted = zeros.select(F.col("tree").alias("_tree"), "n", (F.col("idx")).alias("_zero"), offsets)
+        met = wanted.join(cur.select("tree", "idx", "digest"), (F.col("_tree") == F.col("tree")) & (F.col("idx") == F.col("_zero") + F.col("_slot")))
+        level = met.groupBy("tree", F.shiftright("_zero", bits).alias("idx"), "n").agg(F.array_sort(F.collect_list(F.struct("_slot", "digest"))).alias("_of"))
+        level = level.select("tree", "idx", "n", F.unhex(F.array_join(F.transform("_of", lambda x: F.hex(x["digest"])), "")).alias("run")).checkpoint()
         count = level.count()
         runs.append((level.select("tree", "idx", "run"), count))
         nodes = level.select("tree", "idx", F.shiftright(F.col("n") + ((1 << bits) - 1), bits).alias("n"), parent_of(F.col("run")).alias("digest"))
