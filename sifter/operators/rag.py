@@ -18,6 +18,7 @@ import re
 import time
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,7 +113,8 @@ def extractive_prompt(max_new_tokens: int = 256, max_prompt_tokens: int | None =
 
 
 # name -> factory(**options) -> row -> answer. Model-backed generators are
-# registered the same way; the factory runs once per task.
+# registered the same way; the factory runs once per task. A factory made by
+# ``batched`` gives a function of many rows at once.
 GENERATORS: dict[str, Callable[..., Callable[[dict], str]]] = {
     "extractive/top1": extractive_top1,
     "extractive/lead": extractive_lead,
@@ -124,6 +126,41 @@ def register_generator(name: str, factory: Callable[..., Callable[[dict], str]])
     GENERATORS[name] = factory
 
 
+def batched(factory: Callable[..., Callable[[list[dict]], list[str]]]) -> Callable[..., Callable]:
+    """Marks a factory whose generators take a list of rows and give a list of
+    answers (a model fed in batches). If a batch fails, its rows are tried one
+    by one, so that only those that fail alone are lost."""
+    def made(**options):
+        gen = factory(**options)
+
+        def many(rows: list[dict]) -> list[str]:
+            return gen(rows)
+        many.batch = True
+        return many
+    return made
+
+
+def _answers(fn: Callable, rows: list[dict]) -> list[tuple[str | None, float, str | None]]:
+    """(answer, seconds, error) of each row."""
+    def one(row: dict, call: Callable) -> tuple[str | None, float, str | None]:
+        t0 = time.perf_counter()
+        try:
+            return call(row), time.perf_counter() - t0, None
+        except Exception as e:  # noqa: BLE001  (a failed answer is a row, not a task failure)
+            return None, time.perf_counter() - t0, f"{type(e).__name__}: {e}"
+
+    if not getattr(fn, "batch", False):
+        return [one(r, fn) for r in rows]
+    t0 = time.perf_counter()
+    try:
+        got = list(fn(rows))
+        if len(got) != len(rows):
+            raise ValueError(f"{len(got)} answers to {len(rows)} rows")
+    except Exception:  # noqa: BLE001
+        return [one(r, lambda x: fn([x])[0]) for r in rows]
+    return [(a, (time.perf_counter() - t0) / len(rows), None) for a in got]
+
+
 def truncated(prompt: Column, max_tokens: int) -> Column:
     """A prompt cut to a model's context window (X5), for generators that should answer rather than fail."""
     return truncate_words(prompt, max_tokens)
@@ -144,31 +181,23 @@ def generate(df: DataFrame, generator: str | Callable[[dict], str], out_col: str
     schema = T.StructType(fields)
     cols = df.columns
 
-    def run(batches):
-        cache: dict[str, Callable[[dict], str]] = {}
+    known = dict(GENERATORS)  # workers know no registry but the one imported
 
-        def get(name):
-            if name not in cache:
-                cache[name] = GENERATORS[name](**opts)
-            return cache[name]
-
-        fixed = generator if callable(generator) else None
+    def run(batches):
+        made: dict[str, Callable] = {}
         for pdf in batches:
-            answers, times, errors = [], [], []
-            for rec in pdf.to_dict("records"):
-                fn = fixed or get(rec[llm_col] if llm_col else generator)
-                t0 = time.perf_counter()
-                try:
-                    a, err = fn(rec), None
-                except Exception as e:  # noqa: BLE001  (a failed answer is a row, not a task failure)
-                    a, err = None, f"{type(e).__name__}: {e}"
-                times.append(time.perf_counter() - t0)
-                answers.append(a)
-                errors.append(err)
+            names = pdf[llm_col].to_numpy() if llm_col else np.full(len(pdf), "" if callable(generator) else generator, object)
+            rows = pdf.to_dict("records")
+            got: list = [None] * len(rows)
+            for name in dict.fromkeys(names):
+                if name not in made:
+                    made[name] = generator if callable(generator) else known[name](**opts)
+                at = np.flatnonzero(names == name)
+                for i, x in zip(at, _answers(made[name], [rows[i] for i in at])):
+                    got[i] = x
             out = pdf[cols].copy()
-            out[out_col] = answers
-            out["time"] = times
-            out["error"] = errors
+            for j, c in enumerate((out_col, "time", "error")):
+                out[c] = pd.Series([x[j] for x in got], index=pdf.index, dtype="float64" if c == "time" else object)
             yield out
 
     return df.mapInPandas(run, schema).withColumn(out_col, strip_ws(F.col(out_col)))

@@ -521,7 +521,9 @@ SQL.update({
     "chat_answers_stream": f"""WITH RECURSIVE {dense_chunks_cte()}, {SPOKEN},
         asked AS (SELECT *, conv_id || ':' || turn AS qid, {clean('text')} AS question FROM spoken WHERE role = 'user'),
         {knn_ctes('s', 'asked', 'qid', 'question', 64, 2)}, {ctx_cte('sc', 'stop')}
-        SELECT conv_id, turn, history_md5, coalesce({first_words('top1')}, '') AS answer FROM asked LEFT JOIN sc USING (qid)""",
+        , told AS (SELECT conv_id, turn, text, coalesce({first_words('top1')}, '') AS answer FROM asked LEFT JOIN sc USING (qid))
+        SELECT conv_id, turn, answer, md5(coalesce(string_agg('user: ' || coalesce(text, '') || chr(10) || 'assistant: ' || answer, chr(10)) OVER (
+            PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '')) AS history_md5 FROM told""",
     "link_dedup_stream": f"WITH {NAV} SELECT DISTINCT href FROM nl",
     "ingest_stream": f"""WITH RECURSIVE {recursive_chunks_cte(500, 80, _PAGE_DOCS)}
         SELECT doc_id AS page_id, chunk_pos, source AS link, md5(chunk_text) AS text_md5 FROM rchunks""",

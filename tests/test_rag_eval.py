@@ -62,3 +62,23 @@ def test_history_sizes_blocks_equal_single_window(spark):
         got = {(r.conv_id, r.turn): (r.n_prev, r.prev_chars, r.prev_role)
                for r in history_sizes(conv, block=block).collect()}
         assert got == want, block
+
+
+def test_batched_generator_gets_batches_and_isolates_failures(spark):
+    from sifter.operators.rag import batched, generate
+
+    def factory(prefix=""):
+        sizes = []
+
+        def gen(rows):
+            sizes.append(len(rows))
+            if any(r["q"] == "bad" for r in rows):
+                raise ValueError("no answer")
+            return [f"{prefix}{r['q']}:{len(rows)}:{max(sizes)}" for r in rows]
+        return gen
+    df = spark.createDataFrame([(i, "ask") for i in range(50)], "i long, q string").coalesce(1)
+    got = generate(df, batched(factory)(prefix="> "))
+    assert {r.answer for r in got.collect()} == {"> ask:50:50"} and got.where("error is not null or time is null").count() == 0
+    mixed = generate(spark.createDataFrame([(1, "a"), (2, "bad"), (3, "c")], "i long, q string").coalesce(1), batched(factory)())
+    rows = {r.i: (r.answer, r.error) for r in mixed.collect()}
+    assert rows == {1: ("a:1:3", None), 2: (None, "ValueError: no answer"), 3: ("c:1:3", None)}

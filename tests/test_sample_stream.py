@@ -1,11 +1,14 @@
 import hashlib
+import json
 import tempfile
 
 from pyspark.sql import functions as F
 
 from sifter.functions.agents import attributes, weight
 from sifter.operators.sample import weighted_choice
-from sifter.streaming.jobs import chat_history_stream, file_stream, run_available
+from sifter.operators.rag import GENERATORS, register_generator
+from sifter.streaming.chat import chat_history_stream
+from sifter.streaming.jobs import file_stream, run_available
 
 UAS = [
     "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36",
@@ -83,3 +86,63 @@ def test_chat_stream_long_conversation_waits(spark):
     line = [f"{'user' if t % 2 == 0 else 'assistant'}: t{t}" for t in range(n)]
     assert {(r.turn, r.n_prev, r.h, r.late) for r in got} == {
         (t, t, hashlib.md5("\n".join(line[:t]).encode()).hexdigest(), False) for t in range(n)} and len(got) == n
+
+
+def test_chat_state_written_does_not_grow_with_the_history(spark):
+    """3,000 turns in ten batches, in order: the bytes written to the state stay
+    about the same from batch to batch, and later turns see earlier answers."""
+    register_generator("echo/history", lambda **_: (lambda row: f"{len(row['history'])}:{row['question']}:{row['history'][-1] if row['history'] else ''}"[:60]))
+    root, n = tempfile.mkdtemp(prefix="sifter-stream-"), 3000
+    schema = "conv_id long, turn long, role string, text string"
+    try:
+        for b in range(10):
+            rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t} " + "x" * 40) for t in range(b * 300, b * 300 + 300)]
+            spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/in/{b}")
+        stream = chat_history_stream(file_stream(spark, root + "/in/*", schema), texts=False, generator="echo/history")
+        q = (stream.writeStream.option("checkpointLocation", root + "/ck").format("parquet").option("path", root + "/out").trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        GENERATORS.pop("echo/history")
+    written = [p["stateOperators"][0]["customMetrics"]["rocksdbTotalBytesWritten"] for p in map(lambda p: p if isinstance(p, dict) else json.loads(p.json), q.recentProgress) if p["stateOperators"]]
+    written = [w for w in written if w]
+    assert len(written) >= 9 and max(written) < 2 * min(written)
+    lines, want = [], set()
+    for t in range(0, n, 2):
+        text = f"t{t} " + "x" * 40
+        answer = f"{len(lines)}:{text}:{lines[-1] if lines else ''}"[:60].strip()
+        want.add((t, len(lines), hashlib.md5("\n".join(lines).encode()).hexdigest(), answer))
+        lines += [f"user: {text}", f"assistant: {answer}"]
+    got = spark.read.parquet(root + "/out").select("turn", "n_prev", "history_md5", "answer").collect()
+    assert set(map(tuple, got)) == want and len(got) == len(want)
+
+
+def test_chat_timer_releases_and_failed_answers_are_rows(spark):
+    import time
+
+    from sifter.operators.rag import ContextWindowExceeded
+
+    def failing(**_):
+        def gen(row):
+            if "bad" in row["question"]:
+                raise ContextWindowExceeded("too long")
+            return " fine "
+        return gen
+    register_generator("failing", failing)
+    root = tempfile.mkdtemp(prefix="sifter-stream-")
+    schema = "conv_id long, turn long, role string, text string"
+    rows = [(1, 0, "user", "good"), (1, 1, "user", "bad"), (1, 2, "user", "good again"), (2, 4, "user", "late one"), (2, 4, "user", "twice")]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(root + "/in/a")
+    try:
+        stream = chat_history_stream(file_stream(spark, root + "/in/*", schema), timeout_ms=500, generator="failing", template="{question}")
+        q = stream.writeStream.option("checkpointLocation", root + "/ck").format("parquet").option("path", root + "/out").trigger(processingTime="1 second").start()
+        for _ in range(60):
+            time.sleep(1)
+            if q.recentProgress and spark.read.schema("conv_id long").parquet(root + "/out").count() >= 5:
+                break
+        q.stop()
+    finally:
+        GENERATORS.pop("failing")
+    got = {(r.conv_id, r.turn, r.text): (r.answer, r.error, r.history, r.late) for r in spark.read.parquet(root + "/out").collect()}
+    assert got == {(1, 0, "good"): ("fine", None, "", False), (1, 1, "bad"): (None, "ContextWindowExceeded: too long", "user: good\nassistant: fine", False),
+                   (1, 2, "good again"): ("fine", None, "user: good\nassistant: fine\nuser: bad\nassistant: ", False),
+                   (2, 4, "late one"): ("fine", None, "", True), (2, 4, "twice"): ("fine", None, "user: late one\nassistant: fine", True)}
