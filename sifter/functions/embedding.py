@@ -86,6 +86,36 @@ def hashed_tf(text, dim: int = 64) -> Column:
     return _tf_udf(dim)(c)
 
 
+def _unit(c: np.ndarray) -> np.ndarray | None:
+    if not c.any():
+        return None
+    c = c.astype(np.float64)
+    return (c / np.sqrt(np.dot(c, c))).astype(np.float32)
+
+
+@lru_cache(maxsize=None)
+def _widths_udf(dims: tuple[int, ...]):
+    from pyspark.sql.types import StructField, StructType
+    schema = StructType([StructField(f"hash{d}", ArrayType(FloatType())) for d in dims])
+    widest = max(dims)
+
+    @F.pandas_udf(schema)
+    def widths(texts: pd.Series) -> pd.DataFrame:
+        counts = [py_counts(t, widest) for t in texts]
+        # a bucket of a narrower vector is a sum of buckets of the widest one
+        fold = lambda c, d: None if c is None else _unit(c.reshape(-1, d).sum(axis=0))
+        return pd.DataFrame({f"hash{d}": pd.Series([fold(c, d) for c in counts], dtype=object, index=texts.index) for d in dims})
+    return widths.asNondeterministic()
+
+
+def hashed_tf_widths(text, dims: tuple[int, ...]) -> Column:
+    """A struct of ``hashed_tf`` vectors, one for each width, from one pass
+    over the tokens; each width has to divide the widest."""
+    if any(max(dims) % d for d in dims):
+        raise ValueError(f"widths {dims} do not divide the widest")
+    return _widths_udf(tuple(dims))(F.col(text) if isinstance(text, str) else text)
+
+
 @lru_cache(maxsize=None)
 def _distance_udf(dim: int, digits: int):
     from pyspark.sql.types import DoubleType

@@ -238,6 +238,39 @@ def with_history(df: DataFrame, key: str = "conv_id", order_col: str = "turn",
     return df.withColumn(out_col, F.collect_list(F.struct(*fields)).over(w))
 
 
+def history_blocks(df: DataFrame, key: str = "conv_id", order_col: str = "turn", line: Column | None = None, block: int = 256) -> tuple[DataFrame, DataFrame]:
+    """History without its square: (blocks, refs).
+
+    blocks: (key, _blk, n, lines): the lines of ``block`` consecutive turn
+    numbers, in order. refs: (key, order, _blk, n_prev): a turn refers to all
+    blocks before its own and to the lines of its own block that come before
+    it. Both are as large as the turns, and a long conversation is spread over
+    tasks by its blocks; ``history_texts`` makes texts of the turns asked for."""
+    line = line if line is not None else F.concat(F.coalesce("role", F.lit("")), F.lit(": "), F.coalesce("text", F.lit("")))
+    rows = df.select(key, F.col(order_col).alias("_t"), line.alias("_line"), F.floor(F.col(order_col) / F.lit(block)).cast("long").alias("_blk"))
+    # turns that share a number follow each other by their lines
+    blocks = rows.groupBy(key, "_blk").agg(F.array_sort(F.collect_list(F.struct("_t", "_line"))).alias("lines"))
+    blocks = blocks.withColumn("n", F.size("lines").cast("long"))
+    before = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
+    placed = blocks.select(key, "_blk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
+    refs = blocks.select(key, "_blk", F.posexplode("lines").alias("_i", "_x")).join(placed, [key, "_blk"])
+    refs = refs.select(key, F.col("_x")["_t"].alias(order_col), "_blk", F.col("_i").cast("long").alias("_i"), (F.col("_first") + F.col("_i")).cast("long").alias("n_prev"))
+    return blocks, refs
+
+
+def history_texts(blocks: DataFrame, asked: DataFrame, key: str = "conv_id", order_col: str = "turn", sep: str = "\n", out_col: str = "history") -> DataFrame:
+    """(key, order, n_prev, history) of the refs in ``asked``: a join with the
+    blocks up to each turn's own; a block is joined into one text first."""
+    text = blocks.select(key, F.col("_blk").alias("_b"), F.transform("lines", lambda x: x["_line"]).alias("_lines"))
+    refs = asked.select(key, "_blk", "_i").distinct()
+    whole = refs.join(text.select(key, "_b", F.array_join("_lines", sep).alias("_text")), key).where(F.col("_b") < F.col("_blk"))
+    own = refs.join(text.withColumnRenamed("_b", "_blk"), [key, "_blk"]).where("_i > 0").select(
+        key, "_blk", "_i", F.col("_blk").alias("_b"), F.array_join(F.slice("_lines", F.lit(1), F.col("_i").cast("int")), sep).alias("_text"))
+    parts = whole.select(own.columns).unionByName(own)
+    joined = parts.groupBy(key, "_blk", "_i").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_b", "_text"))), lambda x: x["_text"]), sep).alias(out_col))
+    return asked.join(joined, [key, "_blk", "_i"], "left").select(key, order_col, "n_prev", F.coalesce(out_col, F.lit("")).alias(out_col))
+
+
 def qa_pairs(conversations: DataFrame, key: str = "conv_id", order_col: str = "turn") -> DataFrame:
     """(conv_id, turn, question, reference): a user turn and the assistant
     turn that follows it."""

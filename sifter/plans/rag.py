@@ -7,15 +7,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sifter.functions.embedding import hashed_tf_widths
 from sifter.functions.text import clean_text, words
 from sifter.functions.vectors import cosine_distance, round_distance
 from sifter.operators.embed import embed
 from sifter.operators.evaluate import (config_report, exclude_label, mean_by_config, relabel_all_strings)
 from sifter.operators.knn import knn
 from sifter.operators.rag import (DEFAULT_TEMPLATE, answer_questions, assemble_context, fill_prompt, generate,
-                                  qa_pairs, split_failures, with_history, without_context)
+                                  history_blocks, history_texts, qa_pairs, split_failures, without_context)
 from sifter.plans.common import CHUNK_KEY, dense_recursive_chunks, questions, recursive_chunks, table
-from sifter.session import checkpoint_dir
+from sifter.session import checkpoint_dir, scratch_path
 
 # Grid of the benchmark: retrieval depth x generator x encoder.
 GRID_K = (2, 3, 4)
@@ -99,11 +100,13 @@ def q_split_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_chat_history_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R6 + W4: every turn with the history it sees, oldest first (all of it:
-    ``max_turns`` would bound it); stop commands are left out."""
-    h = with_history(spoken(spark, sf_dir), fields=("role", "text"))
-    lines = F.transform("history", lambda x: F.concat(F.coalesce(x["role"], F.lit("")), F.lit(": "), F.coalesce(x["text"], F.lit(""))))
-    return h.select("conv_id", "turn", F.size("history").cast("long").alias("n_prev"), F.md5(F.array_join(lines, "\n")).alias("history_md5"))
+    """R6 + W4: every turn with the history it sees, oldest first; stop
+    commands are left out. Turns refer to blocks of lines, so no conversation
+    is one task; the texts are made for all turns here, since all are asked for."""
+    checkpoint_dir(spark)
+    blocks, refs = history_blocks(spoken(spark, sf_dir))
+    h = history_texts(blocks, refs.checkpoint())
+    return h.select("conv_id", "turn", "n_prev", F.md5("history").alias("history_md5"))
 
 
 def q_chat_history_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +163,12 @@ def evaluated(spark: SparkSession, sf_dir: str, chunks: DataFrame, encoder: str,
     """QA questions answered for every (k, llm) with one ranking to max(k)."""
     qa = qa if qa is not None else qa_questions(spark, sf_dir)
     hits = retrieve(chunks, qa.select("qid", "question"), max(ks), q_id="qid", encoder=encoder)
+    return answered_grid(qa, hits, encoder, ks, llms, options)
+
+
+def answered_grid(qa: DataFrame, hits: DataFrame, encoder: str, ks, llms, options: dict | None) -> DataFrame:
+    """The QA set answered from ranked hits for every (k, llm), and scored;
+    an answer that several cells give is scored once."""
     kk = F.explode(F.array(*[F.lit(k).cast("long") for k in ks])).alias("k")
     hk = hits.select("*", kk).where(F.col("rank") <= F.col("k"))
     ctx = assemble_context(hk, "qid", extra_keys=("k",))
@@ -168,8 +177,13 @@ def evaluated(spark: SparkSession, sf_dir: str, chunks: DataFrame, encoder: str,
     rows = (without_context(cells.join(ctx, ["qid", "k"], "left")).select("*", ll)
               .withColumn("prompt", fill_prompt(DEFAULT_TEMPLATE, context=F.col("context"),
                                                 question=F.col("question"))))
-    gen = generate(rows, "", llm_col="llm", options=options)
-    return score(gen, encoder).withColumn("transformer", F.lit(encoder))
+    gen = generate(rows, "", llm_col="llm", options=options).drop("context", "sources", "n_sources", "prompt")
+    if len(ks) * len(llms) == 1:
+        return score(gen, encoder).withColumn("transformer", F.lit(encoder))
+    same = gen.groupBy("qid", "answer").agg(F.any_value("reference").alias("reference"), F.any_value("question").alias("question"),
+                                            F.any_value("conv_id").alias("conv_id"), F.any_value("turn").alias("turn"),
+                                            F.collect_list(F.struct("k", "llm", "time", "error")).alias("_cells"))  # a row a cell
+    return score(same, encoder).withColumn("transformer", F.lit(encoder)).select("*", F.inline("_cells")).drop("_cells")
 
 
 def q_evaluate_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,13 +194,23 @@ def q_evaluate_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def grid(spark: SparkSession, sf_dir: str, options: dict | None = None) -> DataFrame:
     """E2 + E3 + J3: every (k, llm, encoder) cell over the whole QA set.
-    Chunks are cut once; each encoder embeds and ranks once to the largest k."""
-    # chunked once, cut from lineage in the shared folder, read by every encoder branch
+    Chunks are cut once, and one pass over their tokens makes the vectors of
+    all encoders; each encoder ranks keys alone to the largest k, and the texts
+    of what was found are joined to them."""
     checkpoint_dir(spark)
-    chunks = recursive_chunks(spark, sf_dir).checkpoint(eager=True)
+    chunks = recursive_chunks(spark, sf_dir).select("doc_id", "chunk_pos", "chunk_text")
     qa = qa_questions(spark, sf_dir).checkpoint(eager=True)
-    parts = [evaluated(spark, sf_dir, chunks, enc, GRID_K, GRID_LLM, qa, options) for enc in GRID_ENCODERS]
-    g = reduce(DataFrame.unionByName, parts)
+    widths = tuple(int(e[4:]) for e in GRID_ENCODERS)
+    # written once, in the shared folder, read by column by every encoder's branch
+    at = scratch_path(spark, "grid-chunks")
+    chunks.select("*", hashed_tf_widths("chunk_text", widths).alias("_v")).select("doc_id", "chunk_pos", "chunk_text", "_v.*").write.parquet(at)
+    chunks = spark.read.parquet(at)
+    asked = qa.select("qid", hashed_tf_widths("question", widths).alias("_v")).select("qid", "_v.*").checkpoint(eager=True)
+    found = reduce(DataFrame.unionByName, [
+        knn(asked.select("qid", F.col(e).alias("embedding")), chunks.select(*CHUNK_KEY, F.col(e).alias("embedding")), max(GRID_K), q_id="qid", c_id=CHUNK_KEY)
+        .withColumn("encoder", F.lit(e)) for e in GRID_ENCODERS])
+    hits = found.join(chunks.select(*CHUNK_KEY, "chunk_text"), list(CHUNK_KEY)).checkpoint(eager=True)
+    g = reduce(DataFrame.unionByName, [answered_grid(qa, hits.where(F.col("encoder") == e).drop("encoder"), e, GRID_K, GRID_LLM, options) for e in GRID_ENCODERS])
     return g.select("qid", "conv_id", "turn", "question", F.col("reference").alias("ref"),
                     F.col("answer").alias("response"), "score", "time", "error", "llm", "transformer", "k")
 

@@ -11,7 +11,7 @@ from sifter.functions.text import clean_text
 from sifter.operators.chunk import (recursive_chunker, sentence_chunker, separator_chunker,
                                     split_documents, token_chunker)
 from sifter.operators.embed import embed
-from sifter.operators.ids import chunk_offsets
+from sifter.operators.ids import chunk_offsets, running_offsets
 from sifter.operators.knn import knn
 from sifter.plans.common import (CHUNK_KEY, cleaned_documents, dense_recursive_chunks, embedded_chunks,
                                  questions, recursive_chunks, table)
@@ -140,13 +140,16 @@ def q_knn_topk_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V8 + P6: metadata-filtered kNN — only chunks whose metadata link
-    contains "src1" are candidates. Their ids count all chunks; they alone
-    are encoded."""
-    ch = dense_recursive_chunks(spark, sf_dir).where(F.col("source").contains("src1"))
+    contains "src1" are candidates. Their ids count all chunks, by sizes
+    alone; the filter reaches the scan, and the texts that pass are the only
+    ones that are cut for the search and encoded."""
+    docs, cut = cleaned_documents(spark, sf_dir), recursive_chunker(500, 80)(F.col("content"))
+    offs = running_offsets(docs.select("doc_id", F.size(cut).alias("_n")), "doc_id", "_n").select("doc_id", "offset")
+    ch = docs.where(F.col("source").contains("src1")).select("doc_id", "source", F.posexplode(cut).alias("chunk_pos", "chunk_text"))
     ch = ch.withColumn("metadata", F.create_map(F.lit("link"), F.col("source"), F.lit("table"), F.lit("0")))
-    res = knn(questions(spark, sf_dir), embed(ch, "chunk_text", "hash64"), 3, q_id="item_id", c_id="chunk_id", carry=["doc_id", "metadata"])
-    return res.select("item_id", "rank", "chunk_id", "doc_id",
-                      F.col("metadata")["link"].alias("link"), "distance")
+    res = knn(questions(spark, sf_dir), embed(ch, "chunk_text", "hash64"), 3, q_id="item_id", c_id=CHUNK_KEY, carry=["metadata"])
+    return res.join(offs, "doc_id").select("item_id", "rank", (F.col("offset") + F.col("chunk_pos")).alias("chunk_id"), "doc_id",
+                                           F.col("metadata")["link"].alias("link"), "distance")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

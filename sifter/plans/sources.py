@@ -211,7 +211,7 @@ def q_collection_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     coll.get_or_create(spark, root, "chunks", "cosine")
     coll.add(spark, root, "chunks", _chunk_rows(spark, sf_dir).drop("lang"))
     qs = questions(spark, sf_dir).select("item_id", "embedding")
-    res = coll.query(spark, root, "chunks", qs, 3, where=F.col("metadata")["link"].contains("src1"), q_id="item_id")
+    res = coll.query(spark, root, "chunks", qs, 3, where=F.col("link").contains("src1"), q_id="item_id")
     return res.select("item_id", "rank", F.col("id").cast("long").alias("chunk_id"), "distance")
 
 

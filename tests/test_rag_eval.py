@@ -82,3 +82,18 @@ def test_batched_generator_gets_batches_and_isolates_failures(spark):
     mixed = generate(spark.createDataFrame([(1, "a"), (2, "bad"), (3, "c")], "i long, q string").coalesce(1), batched(factory)())
     rows = {r.i: (r.answer, r.error) for r in mixed.collect()}
     assert rows == {1: ("a:1:3", None), 2: (None, "ValueError: no answer"), 3: ("c:1:3", None)}
+
+
+def test_history_blocks_are_linear_and_spread(spark):
+    """One conversation of 2,000 turns and some short ones: blocks and refs hold
+    each line once; the texts of the turns asked for equal a plain join."""
+    from sifter.operators.rag import history_blocks, history_texts
+    turns = [(1, t, "user", f"line {t}") for t in range(2000)] + [(c, t, None, None if t == 1 else f"{c}-{t}") for c in (2, 3) for t in (0, 1, 5, 300)] + [(2, 5, None, "again")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    blocks, refs = history_blocks(df, block=64)
+    assert refs.count() == len(turns) and sum(len(r.lines) for r in blocks.collect()) == len(turns)
+    assert blocks.where("conv_id = 1").count() == 32 and blocks.agg(F.max("n")).first()[0] == 64
+    line = lambda r: f"{r[2] or ''}: {r[3] or ''}"
+    for row in history_texts(blocks, refs.where("turn in (0, 5, 63, 64, 65, 300, 1999)")).collect():
+        same = sorted(((r[1], line(r)) for r in turns if r[0] == row.conv_id))
+        assert row.history == "\n".join(x for _, x in same[:row.n_prev]) and same[row.n_prev][0] == row.turn

@@ -1,3 +1,4 @@
+import datetime
 import hashlib
 import json
 import tempfile
@@ -146,3 +147,28 @@ def test_chat_timer_releases_and_failed_answers_are_rows(spark):
     assert got == {(1, 0, "good"): ("fine", None, "", False), (1, 1, "bad"): (None, "ContextWindowExceeded: too long", "user: good\nassistant: fine", False),
                    (1, 2, "good again"): ("fine", None, "user: good\nassistant: fine\nuser: bad\nassistant: ", False),
                    (2, 4, "late one"): ("fine", None, "", True), (2, 4, "twice"): ("fine", None, "user: late one\nassistant: fine", True)}
+
+
+def test_link_state_is_bounded_and_result_equals_the_unbounded_one(spark):
+    """Twelve batches of new and old links, an hour of event time apart: the state holds the last hours' alone."""
+    from sifter.streaming.jobs import link_dedup_stream, seen_links, seen_writer
+    root = tempfile.mkdtemp(prefix="sifter-links-")
+    page = lambda hrefs: "<html><nav>" + "".join(f'<a href="{h}">x</a>' for h in hrefs) + "</nav></html>"
+    schema, want = "page_id long, url string, html string, at timestamp", set()
+    for b in range(12):
+        hrefs = [f"/new/{b}/{i}" for i in range(20)] + ["/always"] + [f"/new/{max(b - 5, 0)}/{i}" for i in range(5)]
+        want |= set(hrefs)
+        spark.createDataFrame([(b, "u", page(hrefs), datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=b))], schema).coalesce(1).write.parquet(f"{root}/in/{b:02d}")
+        stream = link_dedup_stream(file_stream(spark, root + "/in/*", schema), "at", "2 hours")
+        q = stream.writeStream.option("checkpointLocation", root + "/ck").foreachBatch(seen_writer(root + "/seen", 4)).trigger(availableNow=True).start()
+        q.awaitTermination()
+        rows = [p["stateOperators"][0]["numRowsTotal"] for p in map(lambda p: p if isinstance(p, dict) else json.loads(p.json), q.recentProgress) if p["stateOperators"]]
+        assert max(rows) <= 5 * 26
+    got = [r.href for r in seen_links(spark, root + "/seen").collect()]
+    assert sorted(got) == sorted(want)
+    first = {r.href: r.page_id for r in seen_links(spark, root + "/seen").collect()}
+    assert first["/always"] == 0 and first["/new/3/0"] == 3
+    again = spark.createDataFrame([("/always", 99), ("/fresh", 99)], "href string, page_id long")
+    for _ in range(2):  # a replayed batch writes the same
+        seen_writer(root + "/seen", 4)(again, 1000)
+    assert sorted(r.href for r in seen_links(spark, root + "/seen").collect()) == sorted(want | {"/fresh"})

@@ -87,7 +87,7 @@ def test_collection_keeps_whole_rows_and_few_files(spark, tmp_path):
     got = {r.id: (r.document, r.metadata, list(r.embedding), r.link) for r in coll.rows(spark, str(tmp_path), "c").collect()}
     assert got == {i: (d, m, e, m["link"]) for i, d, m, e in rows}
     files = [f for _, _, names in os.walk(f"{tmp_path}/c/data") for f in names if f.endswith(".parquet")]
-    assert len(files) <= coll.N_BUCKETS
+    assert len(files) == 1  # one bucket for few rows
     plan = coll.rows(spark, str(tmp_path), "c").where("link = 'l1'")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(link,l1)" in plan
 
@@ -99,3 +99,53 @@ def test_broken_collection_is_an_error(spark, tmp_path):
         f.write("not parquet")
     with pytest.raises(Exception, match="(?i)parquet|read"):
         coll.get_or_create(spark, str(tmp_path), "c")
+
+
+COLL = "id string, document string, metadata map<string,string>, embedding array<float>"
+
+
+def _rows(spark, ids, who):
+    return spark.createDataFrame([(f"i{i}", f"{who} {i}", {"link": "l"}, [float(i), 1.0]) for i in ids], COLL)
+
+
+def test_two_writers_leave_each_id_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    root = str(tmp_path)
+    coll.get_or_create(spark, root, "c")
+    with ThreadPoolExecutor(3) as pool:
+        added = list(pool.map(lambda w: coll.add(spark, root, "c", _rows(spark, range(w * 50, w * 50 + 100), f"w{w}")), range(3)))
+    got = coll.rows(spark, root, "c").collect()
+    assert sorted(int(r.id[1:]) for r in got) == list(range(200)) and sum(added) == 200
+    assert all(int(r.document.split()[1]) == int(r.id[1:]) for r in got)
+    assert coll.add(spark, root, "c", _rows(spark, range(200), "late")) == 0
+
+
+def test_a_lost_race_is_tried_again(spark, tmp_path, monkeypatch):
+    """Another writer publishes between reading the version and publishing the next."""
+    from sifter.sources.versions import Versions
+    root, plain, other = str(tmp_path), Versions.publish, []
+    coll.get_or_create(spark, root, "c")
+
+    def late(self, number, folders):
+        if not other:
+            other.append(1)
+            coll.add(spark, root, "c", _rows(spark, range(5), "first"))
+        return plain(self, number, folders)
+    monkeypatch.setattr(Versions, "publish", late)
+    assert coll.add(spark, root, "c", _rows(spark, range(3, 9), "second")) == 4
+    assert {r.id: r.document for r in coll.rows(spark, root, "c").collect()} == {f"i{i}": f"{'first' if i < 5 else 'second'} {i}" for i in range(9)}
+    versions = Versions(spark, f"{root}/c")
+    assert versions.numbers() == [1, 2] and coll.rows(spark, root, "c", 1).count() == 5 and not plain(versions, 2, [])
+    assert len(os.listdir(f"{root}/c/data")) == 2  # what lost the race is gone
+    assert coll.compact(spark, root, "c") and coll.rows(spark, root, "c").count() == 9 and len(versions.latest()[1]) == 1
+
+
+def test_buckets_and_tasks_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(coll, "ROWS_PER_BUCKET", 100)
+    root = str(tmp_path)
+    coll.get_or_create(spark, root, "c")
+    for lo, hi in ((0, 50), (50, 450), (400, 4000)):
+        coll.add(spark, root, "c", _rows(spark, range(lo, hi), "w"))
+    from sifter.sources.versions import Versions
+    assert [(f["buckets"], f["rows"]) for f in Versions(spark, f"{root}/c").latest()[1]] == [(1, 50), (4, 400), (64, 3550)]
+    assert coll.rows(spark, root, "c").select("id").distinct().count() == coll.rows(spark, root, "c").count() == 4000
