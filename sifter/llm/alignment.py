@@ -66,7 +66,7 @@ class Tokenizers:
         self.b = SentencePieceProcessor(model_file=path_b)
         vocabulary = self.a.get_vocab(with_added_tokens=True)
         self.n_a, self.n_b = max(vocabulary.values()) + 1, self.b.get_piece_size()
-        back = _byte_of()
+        back = byte_of()
         self.bytes_a = [b""] * self.n_a
         for token, i in vocabulary.items():
             self.bytes_a[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
@@ -154,7 +154,7 @@ def _ranked(path: str, vocabulary: dict[str, int], token: list[bytes]):
     return tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks={x: i for i, x in enumerate(token) if i not in special}, special_tokens={})
 
 
-def _byte_of() -> dict[str, int]:
+def byte_of() -> dict[str, int]:
     """The byte each character of a byte-level vocabulary stands for: printable
     Latin-1 bytes for themselves, the others, in order, from U+0100 on."""
     own = [x for x in range(256) if 33 <= x <= 126 or 161 <= x <= 172 or 174 <= x]

@@ -296,3 +296,18 @@ def test_chat_digests_of_long_conversations_are_fed(spark):
     whole, fed = chat.conversation_digests(read), chat.conversation_digests(read, most=100)
     assert whole.columns == fed.columns and sorted(whole.collect(), key=str) == sorted(fed.collect(), key=str) and fed.count() == 3
     assert "collect_list" not in fed._jdf.queryExecution().toString()
+
+
+def test_words_by_ranks_equal_the_tokenizer():
+    """Words put together from parts that are merged by ranks, against the tokenizer on whole words."""
+    import struct
+
+    from sifter.llm import packing
+    words = packing._words(public_tokenizers.path("word_bpe_49k.json"))
+    assert words.ranked is not None and words.splits
+    rng = random.Random(11)
+    letters, marks = "abcdefghijklmnopqrstuvwxyzéàüßñæøABCDEFGÉ", "!&(-/:-@[`{~.,;\"'#"
+    some = ["".join(rng.choice(marks) for _ in range(rng.randrange(3))) + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 14)))
+            + "".join(rng.choice(marks) for _ in range(rng.randrange(3))) for _ in range(20_000)] + ["don't", "l'été", "<|endoftext|>x", "漢字", "ÿ", "...", "a"]
+    want = [e.ids for e in words.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+    assert words.of(some) == [struct.pack(f"<{len(i)}I", *i) for i in want]
