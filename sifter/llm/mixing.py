@@ -5,8 +5,8 @@ null last, weigh 1, 2, 3, repeating, and share the whole by weight; a target
 stops at CAP times its source's size and the excess is shared out again among
 the others by weight, until none is above. The repetition rate of a source is
 target / size. Each document is emitted floor(rate) times, plus one copy with
-probability equal to the fraction, drawn from a hash of seed and document id,
-so that reruns agree on any cluster.
+probability equal to the fraction, drawn from a hash of seed, document id and
+text, so that reruns agree on any cluster.
 
 Nulls and ties: null text has size 0; null source is a source of its own; null
 ids draw as the empty id; rows that repeat an id draw alike. A source of size 0
@@ -35,9 +35,13 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
-def draw(id_col: str, seed: str = SEED) -> Column:
-    """A number in [0, 1) that depends on the seed and the id alone."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+def digest_of(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def draw(id_col: str, digest_col: str, seed: str = SEED) -> Column:
+    """A number in [0, 1) that depends on the seed, the id and the text alone."""
+    text = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.col(digest_col))
     return F.conv(F.substr(F.md5(text), F.lit(1), F.lit(13)), 16, 10).cast("bigint") / F.lit(float(16 ** 13))
 
 
@@ -76,16 +80,17 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
              seed: str = SEED) -> DataFrame:
     """Per row: id, size, source_size, target, copies."""
     checkpoint_dir(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), source_key(source_col).alias("source_key"), size_of(F.col(text_col)).alias("size")).checkpoint()
+    rows = docs.select(F.col(id_col).alias("id"), source_key(source_col).alias("source_key"), size_of(F.col(text_col)).alias("size"),
+                       digest_of(F.col(text_col)).alias("digest")).checkpoint()
     plan = targets(rows).checkpoint()
     out = salted_join(rows, plan.drop("n"), "source_key", plan.select("source_key", "n"))
-    return out.select("id", "size", "source_size", "target", copies(F.col("target"), F.col("source_size"), "id", seed).alias("copies"))
+    return out.select("id", "size", "source_size", "target", copies(F.col("target"), F.col("source_size"), "id", "digest", seed).alias("copies"))
 
 
-def copies(target: Column, size: Column, id_col: str, seed: str = SEED) -> Column:
+def copies(target: Column, size: Column, id_col: str, digest_col: str, seed: str = SEED) -> Column:
     rate = F.when(size > 0, target / size).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    return (whole + (draw(id_col, seed) < rate - whole).cast("int")).cast("bigint")
+    return (whole + (draw(id_col, digest_col, seed) < rate - whole).cast("int")).cast("bigint")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
@@ -93,10 +98,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     checkpoint_dir(docs.sparkSession)
     sizes = docs.select(source_key(source_col).alias("source_key"), size_of(F.col(text_col)).alias("size"))
     plan = targets(sizes).checkpoint()
-    keyed = docs.select(F.struct("*").alias("row"), source_key(source_col).alias("source_key"), F.col(id_col).alias("id"))
+    keyed = docs.select(F.struct("*").alias("row"), source_key(source_col).alias("source_key"), F.col(id_col).alias("id"), digest_of(F.col(text_col)).alias("digest"))
     if plan.count() <= FEW:
         out = keyed.join(F.broadcast(plan.drop("n")), "source_key", "left")
     else:
         out = salted_join(keyed, plan.drop("n"), "source_key", plan.select("source_key", "n"))
-    n = copies(F.col("target"), F.col("source_size"), "id", seed).cast("int")
+    n = copies(F.col("target"), F.col("source_size"), "id", "digest", seed).cast("int")
     return out.select("row", F.explode(F.array_repeat(F.lit(0), n)).alias("_copy")).select("row.*")

@@ -7,7 +7,7 @@ _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 SQL: dict[str, str] = {}
 
 SQL["op3_mix"] = rf"""
-WITH RECURSIVE d AS (SELECT doc_id, source, {_WORDS}::BIGINT AS size FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, {_WORDS}::BIGINT AS size, md5(coalesce(text, '')) AS digest FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w
       FROM d GROUP BY source),
 -- sources by the share at which they fill up; those before the first that does not fill are full
@@ -18,7 +18,7 @@ t AS (SELECT sum(source_size) AS total FROM s),
 f AS (SELECT spent, weight FROM o, t WHERE 3 * source_size * weight >= (total - spent) * w ORDER BY source_size::DOUBLE / w, source LIMIT 1),
 g AS (SELECT s.source, source_size, least(3 * source_size::DOUBLE, w::DOUBLE * (total - f.spent)::DOUBLE / f.weight::DOUBLE) AS target FROM s, t, f),
 r AS (SELECT d.doc_id, d.size, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS rate,
-             ('0x' || substr(md5('mix-1:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+             ('0x' || substr(md5('mix-1:' || coalesce(d.doc_id::VARCHAR, '') || ':' || d.digest), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
       FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target,
        size * (floor(rate)::BIGINT + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS taken FROM r

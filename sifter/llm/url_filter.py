@@ -90,11 +90,13 @@ def reputation(pages: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, block_above: float = BLOCK_ABOVE) -> DataFrame:
-    """Adds host, path, rule and verdict to pages with ``url`` and ``bad``."""
+    """Adds host, path, rule and verdict to pages with ``url`` and ``bad``.
+    Other columns go along; those of the four names are replaced."""
     host, path = host_path(F.col("url"))
-    p = pages.withColumn("host", host).withColumn("path", path)
+    new = ("host", "path", "rule", "verdict")
+    p = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns if c not in new]).alias("_page"), "bad", host.alias("host"), path.alias("path"))
     rep = reputation(p.select("host", "bad")).checkpoint()
     p = salted_join(p, rep.select("host", "rate", "bound"), "host", rep.select("host", F.col("pages").alias("n")))
-    rule = rule_of(F.col("host"), F.col("path"))
-    return p.withColumn("_r", rule).withColumn("rule", F.col("_r.rule")).withColumn(
-        "verdict", F.coalesce(F.col("_r.verdict"), F.when(F.col("bound") > block_above, "block").otherwise("allow"))).drop("_r")
+    p = p.withColumn("_r", rule_of(F.col("host"), F.col("path")))
+    verdict = F.coalesce(F.col("_r.verdict"), F.when(F.col("bound") > block_above, "block").otherwise("allow"))
+    return p.select("_page.*", "host", "path", F.col("_r.rule").alias("rule"), verdict.alias("verdict"))

@@ -43,3 +43,14 @@ def test_dealt_queries_are_registered():
     names = list(E.queries())
     assert [sum(1 for n in names if re.match(rf"op{k}_", n)) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert not {n for n in names if n.startswith("op")} & {n for n in E.oracle_sql() if E.oracle_sql()[n] is None}
+
+
+def test_exact_tells_null_from_zero_and_does_not_depend_on_row_order(spark):
+    rows = [(None, "a b"), (0, "a b"), (5, "c  d"), (5, "c d"), (5, "c\td"), (None, "e"), (None, "e")]
+    seen = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        d = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in order], SCHEMA).repartition(3)
+        got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.exact(spark, d, "").collect()), key=str)
+        assert [x[0] for x in got] == [0, 5, None]
+        seen.add(str(got))
+    assert len(seen) == 1

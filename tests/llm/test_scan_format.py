@@ -12,6 +12,7 @@ import struct
 import urllib.parse
 import zlib
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,3 +312,63 @@ def test_words_by_ranks_equal_the_tokenizer():
             + "".join(rng.choice(marks) for _ in range(rng.randrange(3))) for _ in range(20_000)] + ["don't", "l'été", "<|endoftext|>x", "漢字", "ÿ", "...", "a"]
     want = [e.ids for e in words.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
     assert words.of(some) == [struct.pack(f"<{len(i)}I", *i) for i in want]
+
+
+def test_posterior_equals_a_plain_naive_bayes():
+    """Counts, smoothing and posteriors by plain Python, over a batch whose texts are scored in pieces."""
+    import math
+
+    import numpy as np
+    rng = random.Random(4)
+    words = {"en": "the and of with this house water".split(), "de": "der und mit dieses haus wasser nicht".split(), "fr": "le et avec cette maison eau pas".split()}
+    say = lambda l, n: " ".join(rng.choice(words[l]) for _ in range(n))
+    learned = {l: [say(l, 20) for _ in range(5)] for l in words}
+
+    def grams(text):
+        c, out = [int(x) for x in lid.normalised(text)], []
+        for i in range(len(c)):
+            h = 0
+            for k in range(min(lid.ORDERS, len(c) - i)):
+                h = (h + c[i + k]) * lid._MULTIPLY[k] % 2**32
+                out.append(((h ^ (h >> 15)) * 0x2C1B3C6D % 2**32) >> 16)
+        return out
+    names = sorted(words)
+    counts = np.full((3, lid.BUCKETS), lid.ALPHA)
+    for j, l in enumerate(names):
+        for t in learned[l]:
+            for g in grams(t):
+                counts[j, g] += 1
+    matrix = np.hstack([np.log(counts / counts.sum(1, keepdims=True)), np.log(np.full((3, 1), 1 / 3))]).astype(np.float32)
+    texts = [say(rng.choice(names), rng.randrange(1, 9)) for _ in range(60)] + [None, "", "12", "haus the", "x", say("fr", 400)]
+    keep = lid.GRAMS, lid.CELLS
+    for lid.GRAMS, lid.CELLS in (keep, (50, 40)):
+        pred, score = lid.posterior(texts, names, matrix)
+        for t, p, s in zip(texts, pred, score):
+            g = grams(t) if len(lid.normalised(t)) else None
+            if g is None:
+                assert (p, s) == ("und", 0.0)
+                continue
+            log = [float(matrix[j, -1]) + sum(float(matrix[j, x]) for x in g) for j in range(3)]
+            want = [math.exp(x - max(log)) for x in log]
+            assert p == names[log.index(max(log))] and abs(s - max(want) / sum(want)) < 1e-4
+    lid.GRAMS, lid.CELLS = keep
+
+
+def test_null_ids_are_learned_from_and_mixed_by_their_texts(spark):
+    rows = [(None, f"the house and the water number {i} are with this", "en", "a") for i in range(3000)] + [(i, f"das haus und wasser {i}", "de", "b") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    names, matrix = lid.train(docs, per_language=200)
+    got = lid.identify(spark.createDataFrame([(None, "this water and the house", 5)], "doc_id long, text string, score int"), names, matrix).first()
+    assert (got.lang_pred, got.doc_id) == ("en", None) and 0 < got.score <= 1
+    many = spark.createDataFrame([(None if i % 2 else 7, f"w{i} " * 4, f"s{i % 3}") for i in range(6000)], "doc_id long, text string, source string")
+    plan = mixing.plan_mix(many).groupBy("target").agg(F.sum(F.col("copies") * F.col("size")).alias("taken")).collect()
+    assert all(abs(r.taken - r.target) < 0.1 * r.target for r in plan)
+    with pytest.raises(ValueError, match="labels"):
+        lid.train(docs.withColumn("lang", F.concat("lang", F.col("text"))))
+
+
+def test_judge_keeps_columns_with_clashing_names(spark):
+    d = spark.createDataFrame([(1, "http://a.net/es/x", 1, "r", "b", "c", "h")], "page_id long, url string, bad int, rate string, _r string, bound string, host string")
+    got = url_filter.judge(d)
+    assert got.columns == ["page_id", "url", "bad", "rate", "_r", "bound", "host", "path", "rule", "verdict"]
+    assert tuple(got.first()) == (1, "http://a.net/es/x", 1, "r", "b", "c", "a.net", "/es/x", "net/es/", "block")
