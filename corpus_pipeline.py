@@ -27,21 +27,34 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return (identify(docs, names, matrix).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns))
 
 
+def _row_keys(id_col: str) -> list:
+    """A row's id as keys that a join can use: null is not 0."""
+    return [F.col(id_col).isNull().alias("_none"), F.coalesce(F.col(id_col), F.lit(0)).alias("_row")]
+
+
+def _one_each(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Of the rows that share ``keys`` the same one in every run, whatever their order."""
+    least = F.min_by(F.struct(*columns), F.struct(F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))]).alias("h"), "text"))
+    return rows.groupBy(*keys).agg(least.alias("_one")).select("_one.*")
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of equal texts; the texts are shuffled once, by id and digest."""
     from sifter.llm.exact_dedup import exact_dedup, normalised
-    stay = exact_dedup(docs).where("kept").select(F.coalesce("id", F.lit(0)).alias("_row"), F.col("text_sha256").alias("_sha"))
-    d = docs.withColumns({"_row": F.coalesce("doc_id", F.lit(0)), "_sha": F.sha2(normalised(F.col("text")), 256)})
-    return d.join(stay, ["_row", "_sha"], "left_semi").dropDuplicates(["_row", "_sha"]).select(docs.columns)
+    keys = ["_none", "_row", "_sha"]
+    stay = exact_dedup(docs).where("kept").select(*_row_keys("id"), F.col("text_sha256").alias("_sha"))
+    d = docs.select("*", *_row_keys("doc_id"), F.sha2(normalised(F.col("text")), 256).alias("_sha"))
+    return _one_each(d.join(stay, keys, "left_semi"), keys, docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of near copies (five words, similarity 0.8)."""
     from sifter.llm.minhash_dedup import near_duplicates
     ship_package(spark)
-    stay = near_duplicates(docs, shingle=5, percent=80).where("first").select(F.coalesce("doc_id", F.lit(0)).alias("_row"), F.col("key").alias("_key"))
-    d = docs.withColumns({"_row": F.coalesce("doc_id", F.lit(0)), "_key": F.xxhash64("text")})
-    return d.join(stay, ["_row", "_key"], "left_semi").dropDuplicates(["_row", "_key"]).select(docs.columns)
+    keys = ["_none", "_row", "_key"]
+    stay = near_duplicates(docs, shingle=5, percent=80).where("first").select(*_row_keys("doc_id"), F.col("key").alias("_key"))
+    d = docs.select("*", *_row_keys("doc_id"), F.xxhash64("text").alias("_key"))
+    return _one_each(d.join(stay, keys, "left_semi"), keys, docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
