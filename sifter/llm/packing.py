@@ -81,15 +81,34 @@ class Words(dict):
                 ids = e.ids
                 yield w, struct.pack(f"<{len(ids)}I", *ids)
 
-    def _pieces(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-        """The same for parts that the vocabulary doesn't take apart before it merges (letters or marks alone, lower-cased)."""
-        one, pack = self.ranked._core_bpe.encode_single_piece, struct.pack
-        for p in parts:
-            ids = one(p.encode() + _END) if p else ()
-            yield p, pack(f"<{len(ids)}I", *ids)
+    def __missing__(self, word: str) -> bytes:
+        """A word not met before, with ranks; its parts are kept too."""
+        if len(self) > KEPT:
+            self.clear()
+        m = _SIMPLE.fullmatch(word) if self.splits and "<|" not in word else None
+        if m:
+            a, b, c = m.groups()
+            ids = self._part(b.lower())
+            ids = (self._part(a) if a else b"") + ids + (self._part(c) if c else b"")
+        else:
+            ids = next(self._encoded([word]))[1]
+        self[word] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        """Letters or marks alone, lower-cased: the vocabulary doesn't take them apart before it merges."""
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) > KEPT_PARTS:
+                self.parts.clear()
+            found = self.ranked._core_bpe.encode_single_piece(part.encode() + _END)
+            ids = self.parts[part] = struct.pack(f"<{len(found)}I", *found)
+        return ids
 
     def of(self, found: list[str]) -> list[bytes]:
         """The ids of each word."""
+        if self.ranked:
+            return list(map(self.__getitem__, found))
         ids = list(map(self.get, found))
         if None in ids:
             if len(self) > KEPT:
@@ -111,7 +130,7 @@ class Words(dict):
                 whole.append(w)
         self.update(self._encoded(whole))
         parts = [p for p in {p for x in made for p in x[1:]} if p not in self.parts]
-        self.parts.update(self._pieces(parts) if self.ranked else self._encoded(parts))
+        self.parts.update(self._encoded(parts))
         self.update((w, self.parts[a] + self.parts[b] + self.parts[c]) for w, a, b, c in made)
 
 
