@@ -300,7 +300,7 @@ SQL.update({
         SELECT doc_id, TRY_CAST(d[1] AS BIGINT) AS current_page, TRY_CAST(d[2] AS BIGINT) AS max_page FROM d WHERE len(d) > 0""",
     "search_urls": f"""WITH t AS (SELECT item_id, CASE WHEN {clean_ws('text')} = '' THEN []::VARCHAR[]
             ELSE string_split({clean_ws('text')}, ' ') END AS w FROM benchmark),
-        p AS (SELECT item_id, array_to_string(w[1:3], '+') AS token,
+        p AS (SELECT item_id, replace(replace(replace(url_encode(array_to_string(w[1:3], ' ')), '%20', '+'), '~', '%7E'), '%2A', '*') AS token,
                      unnest(range(1, least(floor(len(w) / 5)::BIGINT, 10))) AS page FROM t)
         SELECT item_id, page, 'https://search.example.org/search?q=' || token || '&limit=10&page=' || page AS url FROM p""",
 })
@@ -447,6 +447,7 @@ SQL.update({
     "config_report": grid_with_scores() + f""", rl AS (SELECT {relabel('llm')} AS llm, {relabel('transformer')} AS transformer, k, score FROM gr),
         gm AS (SELECT llm, transformer, k, round(avg(score), 6) AS mean_score FROM rl GROUP BY ALL)
         SELECT llm, transformer, k, printf('average score of %s with %s at k=%d: %.6f', llm, transformer, k, mean_score) AS report FROM gm""",
+    "preview_document": "SELECT doc_id, source, text FROM documents ORDER BY doc_id LIMIT 1",
     "limit_questions": f"SELECT item_id, {clean('text')} AS question FROM benchmark ORDER BY item_id LIMIT 100",
 })
 
@@ -485,7 +486,9 @@ SQL.update({
     "union_result_files": grid_with_scores() + " SELECT k, count(*) AS rows, round(avg(score), 6) AS mean_score FROM gr GROUP BY k",
     "scan_by_kind": f"SELECT page_id, 'html' AS kind, md5({page_text('html')}) AS text_md5, NULL::VARCHAR AS error FROM pages",
     "binary_pages": """SELECT page_id, len(string_split(html, '<p>'))::BIGINT AS n_pages,
-        length(replace(html, '<p>', ''))::BIGINT AS n_chars FROM pages""",
+        length(replace(html, '<p>', ''))::BIGINT AS n_chars,
+        md5(array_to_string(list_sort(list_transform(string_split(regexp_replace(html, '[\r\n]', ' ', 'g'), '<p>'), lambda x: md5(x))), ',')) AS units_md5 FROM pages""",
+    "union_drifting_files": "SELECT doc_id, source, CASE WHEN lang = 'en' THEN NULL ELSE n_chars END AS n_chars FROM documents",
     "load_documents": f"""SELECT page_id, NULL::BIGINT AS conv_id, NULL::BIGINT AS turn, 1::BIGINT AS n_meta, chunk_pos, text_md5 FROM (
         WITH RECURSIVE {pack_cte(f"SELECT page_id AS doc_id, [{page_text('html')}] AS L FROM pages", 1000, 200, 'chr(10)', 1)}
         SELECT doc_id AS page_id, chunk_pos, md5(chunk_text) AS text_md5 FROM packed)

@@ -138,11 +138,11 @@ def q_page_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_search_urls(spark: SparkSession, sf_dir: str, limit: int = 10, inclusive: bool = False) -> DataFrame:
     """H11 + J4 + O5: search URLs token x page 1..min(max_pages, limit)-1.
-    Tokens are the first three words of each benchmark text; its word count
-    divided by five stands for the result page count."""
+    A token is the first three words of a benchmark text, URL-encoded; its word
+    count divided by five stands for the result page count."""
     b = table(spark, sf_dir, "benchmark")
     w = words(F.col("text"))
-    token = F.array_join(F.slice(w, 1, 3), "+")
+    token = F.url_encode(F.array_join(F.slice(w, 1, 3), " "))
     max_pages = (F.size(w) / 5).cast("int")
     top = F.least(max_pages, F.lit(limit)) + (1 if inclusive else 0)
     pages = F.when(top >= 2, F.sequence(F.lit(1), top - 1)).otherwise(F.array().cast("array<int>"))

@@ -272,6 +272,11 @@ def q_limit_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.orderBy("item_id").limit(100).select("item_id", clean_text("text").alias("question"))
 
 
+def q_preview_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first document, as a look at what was loaded (one row is the feature)."""
+    return table(spark, sf_dir, "documents").orderBy("doc_id").limit(1).select("doc_id", "source", "text")
+
+
 def q_truncated_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X5 + R3: prompts cut to a window of 220 words, and the answer of a
     generator that reads nothing but the prompt."""
@@ -303,4 +308,5 @@ QUERIES = {
     "exclude_label": q_exclude_label,
     "config_report": q_config_report,
     "limit_questions": q_limit_questions,
+    "preview_document": q_preview_document,
 }

@@ -15,7 +15,7 @@ from sifter.plans.pages import nav_links, q_extract_page_text
 from sifter.session import scratch_path
 from sifter.sources import collection as coll
 from sifter.sources.files import (parse_files, read_csv, read_csv_skip_bad, read_glob_csv, read_lines,
-                                  rows_to_documents, scan_by_kind, write_csv, write_lines)
+                                  rows_to_documents, scan_by_kind, union_drifting, write_csv, write_lines)
 
 PAGES_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("link", T.StringType()),
                              T.StructField("content", T.StringType())])
@@ -96,6 +96,19 @@ def q_union_result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.round(F.avg("score"), 6).alias("mean_score"))
 
 
+def q_union_drifting_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result files of two layouts, an older one without ``n_chars``, each
+    layout read from all of its files at once; what a file lacks is null."""
+    root = scratch_path(spark, "drift")
+    docs = table(spark, sf_dir, "documents")
+    old = F.coalesce(F.col("lang") == "en", F.lit(False))
+    write_csv(docs.where(old).select("doc_id", "source"), f"{root}/old")
+    write_csv(docs.where(~old).select("source", "n_chars", "doc_id"), f"{root}/new")
+    frames = [read_glob_csv(spark, f"{root}/{name}/*.csv", schema).drop("_file")
+              for name, schema in (("old", "doc_id long, source string"), ("new", "source string, n_chars long, doc_id long"))]
+    return union_drifting(frames)
+
+
 def _written_pages(spark: SparkSession, sf_dir: str) -> str:
     """Pages as HTML files under ``root/html``, many to a file: one line for
     each, its number in front."""
@@ -131,7 +144,8 @@ def q_binary_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return [(n, part) for n, html in _page_lines(b) for part in html.split("<p>")]
 
     el = parse_files(scan_by_kind(spark, root, "html", ext="txt"), {"html": by_paragraph})
-    return el.groupBy(F.col("unit").alias("page_id")).agg(F.count("text").alias("n_pages"), F.sum(F.length("text")).cast("long").alias("n_chars"))
+    units = F.array_join(F.array_sort(F.collect_list(F.md5("text"))), ",")  # a page's own units
+    return el.groupBy(F.col("unit").alias("page_id")).agg(F.count("text").alias("n_pages"), F.sum(F.length("text")).cast("long").alias("n_chars"), F.md5(units).alias("units_md5"))
 
 
 def q_load_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +254,7 @@ QUERIES = {
     "link_lines_roundtrip": q_link_lines_roundtrip,
     "benchmark_sink": q_benchmark_sink,
     "union_result_files": q_union_result_files,
+    "union_drifting_files": q_union_drifting_files,
     "scan_by_kind": q_scan_by_kind,
     "binary_pages": q_binary_pages,
     "load_documents": q_load_documents,

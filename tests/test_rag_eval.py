@@ -97,3 +97,18 @@ def test_history_blocks_are_linear_and_spread(spark):
     for row in history_texts(blocks, refs.where("turn in (0, 5, 63, 64, 65, 300, 1999)")).collect():
         same = sorted(((r[1], line(r)) for r in turns if r[0] == row.conv_id))
         assert row.history == "\n".join(x for _, x in same[:row.n_prev]) and same[row.n_prev][0] == row.turn
+
+
+def test_model_encoder_loads_once_a_worker_and_keeps_nulls(spark):
+    from sifter.operators.embed import embed, model_encoder
+
+    def load():
+        calls = []
+
+        def encode(texts):
+            calls.append(len(texts))
+            return [[float(len(t)), float(len(calls))] for t in texts]
+        return encode
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else "x" * i) for i in range(40)], "i long, t string").coalesce(1)
+    got = {r.i: r.embedding for r in embed(df, "t", model_encoder(load)).collect()}
+    assert all(got[i] is None if i % 5 == 0 else list(got[i]) == [float(i), 1.0] for i in got) and len(got) == 40
