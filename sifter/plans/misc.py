@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sifter.functions.text import url_host, words
 from sifter.functions.vectors import dot
-from sifter.operators import quantized
+from sifter.operators import pruned, quantized
 from sifter.operators.ann import ann_knn
 from sifter.operators.knn import knn
 from sifter.operators.sample import weighted_choice
@@ -59,6 +59,15 @@ def q_knn_ann_exhaustive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return res.select("qid", "rank", "vec_id", "label", "distance")
 
 
+def q_knn_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4 + J7: the exact search from stored blocks, those skipped that the
+    triangle inequality rules out."""
+    emb, path = table(spark, sf_dir, "embeddings"), scratch_path(spark, "pruned")
+    pruned.build(emb, path, "vec_id", carry=["label"], block_rows=500)
+    res, _ = pruned.search(spark, path, emb.select(F.col("vec_id").alias("qid"), "embedding"), 5, c_id="vec_id", carry=["label"])
+    return res.select("qid", "rank", "vec_id", "label", "distance")
+
+
 def q_weighted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per source, drawn with probability proportional to
     its length (rows-only: random)."""
@@ -110,6 +119,7 @@ QUERIES = {
     "knn_ann": q_knn_ann,
     "knn_ann_recall": q_knn_ann_recall,
     "knn_ann_exhaustive": q_knn_ann_exhaustive,
+    "knn_pruned": q_knn_pruned,
     "weighted_sample": q_weighted_sample,
     "scalar_strings": q_scalar_strings,
     "scalar_misc": q_scalar_misc,

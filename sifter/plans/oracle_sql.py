@@ -562,3 +562,5 @@ SQL["weighted_sample"] = """WITH c AS (SELECT source, doc_id, n_chars,
     SELECT source, 0::BIGINT AS draw, arg_min(doc_id, key) AS doc_id, arg_min(n_chars, key) AS n_chars FROM c GROUP BY source"""
 SQL["knn_ann_recall"] = """SELECT sum(least(5, n))::BIGINT AS neighbours, true AS nine_in_ten, true AS exact_distances, true AS a_quarter_at_most
     FROM (SELECT count(*) OVER () AS n FROM embeddings WHERE embedding IS NOT NULL)"""
+
+SQL["knn_pruned"] = SQL["knn_vectors_cosine"]
