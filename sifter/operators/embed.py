@@ -44,10 +44,8 @@ def model_encoder(load: Callable[[], Callable[[list[str]], list[list[float]]]])
         encode = load()
         for s in batches:
             mask = s.notna()
-            out = pd.Series([None] * len(s), index=s.index, dtype=object)
-            if mask.any():
-                out[mask] = list(encode(s[mask].tolist()))
-            yield out
+            vectors = iter(encode(s[mask].tolist()) if mask.any() else ())
+            yield pd.Series([next(vectors) if there else None for there in mask], index=s.index, dtype=object)
     return _enc
 
 

@@ -54,7 +54,7 @@ def build(corpus: DataFrame, path: str, c_id: str | Sequence[str] = "id", c_vec:
     rows = corpus.select(*ids, c_vec, *[c for c in carry if c not in ids])
     n, _ = rows.agg(F.count(c_vec), F.max(F.size(c_vec))).first()
     n_pivots = n_pivots or max(2, min(64, math.isqrt(n) // 8))
-    pivots = cell_centers(rows, ids, c_vec, metric, n_pivots, n, seed)
+    pivots = cell_centers(rows, ids, c_vec, metric, n_pivots, n, seed, max_iter=5)
     spark.createDataFrame([(i, [float(x) for x in p], metric) for i, p in enumerate(pivots)], "pivot bigint, center array<double>, metric string").coalesce(1).write.parquet(f"{path}/pivots")
     given = spark.sparkContext.broadcast(pivots)
 

@@ -150,12 +150,12 @@ def test_chat_timer_releases_and_failed_answers_are_rows(spark):
 
 
 def test_link_state_is_bounded_and_result_equals_the_unbounded_one(spark):
-    """Twelve batches of new and old links, an hour of event time apart: the state holds the last hours' alone."""
+    """Eight batches of new and old links, an hour of event time apart: the state holds the last hours' alone."""
     from sifter.streaming.jobs import link_dedup_stream, seen_links, seen_writer
     root = tempfile.mkdtemp(prefix="sifter-links-")
     page = lambda hrefs: "<html><nav>" + "".join(f'<a href="{h}">x</a>' for h in hrefs) + "</nav></html>"
     schema, want = "page_id long, url string, html string, at timestamp", set()
-    for b in range(12):
+    for b in range(8):
         hrefs = [f"/new/{b}/{i}" for i in range(20)] + ["/always"] + [f"/new/{max(b - 5, 0)}/{i}" for i in range(5)]
         want |= set(hrefs)
         spark.createDataFrame([(b, "u", page(hrefs), datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=b))], schema).coalesce(1).write.parquet(f"{root}/in/{b:02d}")
