@@ -157,7 +157,7 @@ SQL["op11_shards"] = rf"""
 WITH RECURSIVE tab AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda x, y: xor(x >> 1, (x & 1) * 3988292384)) AS c FROM range(256) r(i))),
 num AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, hex(encode(coalesce(text, ''))) AS h, row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS number FROM documents),
 crcs AS (SELECT doc_id, size, number, CASE WHEN size = 1 THEN 0 ELSE xor(list_reduce(list_prepend(4294967295,
-           list_transform(range(size - 1), lambda k: ('0x' || h[2 * k + 1:2 * k + 2])::BIGINT)), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) END AS crc FROM num, tab),
+           list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) END AS crc FROM num, tab),
 cnt AS (SELECT count(*) AS n, ceil(sqrt(count(*)))::BIGINT AS a FROM documents),
 start AS (SELECT doc_id, size, crc, n, a, (n + a - 1) // a AS b, number AS p FROM crcs, cnt),
 walk AS (SELECT * FROM ({_network('p', 'start')})
