@@ -18,12 +18,18 @@ posts: pairs with fewer equal bytes than a link has but for a chance of MISS, or
 of too different sizes, go at once. What is left is
 confirmed on the full shingle sets (100 * intersection >= percent * union).
 
-Lists are never turned into all their pairs. First every class is tried with
-the list head it collides with most. Then, as long as a list holds classes of
-different components, some of its members (all of a short list, a growing
-number of a long one) are compared with those of other components, and are
-done with. Components are contracted after each round, so a group of copies
-needs about one comparison a member, and no link between components is lost.
+Lists are merged in three rounds, components contracted after each. First every
+class is tried with the list head it collides with most. In the lists that then
+still hold classes of different components, a class's shingles that no other
+component has are counted: they are in no intersection that is still of
+interest, so ``n - own`` bounds it exactly. Classes that this rules out go, and
+the others are tried with the head that has least of its own; where a list comes
+from one passage that its classes share, whatever does not link with that head
+links with nothing. The third round counts anew and compares what is left of
+each list in blocks of CELL classes, in numpy, dropping at the bound and the
+signature; lists of the same classes are compared once. So a group of copies
+needs about one comparison a member, classes that share a passage and are no
+copies become no rows, and no link between components is lost.
 Contraction (hook to the least neighbour, then halve the paths) runs on Spark.
 
 Nulls and ties: a null id is never the smallest unless all are null; rows that
@@ -38,19 +44,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifter.llm.words import LOWER, blocks, mixed, span_hashes, spans, text_bytes, window_hashes
 from sifter.session import checkpoint_dir
 
 COORDS, SIGNATURE, MISS = 64, 64, 1e-6
-#: Members of a list compared with the others in the first full round; the next ones take GROWTH times as many.
-HEADS, GROWTH = 16, 8
+#: Classes of a list that a task compares with each other or with as many others; pairs looked at in one step.
+CELL, STEP = 4096, 1 << 18
+#: Candidates of one class that are confirmed in one task.
+SPLIT = 256
 _RNG = np.random.default_rng(7)
 _XOR = _RNG.integers(0, 2**64, 1024, dtype=np.uint64)
 _MUL = _RNG.integers(0, 2**64, 1024, dtype=np.uint64) | np.uint64(1)
-_BYTES = [f"s{i}" for i in range(SIGNATURE // 8)]
 
 
 def least_matches(percent: int, coords: int = COORDS, miss: float = MISS) -> int:
@@ -115,27 +122,111 @@ def _postings(reps: DataFrame, prefix: int) -> DataFrame:
     return held.where(within > 0).select("id", popular.alias("p"), F.explode(F.slice("t", F.lit(1), within)).alias("t")).select("t.token", "id", "p")
 
 
-def _may_link(a: str, b: str, percent: int) -> Column:
-    """Enough equal signature bytes, and sizes near enough for a link."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    may, differ = F.least(n, m) * 100 >= F.greatest(n, m) * percent, F.lit(0)
-    for k, s in enumerate(_BYTES, 1):
-        z = F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))
-        for bits in (4, 2, 1):  # the lowest bit of each byte becomes the OR of its eight
-            z = z.bitwiseOR(F.shiftrightunsigned(z, bits))
-        differ = differ + F.bit_count(z.bitwiseAND(F.lit(0x0101010101010101)))
-        if k in (8, len(_BYTES)):  # most pairs fail on the first 64
-            may = may & (differ <= 8 * k - least_matches(percent, 8 * k))
-    return may
+def _matching(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of two signature matrices have as many equal bytes as a link has."""
+    return (x == y).sum(axis=1) >= least_matches(percent, SIGNATURE)
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), SIGNATURE)
+
+
+def _possible(n, own, m, other, percent: int):
+    """Whether sets of n and m shingles, of which own and other are in no intersection, can be similar enough."""
+    both = np.minimum(n - own, m - other)
+    return both * (100 + percent) >= (n + m) * percent
+
+
+def _likely(percent: int):
+    """Of rows (a, b, n, own, sig, m, other, sig2) the pairs (a, b) that can be links."""
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, own, m, other = (batch[c].to_numpy() for c in ("n", "own", "m", "other"))
+            at = np.flatnonzero(_possible(n, own, m, other, percent))
+            some = batch.select(["a", "b", "sig", "sig2"]).take(pa.array(at))
+            if some.num_rows:
+                yield some.select(["a", "b"]).filter(pa.array(_matching(_signatures(some["sig"]), _signatures(some["sig2"]), percent)))
+    return found
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, of batches sorted by it."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = np.stack([batch[c].to_numpy() for c in keys], axis=1)
+        cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), len(k)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and tuple(k[a]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = tuple(k[a])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _compared(percent: int):
+    """Pairs (a, b) that can be links, of blocks (token, lo, hi) of classes:
+    all in one block (lo = hi), or those of part lo with those of part hi."""
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(batches, ["token", "lo", "hi"]):
+            part, ids, label, n, own = (run[c].to_numpy() for c in ("part", "id", "label", "n", "own"))
+            sig = _signatures(run["sig"].combine_chunks())
+            whole = run["lo"][0] == run["hi"][0]
+            x = np.arange(len(ids)) if whole else np.flatnonzero(part == run["lo"][0].as_py())
+            y = x if whole else np.flatnonzero(part == run["hi"][0].as_py())
+            step = max(STEP // max(len(y), 1), 1)
+            for at in range(0, len(x), step):
+                u = x[at:at + step]
+                may = (label[u][:, None] != label[y]) & _possible(n[u][:, None], own[u][:, None], n[y], own[y], percent)
+                if whole:
+                    may &= u[:, None] < y
+                i, j = np.nonzero(may)
+                i, j = u[i], y[j]
+                ok = _matching(sig[i], sig[j], percent)
+                i, j = ids[i[ok]], ids[j[ok]]
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
+    return found
+
+
+def _similar(percent: int):
+    """(a, b) of rows (a, part, b, shingles), where the set of a comes first (b null), that are similar enough."""
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whose, head = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            a, b = batch["a"].to_pylist(), batch["b"].to_pylist()
+            ends, values = batch["shingles"].offsets.to_numpy(), batch["shingles"].values.to_numpy(zero_copy_only=False).view(np.uint64)
+            out: list[tuple[int, int]] = []
+            for r in range(len(a)):
+                x = values[ends[r]:ends[r + 1]]
+                if b[r] is None:
+                    whose, head = a[r], x.copy()
+                    continue
+                if whose != a[r]:
+                    raise ValueError("a candidate without its head")
+                at = np.searchsorted(head, x)
+                both = int((head[np.minimum(at, len(head) - 1)] == x).sum())
+                if 100 * both >= percent * (len(x) + len(head) - both):
+                    out.append((a[r], b[r]))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    return found
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(x, "a").join(y, "b").withColumn("both", both)
-                 .where(F.col("both") * 100 >= (F.size("x") + F.size("y") - F.col("both")) * percent).select("a", "b"))
+    """The pairs (a, b) whose full sets are similar enough. The set of a goes
+    once to each SPLIT of its candidates, theirs come to it."""
+    count = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c"))
+    parts = F.ceil(F.col("c") / SPLIT)
+    dealt = pairs.join(count, "a").select("a", "b", F.pmod(F.xxhash64("b"), parts).alias("part"))
+    heads = count.select(F.col("a").alias("id"), F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"))
+    heads = heads.join(sets.select("id", "shingles"), "id").select(F.col("id").alias("a"), "part", F.lit(None).cast("bigint").alias("b"), "shingles")
+    others = dealt.join(sets.select(F.col("id").alias("b"), "shingles"), "b").select("a", "part", "b", "shingles")
+    rows = heads.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return rows.mapInArrow(_similar(percent), "a bigint, b bigint").checkpoint()
 
 
 def contract(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -163,6 +254,42 @@ def contract(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return labels
 
 
+def _tried(posted: DataFrame, small: DataFrame, percent: int) -> DataFrame:
+    """Each class with the head of those of its lists (token, id, head) that it collides with most, if they can be a link."""
+    tried = posted.where("id <> head").groupBy("id", "head").agg(F.count(F.lit(1)).alias("c")).groupBy("id").agg(F.max(F.struct("c", "head")).alias("h"))
+    x = small.withColumnRenamed("id", "b")
+    y = small.select(F.col("id").alias("a"), F.col("n").alias("m"), F.col("own").alias("other"), F.col("sig").alias("sig2"))
+    both = tried.select(F.col("id").alias("b"), F.col("h.head").alias("a")).join(x, "b").join(y, "a")
+    return both.select("a", "b", "n", "own", "sig", "m", "other", "sig2").mapInArrow(_likely(percent), "a bigint, b bigint")
+
+
+def _alive(lists: DataFrame) -> DataFrame:
+    """The rows (token, id, label, ...) of the lists that hold different labels, one list of those with the same classes."""
+    g = lists.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"),
+                                   F.bit_xor(F.xxhash64("id")).alias("h"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("k")).where("lo < hi")
+    return lists.join(g.groupBy("size", "h", "k").agg(F.min("token").alias("token")).select("token"), "token", "left_semi")
+
+
+def _bounded(sets: DataFrame) -> DataFrame:
+    """(id, label, n, own, sig) of rows (id, label, n, sig, shingles); own
+    counts the shingles that no class of another label has (fewer, which is
+    safe, if a class comes twice)."""
+    each = sets.select("id", "label", F.explode("shingles").alias("h"))
+    shared = each.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("h")
+    count = each.join(shared, "h", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+    own = F.greatest(F.col("n") - F.coalesce("shared", F.lit(0)), F.lit(0).cast("bigint"))
+    return sets.select("id", "label", "n", "sig").dropDuplicates(["id"]).join(count, "id", "left").select("id", "label", "n", own.alias("own"), "sig")
+
+
+def _blocks(lists: DataFrame) -> DataFrame:
+    """The rows of each list once for each two parts of it, of CELL classes or so, that theirs is one of; sorted by block."""
+    parts = lists.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("parts"))
+    x = lists.join(parts, "token").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    x = x.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    x = x.select("token", F.least("part", "with").alias("lo"), F.greatest("part", "with").alias("hi"), "part", "id", "label", "n", "own", "sig")
+    return x.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: doc_id, key (of its text), n_shingles,
     component_id, kept (its id is the component's), first (and its text's key
@@ -184,31 +311,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = some.select("id", F.col("id").alias("label"))
     wanted = reps.join(some, "id", "left_semi").select("id", F.coalesce("doc_id", F.lit(0)).alias("row"), "key")
     texts = d.withColumn("row", F.coalesce("doc_id", F.lit(0))).join(wanted, ["row", "key"]).select("id", "text")
-    sets = texts.mapInArrow(_sets(shingle), "id bigint, n bigint, " + ", ".join(f"{b} bigint" for b in _BYTES) + ", shingles array<bigint>").checkpoint()
-    small = sets.drop("shingles").dropDuplicates(["id"]).checkpoint()
-
-    tried = posted.where("id <> head").groupBy("id", "head").agg(F.count(F.lit(1)).alias("c")).groupBy("id").agg(F.max(F.struct("c", "head")).alias("h"))
-    pairs = (tried.select("id", F.col("h.head").alias("head")).join(small.alias("x"), "id").alias("x")
-                  .join(small.withColumnRenamed("id", "head").alias("y"), "head")
-                  .where(_may_link("x", "y", percent)).select(F.col("head").alias("a"), F.col("id").alias("b")))
-    labels = contract(labels, _confirmed(pairs, sets, percent).checkpoint())
-
-    heads, left = HEADS, posted.select("token", "id", "p")
-    while True:
-        x = left.join(labels, "id")
-        g = (x.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"),
-                                    F.max(F.struct("p", "id")).alias("f")).where("lo < hi"))
-        picked = (F.pmod(F.xxhash64("id", F.lit(heads)), F.lit(1 << 30)) * F.col("m") < F.lit(heads << 30)) | (F.col("m") <= heads) | (F.col("id") == F.col("f.id"))
-        alive = x.join(g, "token").select("token", "id", "p", "label", picked.alias("head")).checkpoint()
-        if alive.isEmpty():
-            break
-        y = alive.join(small, "id")
-        a, b = y.where("head").alias("a"), y.alias("b")
-        pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.label") != F.col("b.label"))
-                       & (~F.col("b.head") | (F.col("a.id") < F.col("b.id"))) & _may_link("a", "b", percent))
-        pairs = pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
-        labels = contract(labels, _confirmed(pairs, sets, percent).checkpoint())
-        left, heads = alive.where(~F.col("head")).select("token", "id", "p"), heads * GROWTH
+    sets = texts.mapInArrow(_sets(shingle), "id bigint, n bigint, sig binary, shingles array<bigint>").checkpoint()
+
+    small = sets.select("id", "n", F.lit(0).cast("bigint").alias("own"), "sig").dropDuplicates(["id"])
+    labels = contract(labels, _confirmed(_tried(posted, small, percent), sets, percent))
+    posted = posted.select("token", "id")
+    for last in (False, True):
+        alive = _alive(posted.join(labels, "id")).checkpoint()
+        ids = alive.select("id", "label").distinct()
+        small = _bounded(sets.join(ids, "id")).where(F.col("n") * percent <= (F.col("n") - F.col("own")) * 100).checkpoint()
+        posted = _alive(alive.drop("label").join(small.select("id", "label", "n", "own"), "id")).checkpoint()
+        if last:
+            pairs = _blocks(posted.join(small.select("id", "sig"), "id")).mapInArrow(_compared(percent), "a bigint, b bigint").distinct()
+        else:
+            least = F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "id"))
+            heads = posted.groupBy("token").agg(least.alias("h")).select("token", F.col("h.id").alias("head"))
+            pairs = _tried(posted.join(heads, "token"), small.drop("label"), percent)
+        labels = contract(labels, _confirmed(pairs.checkpoint(), sets, percent))
+        posted = posted.select("token", "id")
 
     named = reps.join(labels, "id", "left").select("node", "doc_id", "key", F.coalesce("label", "id").alias("label"))
     named = named.join(named.groupBy("label").agg(member.alias("least")), "label").select("node", F.col("least.doc_id").alias("component_id"), F.col("least.key").alias("first_key"))
@@ -220,7 +340,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _sets(size: int):
     """(id, n, signature, shingles); rows of one text meet in a task, where its set is made once (or once a split)."""
-    names = ["id", "n", *_BYTES, "shingles"]
+    names = ["id", "n", "sig", "shingles"]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -233,9 +353,7 @@ def _sets(size: int):
                     v = np.array([((u ^ _XOR[k]) * _MUL[k]).min() for k in range(2 * COORDS, 2 * COORDS + SIGNATURE)])
                     at.append(i)
                     sets.append(u.view(np.int64))
-                    signed.append((mixed(v) & np.uint64(255)).astype(np.uint8).view(np.int64))
-            m = np.array(signed, np.int64).reshape(len(signed), len(_BYTES))
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"].take(pa.array(at, pa.int64())), pa.array([len(x) for x in sets], pa.int64())]
-                + [pa.array(np.ascontiguousarray(m[:, i])) for i in range(len(_BYTES))] + [pa.array(sets, pa.list_(pa.int64()))], names=names)
+                    signed.append((mixed(v) & np.uint64(255)).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(at, pa.int64())), pa.array([len(x) for x in sets], pa.int64()),
+                                              pa.array(signed, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=names)
     return found
