@@ -53,8 +53,8 @@ from sifter.session import checkpoint_dir
 COORDS, SIGNATURE, MISS = 64, 64, 1e-6
 #: Classes of a list that a task compares with each other or with as many others; pairs looked at in one step.
 CELL, STEP = 4096, 1 << 18
-#: Candidates of one class that are confirmed in one task.
-SPLIT = 256
+#: Tasks that the candidates of one class are confirmed in, at most.
+PARTS = 64
 _RNG = np.random.default_rng(7)
 _XOR = _RNG.integers(0, 2**64, 1024, dtype=np.uint64)
 _MUL = _RNG.integers(0, 2**64, 1024, dtype=np.uint64) | np.uint64(1)
@@ -217,15 +217,13 @@ def _similar(percent: int):
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. The set of a goes
-    once to each SPLIT of its candidates, theirs come to it."""
-    count = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c"))
-    parts = F.ceil(F.col("c") / SPLIT)
-    dealt = pairs.join(count, "a").select("a", "b", F.pmod(F.xxhash64("b"), parts).alias("part"))
-    heads = count.select(F.col("a").alias("id"), F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"))
-    heads = heads.join(sets.select("id", "shingles"), "id").select(F.col("id").alias("a"), "part", F.lit(None).cast("bigint").alias("b"), "shingles")
-    others = dealt.join(sets.select(F.col("id").alias("b"), "shingles"), "b").select("a", "part", "b", "shingles")
-    rows = heads.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    """Of distinct pairs (a, b) those whose full sets are similar enough. The
+    set of a goes once to each of PARTS or fewer tasks, those of its candidates come to it."""
+    dealt = pairs.select("a", F.pmod(F.xxhash64("b"), F.lit(PARTS)).alias("part"), "b")
+    wanted = dealt.select(F.col("a").alias("id"), "a", "part", F.lit(None).cast("bigint").alias("b")).distinct()
+    wanted = wanted.unionByName(dealt.select(F.col("b").alias("id"), "a", "part", "b"))
+    rows = wanted.join(sets.select("id", "shingles"), "id").select("a", "part", "b", "shingles")
+    rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
     return rows.mapInArrow(_similar(percent), "a bigint, b bigint").checkpoint()
 
 
@@ -314,7 +312,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = texts.mapInArrow(_sets(shingle), "id bigint, n bigint, sig binary, shingles array<bigint>").checkpoint()
 
     small = sets.select("id", "n", F.lit(0).cast("bigint").alias("own"), "sig").dropDuplicates(["id"])
-    labels = contract(labels, _confirmed(_tried(posted, small, percent), sets, percent))
+    labels = contract(labels, _confirmed(_tried(posted, small, percent).checkpoint(), sets, percent))
     posted = posted.select("token", "id")
     for last in (False, True):
         alive = _alive(posted.join(labels, "id")).checkpoint()
