@@ -38,6 +38,7 @@ share an id are told apart by their text. Extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -52,7 +53,7 @@ from sifter.session import checkpoint_dir
 
 COORDS, SIGNATURE, MISS = 64, 64, 1e-6
 #: Classes of a list that a task compares with each other or with as many others; pairs looked at in one step.
-CELL, STEP = 4096, 1 << 18
+CELL, STEP = 4096, 1 << 16
 #: Tasks that the candidates of one class are confirmed in, at most.
 PARTS = 64
 _RNG = np.random.default_rng(7)
@@ -60,6 +61,7 @@ _XOR = _RNG.integers(0, 2**64, 1024, dtype=np.uint64)
 _MUL = _RNG.integers(0, 2**64, 1024, dtype=np.uint64) | np.uint64(1)
 
 
+@functools.cache
 def least_matches(percent: int, coords: int = COORDS, miss: float = MISS) -> int:
     """The most matches that a pair of similarity ``percent`` reaches but for a chance of ``miss``."""
     p, below, t = percent / 100, 0.0, 0
