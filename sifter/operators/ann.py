@@ -67,9 +67,12 @@ def cell_centers(rows: DataFrame, ids: Sequence[str], c_vec: str, metric: str, n
     train = (rows.where(u < min(1.0, nlist * SAMPLE_PER_CELL / max(n, 1))).select(unit.alias("_u"))
                  .where(F.col("_u").isNotNull()).select(array_to_vector("_u").alias("features"))).persist()
     try:
-        if train.isEmpty():
+        distinct = train.distinct().limit(2).collect()
+        if not distinct:
             dim = rows.agg(F.max(F.size(c_vec))).first()[0] or 1
             centers = np.zeros((1, max(dim, 1)))
+        elif len(distinct) == 1:  # k-means does not take a single point
+            centers = np.array([distinct[0]["features"].toArray()])
         else:
             centers = np.asarray(KMeans(k=max(nlist, 2), seed=seed, maxIter=max_iter, featuresCol="features").fit(train).clusterCenters())
     finally:

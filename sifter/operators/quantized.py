@@ -290,8 +290,8 @@ def _search_block(spark, path, block, codec, k, q_id, ids, q_vec, c_vec, carry,
 
     fields = [T.StructField("_q", T.LongType()), *[codes.schema[c] for c in ids], codes.schema["_cell"]]
     cand = codes.mapInPandas(scan, T.StructType(fields)).checkpoint()
-    vectors = spark.read.parquet(f"{path}/vectors")
-    vectors = vectors.withColumn("_cell", F.col("_cell").cast("bigint"))
+    stored = spark.read.parquet(f"{path}/schema").schema  # a corpus without a direction leaves no file to tell it
+    vectors = spark.read.schema(T.StructType([*stored.fields, T.StructField("_cell", T.LongType())])).parquet(f"{path}/vectors")
 
     def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         Q, q_ids, _ = given.value
