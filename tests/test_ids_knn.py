@@ -201,3 +201,37 @@ def test_product_distances_equal_those_taken_pair_by_pair(metric):
         best = np.lexsort((np.arange(len(C)), exact))[:7]
         got = sorted(zip(d[c == j], r[c == j]))
         assert [x[1] for x in got] == best.tolist() and np.array_equal([x[0] for x in got], exact[best])
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_single_precision_screening_keeps_the_exact_order(metric):
+    """Rows nearer to each other than single precision tells, with and without a limit."""
+    rng = np.random.default_rng(11)
+    C = 1000 + rng.normal(size=(600, 16)) * 1e-3
+    C[300:] = 1e-9 * rng.normal(size=(300, 16))
+    Q = np.vstack([C[:20], C[310:330]])
+    C, c_sq, _ = K._prepare(C, metric)
+    Q, q_sq, _ = K._prepare(Q, metric)
+    exact = np.array([K._distinct(1.0 - np.einsum("ij,j->i", C, q) if metric == "cosine" else ((C - q) ** 2).sum(1), metric) for q in Q])
+    limit = np.sort(exact, axis=1)[:, 3]
+    for given, most in ((None, 5), (limit, 4)):
+        r, c, d = K._local_topk(C, c_sq, Q, q_sq, 5, metric, given)
+        for j in range(len(Q)):
+            best = np.lexsort((np.arange(len(C)), exact[j]))[:5]
+            best = best[exact[j][best] <= (np.inf if given is None else given[j])]
+            assert len(best) >= most - 1 and r[c == j].tolist() == best.tolist() and np.array_equal(d[c == j], exact[j][best])
+
+
+def test_many_questions_meet_blocks_and_candidates_do_not_grow_with_partitions(spark, monkeypatch):
+    corpus, _ = _vectors(spark, 400, 8, 3)
+    corpus = corpus.where("id <> 5").withColumn("label", F.concat(F.lit("r"), "id")).withColumn("id", F.col("id").bitwiseAND(F.lit(~1))).repartition(60)  # ids repeat
+    qs, _ = _vectors(spark, 120, 8, 4)
+    qs = qs.withColumnRenamed("id", "qid")
+    want = knn(qs, corpus, 3, carry=["label"], plan="broadcast").collect()
+    monkeypatch.setattr(K, "_BLOCK", 32)
+    made = []
+    tiled = K._tiled_candidates
+    monkeypatch.setattr(K, "_tiled_candidates", lambda *a: made.append(tiled(*a)) or made[0])
+    got = knn(qs, corpus, 3, carry=["label"]).collect()
+    assert sorted(got) == sorted(want) and len(got) == 360
+    assert made[0].count() <= 2 * spark.sparkContext.defaultParallelism * 3 * 120
