@@ -25,15 +25,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sifter.operators.ann import cell_centers
-from sifter.operators.knn import _candidate_schema, _ids, _matrix, _non_null, _prepare, _ranked, tile_scorer
+from sifter.operators.knn import _candidate_schema, _ids, _local_topk, _matrix, _non_null, _prepare, _ranked
 from sifter.session import checkpoint_dir
 
 SLACK = 1e-7  # of a bound, for rounding: blocks are skipped beyond it alone
@@ -77,6 +79,43 @@ def build(corpus: DataFrame, path: str, c_id: str | Sequence[str] = "id", c_vec:
     rows.limit(0).write.parquet(f"{path}/schema")
 
 
+def block_scorer(q_id: str, ids: list[str], carry: Sequence[str], dim: int, k: int, metric: str):
+    """Candidates of rows (*ids, *carry, _vec, q_id, _pivot, _ring, _asked) in
+    the order of the last three. A block's rows are held; its questions are
+    scored as they come, however many there are."""
+    def prepared(vec: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        values = vec.to_pandas()
+        M, sq, ok = _prepare(_matrix(values, dim), metric, _non_null(values))
+        return M[ok], sq[ok], np.flatnonzero(ok)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        block = last = None
+        for batch in batches:
+            key = np.stack([batch[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("_pivot", "_ring", "_asked")], axis=1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
+            for a, b in pairwise(cuts):
+                run = batch.slice(a, b - a)
+                if last != tuple(key[a, :2]):
+                    held, block, last = [], None, tuple(key[a, :2])
+                if not key[a, 2]:
+                    held.append(run)
+                    continue
+                if block is None:
+                    rows = pa.Table.from_batches(held, run.schema).combine_chunks()
+                    rows = rows.take(pa.array(rows.select(ids).to_pandas().sort_values(ids).index.to_numpy()))  # ties go to the first row
+                    block = rows.select([*ids, *carry]), *prepared(rows["_vec"])
+                    held = []
+                rows, C, c_sq, at = block
+                Q, q_sq, own = prepared(run["_vec"])
+                r, c, d = _local_topk(C, c_sq, Q, q_sq, k, metric)
+                if len(r):
+                    found = rows.take(pa.array(at[r]))
+                    found = pa.table({q_id: run[q_id].take(pa.array(own[c])), **{i: found[i] for i in ids}, "distance": d, **{x: found[x] for x in carry}})
+                    yield from found.combine_chunks().to_batches()
+    return score
+
+
 def search(spark: SparkSession, path: str, questions: DataFrame, k: int, *, q_id: str = "qid", c_id: str | Sequence[str] = "id",
            q_vec: str = "embedding", c_vec: str = "embedding", carry: Sequence[str] = (), round_digits: int | None = 6) -> tuple[DataFrame, DataFrame]:
     """((q_id, rank, *c_id, distance, *carry), (pairs looked at, all pairs of questions and blocks))."""
@@ -116,10 +155,13 @@ def search(spark: SparkSession, path: str, questions: DataFrame, k: int, *, q_id
 
     kind = T.StructType([questions.schema[q_id], T.StructField("_pivot", T.LongType()), T.StructField("_ring", T.LongType())])
     stored = spark.read.schema(T.StructType([*rows.schema.fields, *kind.fields[1:]])).parquet(f"{path}/rows")
-    tile = tile_scorer(q_id, ids, q_vec, c_vec, metric, carry, centers.shape[1], k, schema)
+    score = block_scorer(q_id, ids, carry, centers.shape[1], k, metric)
 
     def scored(some: DataFrame) -> DataFrame:
-        return stored.groupBy("_pivot", "_ring").cogroup(some.join(qs, q_id).groupBy("_pivot", "_ring")).applyInPandas(tile, schema)
+        # a block's rows come first, its questions after them
+        asked = some.join(qs, q_id).withColumnRenamed(q_vec, "_vec").withColumn("_asked", F.lit(True))
+        rows = stored.withColumnRenamed(c_vec, "_vec").withColumn("_asked", F.lit(False)).unionByName(asked, allowMissingColumns=True)
+        return rows.repartition("_pivot", "_ring").sortWithinPartitions("_pivot", "_ring", "_asked").mapInArrow(score, schema)
 
     now = qs.mapInPandas(bounds, kind).checkpoint()
     first = scored(now).withColumn("_r", F.row_number().over(Window.partitionBy(q_id).orderBy("distance", *ids))).where(F.col("_r") <= k).drop("_r").checkpoint()

@@ -1,6 +1,7 @@
 """Exact search with skipped blocks against the plain exact search."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,3 +32,29 @@ def test_pruned_with_fewer_rows_than_k_and_none(spark, tmp_path):
         pruned.build(spark.createDataFrame(rows, "id long, embedding array<double>"), f"{tmp_path}/{i}")
         got, _ = pruned.search(spark, f"{tmp_path}/{i}", q, 3)
         assert [(r.qid, r["rank"], r.id) for r in sorted(got.collect())] == want
+
+
+def test_questions_of_a_block_are_scored_as_they_come():
+    rng = np.random.default_rng(3)
+    m, taken = rng.normal(size=(40, 4)), []
+
+    def batch(first: int, n: int, ring: int, asked: bool) -> pa.RecordBatch:
+        i = np.arange(first, first + n)
+        none = pa.nulls(n, pa.int64())
+        return pa.RecordBatch.from_pydict({"id": none if asked else pa.array(i), "_vec": pa.array([list(m[j % 40]) for j in i]), "qid": pa.array(i) if asked else none,
+                                           "_pivot": pa.array([0] * n, pa.int64()), "_ring": pa.array([ring] * n, pa.int64()), "_asked": pa.array([asked] * n)})
+
+    def given():
+        for x in [batch(0, 15, 0, False), batch(15, 15, 0, False), *[batch(b, 10, 0, True) for b in range(0, 90, 10)], batch(30, 10, 1, False), batch(0, 10, 1, True)]:
+            taken.append(x)
+            yield x
+
+    out = pruned.block_scorer("qid", ["id"], [], 4, 2, "l2")(given())
+    got = [next(out)]
+    assert len(taken) == 3  # the block's two batches and the first of its questions
+    got = pa.Table.from_batches([*got, *out]).to_pandas()
+    assert len(taken) == 13 and len(got) == 2 * 100
+    for r in got.itertuples():
+        assert abs(((m[r.qid % 40] - m[r.id]) ** 2).sum() - r.distance) < 1e-9
+    own = got[got["distance"] == 0]
+    assert set(own["qid"]) == {q for q in range(90) if q % 40 < 30} and (own["id"] == own["qid"] % 40).all()
