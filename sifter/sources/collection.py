@@ -159,7 +159,9 @@ def compact(spark: SparkSession, root: str, name: str) -> bool:
 def query(spark: SparkSession, root: str, name: str, questions: DataFrame, k: int,
           where=None, q_id: str = "qid", carry=("document", "metadata")) -> DataFrame:
     """kNN over the stored rows with the collection's metric; ``where`` is
-    a Column predicate applied to the rows before any distance."""
+    a Column predicate applied to the rows before any distance. Ids and vectors
+    alone are searched; an id is stored once, so what is carried is joined to
+    the rows found."""
     from sifter.operators.knn import knn
     meta = open_collection(spark, root, name)
     if meta is None:
@@ -167,4 +169,8 @@ def query(spark: SparkSession, root: str, name: str, questions: DataFrame, k: in
     r = rows(spark, root, name)
     if where is not None:
         r = r.where(where)
-    return knn(questions, r, k, q_id=q_id, c_id="id", metric=meta["metric"], carry=list(carry))
+    found = knn(questions, r, k, q_id=q_id, c_id="id", metric=meta["metric"])
+    carry = [c for c in carry if c != "id"]
+    if not carry:
+        return found
+    return found.join(r.select("id", *carry), "id").select(*found.columns, *carry)

@@ -149,3 +149,23 @@ def test_buckets_and_tasks_grow_with_the_rows(spark, tmp_path, monkeypatch):
     from sifter.sources.versions import Versions
     assert [(f["buckets"], f["rows"]) for f in Versions(spark, f"{root}/c").latest()[1]] == [(1, 50), (4, 400), (64, 3550)]
     assert coll.rows(spark, root, "c").select("id").distinct().count() == coll.rows(spark, root, "c").count() == 4000
+
+
+def test_a_collection_is_searched_by_ids_and_vectors_alone(spark, monkeypatch):
+    from sifter.operators import knn as search
+    root, seen, plain = tempfile.mkdtemp(prefix="sifter-coll-"), [], search.knn
+
+    def watched(qs, corpus, k, **given):
+        seen.append(given.get("carry", ()))
+        return plain(qs, corpus, k, **given)
+
+    monkeypatch.setattr(search, "knn", watched)
+    coll.get_or_create(spark, root, "c", "l2")
+    data = [(str(i), f"text {i}", {"link": "x"}, [float(i), 0.0]) for i in range(6)]
+    coll.add(spark, root, "c", spark.createDataFrame(data, coll.ROW_SCHEMA))
+    q = spark.createDataFrame([(1, [2.0, 0.0]), (2, [5.0, 0.0])], "qid long, embedding array<double>")
+    got = coll.query(spark, root, "c", q, 2)
+    assert got.columns == ["qid", "rank", "id", "distance", "document", "metadata"] and seen == [()]
+    assert sorted((r.qid, r["rank"], r.id, r.document, r.metadata["link"]) for r in got.collect()) == [
+        (1, 1, "2", "text 2", "x"), (1, 2, "1", "text 1", "x"), (2, 1, "5", "text 5", "x"), (2, 2, "4", "text 4", "x")]
+    assert coll.query(spark, root, "c", q, 1, carry=()).columns == ["qid", "rank", "id", "distance"]
