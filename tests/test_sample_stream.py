@@ -172,3 +172,57 @@ def test_link_state_is_bounded_and_result_equals_the_unbounded_one(spark):
     for _ in range(2):  # a replayed batch writes the same
         seen_writer(root + "/seen", 4)(again, 1000)
     assert sorted(r.href for r in seen_links(spark, root + "/seen").collect()) == sorted(want | {"/fresh"})
+
+
+def test_chat_without_texts_takes_rows_and_asks_the_store_once_a_turn():
+    from pyspark.sql import Row
+
+    from sifter.streaming.chat import Chat
+
+    class Store(dict):
+        asked, value, lines = 0, None, ()
+
+        def get(self):
+            self.asked += 1
+            return self.value if self.value else iter(self.lines) if self.lines else None
+
+        def getValue(self, key):
+            self.asked += 1
+            return dict.get(self, key)
+
+        def containsKey(self, key):
+            self.asked += 1
+            return key in self
+
+        def update(self, value):
+            self.value = value
+
+        def exists(self):
+            self.asked += 1
+            return self.value is not None
+
+        def updateValue(self, key, value):
+            self[key] = value
+
+        def removeKey(self, key):
+            del self[key]
+
+    class Lines(list):
+        def get(self):
+            return iter(self)
+
+        def appendList(self, new):
+            self.extend(new)
+
+    chat = Chat(0, None, None, None, None, False, None, {}, None)
+    chat.at, chat.pending, chat.lines, chat.answer = Store(), Store(), Lines(), None
+
+    def given(*turns):
+        return list(chat.handleInputRows((7,), iter([Row(conv_id=7, turn=t, role="user", text=f"t{t}") for t in turns]), None))
+
+    assert given(2, 1) == [] and sorted(chat.pending) == [(1, 0), (2, 0)]
+    chat.at.asked = chat.pending.asked = 0
+    out = given(0)
+    assert all(isinstance(r, Row) for r in out) and [(r.conv_id, r.turn, r.n_prev, r.history) for r in out] == [(7, 0, 0, None), (7, 1, 1, None), (7, 2, 2, None)]
+    # each of the turns 0 to 3, and once more behind each of the two that waited
+    assert not chat.pending and chat.at.asked == 1 and chat.pending.asked <= 6
