@@ -26,10 +26,13 @@ interest, so ``n - own`` bounds it exactly. Classes that this rules out go, and
 the others are tried with the head that has least of its own; where a list comes
 from one passage that its classes share, whatever does not link with that head
 links with nothing. The third round counts anew and compares what is left of
-each list in blocks of CELL classes, in numpy, dropping at the bound and the
-signature; lists of the same classes are compared once. So a group of copies
-needs about one comparison a member, classes that share a passage and are no
-copies become no rows, and no link between components is lost.
+each list in blocks of CELL classes, in numpy: first by the bound and the
+signature, then those that have a candidate come again with their full sets.
+Two classes are compared in the first of the lists that they share, and not
+once they are joined; what leaves a block are its classes, then the links that
+join them, so neither grows with the square of a list. So a group of copies
+needs about one comparison a member, pairs that are no copies become no rows,
+and no link between components is lost.
 Contraction (hook to the least neighbour, then halve the paths) runs on Spark.
 
 Nulls and ties: a null id is never the smallest unless all are null; rows that
@@ -49,11 +52,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifter.llm.words import LOWER, blocks, mixed, span_hashes, spans, text_bytes, window_hashes
-from sifter.session import checkpoint_dir
+from sifter.session import checkpoint_dir, scratch_path
 
 COORDS, SIGNATURE, MISS = 64, 64, 1e-6
-#: Classes of a list that a task compares with each other or with as many others; pairs looked at in one step.
-CELL, STEP = 4096, 1 << 16
+#: Classes of a list that a task compares with each other or with as many others, and the shingles that these have
+#: together, or so; pairs looked at in one step.
+CELL, HELD, STEP = 4096, 1 << 21, 1 << 16
 #: Tasks that the candidates of one class are confirmed in, at most.
 PARTS = 64
 _RNG = np.random.default_rng(7)
@@ -170,28 +174,80 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
-def _compared(percent: int):
-    """Pairs (a, b) that can be links, of blocks (token, lo, hi) of classes:
-    all in one block (lo = hi), or those of part lo with those of part hi."""
+def _candidates(run: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers (i, j), ascending by i, of the pairs that can be links in a
+    block (token, lo, hi) of classes: all in one block (lo = hi), or those of
+    part lo with those of part hi. Pairs that share a lesser token are met there."""
+    part, label, n, own = (run[c].to_numpy() for c in ("part", "label", "n", "own"))
+    sig = _signatures(run["sig"].combine_chunks())
+    lo, hi = run["lo"][0].as_py(), run["hi"][0].as_py()
+    x = np.arange(len(n)) if lo == hi else np.flatnonzero(part == lo)
+    y = x if lo == hi else np.flatnonzero(part == hi)
+    tokens = run["tokens"].combine_chunks()
+    known, at = np.unique(tokens.values.to_numpy(), return_inverse=True)
+    least = int(np.searchsorted(known, run["token"][0].as_py()))
+    held = np.diff(tokens.offsets.to_numpy())
+    lesser = np.full((len(n), COORDS), least)  # numbers of a class's tokens below this one; ``least`` where there is none
+    row = np.repeat(np.arange(len(n)), held)
+    lesser[row, np.arange(len(row)) - np.repeat(np.cumsum(held) - held, held)] = np.minimum(at, least)
+    step = max(STEP // max(len(y), 1), 1)
+    for k in range(0, len(x), step):
+        u = x[k:k + step]
+        may = (label[u][:, None] != label[y]) & _possible(n[u][:, None], own[u][:, None], n[y], own[y], percent)
+        if lo == hi:
+            may &= u[:, None] < y
+        i, j = np.nonzero(may)
+        ok = _matching(sig[u[i]], sig[y[j]], percent)
+        i, j = i[ok], y[j[ok]]
+        has = np.zeros((len(u), least + 1), bool)
+        has[np.arange(len(u))[:, None], lesser[u]] = True
+        has[:, least] = False
+        first = ~has[i[:, None], lesser[j]].any(axis=1)
+        yield u[i[first]], j[first]
+
+
+def _wanted(percent: int):
+    """The rows of blocks of classes that are in a pair that can be a link."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches, ["token", "lo", "hi"]):
-            part, ids, label, n, own = (run[c].to_numpy() for c in ("part", "id", "label", "n", "own"))
-            sig = _signatures(run["sig"].combine_chunks())
-            whole = run["lo"][0] == run["hi"][0]
-            x = np.arange(len(ids)) if whole else np.flatnonzero(part == run["lo"][0].as_py())
-            y = x if whole else np.flatnonzero(part == run["hi"][0].as_py())
-            step = max(STEP // max(len(y), 1), 1)
-            for at in range(0, len(x), step):
-                u = x[at:at + step]
-                may = (label[u][:, None] != label[y]) & _possible(n[u][:, None], own[u][:, None], n[y], own[y], percent)
-                if whole:
-                    may &= u[:, None] < y
-                i, j = np.nonzero(may)
-                i, j = u[i], y[j]
-                ok = _matching(sig[i], sig[j], percent)
-                i, j = ids[i[ok]], ids[j[ok]]
-                if len(i):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
+            some = np.zeros(run.num_rows, bool)
+            for i, j in _candidates(run, percent):
+                some[i] = some[j] = True
+            yield from run.filter(pa.array(some)).to_batches()
+    return found
+
+
+def _joined(percent: int):
+    """Links (a, b) that join the classes of a block that can be joined, of its rows with their full sets."""
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(batches, ["token", "lo", "hi"]):
+            ids, n, sets = run["id"].to_numpy(), run["n"].to_numpy(), run["shingles"].combine_chunks()
+            start = sets.offsets.to_numpy()[:-1] - sets.offsets[0].as_py()
+            known, at = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+            group = np.unique(run["label"].to_numpy(), return_inverse=True)[1]
+            step = max((STEP << 4) // int(n.max()), 1)
+            has = np.zeros(len(known), bool)
+            a, b = [], []
+            for i, j in _candidates(run, percent):
+                cuts = np.flatnonzero(np.diff(i, prepend=-1, append=-1))
+                for k, end in zip(cuts, cuts[1:]):
+                    x, own = int(i[k]), at[start[i[k]]:start[i[k]] + n[i[k]]]
+                    has[own] = True
+                    for c in range(int(k), int(end), step):
+                        y = j[c:min(c + step, end)]
+                        y = y[group[y] != group[x]]
+                        if not len(y):
+                            continue
+                        first = np.cumsum(n[y]) - n[y]
+                        both = np.add.reduceat(has[at[np.repeat(start[y] - first, n[y]) + np.arange(n[y].sum())]], first, dtype=np.int64)
+                        for z in y[100 * both >= percent * (n[x] + n[y] - both)].tolist():
+                            if group[z] != group[x]:
+                                group[group == group[z]] = group[x]
+                                a.append(min(ids[x], ids[z]))
+                                b.append(max(ids[x], ids[z]))
+                    has[own] = False
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     return found
 
 
@@ -229,6 +285,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(_similar(percent), "a bigint, b bigint").checkpoint()
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """``rows`` written and read again. A checkpoint would hand on the planner's
+    estimate of their size, which joins multiply: in a loop its digits double each turn."""
+    path = scratch_path(rows.sparkSession, "contract")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def contract(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels`` (id, label) after joining what ``edges`` (a, b, of ids) link;
     a component's label is the least of its members' labels."""
@@ -236,7 +300,7 @@ def contract(labels: DataFrame, edges: DataFrame) -> DataFrame:
         p, q = parent.select(F.col("id").alias("a"), F.col("label").alias("pa")), parent.select(F.col("id").alias("b"), F.col("label").alias("pb"))
         e = e.join(p, "a", "left").join(q, "b", "left")
         e = e.select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b")).where("a <> b")
-        return e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint()
+        return _stored(e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
     e = relabelled(edges, labels)
     while not e.isEmpty():
@@ -249,7 +313,7 @@ def contract(labels: DataFrame, edges: DataFrame) -> DataFrame:
             if jumped.where("moved").isEmpty():
                 break
         up = parent.select(F.col("id").alias("label"), F.col("label").alias("above"))
-        labels = labels.join(up, "label", "left").select("id", F.coalesce("above", "label").alias("label")).checkpoint()
+        labels = _stored(labels.join(up, "label", "left").select("id", F.coalesce("above", "label").alias("label")))
         e = relabelled(e, parent)
     return labels
 
@@ -281,13 +345,26 @@ def _bounded(sets: DataFrame) -> DataFrame:
     return sets.select("id", "label", "n", "sig").dropDuplicates(["id"]).join(count, "id", "left").select("id", "label", "n", own.alias("own"), "sig")
 
 
+def _by_block(rows: DataFrame) -> DataFrame:
+    return rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+
+
 def _blocks(lists: DataFrame) -> DataFrame:
-    """The rows of each list once for each two parts of it, of CELL classes or so, that theirs is one of; sorted by block."""
-    parts = lists.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("parts"))
-    x = lists.join(parts, "token").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    """The rows of each list, with the tokens of their class, once for each two
+    parts of it, of CELL classes or HELD shingles or so, that theirs is one of; sorted by block."""
+    most = F.greatest(F.count(F.lit(1)) / CELL, F.sum("n") / HELD)
+    parts = lists.groupBy("token").agg(F.ceil(most).alias("parts"))
+    tokens = lists.groupBy("id").agg(F.collect_list("token").alias("tokens"))
+    x = lists.join(tokens, "id").join(parts, "token").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
     x = x.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-    x = x.select("token", F.least("part", "with").alias("lo"), F.greatest("part", "with").alias("hi"), "part", "id", "label", "n", "own", "sig")
-    return x.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+    return _by_block(x.select("token", F.least("part", "with").alias("lo"), F.greatest("part", "with").alias("hi"), "part", "id", "label", "n", "own", "sig", "tokens"))
+
+
+def _linked(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) that join what can be joined in the lists (token, id, label, n, own, sig)."""
+    x = _blocks(lists)
+    x = x.mapInArrow(_wanted(percent), x.schema).checkpoint()
+    return _by_block(x.join(sets.select("id", "shingles"), "id")).mapInArrow(_joined(percent), "a bigint, b bigint").checkpoint()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -322,12 +399,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         small = _bounded(sets.join(ids, "id")).where(F.col("n") * percent <= (F.col("n") - F.col("own")) * 100).checkpoint()
         posted = _alive(alive.drop("label").join(small.select("id", "label", "n", "own"), "id")).checkpoint()
         if last:
-            pairs = _blocks(posted.join(small.select("id", "sig"), "id")).mapInArrow(_compared(percent), "a bigint, b bigint").distinct()
+            links = _linked(posted.join(small.select("id", "sig"), "id"), sets, percent)
         else:
             least = F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "id"))
             heads = posted.groupBy("token").agg(least.alias("h")).select("token", F.col("h.id").alias("head"))
-            pairs = _tried(posted.join(heads, "token"), small.drop("label"), percent)
-        labels = contract(labels, _confirmed(pairs.checkpoint(), sets, percent))
+            links = _confirmed(_tried(posted.join(heads, "token"), small.drop("label"), percent).checkpoint(), sets, percent)
+        labels = contract(labels, links)
         posted = posted.select("token", "id")
 
     named = reps.join(labels, "id", "left").select("node", "doc_id", "key", F.coalesce("label", "id").alias("label"))

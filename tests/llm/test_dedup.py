@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from sifter.llm import minhash_dedup
 from sifter.llm.exact_dedup import exact_dedup
 from sifter.llm.minhash_dedup import contract, least_matches, near_duplicates
 from sifter.llm.substring_dedup import COVER, PERIOD, remove_repeats
@@ -92,6 +93,63 @@ def test_near_duplicates_equal_brute_force(spark, size, percent):
     assert near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_what_a_list_makes_is_no_more_than_its_classes(spark, monkeypatch):
+    """Many texts of one passage, few of them linked: pairs do not become rows, and every link counts."""
+    rng = random.Random(11)
+    base = prose(rng, 150).split()
+    rows = []
+    for i in range(120):  # edits from a few places, so that some texts are linked by way of others
+        w = list(base)
+        for k in rng.sample(range(12), rng.randrange(1, 7)):
+            w[12 * k + 5] = f"edit{k}x{rng.randrange(4)}"
+        rows.append((i, " ".join(w)))
+    sets = [shingles(t, 3) for _, t in rows]
+    seen = {}
+
+    def counted(name):
+        inner = getattr(minhash_dedup, name)
+
+        def call(rows, *args):
+            out = inner(rows, *args)
+            seen[name] = (rows, out)
+            return out
+        monkeypatch.setattr(minhash_dedup, name, call)
+
+    counted("_linked")
+    counted("_blocks")
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows), shingle=3, percent=85).collect()}
+    label = list(range(len(rows)))
+    pairs = [(a, b) for b in range(len(rows)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    for _ in rows:
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    assert got == dict(enumerate(label)) and 2 < len(set(label)) < 100
+    assert seen["_linked"][1].count() <= seen["_linked"][0].count() == seen["_blocks"][1].count()
+
+
+def test_joined_equals_brute_force_in_every_block(spark, monkeypatch):
+    """Classes of several lists, of which none is linked yet: links of blocks join what brute force joins."""
+    rng = random.Random(12)
+    monkeypatch.setattr(minhash_dedup, "CELL", 5)
+    base = [rng.randrange(1 << 40) for _ in range(200)]
+    texts = [" ".join(f"w{x if rng.random() > .02 * (i % 4) else rng.randrange(1 << 40)}" for x in base) for i in range(40)]
+    frame_ = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    sets = frame_.mapInArrow(minhash_dedup._sets(3), "id bigint, n bigint, sig binary, shingles array<bigint>")
+    lists = sets.selectExpr("explode(array(7L, -3L, id % 3)) AS token", "id", "id AS label", "n", "0L AS own", "sig")
+    links = minhash_dedup._linked(lists, sets, 80).collect()
+    alone = [shingles(t, 3) for t in texts]
+    real = {(a, b) for b in range(40) for a in range(b) if 100 * len(alone[a] & alone[b]) >= 80 * len(alone[a] | alone[b])}
+    assert {(r.a, r.b) for r in links} <= real
+
+    def parts(edges):
+        label = list(range(40))
+        for _ in label:
+            for a, b in edges:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+    assert parts(real) == parts([(r.a, r.b) for r in links]) and 1 < len(set(parts(real))) < 40
+
+
 def test_least_matches_is_the_binomial_tail():
     assert least_matches(85) == 39 and least_matches(80) == 34 and least_matches(100) == 64
 
@@ -106,6 +164,15 @@ def test_contract_joins_long_chains(spark):
     assert all(got[i] == 0 for i in range(n)) and got[n + 2] == n + 1 and got[n] == n and len(got) == 2 * n
 
 
+def test_contract_does_not_multiply_the_planners_estimate(spark):
+    labels = spark.createDataFrame([(i, i) for i in range(64)], "id long, label long")
+    for step in (1, 2, 4):
+        edges = spark.createDataFrame([(i, i + step) for i in range(0, 64, 2 * step)], "a long, b long")
+        labels = contract(labels, edges)
+    assert {r.label for r in labels.collect()} == set(range(0, 64, 8))
+    assert int(labels._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) < 1 << 40
+
+
 def test_cover_has_every_difference():
     assert {(a - b) % PERIOD for a in COVER for b in COVER} == set(range(PERIOD))
 
