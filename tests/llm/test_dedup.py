@@ -170,7 +170,7 @@ def test_contract_does_not_multiply_the_planners_estimate(spark):
         edges = spark.createDataFrame([(i, i + step) for i in range(0, 64, 2 * step)], "a long, b long")
         labels = contract(labels, edges)
     assert {r.label for r in labels.collect()} == set(range(0, 64, 8))
-    assert int(labels._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) < 1 << 40
+    assert int(labels._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) < 1 << 40
 
 
 def test_cover_has_every_difference():
