@@ -28,14 +28,13 @@ that repeat are packed again; null ids are kept. Extra columns are ignored.
 
 from __future__ import annotations
 
-import re
-import struct
 import zlib
-from collections import deque
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,15 +47,15 @@ GAP, STEP = 64, 16
 #: Windows of a power of two below this are tried for the end of a stream alone; elsewhere they would only add windows.
 SHORT = 256
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
-#: Words and parts of words whose ids a worker keeps, and new ones tokenised at once.
+#: Words that aren't taken apart and parts of words whose ids a worker keeps, and new ones tokenised at once.
 KEPT, KEPT_PARTS, AT_ONCE = 600_000, 1_000_000, 20_000
+#: Words whose ids are put in a row at once.
+SLICE = 1 << 16
 _TOKENIZERS: dict[str, tuple] = {}
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_CONTROL = re.compile("[\x1c-\x1f]")
 
 
-class Words(dict):
-    """Word -> its ids, packed. White space always parts tokens of the word
+class Words:
+    """The ids of words. White space always parts tokens of the word
     vocabularies used here, so a text's ids are its words' ids in a row; and
     where a lower-casing vocabulary takes letters and marks apart (which is
     tried on a sample at the start), a word of Latin letters and marks is put
@@ -65,6 +64,7 @@ class Words(dict):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a sentence if they end a word
@@ -74,64 +74,67 @@ class Words(dict):
         self.splits = all(ids(a + w + b) == ids(a) + ids(w.lower()) + ids(b) for w in ("Straße", "ÉTÉ", "s", "Internationale")
                           for a in ("", "(", "$$$", "_") for b in ("", ".", "...", "?!", "'", "###", "_", ",;:"))
 
-    def _encoded(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+    def _encoded(self, words: list[str]) -> Iterator[bytes]:
         for at in range(0, len(words), AT_ONCE):
-            part = words[at:at + AT_ONCE]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                ids = e.ids
-                yield w, struct.pack(f"<{len(ids)}I", *ids)
-
-    def __missing__(self, word: str) -> bytes:
-        """A word not met before, with ranks; its parts are kept too."""
-        if len(self) > KEPT:
-            self.clear()
-        m = _SIMPLE.fullmatch(word) if self.splits and "<|" not in word else None
-        if m:
-            a, b, c = m.groups()
-            ids = self._part(b.lower())
-            ids = (self._part(a) if a else b"") + ids + (self._part(c) if c else b"")
-        else:
-            ids = next(self._encoded([word]))[1]
-        self[word] = ids
-        return ids
+            for e in self.tokenizer.encode_batch_fast(words[at:at + AT_ONCE], add_special_tokens=False):
+                yield array("I", e.ids).tobytes()
 
-    def _part(self, part: str) -> bytes:
+    def _encoded_parts(self, parts: list[str]) -> Iterator[bytes]:
         """Letters or marks alone, lower-cased: the vocabulary doesn't take them apart before it merges."""
-        ids = self.parts.get(part)
-        if ids is None:
-            if len(self.parts) > KEPT_PARTS:
-                self.parts.clear()
-            found = self.ranked._core_bpe.encode_single_piece(part.encode() + _END)
-            ids = self.parts[part] = struct.pack(f"<{len(found)}I", *found)
-        return ids
+        if not self.ranked:
+            return self._encoded(parts)
+        merged = self.ranked._core_bpe.encode_single_piece
+        return (array("I", merged(p.encode() + _END)).tobytes() if p else b"" for p in parts)
+
+    def arrays(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words in a row, number of each word's ids)."""
+        whole, of_word = found, np.full((len(found), 3), -1)  # up to three parts of each word
+        parts = pa.array([], pa.string())
+        if self.splits:
+            taken = pc.extract_regex(pc.if_else(pc.match_substring(found, "<|"), "", found), _SIMPLE)
+            simple = pc.is_valid(taken)
+            whole, taken = found.filter(pc.invert(simple)), taken.filter(simple)
+            a, b, c = taken.flatten()
+            coded = pa.concat_arrays([a, pc.utf8_lower(b), c]).dictionary_encode()
+            parts, simple = coded.dictionary, simple.to_numpy(zero_copy_only=False)
+            of_word[simple] = coded.indices.to_numpy().reshape(3, -1).T
+            of_word[~simple, 0] = np.arange(len(whole)) + len(parts)
+        else:
+            of_word[:, 0] = np.arange(len(whole))
+        ids = [*_known(self.parts, parts, KEPT_PARTS, self._encoded_parts), *_known(self.words, whole, KEPT, self._encoded), b""]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        return _in_a_row(np.frombuffer(b"".join(ids), np.uint32), size, of_word.ravel()), size[of_word].sum(1)
 
     def of(self, found: list[str]) -> list[bytes]:
-        """The ids of each word."""
-        if self.ranked:
-            return list(map(self.__getitem__, found))
-        ids = list(map(self.get, found))
-        if None in ids:
-            if len(self) > KEPT:
-                self.clear()
-                ids = [None] * len(found)
-            self._learn({w for w, i in zip(found, ids, strict=True) if i is None})
-            ids = list(map(self.__getitem__, found))
-        return ids
-
-    def _learn(self, new: set[str]) -> None:
-        if len(self.parts) > KEPT_PARTS:
-            self.parts.clear()
-        whole, made = [], []
-        for w in new:
-            m = _SIMPLE.fullmatch(w) if self.splits and "<|" not in w else None
-            if m:
-                made.append((w, m[1], m[2].lower(), m[3]))
-            else:
-                whole.append(w)
-        self.update(self._encoded(whole))
-        parts = [p for p in {p for x in made for p in x[1:]} if p not in self.parts]
-        self.parts.update(self._encoded(parts))
-        self.update((w, self.parts[a] + self.parts[b] + self.parts[c]) for w, a, b, c in made)
+        """The ids of each word, packed."""
+        ids, size = self.arrays(pa.array(found, pa.string()))
+        return [ids[e - n:e].tobytes() for e, n in zip(np.cumsum(size).tolist(), size.tolist(), strict=True)]
+
+
+def _known(kept: dict[str, bytes], found: pa.Array, most: int, encoded: Callable[[list[str]], Iterator[bytes]]) -> list[bytes]:
+    """What is kept for each of ``found``; new ones are encoded."""
+    found = found.to_numpy(zero_copy_only=False).tolist()
+    ids = list(map(kept.get, found))
+    new = [w for w, i in zip(found, ids, strict=True) if i is None]
+    if new:
+        if len(kept) > most:
+            kept.clear()
+        made = list(encoded(new))
+        kept.update(zip(new, made, strict=True))
+        rest = iter(made)
+        ids = [next(rest) if i is None else i for i in ids]
+    return ids
+
+
+def _in_a_row(ids: np.ndarray, size: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The ids of the words numbered ``word``, where ``ids`` are those of words 0, 1, ... with ``size`` ids each."""
+    begin, out = np.cumsum(size) - size, [ids[:0]]
+    for at in range(0, len(word), SLICE):
+        w = word[at:at + SLICE]
+        n = size[w]
+        first = np.cumsum(n) - n
+        out.append(ids[np.repeat(begin[w] - first, n) + np.arange(first[-1] + n[-1])])
+    return np.concatenate(out)
 
 
 _END = b"\xff"  # stands for the end of a word: a byte that no UTF-8 text holds
@@ -159,7 +162,7 @@ def _ranked(path: str):
 
 
 #: Marks, letters, marks; an apostrophe before letters can belong to them, and "<|" can open a special token.
-_SIMPLE = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+_SIMPLE = r"^(?P<a>[!-&(-/:-@\[-`{-~]*)(?P<b>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<c>[!-/:-@\[-`{-~]*)$"
 
 
 def _words(path: str) -> Words:
@@ -171,46 +174,66 @@ def _words(path: str) -> Words:
     return _TOKENIZERS[path]
 
 
-def tokenized(text: str, words: Words) -> tuple[bytes, np.ndarray]:
-    """(packed ids, token positions after the words that end a sentence)."""
-    # split() also parts at other white space, as the vocabularies do, and at four control characters, as they don't
-    found = _WORD.findall(text) if _CONTROL.search(text) else text.split()
-    ids = words.of(found)
-    packed = b"".join(ids)
-    after = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // 4
-    after = after[after > 0]
-    return packed, after[words.ends[np.frombuffer(packed, np.uint32)[after - 1]]]
+def _split(texts: pa.Array) -> pa.ListArray:
+    """The words of each text, and empty ones beside white space at its ends."""
+    # Unicode's white space parts words, as in the vocabularies; of it, four control characters don't
+    control = pc.match_substring_regex(texts, "[\x1c-\x1f]")
+    if not pc.any(control).as_py():
+        return pc.utf8_split_whitespace(texts)
+    return pc.if_else(control, pc.ascii_split_whitespace(texts), pc.utf8_split_whitespace(texts))
+
+
+def tokenized(texts: pa.Array, words: Words, end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of the texts in a row, each text's followed by ``end_id``; positions after
+    the texts; ascending positions after the words that end a sentence). A word is
+    looked up once a call, however often it occurs; no text may be null."""
+    found = _split(texts)
+    distinct = found.flatten().dictionary_encode()
+    ids, size = words.arrays(distinct.dictionary)
+    closes = words.ends[np.append(ids, 0)[np.maximum(np.cumsum(size), 1) - 1]] & (size > 0)
+    ids, size, closes = np.append(ids, np.uint32(end_id)), np.append(size, 1), np.append(closes, False)
+    last = np.cumsum(pc.list_value_length(found).to_numpy())  # the end of a text is a word more
+    word = np.insert(distinct.indices.to_numpy(), last, len(size) - 1)
+    after = np.cumsum(size[word])
+    return _in_a_row(ids, size, word), after[last + np.arange(len(last))], after[closes[word]]
 
 
 def cuts(at: np.ndarray, penalty: np.ndarray, length: int = LENGTH) -> list[int]:
     """Numbers of the boundaries that end windows, in order. ``at``: ascending
     positions, the first 0 and the last the end, gaps at most ``length``;
-    ``penalty``: of a cut there."""
+    ``penalty``: of a cut there, not negative."""
     n = len(at)
-    pos, pen = at.tolist(), penalty.tolist()
-    exact: dict[int, list[int]] = {}
+    number = np.full(at[-1] + 1, -1, np.int32)
+    number[at] = np.arange(n)
+    ends, begins, sizes = [], [], []
     k = 1
-    while k <= length:  # boundaries that lie a power of two before another
+    while k < length:  # boundaries that lie a power of two before another; one ``length`` before is no better than the queue's
         some = np.flatnonzero(at >= (k if k >= min(SHORT, length // 16) else max(k, at[-1] - length)))  # short windows: only near the end
-        i = np.searchsorted(at, at[some] - k)
-        hit = at[i] == at[some] - k
-        for j, e in zip(some[hit].tolist(), i[hit].tolist(), strict=True):
-            exact.setdefault(j, []).append(e)
+        i = number[at[some] - k]
+        ends.append(some[i >= 0])
+        begins.append(i[i >= 0])
+        sizes.append(np.full(len(begins[-1]), k))
         k *= 2
-    f, back = [0.0] * n, [0] * n
-    queue: deque[int] = deque([0])  # f[i] + pos[i] rises from left to right
-    for j in range(1, n):
-        here = pos[j]
-        while here - pos[queue[0]] > length:
-            queue.popleft()
-        i = queue[0]
-        best = f[i] + pos[i] + length - here
-        for e in exact.get(j, ()):
-            if f[e] < best:
-                best, i = f[e], e
-        f[j], back[j] = best + pen[j], i
-        value = f[j] + here
-        while queue and f[queue[-1]] + pos[queue[-1]] >= value:
+    order = np.argsort(np.concatenate(ends), kind="stable")
+    exact = zip(*(np.concatenate(x)[order].tolist() for x in (ends, begins, sizes)), strict=True)
+    end, e, k = next(exact, (n, 0, 0))
+    pos = at.tolist()
+    g, back = [0.0], [0]  # g: f + at, least cost up to a boundary if all windows of a power of two were paid by their tokens, others by ``length``
+    queue, head, until = [0], 0, length  # from head on g rises; no g that follows is as low as the head's, which holds up to ``until``
+    for j, here, cut in zip(range(1, n), pos[1:], penalty[1:].tolist(), strict=True):
+        while here > until:
+            head += 1
+            until = pos[queue[head]] + length
+        i = queue[head]
+        best = g[i] + length
+        while end == j:
+            if g[e] + k < best:
+                best, i = g[e] + k, e
+            end, e, k = next(exact, (n, 0, 0))
+        best += cut
+        g.append(best)
+        back.append(i)
+        while g[queue[-1]] >= best:
             queue.pop()
         queue.append(j)
     out, j = [], n - 1
@@ -225,12 +248,12 @@ class _Stream:
 
     def __init__(self, task: int, length: int):
         self.length, self.sequence = length, task << 32
-        self.docs: list[tuple] = []  # (doc_id, packed ids, first token still to pack, sentence ends)
+        self.docs: list[tuple] = []  # (doc_id, ids, first token still to pack, sentence ends)
         self.size = 0
 
-    def add(self, doc_id, ids: bytes, ends: np.ndarray) -> None:
+    def add(self, doc_id, ids: np.ndarray, ends: np.ndarray) -> None:
         self.docs.append((doc_id, ids, 0, ends))
-        self.size += len(ids) // 4
+        self.size += len(ids)
 
     def _boundaries(self, last: bool) -> tuple[np.ndarray, np.ndarray]:
         kind = np.full(self.size + 1, HARD)
@@ -241,7 +264,7 @@ class _Stream:
             own = at + ends[ends > first] - first
             may[own] = True
             kind[own] = SENTENCE
-            at += len(ids) // 4 - first
+            at += len(ids) - first
             may[at] = True
             kind[at] = 0.0
         pos = np.flatnonzero(may)
@@ -262,10 +285,10 @@ class _Stream:
         ends = [e for e in ends if e <= stop]
         begin, w, window, rest = 0, 0, 0, []
         for doc_id, ids, first, sentence in self.docs:
-            total = len(ids) // 4
+            total = len(ids)
             while first < total and begin < stop:
                 take = min(total - first, ends[w] - begin)
-                yield (doc_id, first, take, zlib.crc32(ids[4 * first:4 * (first + take)]), total, self.sequence, begin - window)
+                yield (doc_id, first, take, zlib.crc32(ids[first:first + take]), total, self.sequence, begin - window)
                 first, begin = first + take, begin + take
                 if begin == ends[w]:
                     w, window, self.sequence = w + 1, begin, self.sequence + 1
@@ -277,8 +300,6 @@ class _Stream:
 def pack(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
          length: int = LENGTH, block: int = BLOCK) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    end = struct.pack("<I", end_id)
-
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, stream = _words(tokenizer), _Stream(TaskContext.get().partitionId(), length)
 
@@ -289,9 +310,13 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", t
                                                  names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
         for b in batches:
-            for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
-                ids, ends = tokenized(text or "", words)
-                stream.add(doc_id, ids + end, ends)
+            if not len(b):
+                continue
+            ids, after, ends = tokenized(pc.fill_null(b["text"], ""), words, end_id)
+            before = np.concatenate([[0], after[:-1]])
+            mine = np.searchsorted(ends, after).tolist()
+            for doc_id, s, e, i, j in zip(b["doc_id"].to_pylist(), before.tolist(), after.tolist(), [0, *mine[:-1]], mine, strict=True):
+                stream.add(doc_id, ids[s:e], ends[i:j] - s)
                 if stream.size >= block:
                     yield from out(False)
         yield from out(True)
