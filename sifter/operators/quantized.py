@@ -23,8 +23,12 @@
 matrix product a batch for all questions that probe the cell), keeps the best
 of a task by their approximate distance, reads those vectors and ranks them by
 exact distance. A task hands on its share of ``rerank`` rows and four standard
-deviations more, since rows are dealt at random; questions are broadcast in
-blocks of a bounded size, each a scan of the codes.
+deviations more, since rows are dealt at random. Questions are broadcast, if
+they and what is kept for them are QUESTION_BYTES at most. More of them than
+that need about all vectors, and a row for each candidate would be many times
+the vectors: questions and vectors are packed into blocks that meet by a
+Cartesian product, as in ``knn``'s tiled plan. A block of vectors is a random
+share of all, gets its codes back, and scores what the codes leave where it is.
 
 Rows and questions without a vector (cosine: also a zero one) match nothing.
 """
@@ -32,8 +36,10 @@ Rows and questions without a vector (cosine: also a zero one) match nothing.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -42,14 +48,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sifter.operators.ann import cell_centers
-from sifter.operators.knn import _candidate_schema, _distinct, _ids, _matrix, _non_null, _prepare, _ranked, knn
+from sifter.operators.knn import (_TASK_BYTES, _Best, _blocks, _candidate_schema, _distinct, _first, _ids, _matrix, _met, _non_null,
+                                  _prepare, _ranked, knn)
 from sifter.session import checkpoint_dir, scratch_path
 
 SUB, CODES, TRAIN, TUNE, TUNE_K = 4, 256, 20_000, 256, 10
 #: Share of the tuning questions' neighbours whose cells are probed, and again whose codes are near enough.
 SURE = 0.98
 BLOCK = 1 << 20  # distances at once
-QUESTION_BYTES = 64 << 20  # of question vectors and kept candidates a block of questions
+QUESTION_BYTES = 64 << 20  # of question vectors and kept candidates that are broadcast, at most
+_PIECE = 8192  # pairs whose distances are taken at once
 
 
 def _lloyd(x: np.ndarray, k: int, seed: int, turns: int = 15) -> np.ndarray:
@@ -184,6 +192,47 @@ def _scans(pdf: pd.DataFrame, codec: Codec, Q: np.ndarray, near: np.ndarray) ->
             yield q, at, near[q, c][:, None] + own - 2 * (Q[q].astype(np.float32) @ rest.T)
 
 
+class CodedBlock:
+    """Prepared vectors in the order of their ids, and their codes by cell."""
+
+    def __init__(self, codec: Codec, m: np.ndarray):
+        self.codec, self.m = codec, m
+        cell, codes = codec.encoded(m)
+        self.at = np.argsort(cell, kind="stable")
+        cell, self.rest = cell[self.at], codec.decoded(codes[self.at])
+        self.own = (self.rest.astype(np.float64) ** 2).sum(1) + 2 * np.einsum("ij,ij->i", self.rest, codec.centers[cell])
+        cuts = np.flatnonzero(np.diff(cell, prepend=-1, append=-1))
+        self.runs = [(int(cell[a]), slice(a, b)) for a, b in pairwise(cuts)]
+
+    def nearest(self, Q: np.ndarray, near: np.ndarray, most: int, k: int, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, question, exact distance) of each question's k nearest of the ``most`` rows
+        that are nearest by their codes, ties included; ``near`` as in ``_scans``."""
+        n, out = len(self.m), []
+        step = max(1, BLOCK // n)
+        # single precision, if it holds the squares
+        kind = np.float32 if max(near[np.isfinite(near)].max(initial=0.0), np.abs(self.own).max()) < 1e30 else np.float64
+        own = self.own.astype(kind)
+        for q0 in range(0, len(Q), step):
+            q = slice(q0, q0 + step)
+            q32, to = Q[q].astype(np.float32), near[q].astype(kind)
+            d = np.full((len(q32), n), np.inf, kind)
+            for c, run in self.runs:
+                asks = np.isfinite(to[:, c])
+                asks = slice(None) if asks.all() else np.flatnonzero(asks)
+                d[asks, run] = to[asks, c][:, None] + (own[run] - 2 * (q32[asks] @ self.rest[run].T))
+            last = np.partition(d, most - 1, axis=1)[:, most - 1:most] if most < n else np.inf
+            c, r = np.nonzero((d <= last) & np.isfinite(d))
+            r, exact = self.at[r], np.empty(len(c))
+            for i in range(0, len(c), _PIECE):
+                x, y = self.m[r[i:i + _PIECE]], Q[q][c[i:i + _PIECE]]
+                exact[i:i + _PIECE] = 1.0 - np.einsum("ij,ij->i", x, y) if self.codec.metric == "cosine" else ((x - y) ** 2).sum(1)
+            exact = _distinct(exact, self.codec.metric)
+            stay = exact <= limit[q][c]
+            c, r, exact = _first(c[stay], r[stay], exact[stay], k)
+            out.append((r, c + q0, exact))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def _tuned(coded: DataFrame, codec, ids: list[str], c_vec: str, metric: str, n: int, seed: int) -> tuple[int, int]:
     """(cells to probe, rows to score in full) that reach SURE of the exact neighbours of a sample each."""
     spark = coded.sparkSession
@@ -247,14 +296,49 @@ def search(spark: SparkSession, path: str, questions: DataFrame, k: int, *, q_id
     checkpoint_dir(spark)
     qs = questions.select(q_id, q_vec).checkpoint()
     n_q = qs.count()
-    blocks = max(1, -(-n_q * (8 * codec.dim + 8 * len(codec.centers) + 80 * rerank) // QUESTION_BYTES))
     shared = spark.sparkContext.broadcast(codec)
-    found = []
-    for b in range(blocks):
-        # a block is bounded in bytes by construction
-        block = (qs if blocks == 1 else qs.where(F.pmod(F.xxhash64(q_id), F.lit(blocks)) == b)).toPandas()
-        found.append(_search_block(spark, path, block, shared, k, q_id, ids, q_vec, c_vec, carry, nprobe, rerank, s["n"], schema))
-    return _ranked(reduce(DataFrame.unionByName, found), k, q_id, ids, carry, "rank", round_digits)
+    if n_q * (8 * codec.dim + 8 * len(codec.centers) + 80 * rerank) <= QUESTION_BYTES:
+        found = _search_block(spark, path, qs.toPandas(), shared, k, q_id, ids, q_vec, c_vec, carry, nprobe, rerank, s["n"], schema)
+    else:
+        found = _search_tiled(spark, path, qs, n_q, shared, k, q_id, ids, q_vec, c_vec, carry, nprobe, rerank, s["n"], schema)
+    return _ranked(found, k, q_id, ids, carry, "rank", round_digits)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    stored = spark.read.parquet(f"{path}/schema").schema  # a corpus without a direction leaves no file to tell it
+    return spark.read.schema(T.StructType([*stored.fields, T.StructField("_cell", T.LongType())])).parquet(f"{path}/vectors")
+
+
+def _search_tiled(spark, path, qs, n_q, codec, k, q_id, ids, q_vec, c_vec, carry, nprobe, rerank, n, schema) -> DataFrame:
+    metric, dim = codec.value.metric, codec.value.dim
+    c_parts = max(2, 2 * spark.sparkContext.defaultParallelism)
+    q_parts = max(1, math.ceil(n_q * 8 * (dim + len(codec.value.centers)) / _TASK_BYTES))
+    dealt = F.xxhash64(*ids, c_vec)
+    rows = _stored(spark, path).select(*ids, c_vec, *carry).repartition(c_parts, dealt).sortWithinPartitions(F.xxhash64(dealt))
+    cb = _blocks(rows, c_vec, metric, dim, c_parts, ids, "c")
+    qb = _blocks(qs, q_vec, metric, dim, q_parts, [], "q")
+
+    def matrix(vec: bytes, is_wide: bool) -> np.ndarray:
+        return _prepare(np.frombuffer(vec, np.float64 if is_wide else np.float32).reshape(-1, dim).astype(np.float64), metric)[0]
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[int, tuple] = {}
+        held = None
+        for pdf in batches:
+            for p in pdf.itertuples(index=False):
+                if held is None or held[0] != p.c_blk:
+                    held = p.c_blk, pickle.loads(p.c_ids), CodedBlock(codec.value, matrix(p.c_vec, p.c_wide))
+                if p.q_blk not in best:
+                    Q = matrix(p.q_vec, p.q_wide)
+                    best[p.q_blk] = _Best(len(Q), k, metric, ids), Q, _probed(codec.value.cells(Q), nprobe), bytes(p.q_ids)
+                found, Q, near, _ = best[p.q_blk]
+                share = rerank * min(1.0, len(held[1]) / n)
+                found.take(held[1].iloc.__getitem__, *held[2].nearest(Q, near, math.ceil(share + 4 * math.sqrt(share)) + k, k, found.limit))
+        for found, _, _, packed in best.values():
+            if (out := found.frame()) is not None:
+                yield out.assign(**{q_id: pickle.loads(packed)[q_id].to_numpy()[out["_q"].to_numpy()]})[[f.name for f in schema.fields]]
+
+    return _met(cb, qb, score, schema, 16 * dim)
 
 
 def _search_block(spark, path, block, codec, k, q_id, ids, q_vec, c_vec, carry, nprobe, rerank, n, schema) -> DataFrame:
@@ -290,8 +374,7 @@ def _search_block(spark, path, block, codec, k, q_id, ids, q_vec, c_vec, carry,
 
     fields = [T.StructField("_q", T.LongType()), *[codes.schema[c] for c in ids], codes.schema["_cell"]]
     cand = codes.mapInPandas(scan, T.StructType(fields)).checkpoint()
-    stored = spark.read.parquet(f"{path}/schema").schema  # a corpus without a direction leaves no file to tell it
-    vectors = spark.read.schema(T.StructType([*stored.fields, T.StructField("_cell", T.LongType())])).parquet(f"{path}/vectors")
+    vectors = _stored(spark, path)
 
     def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         Q, q_ids, _ = given.value

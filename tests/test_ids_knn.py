@@ -159,6 +159,28 @@ def test_quantized_search_in_clusters_probes_few_cells(spark, tmp_path, metric):
     assert {(r.qid, r["rank"], r.part, r.key) for r in whole} == {(r.qid, r["rank"], r.part, r.key) for r in exact.collect()}
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_many_questions_meet_blocks_of_codes(spark, tmp_path, monkeypatch, metric):
+    """Beyond QUESTION_BYTES there is no scan for each block of questions, and no row for each candidate."""
+    def refused(*a):
+        raise AssertionError("candidates are joined to the vectors")
+    monkeypatch.setattr(quantized, "QUESTION_BYTES", 1 << 10)
+    monkeypatch.setattr(quantized, "_search_block", refused)
+    monkeypatch.setattr(K, "_BLOCK", 300)
+    rng = np.random.default_rng(9)
+    m = rng.normal(size=(8, 12))[rng.integers(0, 8, 1500)] + rng.normal(size=(1500, 12)) * 0.3
+    rows = [("a", f"k{i}", [float(x) for x in v], i) for i, v in enumerate(m)] + [("a", "none", None, -1), ("a", "zero", [0.0] * 12, -2), ("b", "k4", [float(x) for x in m[4]], 4)]
+    corpus = spark.createDataFrame(rows, "part string, key string, embedding array<float>, label long")
+    quantized.build(corpus, f"{tmp_path}/q", ["part", "key"], metric=metric, carry=["label"], nlist=10)
+    qs = corpus.select(F.concat("part", "key").alias("qid"), "embedding")
+    want = {tuple(r) for r in knn(qs, corpus, 6, c_id=["part", "key"], metric=metric, carry=["label"]).collect()}
+    args = dict(c_id=["part", "key"], carry=["label"])
+    got = quantized.search(spark, f"{tmp_path}/q", qs, 6, **args).collect()
+    assert len(got) == len({tuple(r) for r in got}) == len(want)
+    assert len({(r[0], r[2], r[3], r[4]) for r in got} & {(r[0], r[2], r[3], r[4]) for r in want}) >= 0.9 * len(want)
+    assert {tuple(r) for r in quantized.search(spark, f"{tmp_path}/q", qs, 6, **args, nprobe=10, rerank=5000).collect()} == want
+
+
 def test_quantized_index_of_few_and_no_rows(spark, tmp_path):
     schema = "id long, embedding array<double>"
     q = spark.createDataFrame([(1, [1.0, 0.5, 0.0]), (2, None)], "qid long, embedding array<double>")
