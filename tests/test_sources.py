@@ -1,6 +1,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,3 +170,25 @@ def test_a_collection_is_searched_by_ids_and_vectors_alone(spark, monkeypatch):
     assert sorted((r.qid, r["rank"], r.id, r.document, r.metadata["link"]) for r in got.collect()) == [
         (1, 1, "2", "text 2", "x"), (1, 2, "1", "text 1", "x"), (2, 1, "5", "text 5", "x"), (2, 2, "4", "text 4", "x")]
     assert coll.query(spark, root, "c", q, 1, carry=()).columns == ["qid", "rank", "id", "distance"]
+
+
+@pytest.mark.parametrize("below", ["html", "pages"])
+def test_page_files_are_bounded_and_handed_on_one_by_one(spark, tmp_path, monkeypatch, below):
+    """A file is held whole by its task, so its pages are bounded, and so is what a worker is handed."""
+    from sifter.plans import sources
+    root, key = str(tmp_path / "sf"), "spark.sql.execution.arrow.maxBytesPerBatch"
+    pages = spark.range(1500).selectExpr("id page_id", "concat('http://h/', id) url", "concat('<p>a', id, '</p>\n') html")
+    pages.coalesce(1).write.parquet(f"{root}/pages.parquet")
+    spark.createDataFrame([(1, 0, "user", "hello")], "conv_id long, turn int, role string, text string").write.parquet(f"{root}/conversations.parquet")
+    monkeypatch.setattr(sources, "scratch_path", lambda *a: str(tmp_path / "files"))
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64m")
+    try:
+        query = sources.q_scan_by_kind if below == "html" else sources.q_load_documents
+        got = query(spark, root).collect()
+        assert spark.conf.get(key) == f"{4 << 20}b"
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(r.page_id for r in got if r.page_id is not None) == list(range(1500))
+    lines = [len(f.read_text().splitlines()) for f in (tmp_path / "files" / below).glob("*.txt")]
+    assert sum(lines) == 1500 and max(lines) <= sources.FILE_PAGES
