@@ -15,7 +15,10 @@ question to its ``nprobe`` nearest cells and reads those partitions only. A cell
 of more than ``block_rows`` is scored in blocks dealt by a hash of the id, so a
 cell that holds a third of the corpus is still scored in bounded pieces. Each
 (cell, block) is co-grouped with its questions and scored exactly; then a global
-``row_number() <= k``.
+``row_number() <= k``. If the copies of the questions that this takes are more
+than COPIED_BYTES, rows and questions are packed and meet by a Cartesian product
+instead (``knn.met_by_cell``): a question scores its cells' rows where they are, as
+many blocks of a cell at once as a packed one holds, and nothing is copied.
 
 Only candidates in probed cells are scored, so recall below 1 is possible; the
 result rows are exact distances of the candidates found.
@@ -31,11 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sifter.operators.knn import _candidate_schema, _ids, _matrix, _ranked, tile_scorer
+from sifter.operators.knn import _candidate_schema, _ids, _matrix, _ranked, met_by_cell, tile_scorer
 from sifter.session import scratch_path
 
 #: The k-means sample: rows for each cell, at most.
 SAMPLE_PER_CELL = 256
+#: Copies of questions, one for each block they are scored in, that are shuffled, at most.
+COPIED_BYTES = 64 << 20
 
 
 def _unit(M: np.ndarray) -> np.ndarray:
@@ -117,8 +122,15 @@ def search(spark: SparkSession, path: str, questions: DataFrame, k: int, *, q_id
     qs = questions.select(q_id, q_vec)
     kind = T.ArrayType(T.LongType()) if n > 1 else T.LongType()
     near = qs.mapInPandas(_assigned(q_vec, bc, metric, n, "_near"), T.StructType([*qs.schema.fields, T.StructField("_near", kind)]))
-    near = near.where(F.col(q_vec).isNotNull())
-    near = near.select(q_id, q_vec, (F.explode("_near") if n > 1 else F.col("_near")).alias("_cell")).checkpoint()
+    near = near.where(F.col(q_vec).isNotNull()).withColumn("_near", F.col("_near") if n > 1 else F.array("_near")).checkpoint()
+    pieces = F.lit(sum(-(-r["n"] // block_rows) for r in table) / len(table))  # of a cell, about
+    if near.agg(F.coalesce(F.sum(F.size("_near") * pieces), F.lit(0.0))).first()[0] * (8 * centers.shape[1] + 64) > COPIED_BYTES:
+        probed = [r["_cell"] for r in near.select(F.explode("_near").alias("_cell")).distinct().collect()]  # at most nlist
+        cells = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_cell", T.LongType())])).parquet(f"{path}/cells").where(F.col("_cell").isin(probed))
+        cand = met_by_cell(near, cells, k, q_id=q_id, ids=ids, q_vec=q_vec, c_vec=c_vec, metric=metric, carry=carry, dim=centers.shape[1],
+                           cell=["_cell"], asks=_probing, schema=schema)
+        return _ranked(cand, k, q_id, ids, carry, "rank", round_digits)
+    near = near.select(q_id, q_vec, F.explode("_near").alias("_cell"))
     blocks = F.broadcast(spark.createDataFrame([(r["cell"], -(-r["n"] // block_rows)) for r in table], "_cell bigint, _s bigint").where("_s > 0"))
     probed = [r["_cell"] for r in near.select("_cell").distinct().collect()]  # at most nlist
     cells = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_cell", T.LongType())])).parquet(f"{path}/cells")
@@ -130,6 +142,16 @@ def search(spark: SparkSession, path: str, questions: DataFrame, k: int, *, q_id
     return _ranked(cand, k, q_id, ids, carry, "rank", round_digits)
 
 
+def _probing(questions):
+    """Of a block of questions those that probe a cell, by its number."""
+    near = np.stack(questions["_near"].to_numpy())
+
+    def who(cell: tuple[int]):
+        there = (near == cell[0]).any(axis=1)
+        return None if there.all() else np.flatnonzero(there)
+    return who
+
+
 def ann_knn(questions: DataFrame, corpus: DataFrame, k: int, *, q_id: str = "qid", c_id: str | Sequence[str] = "id",
             q_vec: str = "embedding", c_vec: str = "embedding", metric: str = "cosine", carry: Sequence[str] = (),
             nlist: int | None = None, nprobe: int = 4, block_rows: int = 50_000, seed: int = 7,

@@ -11,7 +11,9 @@ triangle inequality it is at least what the question's distance to a pivot lies
 outside the block's range for that pivot, for each pivot. The nearest blocks
 that hold k rows are scored first, which gives a distance that the k-th
 neighbour cannot exceed; of the others only those whose bound is within it are
-scored, ties included. The result equals ``knn``'s. ``skipped`` tells what
+scored, ties included. For these a question has a bit for each block, and if its
+copies for all of them are more than COPIED_BYTES, rows and questions meet in
+packed blocks (``knn.met_by_cell``). The result equals ``knn``'s. ``skipped`` tells what
 share of the pairs of questions and blocks was never looked at: most of them in
 vectors that cluster, hardly any in vectors without structure in many
 dimensions, where an exact search has to look everywhere.
@@ -34,8 +36,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sifter.operators.ann import cell_centers
-from sifter.operators.knn import _candidate_schema, _ids, _local_topk, _matrix, _non_null, _prepare, _ranked
+from sifter.operators.ann import COPIED_BYTES, cell_centers
+from sifter.operators.knn import _candidate_schema, _ids, _local_topk, _matrix, _non_null, _prepare, _ranked, met_by_cell
 from sifter.session import checkpoint_dir
 
 SLACK = 1e-7  # of a bound, for rounding: blocks are skipped beyond it alone
@@ -116,6 +118,18 @@ def block_scorer(q_id: str, ids: list[str], carry: Sequence[str], dim: int, k: i
     return score
 
 
+def _marked_for(number: dict[tuple[int, int], int]):
+    def asks(questions: pd.DataFrame):
+        """Of a block of questions those that look at a block, by its pivot and ring."""
+        marks = np.stack([np.unpackbits(np.frombuffer(b, np.uint8), count=len(number)) for b in questions["_bits"]]).astype(bool)
+
+        def who(cell: tuple[int, int]):
+            there = marks[:, number[cell]]
+            return None if there.all() else np.flatnonzero(there)
+        return who
+    return asks
+
+
 def search(spark: SparkSession, path: str, questions: DataFrame, k: int, *, q_id: str = "qid", c_id: str | Sequence[str] = "id",
            q_vec: str = "embedding", c_vec: str = "embedding", carry: Sequence[str] = (), round_digits: int | None = 6) -> tuple[DataFrame, DataFrame]:
     """((q_id, rank, *c_id, distance, *carry), (pairs looked at, all pairs of questions and blocks))."""
@@ -136,22 +150,35 @@ def search(spark: SparkSession, path: str, questions: DataFrame, k: int, *, q_id
     checkpoint_dir(spark)
     qs = questions.select(q_id, q_vec).checkpoint()
 
-    def bounds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def chosen(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+        """(question, numbers of its blocks): those that hold k rows or, with ``_far``, the others within it."""
         centers, lo, hi, blocks = given.value
         n = blocks["n"].to_numpy()
+        d, ok = _to_pivots(pdf[q_vec], centers, metric)
+        for i, at in enumerate(np.flatnonzero(ok)):
+            least = np.maximum(np.maximum(d[i] - hi, lo - d[i]), 0.0).max(1)
+            order = np.argsort(least, kind="stable")
+            first = order[:np.searchsorted(np.cumsum(n[order]), k) + 1]  # these hold k rows
+            if "_far" in pdf:
+                far = pdf["_far"].iloc[at]  # null: the first blocks gave no k rows
+                others = np.ones(len(n), bool) if pd.isna(far) else least <= far + SLACK * (1 + far)
+                others[first] = False
+                first = np.flatnonzero(others)
+            yield at, first
+
+    def bounds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at, first in chosen(pdf):
+                yield given.value[3].iloc[first][["_pivot", "_ring"]].assign(**{q_id: pdf[q_id].iloc[at]})[[q_id, "_pivot", "_ring"]]
+
+    def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            d, ok = _to_pivots(pdf[q_vec], centers, metric)
-            pdf = pdf[ok].reset_index(drop=True)
-            for i in range(len(pdf)):
-                least = np.maximum(np.maximum(d[i] - hi, lo - d[i]), 0.0).max(1)
-                order = np.argsort(least, kind="stable")
-                first = order[:np.searchsorted(np.cumsum(n[order]), k) + 1]  # these hold k rows
-                if "_far" in pdf:
-                    far = pdf["_far"].iloc[i]  # null: the first blocks gave no k rows
-                    chosen = np.ones(len(n), bool) if pd.isna(far) else least <= far + SLACK * (1 + far)
-                    chosen[first] = False
-                    first = np.flatnonzero(chosen)
-                yield blocks.iloc[first][["_pivot", "_ring"]].assign(**{q_id: pdf[q_id].iloc[i]})[[q_id, "_pivot", "_ring"]]
+            n, bits = np.zeros(len(pdf), np.int64), [b""] * len(pdf)
+            for at, first in chosen(pdf):
+                mark = np.zeros(len(given.value[3]), bool)
+                mark[first] = True
+                n[at], bits[at] = len(first), np.packbits(mark).tobytes()
+            yield pdf.assign(_n=n, _bits=bits)[[q_id, q_vec, "_far", "_kth", "_n", "_bits"]]
 
     kind = T.StructType([questions.schema[q_id], T.StructField("_pivot", T.LongType()), T.StructField("_ring", T.LongType())])
     stored = spark.read.schema(T.StructType([*rows.schema.fields, *kind.fields[1:]])).parquet(f"{path}/rows")
@@ -166,11 +193,21 @@ def search(spark: SparkSession, path: str, questions: DataFrame, k: int, *, q_id
     now = qs.mapInPandas(bounds, kind).checkpoint()
     first = scored(now).withColumn("_r", F.row_number().over(Window.partitionBy(q_id).orderBy("distance", *ids))).where(F.col("_r") <= k).drop("_r").checkpoint()
     far = F.sqrt(F.greatest(F.max("distance"), F.lit(0.0)) * (2 if metric == "cosine" else 1))
-    reach = first.groupBy(q_id).agg(F.when(F.count(F.lit(1)) >= k, far).alias("_far"))
-    later = qs.join(reach, q_id, "left").mapInPandas(bounds, kind).checkpoint()
-    result = _ranked(first.unionByName(scored(later)), k, q_id, ids, carry, "rank", round_digits)
+    full = F.count(F.lit(1)) >= k
+    reach = first.groupBy(q_id).agg(F.when(full, far).alias("_far"), F.when(full, F.max("distance")).alias("_kth"))
+    # a bit for each block and question, not a row: without structure a question looks at nearly all blocks
+    schema_far = T.StructType([*qs.schema.fields, *(T.StructField(x, t()) for x, t in (("_far", T.DoubleType), ("_kth", T.DoubleType), ("_n", T.LongType), ("_bits", T.BinaryType)))])
+    marks = qs.join(reach, q_id, "left").mapInPandas(marked, schema_far).checkpoint()
+    n_later = marks.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    if n_later * (8 * centers.shape[1] + 64) <= COPIED_BYTES:
+        later = scored(marks.mapInPandas(bounds, kind))
+    else:
+        number = {(int(p), int(r)): i for i, (p, r) in enumerate(zip(blocks["_pivot"], blocks["_ring"]))}
+        later = met_by_cell(marks.where(F.col(q_id).isNotNull() & (F.col("_n") > 0)), stored, k, q_id=q_id, ids=ids, q_vec=q_vec, c_vec=c_vec, metric=metric, carry=carry,
+                            dim=centers.shape[1], cell=["_pivot", "_ring"], asks=_marked_for(number), schema=schema, kth="_kth")
+    result = _ranked(first.unionByName(later), k, q_id, ids, carry, "rank", round_digits)
     asked = now.select(q_id).distinct().count()
-    return result, now.unionByName(later).agg(F.count(F.lit(1)).alias("looked"), F.lit(asked * len(blocks)).cast("bigint").alias("pairs"))
+    return result, now.agg((F.count(F.lit(1)) + F.lit(n_later)).alias("looked"), F.lit(asked * len(blocks)).cast("bigint").alias("pairs"))
 
 
 def skipped(looked: DataFrame) -> float:

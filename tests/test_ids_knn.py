@@ -159,6 +159,21 @@ def test_quantized_search_in_clusters_probes_few_cells(spark, tmp_path, metric):
     assert {(r.qid, r["rank"], r.part, r.key) for r in whole} == {(r.qid, r["rank"], r.part, r.key) for r in exact.collect()}
 
 
+@pytest.mark.parametrize("nprobe", [1, 3, 6])
+def test_many_questions_meet_cells_without_copies(spark, monkeypatch, nprobe):
+    """The same rows as from a copy of each question for each block it is scored in."""
+    from sifter.operators import ann
+    emb, _ = _vectors(spark, 500, 8, 21)
+    emb = emb.union(emb.where("id < 20"))  # ids that repeat
+    args = dict(c_id="id", nlist=6, nprobe=nprobe, block_rows=20)
+    qs = emb.select(F.col("id").alias("qid"), "embedding").where("qid >= 20")
+    want = sorted(map(tuple, ann_knn(qs, emb, 4, **args).collect()))
+    monkeypatch.setattr(ann, "COPIED_BYTES", 1 << 10)
+    monkeypatch.setattr(ann, "tile_scorer", None)  # scores copies
+    monkeypatch.setattr(K, "_BLOCK", 70)
+    assert sorted(map(tuple, ann_knn(qs, emb, 4, **args).collect())) == want
+
+
 @pytest.mark.parametrize("metric", ["cosine", "l2"])
 def test_many_questions_meet_blocks_of_codes(spark, tmp_path, monkeypatch, metric):
     """Beyond QUESTION_BYTES there is no scan for each block of questions, and no row for each candidate."""

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sifter.operators import knn as K
 from sifter.operators import pruned
 from sifter.operators.knn import knn
 
@@ -26,6 +27,25 @@ def test_pruned_equals_exact(spark, tmp_path, metric, clustered):
     assert not clustered or pruned.skipped(looked) > 0.7
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_many_questions_are_not_copied_for_their_blocks(spark, tmp_path, monkeypatch, metric):
+    """Without structure a question looks at nearly all blocks: it has a bit for each, and rows and questions meet where they are."""
+    monkeypatch.setattr(pruned, "COPIED_BYTES", 1 << 10)
+    monkeypatch.setattr(K, "_BLOCK", 150)
+    scored, plain = [], pruned._ranked
+    monkeypatch.setattr(pruned, "_ranked", lambda cand, *a: scored.append(cand) or plain(cand, *a))
+    rng = np.random.default_rng(14)
+    m = rng.normal(size=(900, 8))
+    m[50:80] = m[50]  # ties beyond k
+    rows = [(i, [float(x) for x in v], f"r{i}") for i, v in enumerate(m)] + [(9000, None, "none"), (9001, [0.0] * 8, "zero")]
+    corpus = spark.createDataFrame(rows, "id long, embedding array<double>, label string")
+    pruned.build(corpus, f"{tmp_path}/p", metric=metric, carry=["label"], n_pivots=5, block_rows=30)
+    qs = corpus.select(F.col("id").alias("qid"), "embedding")
+    got, looked = pruned.search(spark, f"{tmp_path}/p", qs, 4, carry=["label"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, knn(qs, corpus, 4, metric=metric, carry=["label"]).collect()))
+    assert pruned.skipped(looked) < 0.5 and "_asked" not in scored[0]._jdf.queryExecution().toString()
+
+
 def test_pruned_with_fewer_rows_than_k_and_none(spark, tmp_path):
     q = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "qid long, embedding array<double>")
     for i, (rows, want) in enumerate([([], []), ([(5, None)], []), ([(5, [1.0, 0.1]), (3, [1.0, 0.1])], [(1, 1, 3), (1, 2, 5)])]):
